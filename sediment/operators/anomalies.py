@@ -19,6 +19,8 @@ from sediment.functions.text import epoch_seconds_between
 from sediment.operators import isolation_forest
 from sediment.operators.aggregates import rate
 from sediment.operators.rolling import (
+    Blocks,
+    blocks,
     frame_bounds,
     rank_quantile,
     rolling,
@@ -146,7 +148,7 @@ def approval_rate(
 
 
 def row_zscore(
-    df: DataFrame,
+    df: DataFrame | Blocks,
     config: AnomalyConfig,
     column: str,
     names: Mapping[str, str],
@@ -166,7 +168,7 @@ def row_zscore(
 
 
 def row_iqr(
-    df: DataFrame,
+    df: DataFrame | Blocks,
     config: AnomalyConfig,
     column: str,
     names: Mapping[str, str],
@@ -228,7 +230,7 @@ def employment_income(
 
 
 def zscore(
-    df: DataFrame,
+    df: DataFrame | Blocks,
     column: str,
     config: AnomalyConfig,
     tie_breakers: Sequence[str],
@@ -242,7 +244,7 @@ def zscore(
 
 
 def iqr(
-    df: DataFrame,
+    df: DataFrame | Blocks,
     column: str,
     config: AnomalyConfig,
     tie_breakers: Sequence[str],
@@ -254,7 +256,7 @@ def iqr(
 
 
 def moving_average(
-    df: DataFrame,
+    df: DataFrame | Blocks,
     column: str,
     config: AnomalyConfig,
     tie_breakers: Sequence[str],
@@ -339,6 +341,10 @@ def detect_all(
     """Run every detector whose columns exist. Returns the frames by name, and the columns
     that the skipped ones lack."""
     ties = list(tie_breakers)
+    # Three detectors roll over the same order, so they share one sorted and numbered table.
+    ordered: DataFrame | Blocks = df
+    if {"processing_date", amount} <= set(df.columns):
+        ordered = blocks(df, ["processing_date"], config.lookback_window, ties)
     plan: dict[str, tuple[Sequence[str], Callable[[], DataFrame]]] = {
         "volume": (["processing_date"], lambda: volume(df, config)),
         "processing_time": (["start_time", "end_time"], lambda: processing_time(df, config, ties)),
@@ -351,10 +357,10 @@ def detect_all(
             lambda: employment_income(df, config, ties),
         ),
         "approval_rate": (["state", "processing_date", "status"], lambda: approval_rate(df, config)),
-        "zscore": (["processing_date", amount], lambda: zscore(df, amount, config, ties)),
-        "iqr": (["processing_date", amount], lambda: iqr(df, amount, config, ties)),
+        "zscore": (["processing_date", amount], lambda: zscore(ordered, amount, config, ties)),
+        "iqr": (["processing_date", amount], lambda: iqr(ordered, amount, config, ties)),
         "isolation_forest": (features, lambda: forest(df, features, ties)),
-        "moving_average": (["processing_date", amount], lambda: moving_average(df, amount, config, ties)),
+        "moving_average": (["processing_date", amount], lambda: moving_average(ordered, amount, config, ties)),
     }
     found, skipped = {}, {}
     for name, (needed, run) in plan.items():

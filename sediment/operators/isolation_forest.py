@@ -17,7 +17,7 @@ from pyspark.sql import types as T
 
 from sediment.session import materialize
 
-TREE_SCHEMA = "tree int, node int, feature int, cut double, left int, right int, path double"
+TREE_SCHEMA = "tree int, node int, feature int, cut double, left int, right int, path double, points int"
 EULER = 0.5772156649015329
 
 
@@ -93,12 +93,14 @@ def fit(
         nodes = grow_tree(ordered[names].to_numpy(dtype=float), rng, depth)
         out = pd.DataFrame(nodes, columns=["node", "feature", "cut", "left", "right", "path"])
         out.insert(0, "tree", int(key[0]))
+        out["points"] = len(ordered)
         return out
 
     # At most trees x (2 * sample) nodes, whatever the size of the input.
     grown = drawn.groupBy("tree").applyInPandas(build, TREE_SCHEMA).toPandas()
-    sizes = drawn.groupBy("tree").count().agg(F.avg("count")).first()[0]
-    return grown.sort_values(["tree", "node"]).to_numpy(dtype=float), float(expected_path(max(sizes, 2)))
+    size = grown.groupby("tree")["points"].first().mean()
+    nodes = grown.drop(columns="points").sort_values(["tree", "node"])
+    return nodes.to_numpy(dtype=float), float(expected_path(max(size, 2)))
 
 
 def score(df: DataFrame, features: Sequence[str], forest: np.ndarray, normaliser: float) -> DataFrame:
@@ -108,31 +110,35 @@ def score(df: DataFrame, features: Sequence[str], forest: np.ndarray, normaliser
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         nodes, norm, names = shared.value
-        starts = np.flatnonzero(np.r_[True, nodes[1:, 0] != nodes[:-1, 0]])
-        base = np.repeat(starts, np.diff(np.r_[starts, len(nodes)]))
-        feature = nodes[:, 2].astype(int)
-        cut, path = nodes[:, 3], nodes[:, 6]
-        left = nodes[:, 4].astype(int) + base
-        right = nodes[:, 5].astype(int) + base
+        roots = np.flatnonzero(np.r_[True, nodes[1:, 0] != nodes[:-1, 0]])
+        base = np.repeat(roots, np.diff(np.r_[roots, len(nodes)]))
+        feature, cut, path = nodes[:, 2].astype(np.intp), nodes[:, 3], nodes[:, 6]
+        # A leaf is its own child, so all rows take the same number of steps without a mask.
+        leaf = feature < 0
+        itself = np.arange(len(nodes))
+        children = np.empty(2 * len(nodes), dtype=np.intp)
+        children[0::2] = np.where(leaf, itself, nodes[:, 4].astype(np.intp) + base)
+        children[1::2] = np.where(leaf, itself, nodes[:, 5].astype(np.intp) + base)
+        feature[leaf] = 0
+        levels, frontier = 0, roots
+        while (inner := frontier[~leaf[frontier]]).size:
+            frontier = np.r_[children[2 * inner], children[2 * inner + 1]]
+            levels += 1
         for batch in batches:
             x = np.column_stack(
                 [batch.column(n).cast(pa.float64()).to_numpy(zero_copy_only=False) for n in names]
             )
-            missing = np.isnan(x).any(axis=1)
-            rows = np.arange(len(x))
+            flat = np.ascontiguousarray(x).ravel()
+            offsets = np.arange(len(x)) * x.shape[1]
             depth_sum = np.zeros(len(x))
-            for root in starts:
+            for root in roots:
                 at = np.full(len(x), root)
-                while True:
-                    split = feature[at]
-                    inner = split >= 0
-                    if not inner.any():
-                        break
-                    below = x[rows, np.maximum(split, 0)] < cut[at]
-                    at = np.where(inner, np.where(below, left[at], right[at]), at)
-                depth_sum += path[at]
-            value = np.power(2.0, -(depth_sum / len(starts)) / norm)
-            columns = [*batch.columns, pa.array(value, mask=missing)]
+                for _ in range(levels):
+                    above = flat.take(offsets + feature.take(at)) >= cut.take(at)
+                    at = children.take(2 * at + above)
+                depth_sum += path.take(at)
+            value = np.power(2.0, -(depth_sum / len(roots)) / norm)
+            columns = [*batch.columns, pa.array(value, mask=np.isnan(x).any(axis=1))]
             yield pa.RecordBatch.from_arrays(columns, names=[*batch.schema.names, "anomaly_score"])
 
     return df.mapInArrow(run, schema)

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from sediment.config import SpecError
-from sediment.session import broadcast_if_small
+from sediment.session import broadcast_if_small, materialize
 
 
 def join_chain(frames: Sequence[DataFrame], conditions: Sequence[Mapping]) -> DataFrame:
@@ -50,11 +50,15 @@ def orphan_keys(
 ) -> DataFrame:
     """Distinct orphaned key values with their row counts.
 
-    The source is folded to one row per key before the join, so a key that holds a third of
-    the rows is one row by the time it meets the target.
+    Both sides are folded to one row per key before they meet, so a key that holds a third of
+    the rows is a single row by then. An outer join with a marker keeps the fold in place: the
+    optimizer would move an anti join below it, and shuffle the unfolded rows.
     """
     counted = source.groupBy(*source_columns).agg(F.count("*").alias("row_count"))
-    return orphans(counted, target, source_columns, target_columns)
+    known = target.select(*_renamed_keys(target, target_columns, "_t")).distinct().withColumn("_known", F.lit(True))
+    condition = [F.col(c) == F.col(f"_t{i}") for i, c in enumerate(source_columns)]
+    joined = counted.join(known, condition, "left").filter(F.col("_known").isNull())
+    return joined.select(*source_columns, "row_count")
 
 
 def duplicate_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -95,12 +99,12 @@ def validate_against(df: DataFrame, reference: DataFrame, keys: Mapping[str, str
     return joined.select(*[F.col(c) for c in df.columns], value.alias(flag))
 
 
-def overlapping_versions(versions: DataFrame, keys: Sequence[str], start: str, end: str) -> DataFrame:
-    """Versions that begin before an earlier version of their key has ended."""
+def with_overlap_mark(versions: DataFrame, keys: Sequence[str], start: str, end: str) -> DataFrame:
+    """Add ``_overlaps``: whether a version begins before an earlier one of its key has ended."""
     earlier = Window.partitionBy(*keys).orderBy(start, end).rowsBetween(Window.unboundedPreceding, -1)
     open_end = F.lit("9999-12-31").cast("timestamp_ntz")
     reach = F.max(F.coalesce(F.col(end).cast("timestamp_ntz"), open_end)).over(earlier)
-    return versions.withColumn("_reach", reach).filter(F.col("_reach") > F.col(start)).drop("_reach")
+    return versions.withColumn("_overlaps", F.coalesce(reach > F.col(start), F.lit(False)))
 
 
 def effective_lookup(
@@ -126,6 +130,7 @@ def effective_lookup(
         return F.floor(F.unix_date(c.cast("date")) / F.lit(bucket_days)).cast("long")
 
     payload = [c for c in versions.columns if c not in keys]
+    versions = materialize(with_overlap_mark(versions, keys, start, end), "versions")
     span = facts.agg(F.struct(F.min(bucket(F.col(at))).alias("lo"), F.max(bucket(F.col(at))).alias("hi"))).scalar()
     ranged = (
         versions.withColumn("_first", F.greatest(bucket(F.col(start)), span.getField("lo")))
@@ -142,10 +147,12 @@ def effective_lookup(
     ]
     joined = facts.withColumn("_at_bucket", bucket(F.col(at))).join(broadcast_if_small(ranged), condition, how)
     wide = joined.select(*facts.columns, *payload)
-    if overlapping_versions(versions, keys, start, end).isEmpty():
+    if versions.filter("_overlaps").isEmpty():
         return wide
     if not row_id:
         raise SpecError("versions overlap: name the columns that identify a fact in row_id")
     rest = [c for c in wide.columns if c not in row_id]
-    best = wide.groupBy(*row_id).agg(F.max_by(F.struct(*rest), F.coalesce(F.col(start).cast("timestamp_ntz"), F.lit("0001-01-01").cast("timestamp_ntz"))).alias("_best"))
+    # A fact without a version keeps its one row, whose start is empty.
+    began = F.coalesce(F.col(start).cast("timestamp_ntz"), F.lit("0001-01-01").cast("timestamp_ntz"))
+    best = wide.groupBy(*row_id).agg(F.max_by(F.struct(*rest), began).alias("_best"))
     return best.select(*row_id, "_best.*").select(*wide.columns)

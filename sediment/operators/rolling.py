@@ -16,6 +16,7 @@ Each frame then sees exactly the rows that the plain window would see.
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
@@ -25,6 +26,7 @@ from sediment.session import materialize
 # A group up to this size is sorted within one task, with spilling, as Spark does anyway.
 MAX_GROUP_ROWS = 2_000_000
 MAX_BLOCK_ROWS = 200_000
+MIN_BLOCK_ROWS = 2_000
 
 RollingColumns = Mapping[str, Callable[[WindowSpec], Column]]
 
@@ -34,7 +36,7 @@ def frame_bounds(lookback: int, exclude_current: bool = False) -> tuple[int, int
 
 
 def rolling(
-    df: DataFrame,
+    df: DataFrame | Blocks,
     columns: RollingColumns,
     order_by: Sequence[str],
     lookback: int,
@@ -48,30 +50,53 @@ def rolling(
 
     ``tie_breakers`` must make the order unique, or a row's frame would depend on the run.
     With ``group_by`` the largest group is counted first; if all are small, the plain window
-    does the work in one shuffle.
+    does the work in one shuffle. ``df`` may also be :class:`Blocks` made beforehand.
     """
-    bounds = frame_bounds(lookback, exclude_current)
+    if isinstance(df, Blocks):
+        return df.roll(columns, exclude_current)
     if group_by and largest_group(df, group_by) <= max_group_rows:
-        window = Window.partitionBy(*group_by).orderBy(*order_by, *tie_breakers).rowsBetween(*bounds)
+        window = Window.partitionBy(*group_by).orderBy(*order_by, *tie_breakers)
+        window = window.rowsBetween(*frame_bounds(lookback, exclude_current))
         return df.withColumns({name: make(window) for name, make in columns.items()})
-    return _blocked(df, columns, [*group_by, *order_by, *tie_breakers], list(group_by), bounds, lookback, block_rows)
+    return blocks(df, order_by, lookback, tie_breakers, group_by, block_rows).roll(columns, exclude_current)
 
 
 def largest_group(df: DataFrame, group_by: Sequence[str]) -> int:
     return df.groupBy(*group_by).agg(F.count("*").alias("n")).agg(F.max("n")).first()[0] or 0
 
 
-def _blocked(
+@dataclass(frozen=True)
+class Blocks:
+    """Rows in global order, cut into blocks; several rolling computations can share them."""
+
+    rows: DataFrame
+    columns: tuple[str, ...]
+    group_by: tuple[str, ...]
+    lookback: int
+    block_rows: int
+
+    def roll(self, columns: RollingColumns, exclude_current: bool = False) -> DataFrame:
+        window = Window.partitionBy(*self.group_by, "_block").orderBy("_pos")
+        window = window.rowsBetween(*frame_bounds(self.lookback, exclude_current))
+        return (
+            self.rows.withColumns({name: make(window) for name, make in columns.items()})
+            .filter(F.expr(f"_block = _pos div {self.block_rows}L"))
+            .drop("_pos", "_block")
+        )
+
+
+def blocks(
     df: DataFrame,
-    columns: RollingColumns,
-    sort_columns: Sequence[str],
-    group_by: Sequence[str],
-    bounds: tuple[int, int],
+    order_by: Sequence[str],
     lookback: int,
-    block_rows: int | None,
-) -> DataFrame:
+    tie_breakers: Sequence[str],
+    group_by: Sequence[str] = (),
+    block_rows: int | None = None,
+) -> Blocks:
+    """Steps 1 to 3: sort and write ``df`` once, number its rows, copy block ends over."""
     spark = df.sparkSession
     keep = df.columns
+    sort_columns = [*group_by, *order_by, *tie_breakers]
     # The running id holds the partition number in its upper 31 bits and the row's index
     # within the partition in its lower 33 bits.
     ordered = materialize(
@@ -89,25 +114,22 @@ def _blocked(
         total += size
     if block_rows is None:
         tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
-        block_rows = min(MAX_BLOCK_ROWS, -(-total // (2 * tasks)))
-    block_rows = max(block_rows, lookback, 1)
+        spread = -(-total // (2 * tasks))
+        # Copies stay below a twentieth of the rows.
+        block_rows = max(min(MAX_BLOCK_ROWS, spread), MIN_BLOCK_ROWS, 20 * lookback)
+    block_rows = max(block_rows, lookback)
 
     offsets = F.broadcast(spark.createDataFrame(starts, "_part long, _start long"))
     position = F.col("_start") + F.col("_seq").bitwiseAND(F.lit((1 << 33) - 1))
     home = F.expr(f"_pos div {block_rows}L")
     in_halo = F.pmod(F.col("_pos"), F.lit(block_rows)) >= F.lit(block_rows - lookback)
-    blocks = (
+    rows = (
         ordered.withColumn("_part", partition)
         .join(offsets, "_part")
         .select(*keep, position.alias("_pos"))
         .withColumn("_block", F.explode(F.when(in_halo, F.array(home, home + 1)).otherwise(F.array(home))))
     )
-    window = Window.partitionBy(*group_by, "_block").orderBy("_pos").rowsBetween(*bounds)
-    return (
-        blocks.withColumns({name: make(window) for name, make in columns.items()})
-        .filter(F.col("_block") == home)
-        .drop("_pos", "_block")
-    )
+    return Blocks(rows, tuple(keep), tuple(group_by), lookback, block_rows)
 
 
 def rolling_avg(column: Column) -> Callable[[WindowSpec], Column]:

@@ -9,6 +9,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field
+from datetime import datetime, timezone
 from typing import Any
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -17,7 +18,7 @@ from pyspark.sql import functions as F
 from sediment.config import ColumnTransformation, QualityRule, SpecError, load_spec, rules_from_spec
 from sediment.functions import lookup, text
 from sediment.functions.protect import protect_columns
-from sediment.operators import quality
+from sediment.operators import events, quality
 from sediment.operators.aggregates import grouped_metrics
 from sediment.operators.dedup import drop_exact_duplicates, keep_latest
 from sediment.operators.joins import enrich, join_chain, validate_against
@@ -73,6 +74,7 @@ class RunContext:
     batch_id: str = field(default_factory=lambda: str(uuid.uuid4()))
     as_of: Column | None = None
     results_path: str | None = None
+    events_path: str | None = None
     storage_format: str = "parquet"
 
     def mapping(self) -> MappingContext:
@@ -80,7 +82,11 @@ class RunContext:
 
 
 def _run_each(
-    items: Sequence[Mapping[str, Any]], layer: str, work: Callable[[Mapping[str, Any]], Outcome]
+    spark: SparkSession,
+    items: Sequence[Mapping[str, Any]],
+    layer: str,
+    context: RunContext,
+    work: Callable[[Mapping[str, Any]], Outcome],
 ) -> list[Outcome]:
     outcomes = []
     for item in items:
@@ -88,6 +94,11 @@ def _run_each(
             outcomes.append(work(item))
         except Exception as problem:  # noqa: BLE001  the other sources still run
             outcomes.append(Outcome(item.get("name", "?"), layer, "failed", error=str(problem)))
+    if context.events_path:
+        at = datetime.now(timezone.utc).isoformat()
+        events.publish(
+            events.event_rows(spark, [o.as_event(context.pipeline_id, at) for o in outcomes]), context.events_path
+        )
     if any(o.status == "failed" for o in outcomes):
         raise LayerFailed(outcomes)
     return outcomes
@@ -100,10 +111,18 @@ def _checked(
     layer: str,
     context: RunContext,
     tables: Mapping[str, DataFrame],
+    path: str | None,
     publish: Callable[[DataFrame], None],
 ) -> Outcome:
-    """Evaluate the checks on the written intermediate table and publish it if they hold."""
-    rules: list[QualityRule] = rules_from_spec(item.get("quality_checks") or [])
+    """Evaluate the checks on the written intermediate table, then publish it.
+
+    A failed rule holds the table back, unless the spec names an action for its severity:
+    ``log`` and ``alert`` let the table pass, ``quarantine`` moves the rows that break the
+    rule aside and lets the others pass. A quarantine rule that does not judge single rows
+    holds the table back.
+    """
+    spec = item.get("quality") or item.get("quality_checks") or []
+    rules: list[QualityRule] = rules_from_spec(spec)
     if not rules:
         publish(df)
         return Outcome(item["name"], layer, "written")
@@ -116,11 +135,28 @@ def _checked(
         writers.append_quality_results(
             results, context.results_path, {"execution_time": now, "run_id": F.lit(context.batch_id)}
         )
+    actions = item.get("actions", {}) or (spec.get("actions", {}) if isinstance(spec, Mapping) else {})
+    actions = actions.get("on_failure", actions)
     failed = quality.failed_rules(results)
-    if failed:
+    if not failed:
+        publish(staged)
+        return Outcome(item["name"], layer, "written", results=results)
+    chosen = {f["rule_id"]: actions.get(f["severity"]) for f in failed}
+    if context.events_path and "alert" in chosen.values():
+        alerted = quality.verdicts(results).filter(~F.col("passed"))
+        events.publish(events.quality_events(alerted, context.pipeline_id, layer, context.as_of), context.events_path)
+    aside = [r for r in rules if chosen.get(r.rule_id) == "quarantine"]
+    by_row = {label.rsplit(":", 1)[0] for label in quality.row_tests(staged, aside)}
+    if any(action is None for action in chosen.values()) or any(r.rule_id not in by_row for r in aside):
         return Outcome(item["name"], layer, "held", failed, results=results)
+    if aside:
+        flagged = quality.flag_rows(staged, aside)
+        if path is None:
+            return Outcome(item["name"], layer, "held", failed, results=results)
+        writers.append_quarantine(flagged.filter(F.size("reasons") > 0), path)
+        staged = flagged.filter(F.size("reasons") == 0).drop("reasons")
     publish(staged)
-    return Outcome(item["name"], layer, "written", results=results)
+    return Outcome(item["name"], layer, "written", failed, results=results)
 
 
 def run_bronze(
@@ -141,12 +177,13 @@ def run_bronze(
             "bronze",
             context,
             tables or {},
+            zone["path"],
             lambda out: writers.write_bronze(
                 out, zone["path"], zone.get("format", context.storage_format), zone.get("partition_by", [])
             ),
         )
 
-    return _run_each(spec["source_configurations"], "bronze", work)
+    return _run_each(spark, spec["source_configurations"], "bronze", context, work)
 
 
 def bronze_frame(spark: SparkSession, item: Mapping[str, Any], context: RunContext) -> DataFrame:
@@ -297,6 +334,7 @@ def run_silver(
             "silver",
             context,
             tables or {},
+            out["path"],
             lambda checked: writers.write_silver(
                 add_audit_columns(checked, "silver", context.as_of, quality_check_passed=F.lit(True)),
                 out["path"],
@@ -306,7 +344,7 @@ def run_silver(
             ),
         )
 
-    return _run_each(spec["source_configurations"], "silver", work)
+    return _run_each(spark, spec["source_configurations"], "silver", context, work)
 
 
 def gold_frame(
@@ -339,10 +377,11 @@ def run_gold(
             "gold",
             context,
             tables or {},
+            item["output"].get("path"),
             lambda checked: _publish_gold(spark, add_audit_columns(checked, "gold", context.as_of), item["output"], context),
         )
 
-    return _run_each(spec["aggregations"], "gold", work)
+    return _run_each(spark, spec["aggregations"], "gold", context, work)
 
 
 def _publish_gold(spark: SparkSession, df: DataFrame, out: Mapping[str, Any], context: RunContext) -> None:

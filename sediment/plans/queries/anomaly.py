@@ -9,7 +9,9 @@ from sediment.config import AnomalyConfig
 from sediment.operators import anomalies
 from sediment.plans.queries.registry import query, rounded, table
 
-WEEK = AnomalyConfig(lookback_window=7, threshold=1.5)
+# Thresholds lie off the values that scores of few equal rates take exactly, such as 1.5 and 2,
+# where the last bit of a sum would decide.
+WEEK = AnomalyConfig(lookback_window=7, threshold=1.6)
 MONTH = AnomalyConfig(lookback_window=30, threshold=3.0)
 
 EVENTS_SQL = """(select event_id, user_id, value, event_type, cast(ts as date) as processing_date,
@@ -51,7 +53,7 @@ def _orders(spark: SparkSession, d: str) -> DataFrame:
 
 def _date_sql(
     measure: str, value: str, mean: str, deviation: str, score: str, flag: str, source: str, key: str,
-    group: str = "", day: str = "processing_date", lookback: int = 7, threshold: float = 1.5,
+    group: str = "", day: str = "processing_date", lookback: int = 7, threshold: float = 1.6,
 ) -> str:
     groups = f"{group}, " if group else ""
     on_group = f" and f.{group} = r.{group}" if group else ""
@@ -85,11 +87,11 @@ def an_volume(spark: SparkSession, d: str) -> DataFrame:
             rolled as (select *, avg(volume) over w as a, stddev_samp(volume) over w as s from daily
                        window w as (order by day rows between 7 preceding and 1 preceding))
        select cast(day as varchar) as processing_date, volume, round(case when s > 0 then (volume - a) / s end, 6) as volume_zscore,
-              coalesce(abs(case when s > 0 then (volume - a) / s end) > 1.5, false) as is_volume_anomaly from rolled""",
+              coalesce(abs(case when s > 0 then (volume - a) / s end) > 1.6, false) as is_volume_anomaly from rolled""",
 )
 def an_volume_daily(spark: SparkSession, d: str) -> DataFrame:
     """One row per date, with the date kept out of its own frame."""
-    config = AnomalyConfig(lookback_window=7, threshold=1.5, exclude_current=True)
+    config = AnomalyConfig(lookback_window=7, threshold=1.6, exclude_current=True)
     out = anomalies.volume(_events(spark, d), config, grain="date").select(
         F.col("processing_date").cast("string").alias("processing_date"), "volume", "volume_zscore", "is_volume_anomaly"
     )
@@ -140,21 +142,22 @@ APPROVALS = (
     "an_approval_rate",
     _date_sql(
         "count(*) filter (where status = 'APPROVED')::double / count(*)", *APPROVALS, ORDERS_SQL, "o_orderkey", "state",
-        lookback=30, threshold=2.0,
+        lookback=30, threshold=1.9,
     ),
 )
 def an_approval_rate(spark: SparkSession, d: str) -> DataFrame:
-    config = AnomalyConfig(lookback_window=30, threshold=2.0)
+    config = AnomalyConfig(lookback_window=30, threshold=1.9)
     return _out(anomalies.approval_rate(_orders(spark, d), config), "o_orderkey", *APPROVALS)
 
 
 def _row_sql(
     column: str, mean: str, deviation: str, score: str, flag: str, source: str, key: str, order: str,
-    group: str = "", lookback: int = 30, threshold: float = 3.0,
+    group: str = "", lookback: int = 30, threshold: float = 3.0, digits: tuple[int, int, int] = (6, 6, 6),
 ) -> str:
+    """``digits`` of mean, deviation and score leave room for the last bits of large amounts."""
     part = f"partition by {group} " if group else ""
     return f"""
-select {key}, {column}, round(a, 6) as {mean}, round(s, 6) as {deviation}, round(z, 6) as {score},
+select {key}, {column}, round(a, {digits[0]}) as {mean}, round(s, {digits[1]}) as {deviation}, round(z, {digits[2]}) as {score},
        coalesce(abs(z) > {threshold}, false) as {flag}
 from (select *, case when s > 0 then ({column} - a) / s end as z from (
   select *, avg({column}) over w as a, stddev_samp({column}) over w as s from {source}
@@ -169,7 +172,7 @@ SHIPPING_SQL = """(select o_orderkey, o_orderdate as start_time, max(l_shipdate)
 
 @query(
     "an_processing_time",
-    _row_sql("processing_time", *TIMES, SHIPPING_SQL, "o_orderkey", "start_time, o_orderkey", threshold=2.5),
+    _row_sql("processing_time", *TIMES, SHIPPING_SQL, "o_orderkey", "start_time, o_orderkey", threshold=2.5, digits=(2, 2, 6)),
 )
 def an_processing_time(spark: SparkSession, d: str) -> DataFrame:
     last = table(spark, d, "lineitem").groupBy("l_orderkey").agg(F.max("l_shipdate").alias("end_time"))
@@ -180,7 +183,8 @@ def an_processing_time(spark: SparkSession, d: str) -> DataFrame:
     )
     config = AnomalyConfig(lookback_window=30, threshold=2.5)
     out = anomalies.processing_time(shipping, config, ["o_orderkey"])
-    return rounded(out.select("o_orderkey", "processing_time", *TIMES), list(TIMES[:3]))
+    out = out.select("o_orderkey", "processing_time", *TIMES)
+    return rounded(rounded(out, list(TIMES[:2]), 2), [TIMES[2]])
 
 
 ZSCORE = ("avg_value", "stddev_value", "value_zscore", "is_value_zscore_anomaly")
@@ -221,14 +225,16 @@ INCOME_SQL = f"(select o_orderkey, employment_status, processing_date, amount as
 @query(
     "an_group_zscore",
     _row_sql(
-        "income", *INCOME, INCOME_SQL, "o_orderkey", "processing_date, o_orderkey", "employment_status", threshold=2.0
+        "income", *INCOME, INCOME_SQL, "o_orderkey", "processing_date, o_orderkey", "employment_status", threshold=2.0,
+        digits=(6, 3, 6),
     ),
 )
 def an_group_zscore(spark: SparkSession, d: str) -> DataFrame:
     people = _orders(spark, d).select("o_orderkey", "employment_status", "processing_date", F.col("amount").alias("income"))
     config = AnomalyConfig(lookback_window=30, threshold=2.0)
     out = anomalies.employment_income(people, config, ["o_orderkey"])
-    return rounded(out.select("o_orderkey", "income", *INCOME), list(INCOME[:3]))
+    out = out.select("o_orderkey", "income", *INCOME)
+    return rounded(rounded(out, [INCOME[0], INCOME[2]]), [INCOME[1]], 3)
 
 
 def _iqr_sql(column: str, source: str, key: str, order: str, names: tuple, group: str = "", extra: str = "") -> str:
@@ -258,14 +264,13 @@ REGION_IQR = ("q1", "q3", "iqr", "is_regional_anomaly")
     "an_region_iqr",
     _iqr_sql(
         "amount", ORDERS_SQL, "o_orderkey", "processing_date, o_orderkey", REGION_IQR, "region",
-        "round(a, 4) as avg_amount, round(s, 4) as stddev_amount, ",
+        "round(a, 6) as avg_amount, round(s, 3) as stddev_amount, ",
     ),
 )
 def an_region_iqr(spark: SparkSession, d: str) -> DataFrame:
     out = anomalies.regional(_orders(spark, d), IQR, ["o_orderkey"])
-    return rounded(
-        out.select("o_orderkey", "amount", "avg_amount", "stddev_amount", *REGION_IQR), ["avg_amount", "stddev_amount"], 4
-    )
+    out = out.select("o_orderkey", "amount", "avg_amount", "stddev_amount", *REGION_IQR)
+    return rounded(rounded(out, ["avg_amount"]), ["stddev_amount"], 3)
 
 
 @query(

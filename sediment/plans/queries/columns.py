@@ -118,13 +118,13 @@ FEED_SPEC = {
 }
 
 CHECKED = f"""
-  select *, list_sort(list_filter([
+  select *, concat_ws(',',
       case when not regexp_matches("CustomerID", '^C[0-9]{{10}}$') then 'CustomerID:pattern' end,
-      case when "LastName" is null then 'LastName:required' end,
       case when not regexp_matches("Email", '^[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\\.[A-Za-z]{{2,}}$') then 'Email:pattern' end,
+      case when "LastName" is null then 'LastName:required' end,
+      case when "RegistrationDate" like '2024/%' then 'RegistrationDate:format' end,
       case when length("State") <> 2 then 'State:length' end,
-      case when not regexp_matches("ZipCode", '^[0-9]{{5}}(-[0-9]{{4}})?$') then 'ZipCode:pattern' end,
-      case when "RegistrationDate" like '2024/%' then 'RegistrationDate:format' end], x -> x is not null)) as reasons
+      case when not regexp_matches("ZipCode", '^[0-9]{{5}}(-[0-9]{{4}})?$') then 'ZipCode:pattern' end) as reasons
   from ({LANDING})"""
 
 
@@ -136,7 +136,7 @@ CHECKED = f"""
               case when regexp_matches("Phone", '^\\+?[1-9][0-9]{{7,14}}$') then "Phone" end as phone,
               upper("State") as state, "ZipCode" as zip_code, timestamp '2024-03-05 06:07:08.25' as registration_date,
               'batch-1' as batch_id
-       from ({CHECKED}) where len(reasons) = 0""",
+       from ({CHECKED}) where reasons = ''""",
 )
 def field_mapping(spark: SparkSession, d: str) -> DataFrame:
     fields = mapping.FieldMapping.from_spec(FEED_SPEC)
@@ -147,9 +147,9 @@ def field_mapping(spark: SparkSession, d: str) -> DataFrame:
 
 @query(
     "field_validation_quarantine",
-    f"""select "CustomerID" as customer_id, array_to_string(reasons, ',') as reasons,
-              case when list_contains(reasons, 'CustomerID:pattern') then 'reject' else 'quarantine' end as action
-       from ({CHECKED}) where len(reasons) > 0""",
+    f"""select "CustomerID" as customer_id, reasons,
+              case when reasons like '%CustomerID:pattern%' then 'reject' else 'quarantine' end as action
+       from ({CHECKED}) where reasons <> ''""",
 )
 def field_validation_quarantine(spark: SparkSession, d: str) -> DataFrame:
     fields = mapping.FieldMapping.from_spec(FEED_SPEC)
@@ -208,7 +208,8 @@ def schema_differences(spark: SparkSession, d: str) -> DataFrame:
 @query(
     "text_names",
     """select p_partkey, trim(upper('  ' || p_name || ' ')) as standardized,
-              array_to_string(list_transform(string_split(p_name, ' '), w -> upper(substr(w, 1, 1)) || lower(substr(w, 2))), ' ') as proper,
+              upper(substr(split_part(p_name, ' ', 1), 1, 1)) || lower(substr(split_part(p_name, ' ', 1), 2)) || ' ' ||
+              upper(substr(split_part(p_name, ' ', 2), 1, 1)) || lower(substr(split_part(p_name, ' ', 2), 2)) as proper,
               upper(p_name) as uppered, lower(p_brand) as lowered, trim('  ' || p_type || ' ') as trimmed from part""",
 )
 def text_names(spark: SparkSession, d: str) -> DataFrame:

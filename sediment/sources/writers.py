@@ -17,6 +17,17 @@ DEFAULT_PARTITIONS = {
 }
 
 
+def format_options(fmt: StorageFormat | str, table: str, key: str = "id", precombine: str = "ts") -> dict[str, str]:
+    """What a keyed table format wants to know: the table's name, record key and precombine field."""
+    if StorageFormat(fmt) is not StorageFormat.HUDI:
+        return {}
+    return {
+        "hoodie.table.name": table,
+        "hoodie.datasource.write.recordkey.field": key,
+        "hoodie.datasource.write.precombine.field": precombine,
+    }
+
+
 def write(
     df: DataFrame,
     path: str,
