@@ -61,7 +61,7 @@ def fit(
 ) -> tuple[np.ndarray, float]:
     """Build the forest; returns its nodes and the normaliser of the path length.
 
-    A first hash keeps a pool of about ``4 * trees * sample_size`` rows of however many there
+    A first hash keeps a pool of about ``2 * trees * sample_size`` rows of however many there
     are; each tree then draws from the pool by a hash of its own. Neither multiplies the input.
     """
     usable = df.select(
@@ -72,7 +72,7 @@ def fit(
     if total == 0:
         raise ValueError("no row has all features")
     scale = 1 << 30
-    pool_share = min(1.0, 4.0 * trees * sample_size / total)
+    pool_share = min(1.0, 2.0 * trees * sample_size / total)
     pool = usable.filter(F.pmod("_h", F.lit(scale)) < F.lit(int(pool_share * scale)))
     tree_share = min(1.0, sample_size / (total * pool_share))
     drawn = pool.withColumn(

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from sediment.config import SpecError
+from sediment.operators.rolling import largest_group
 from sediment.session import broadcast_if_small, materialize
 
 
@@ -107,6 +108,10 @@ def with_overlap_mark(versions: DataFrame, keys: Sequence[str], start: str, end:
     return versions.withColumn("_overlaps", F.coalesce(reach > F.col(start), F.lit(False)))
 
 
+# Up to this many versions of a key a fact may as well look at all of them.
+MANY_VERSIONS = 64
+
+
 def effective_lookup(
     facts: DataFrame,
     versions: DataFrame,
@@ -115,39 +120,42 @@ def effective_lookup(
     start: str = "effective_from",
     end: str = "effective_to",
     row_id: Sequence[str] = (),
-    bucket_days: int = 32,
+    bucket_days: int | None = None,
     how: str = "left",
 ) -> DataFrame:
     """Attach the version in force at ``at``: ``start <= at < end``, an empty end is open.
 
-    Time is cut into buckets of ``bucket_days`` and a version appears once per bucket it
-    covers, so the join is an equi join on (key, bucket): a key with very many facts is
-    spread over its buckets and a fact meets only the versions of its own bucket. If versions
-    overlap, the one with the latest start wins and ``row_id`` must identify a fact.
+    If some key has very many versions, time is cut into buckets of ``bucket_days`` (32) and a
+    version appears once per bucket it covers: the equi join on (key, bucket) spreads the key
+    over its buckets and a fact meets only the versions of its own. If versions overlap, the
+    one with the latest start wins and ``row_id`` must identify a fact.
     """
 
     def bucket(c: Column) -> Column:
         return F.floor(F.unix_date(c.cast("date")) / F.lit(bucket_days)).cast("long")
 
     payload = [c for c in versions.columns if c not in keys]
-    versions = materialize(with_overlap_mark(versions, keys, start, end), "versions")
-    span = facts.agg(F.struct(F.min(bucket(F.col(at))).alias("lo"), F.max(bucket(F.col(at))).alias("hi"))).scalar()
-    ranged = (
-        versions.withColumn("_first", F.greatest(bucket(F.col(start)), span.getField("lo")))
-        .withColumn("_last", F.least(F.coalesce(bucket(F.col(end)), span.getField("hi")), span.getField("hi")))
-        .filter(F.col("_first") <= F.col("_last"))
-        .withColumn("_bucket", F.explode(F.sequence("_first", "_last")))
-        .select(*[F.col(k).alias(f"_v_{k}") for k in keys], "_bucket", *payload)
-    )
+    marked = materialize(with_overlap_mark(versions, keys, start, end), "versions")
+    if bucket_days is None and largest_group(marked, keys) > MANY_VERSIONS:
+        bucket_days = 32
+    side, left = marked, facts
     condition = [F.col(k) == F.col(f"_v_{k}") for k in keys]
-    condition += [
-        F.col("_at_bucket") == F.col("_bucket"),
-        F.col(start) <= F.col(at),
-        F.col(end).isNull() | (F.col(at) < F.col(end)),
-    ]
-    joined = facts.withColumn("_at_bucket", bucket(F.col(at))).join(broadcast_if_small(ranged), condition, how)
-    wide = joined.select(*facts.columns, *payload)
-    if versions.filter("_overlaps").isEmpty():
+    condition += [F.col(start) <= F.col(at), F.col(end).isNull() | (F.col(at) < F.col(end))]
+    if bucket_days:
+        span = facts.agg(F.struct(F.min(bucket(F.col(at))).alias("lo"), F.max(bucket(F.col(at))).alias("hi"))).scalar()
+        low, high = span.getField("lo"), span.getField("hi")
+        side = (
+            side.withColumn("_first", F.greatest(bucket(F.col(start)), low))
+            .withColumn("_last", F.least(F.coalesce(bucket(F.col(end)), high), high))
+            .filter(F.col("_first") <= F.col("_last"))
+            .withColumn("_bucket", F.explode(F.sequence("_first", "_last")))
+        )
+        left = facts.withColumn("_at_bucket", bucket(F.col(at)))
+        condition.append(F.col("_at_bucket") == F.col("_bucket"))
+    buckets = ["_bucket"] if bucket_days else []
+    side = side.select(*[F.col(k).alias(f"_v_{k}") for k in keys], *buckets, *payload)
+    wide = left.join(broadcast_if_small(side), condition, how).select(*facts.columns, *payload)
+    if marked.filter("_overlaps").isEmpty():
         return wide
     if not row_id:
         raise SpecError("versions overlap: name the columns that identify a fact in row_id")

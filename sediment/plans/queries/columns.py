@@ -12,6 +12,7 @@ from sediment.operators import mapping
 from sediment.plans.layers import silver_transform
 from sediment.plans.queries.registry import query, table
 from sediment.session import materialize
+from sediment.sources.manifest import column_profile
 
 
 @query(
@@ -194,15 +195,19 @@ def protect_reversible(spark: SparkSession, d: str) -> DataFrame:
 
 @query(
     "schema_differences",
-    """select * from (values ('c_acctbal', 'type', 'double', 'decimal(18,2)'), ('c_email', 'missing', null, 'string'),
-              ('c_name', 'unexpected', 'string', null)) t(column_name, difference, actual, expected)
-       where (select count(*) from customer) > 0""",
+    """select t.*, case when difference = 'missing' then 0 else (select count(*) from customer) end as row_count
+       from (values ('c_acctbal', 'type', 'double', 'decimal(18,2)'), ('c_email', 'missing', null, 'string'),
+              ('c_name', 'unexpected', 'string', null)) t(column_name, difference, actual, expected)""",
 )
 def schema_differences(spark: SparkSession, d: str) -> DataFrame:
+    """Where a table departs from the expected schema, and how many values that concerns."""
     expected = T.StructType.fromDDL(
         "c_custkey bigint, c_nationkey int, c_acctbal decimal(18,2), c_mktsegment string, c_email string"
     )
-    return mapping.schema_report(spark, table(spark, d, "customer"), expected)
+    customers = table(spark, d, "customer")
+    counts = column_profile(customers).select("column_name", (F.col("row_count") - F.col("null_count")).alias("row_count"))
+    report = mapping.schema_report(spark, customers, expected).join(counts, "column_name", "left")
+    return report.withColumn("row_count", F.coalesce("row_count", F.lit(0)))
 
 
 @query(

@@ -9,7 +9,8 @@ from sediment.operators import joins
 from sediment.operators.audit import active_mappings
 from sediment.plans.queries.registry import query, table
 from sediment.session import scratch_path
-from sediment.sources.merge import VersionedTable, merge_frames, upsert_frames
+from sediment.sources.merge import VersionedTable, merge_frames, merge_partitions, upsert_frames
+from sediment.sources.writers import write
 from sediment.sources.readers import sql_source
 
 
@@ -217,3 +218,22 @@ def merge_precombine(spark: SparkSession, d: str) -> DataFrame:
     )
     events = table(spark, d, "events").filter("event_type <> 'view'").select("user_id", "ts", "event_type", "value")
     return upsert_frames(base, events, ["user_id"], "ts")
+
+
+@query(
+    "merge_touched_partitions",
+    """with s as (select o_orderkey, o_orderstatus, case when o_orderpriority = '1-URGENT' then null else o_totalprice + 1 end as price
+                  from orders where o_orderstatus = 'O' and o_totalprice > 100000)
+       select * from s union all
+       select o_orderkey, o_orderstatus, o_totalprice from orders t where not exists (select 1 from s where s.o_orderkey = t.o_orderkey)""",
+)
+def merge_touched_partitions(spark: SparkSession, d: str) -> DataFrame:
+    """Only the status folder that the source holds rows of is rewritten."""
+    path = scratch_path(spark, "partitions")
+    orders = table(spark, d, "orders")
+    write(orders.selectExpr("o_orderkey", "o_orderstatus", "o_totalprice as price"), path, partition_by=["o_orderstatus"])
+    source = orders.filter("o_orderstatus = 'O' and o_totalprice > 100000").selectExpr(
+        "o_orderkey", "o_orderstatus", "if(o_orderpriority = '1-URGENT', null, o_totalprice + 1) as price"
+    )
+    merge_partitions(spark, path, source, ["o_orderkey"], ["o_orderstatus"])
+    return spark.read.parquet(path)

@@ -330,12 +330,15 @@ def dq_freshness(spark: SparkSession, d: str) -> DataFrame:
 @query(
     "dq_schema",
     """select 'columns' as rule_id, t.target, 'present' as metric, t.value, t.value > 0 as passed
-       from (values ('o_orderkey', 1.0::double), ('o_email', 0.0::double)) t(target, value)
-       where (select count(*) from orders) > 0""",
+       from (values ('priority', 1.0::double), ('o_email', 0.0::double)) t(target, value) union all """
+    + _completeness_sql("priority", 0.5),
 )
 def dq_schema(spark: SparkSession, d: str) -> DataFrame:
-    rule = QualityRule("columns", "schema_check", {"required_columns": ["o_orderkey", "o_email"]})
-    return _run(table(spark, d, "orders"), rule)
+    return _run(
+        _orders(spark, d),
+        QualityRule("columns", "schema_check", {"required_columns": ["priority", "o_email"]}),
+        QualityRule("complete", "completeness", {"columns": ["priority"]}, threshold=0.5),
+    )
 
 
 SPEC = {

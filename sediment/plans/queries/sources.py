@@ -5,9 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sediment.config import PipelineConfig
+from sediment.config import PipelineConfig, QualityRule
 from sediment.operators import quality
-from sediment.config import QualityRule
+from sediment.operators.events import from_messages
 from sediment.plans.layers import RunContext, process_table, run_bronze, run_gold, run_silver
 from sediment.plans.queries.registry import query, table
 from sediment.session import materialize, scratch_path
@@ -149,14 +149,14 @@ def partition_by_date(spark: SparkSession, d: str) -> DataFrame:
     return stored.groupBy(F.col("ingestion_date").cast("string").alias("ingestion_date")).agg(F.count("*").alias("n"))
 
 
-@query("catalog_tables", "select n_nationkey, n_name, r_name from nation join region on n_regionkey = r_regionkey")
+@query("catalog_tables", "select o_orderkey, c_name from orders join customer on o_custkey = c_custkey")
 def catalog_tables(spark: SparkSession, d: str) -> DataFrame:
-    for name in ("nation", "region"):
+    for name in ("orders", "customer"):
         writers.write_gold(
             table(spark, d, name), f"default.sediment_{name}", path=scratch_path(spark, f"catalog-{name}")
         )
-    nation, region = readers.read_tables(spark, ["default.sediment_nation", "default.sediment_region"])
-    return nation.join(region, F.expr("n_regionkey = r_regionkey")).select("n_nationkey", "n_name", "r_name")
+    orders, customer = readers.read_tables(spark, ["default.sediment_orders", "default.sediment_customer"])
+    return orders.join(customer, F.expr("o_custkey = c_custkey")).select("o_orderkey", "c_name")
 
 
 @query(
@@ -344,3 +344,58 @@ def process_table_by_layer(spark: SparkSession, d: str) -> DataFrame:
     text = "select user_id, count(*) as purchases from silver_purchases where quality_check_passed group by user_id"
     process_table(spark, "gold.purchases", text, f"{root}/gold")
     return spark.read.parquet(f"{root}/gold").select("user_id", "purchases", F.col("data_quality_score").cast("double"))
+
+
+@query(
+    "layer_quarantine_action",
+    """select c_custkey, case when c_acctbal < 0 then 'people.numeric.c_acctbal:c_acctbal' else 'written' end as outcome from customer""",
+)
+def layer_quarantine_action(spark: SparkSession, d: str) -> DataFrame:
+    """A failed rule whose action is quarantine moves its rows aside; the others are written."""
+    root = scratch_path(spark, "actions")
+    writers.write_landing(table(spark, d, "customer").select("c_custkey", "c_acctbal"), f"{root}/landing", "json")
+    checks = {
+        "rule_id": "people",
+        "rules": {"numeric": {"type": "numeric", "rules": [{"column": "c_acctbal", "min_value": 0}], "severity": "high"}},
+        "actions": {"on_failure": {"high": "quarantine"}},
+    }
+    item = {
+        "name": "people",
+        "format": "json",
+        "landing_zone": {"path": f"{root}/landing"},
+        "schema_validation": {"schema": {"c_custkey": "long", "c_acctbal": "double"}},
+        "quality": checks,
+        "bronze_zone": {"path": f"{root}/bronze"},
+    }
+    run_bronze(spark, {"source_configurations": [item]}, _context())
+    written = spark.read.parquet(f"{root}/bronze").select("c_custkey", F.lit("written").alias("outcome"))
+    aside = spark.read.parquet(f"{root}/bronze/_quarantine").select("c_custkey", F.array_join("reasons", ",").alias("outcome"))
+    return written.unionByName(aside)
+
+
+@query(
+    "layer_run_events",
+    """select 'pipeline_complete' as event_type, 'customers' as table_name, 'INFO' as severity, count(*) as written from customer
+       union all select 'quality_check_failure', 'orders', 'ERROR', 0 from orders having count(*) < 1000000000000""",
+)
+def layer_run_events(spark: SparkSession, d: str) -> DataFrame:
+    """Two sources, one held back by its row count: the run's events, and what was written."""
+    root = scratch_path(spark, "events")
+    items = []
+    for name, source, least in (("customers", "customer", 1), ("orders", "orders", 10**12)):
+        writers.write_landing(table(spark, d, source), f"{root}/landing/{name}", "parquet")
+        items.append(
+            {
+                "name": name,
+                "format": "parquet",
+                "landing_zone": {"path": f"{root}/landing/{name}"},
+                "quality_checks": [{"type": "row_count", "min_threshold": least}],
+                "bronze_zone": {"path": f"{root}/bronze/{name}"},
+            }
+        )
+    context = RunContext("p", "b", F.lit(AS_OF).cast("timestamp"), events_path=f"{root}/topics")
+    run_bronze(spark, {"source_configurations": items}, context)
+    found = from_messages(spark.read.schema("key string, value string").json(f"{root}/topics"))
+    rows = spark.read.parquet(f"{root}/bronze/customers").agg(F.count("*")).scalar()
+    written = F.when(F.col("event_type") == "pipeline_complete", rows).otherwise(F.lit(0))
+    return found.select("event_type", "table_name", "severity", written.alias("written"))

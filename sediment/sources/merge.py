@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 
 from sediment.config import SpecError
 from sediment.operators.dedup import keep_latest
+from sediment.session import broadcast_if_small, materialize
+from sediment.sources.writers import write_silver
 
 
 def merge_frames(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -94,6 +96,21 @@ class VersionedTable:
         return self.replace(merge_frames(self.read(), source, keys))
 
 
+def merge_partitions(
+    spark: SparkSession, path: str, source: DataFrame, keys: Sequence[str], partition_by: Sequence[str]
+) -> None:
+    """Merge into a plain partitioned table, rewriting only the partitions the source touches.
+
+    A row's partition must not change, so the partition columns count as part of the key. The
+    outcome is written to the scratch folder first: the table is not read while it is replaced.
+    """
+    target = spark.read.parquet(path)
+    touched = broadcast_if_small(source.select(*partition_by).distinct())
+    affected = target.join(touched, list(partition_by), "left_semi").select(*source.columns)
+    merged = materialize(merge_frames(affected, source, list(dict.fromkeys([*keys, *partition_by]))), "merge")
+    write_silver(merged, path, partition_by=partition_by, only_present_partitions=True)
+
+
 def merge_into_delta(spark: SparkSession, table: str, source: DataFrame, keys: Sequence[str]) -> None:
     """The same merge on a Delta table, where that format is installed."""
     source.createOrReplaceTempView("_merge_source")
