@@ -6,11 +6,13 @@ bounded size (trees x 511 nodes) and vectorised scoring per Arrow batch.
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -20,6 +22,9 @@ from sediment.session import materialize
 TREE_SCHEMA = "tree int, node int, feature int, cut double, left int, right int, path double, points int"
 EULER = 0.5772156649015329
 
+# Tasks get this module's functions with the job, so executors need not have the package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 
 def expected_path(n: np.ndarray | float) -> np.ndarray:
     """Mean depth of an unsuccessful search in a binary tree over ``n`` points."""

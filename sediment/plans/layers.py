@@ -30,6 +30,7 @@ from sediment.operators.mapping import (
     clean_column_names,
     split_validated,
 )
+from sediment.plans.gold_spec import build_gold
 from sediment.session import materialize
 from sediment.sources import readers, writers
 from sediment.sources.merge import VersionedTable, merge_into_delta
@@ -348,10 +349,20 @@ def run_silver(
 
 
 def gold_frame(
-    spark: SparkSession, item: Mapping[str, Any], tables: Mapping[str, DataFrame] | None = None
+    spark: SparkSession,
+    item: Mapping[str, Any],
+    tables: Mapping[str, DataFrame] | None = None,
+    as_of: Column | None = None,
 ) -> DataFrame:
-    """Source tables joined in order, then the metrics of all time windows per dimension."""
-    given = tables or {}
+    """Source tables joined in order, then the metrics of all time windows per dimension; or
+    the target fields of a gold mapping."""
+    given = dict(tables or {})
+    if item.get("mapping"):
+        body = item["mapping"].get("mapping_definition", item["mapping"])
+        for source in body["source_tables"]:
+            if source["name"] not in given:
+                given[source["name"]] = readers.read_stored(spark, source["path"], source.get("format", "parquet"))
+        return build_gold(item["mapping"], given, item.get("join_on", ()), as_of)
     names = item.get("source_tables") or [item["source_table"]]
     frames = [given[n] if n in given else spark.read.table(n) for n in names]
     df = join_chain(frames, item.get("join_conditions") or [])
@@ -369,7 +380,7 @@ def run_gold(
     spec = load_spec(spec) if isinstance(spec, str) else spec
 
     def work(item: Mapping[str, Any]) -> Outcome:
-        df = gold_frame(spark, item, tables)
+        df = gold_frame(spark, item, tables, context.as_of)
         return _checked(
             spark,
             df,
@@ -386,6 +397,15 @@ def run_gold(
 
 def _publish_gold(spark: SparkSession, df: DataFrame, out: Mapping[str, Any], context: RunContext) -> None:
     keys = out.get("merge_key", [])
+    if "table" not in out:
+        writers.write(
+            writers.cluster_for_partitions(df, out.get("partition_by", [])),
+            out["path"],
+            out.get("format", context.storage_format),
+            out.get("mode", "overwrite"),
+            out.get("partition_by", []),
+        )
+        return
     if out.get("mode") == "merge" and keys:
         if out.get("format", context.storage_format) == "delta":
             merge_into_delta(spark, out["table"], df, keys)

@@ -36,7 +36,10 @@ def write(
     partition_by: Sequence[str] = (),
     **options: str,
 ) -> None:
-    writer = df.write.format(str(getattr(fmt, "value", fmt))).mode(mode).options(**options)
+    fmt = str(getattr(fmt, "value", fmt))
+    writer = df.write.format(fmt).mode(mode).options(**options)
+    if fmt == StorageFormat.HUDI.value:
+        writer = writer.options(**{**format_options(fmt, path.rstrip("/").rsplit("/", 1)[-1]), **options})
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.save(path)
