@@ -21,6 +21,7 @@ from sediment.session import materialize
 
 TREE_SCHEMA = "tree int, node int, feature int, cut double, left int, right int, path double, points int"
 EULER = 0.5772156649015329
+SMALL_INPUT_ROWS = 10_000_000
 
 # Tasks get this module's functions with the job, so executors need not have the package.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -63,8 +64,9 @@ def fit(
     trees: int = 100,
     sample_size: int = 256,
     seed: int = 42,
-) -> tuple[np.ndarray, float]:
-    """Build the forest; returns its nodes and the normaliser of the path length.
+) -> tuple[np.ndarray, float, int]:
+    """Build the forest; returns its nodes, the normaliser of the path length and the number
+    of rows it was drawn from.
 
     A first hash keeps a pool of about ``2 * trees * sample_size`` rows of however many there
     are; each tree then draws from the pool by a hash of its own. Neither multiplies the input.
@@ -102,10 +104,11 @@ def fit(
         return out
 
     # At most trees x (2 * sample) nodes, whatever the size of the input.
-    grown = drawn.groupBy("tree").applyInPandas(build, TREE_SCHEMA).toPandas()
+    tasks = min(trees, df.sparkSession.sparkContext.defaultParallelism)
+    grown = drawn.repartition(tasks, "tree").groupBy("tree").applyInPandas(build, TREE_SCHEMA).toPandas()
     size = grown.groupby("tree")["points"].first().mean()
     nodes = grown.drop(columns="points").sort_values(["tree", "node"])
-    return nodes.to_numpy(dtype=float), float(expected_path(max(size, 2)))
+    return nodes.to_numpy(dtype=float), float(expected_path(max(size, 2))), total
 
 
 def score(df: DataFrame, features: Sequence[str], forest: np.ndarray, normaliser: float) -> DataFrame:
@@ -130,20 +133,25 @@ def score(df: DataFrame, features: Sequence[str], forest: np.ndarray, normaliser
             frontier = np.r_[children[2 * inner], children[2 * inner + 1]]
             levels += 1
         for batch in batches:
-            x = np.column_stack(
+            size = batch.num_rows
+            x = np.concatenate(
                 [batch.column(n).cast(pa.float64()).to_numpy(zero_copy_only=False) for n in names]
             )
-            flat = np.ascontiguousarray(x).ravel()
-            offsets = np.arange(len(x)) * x.shape[1]
-            depth_sum = np.zeros(len(x))
+            rows, column_start = np.arange(size), feature * size
+            depth_sum = np.zeros(size)
             for root in roots:
-                at = np.full(len(x), root)
+                at = np.full(size, root)
                 for _ in range(levels):
-                    above = flat.take(offsets + feature.take(at)) >= cut.take(at)
-                    at = children.take(2 * at + above)
-                depth_sum += path.take(at)
+                    place = column_start.take(at, mode="clip")
+                    place += rows
+                    above = x.take(place, mode="clip") >= cut.take(at, mode="clip")
+                    at *= 2
+                    at += above
+                    at = children.take(at, mode="clip")
+                depth_sum += path.take(at, mode="clip")
             value = np.power(2.0, -(depth_sum / len(roots)) / norm)
-            columns = [*batch.columns, pa.array(value, mask=np.isnan(x).any(axis=1))]
+            missing = np.isnan(x).reshape(len(names), size).any(axis=0)
+            columns = [*batch.columns, pa.array(value, mask=missing)]
             yield pa.RecordBatch.from_arrays(columns, names=[*batch.schema.names, "anomaly_score"])
 
     return df.mapInArrow(run, schema)
@@ -162,7 +170,10 @@ def detect(
     """Score every row and mark the share ``contamination`` with the highest scores:
     ``prediction`` 1 and ``flag`` true. The scored table is written once, as its threshold
     needs a pass of its own."""
-    forest, normaliser = fit(df, features, row_id, trees, sample_size, seed)
+    forest, normaliser, total = fit(df, features, row_id, trees, sample_size, seed)
+    if total <= SMALL_INPUT_ROWS:
+        # A small table is often a single file split; scoring is worth spreading over all cores.
+        df = df.repartition(df.sparkSession.sparkContext.defaultParallelism)
     scored = materialize(score(df, features, forest, normaliser), "forest")
     threshold = scored.agg(F.percentile_approx("anomaly_score", 1.0 - contamination, 10_000)).scalar()
     outlier = F.coalesce(F.col("anomaly_score") > threshold, F.lit(False))
