@@ -11,11 +11,11 @@ from sediment.plans.queries.registry import query, table
 
 
 @query(
-    "audit_pipeline_runs",
+    "audit_runs_page",
     f"""select run_id, status from ({RUNS_SQL}) where pipeline_id = (select min(o_custkey) from orders)
         order by start_time, run_id limit 10 offset 2""",
 )
-def audit_pipeline_runs(spark: SparkSession, d: str) -> DataFrame:
+def audit_runs_page(spark: SparkSession, d: str) -> DataFrame:
     all_runs = runs(spark, d)
     first = table(spark, d, "orders").agg(F.min("o_custkey")).first()[0]
     return audit.pipeline_runs(all_runs, first, 2, 10).select("run_id", "status")

@@ -141,13 +141,12 @@ def test_folded_metrics_equal_the_joined_form(spark, rows):
     )
     from sediment.plans.queries.gold import GOLD_SPEC
 
-    views = gold_spec.build_views(GOLD_SPEC, {"customers": customers, "transactions": transactions})
+    views = gold_spec.build_views(GOLD_SPEC, {"clients": customers, "payments": transactions})
     columns = ["customer_id", "country", "month", "total_spend", "total_income", "transaction_count", "spend_growth", "transaction_growth"]
     folded = gold_spec.customer_monthly_metrics(customers, transactions)
-    assert rows(folded.select(*columns)) == rows(views["customer_metrics"].select(*columns))
-    assert rows(folded.select("customer_id", "month", "segment")) == rows(
-        views["customer_segments"].select("customer_id", "month", "segment")
-    )
+    joined = ["customer_id", "country", "month", "spend", "income", "payment_count", "spend_change", "count_change"]
+    assert rows(folded.select(*columns)) == rows(views["client_months"].select(*joined))
+    assert rows(folded.select("customer_id", "month", "segment")) == rows(views["client_classes"])
 
 
 def test_window_without_over_uses_the_declared_frame(spark, rows):
