@@ -9,9 +9,10 @@ over the frame, NULL where the deviation is zero or missing, and then the flag i
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
+from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from sediment.config import AnomalyConfig, SpecError
@@ -147,49 +148,71 @@ def approval_rate(
     return date_detector(df, config, rate(F.col(status) == good), names, date, [state], grain)
 
 
-def row_zscore(
-    df: DataFrame | Blocks,
-    config: AnomalyConfig,
-    column: str,
-    names: Mapping[str, str],
-    order_by: Sequence[str],
-    tie_breakers: Sequence[str],
-    group_by: Sequence[str] = (),
-) -> DataFrame:
-    columns = {names["mean"]: rolling_avg(F.col(column)), names["deviation"]: rolling_stddev(F.col(column))}
-    if config.min_samples:
-        columns["_seen"] = rolling_count()
-    rolled = rolling(
-        df, columns, order_by, config.lookback_window, tie_breakers, group_by, config.exclude_current
-    ).withColumn(names["score"], _zscore(column, names["mean"], names["deviation"]))
-    test = F.abs(F.col(names["score"])) > config.threshold
-    seen = F.col("_seen") if config.min_samples else None
-    return rolled.withColumn(names["flag"], _flag(test, config, seen)).drop("_seen")
+@dataclass(frozen=True)
+class Measure:
+    """What a detector rolls over the rows, and what it makes of it. Measures that share an
+    order are computed in one pass."""
+
+    columns: Mapping[str, Callable[[WindowSpec], Column]]
+    finish: Callable[[DataFrame], DataFrame]
+
+
+def _seen(config: AnomalyConfig) -> Column | None:
+    return F.col("_seen") if config.min_samples else None
+
+
+def zscore_measure(column: str, config: AnomalyConfig, names: Mapping[str, str]) -> Measure:
+    def finish(rolled: DataFrame) -> DataFrame:
+        scored = rolled.withColumn(names["score"], _zscore(column, names["mean"], names["deviation"]))
+        test = F.abs(F.col(names["score"])) > config.threshold
+        return scored.withColumn(names["flag"], _flag(test, config, _seen(config)))
+
+    value = F.col(column)
+    return Measure({names["mean"]: rolling_avg(value), names["deviation"]: rolling_stddev(value)}, finish)
+
+
+def iqr_measure(column: str, config: AnomalyConfig, names: Mapping[str, str]) -> Measure:
+    """Outside [q1 - s * iqr, q3 + s * iqr] of the frame. Its sorted values are held once and
+    both quartiles are read from them."""
+    held = f"_values_{column}"
+
+    def finish(rolled: DataFrame) -> DataFrame:
+        quarters = rolled.withColumns(
+            {names["q1"]: rank_quantile(F.col(held), 0.25), names["q3"]: rank_quantile(F.col(held), 0.75)}
+        ).withColumn(names["iqr"], F.col(names["q3"]) - F.col(names["q1"]))
+        reach = F.lit(config.sensitivity) * F.col(names["iqr"])
+        test = (F.col(column) < F.col(names["q1"]) - reach) | (F.col(column) > F.col(names["q3"]) + reach)
+        return quarters.withColumn(names["flag"], _flag(test, config, _seen(config))).drop(held)
+
+    return Measure({held: rolling_sorted(F.col(column))}, finish)
+
 
+def moving_average_measure(column: str, config: AnomalyConfig, names: Mapping[str, str]) -> Measure:
+    """Relative distance from the frame's mean."""
 
-def row_iqr(
+    def finish(rolled: DataFrame) -> DataFrame:
+        mean = F.col(names["mean"])
+        moved = rolled.withColumn(names["score"], F.try_divide(F.abs(F.col(column) - mean), mean))
+        return moved.withColumn(names["flag"], _flag(F.col(names["score"]) > config.threshold, config, _seen(config)))
+
+    return Measure({names["mean"]: rolling_avg(F.col(column))}, finish)
+
+
+def roll_measures(
     df: DataFrame | Blocks,
     config: AnomalyConfig,
-    column: str,
-    names: Mapping[str, str],
+    measures: Sequence[Measure],
     order_by: Sequence[str],
     tie_breakers: Sequence[str],
     group_by: Sequence[str] = (),
-    extra: Mapping[str, Callable] | None = None,
 ) -> DataFrame:
-    """Outside [q1 - s * iqr, q3 + s * iqr] of the frame. Its sorted values are held once and
-    both quartiles are read from them."""
-    columns = {"_values": rolling_sorted(F.col(column)), **(extra or {})}
+    columns = {name: make for measure in measures for name, make in measure.columns.items()}
     if config.min_samples:
         columns["_seen"] = rolling_count()
-    rolled = rolling(df, columns, order_by, config.lookback_window, tie_breakers, group_by, config.exclude_current)
-    quarters = rolled.withColumns(
-        {names["q1"]: rank_quantile(F.col("_values"), 0.25), names["q3"]: rank_quantile(F.col("_values"), 0.75)}
-    ).withColumn(names["iqr"], F.col(names["q3"]) - F.col(names["q1"]))
-    reach = F.lit(config.sensitivity) * F.col(names["iqr"])
-    test = (F.col(column) < F.col(names["q1"]) - reach) | (F.col(column) > F.col(names["q3"]) + reach)
-    seen = F.col("_seen") if config.min_samples else None
-    return quarters.withColumn(names["flag"], _flag(test, config, seen)).drop("_values", "_seen")
+    out = rolling(df, columns, order_by, config.lookback_window, tie_breakers, group_by, config.exclude_current)
+    for measure in measures:
+        out = measure.finish(out)
+    return out.drop("_seen")
 
 
 def processing_time(
@@ -201,7 +224,7 @@ def processing_time(
 ) -> DataFrame:
     names = _names("processing_time", "avg_time", "stddev_time", "time_zscore", "is_time_anomaly")
     timed = df.withColumn("processing_time", epoch_seconds_between(F.col(start), F.col(end)))
-    return row_zscore(timed, config, "processing_time", names, [start], tie_breakers)
+    return roll_measures(timed, config, [zscore_measure("processing_time", config, names)], [start], tie_breakers)
 
 
 def regional(
@@ -213,8 +236,9 @@ def regional(
     amount: str = "amount",
 ) -> DataFrame:
     names = dict(q1="q1", q3="q3", iqr="iqr", flag="is_regional_anomaly")
-    extra = {"avg_amount": rolling_avg(F.col(amount)), "stddev_amount": rolling_stddev(F.col(amount))}
-    return row_iqr(df, config, amount, names, [date], tie_breakers, [region], extra)
+    value = F.col(amount)
+    level = Measure({"avg_amount": rolling_avg(value), "stddev_amount": rolling_stddev(value)}, lambda rolled: rolled)
+    return roll_measures(df, config, [level, iqr_measure(amount, config, names)], [date], tie_breakers, [region])
 
 
 def employment_income(
@@ -226,7 +250,21 @@ def employment_income(
     income: str = "income",
 ) -> DataFrame:
     names = _names(income, "avg_income", "stddev_income", "income_zscore", "is_employment_income_anomaly")
-    return row_zscore(df, config, income, names, [date], tie_breakers, [group])
+    return roll_measures(df, config, [zscore_measure(income, config, names)], [date], tie_breakers, [group])
+
+
+def _generic(method: str, column: str, config: AnomalyConfig) -> Measure:
+    """A method on any column; the output columns carry the column's name."""
+    if method == "zscore":
+        names = _names(
+            column, f"avg_{column}", f"stddev_{column}", f"{column}_zscore", f"is_{column}_zscore_anomaly"
+        )
+        return zscore_measure(column, config, names)
+    if method == "iqr":
+        names = dict(q1=f"q1_{column}", q3=f"q3_{column}", iqr=f"iqr_{column}", flag=f"is_{column}_iqr_anomaly")
+        return iqr_measure(column, config, names)
+    names = dict(mean=f"ma_{column}", score=f"{column}_ma_diff", flag=f"is_{column}_ma_anomaly")
+    return moving_average_measure(column, config, names)
 
 
 def zscore(
@@ -237,10 +275,7 @@ def zscore(
     date: str = "processing_date",
     group_by: Sequence[str] = (),
 ) -> DataFrame:
-    names = _names(
-        column, f"avg_{column}", f"stddev_{column}", f"{column}_zscore", f"is_{column}_zscore_anomaly"
-    )
-    return row_zscore(df, config, column, names, [date], tie_breakers, group_by)
+    return roll_measures(df, config, [_generic("zscore", column, config)], [date], tie_breakers, group_by)
 
 
 def iqr(
@@ -251,8 +286,7 @@ def iqr(
     date: str = "processing_date",
     group_by: Sequence[str] = (),
 ) -> DataFrame:
-    names = dict(q1=f"q1_{column}", q3=f"q3_{column}", iqr=f"iqr_{column}", flag=f"is_{column}_iqr_anomaly")
-    return row_iqr(df, config, column, names, [date], tie_breakers, group_by)
+    return roll_measures(df, config, [_generic("iqr", column, config)], [date], tie_breakers, group_by)
 
 
 def moving_average(
@@ -263,15 +297,7 @@ def moving_average(
     date: str = "processing_date",
     group_by: Sequence[str] = (),
 ) -> DataFrame:
-    mean = f"ma_{column}"
-    columns = {mean: rolling_avg(F.col(column))}
-    if config.min_samples:
-        columns["_seen"] = rolling_count()
-    rolled = rolling(df, columns, [date], config.lookback_window, tie_breakers, group_by, config.exclude_current)
-    moved = rolled.withColumn(f"{column}_ma_diff", F.try_divide(F.abs(F.col(column) - F.col(mean)), F.col(mean)))
-    seen = F.col("_seen") if config.min_samples else None
-    test = F.col(f"{column}_ma_diff") > config.threshold
-    return moved.withColumn(f"is_{column}_ma_anomaly", _flag(test, config, seen)).drop("_seen")
+    return roll_measures(df, config, [_generic("moving_average", column, config)], [date], tie_breakers, group_by)
 
 
 def forest(
@@ -312,11 +338,8 @@ def group_pattern(
         ).drop(*[f"_{p}_{f}" for p in "ms" for f in features])
         out = forest(scaled, [f"_x_{f}" for f in features], tie_breakers, "is_group_pattern_anomaly")
         return out.drop(*[f"_x_{f}" for f in features])
-    methods = {"zscore": zscore, "iqr": iqr, "moving_average": moving_average}
-    method = methods[config.detection_method]
-    for feature in features:
-        df = method(df, feature, config, tie_breakers, date, group_by)
-    return df
+    measures = [_generic(config.detection_method, feature, config) for feature in features]
+    return roll_measures(df, config, measures, [date], tie_breakers, group_by)
 
 
 def flags(df: DataFrame) -> list[str]:

@@ -319,7 +319,7 @@ def _everything(spark: SparkSession, d: str) -> dict[str, DataFrame]:
     """The detectors that the events table has columns for."""
     rows = _events(spark, d).withColumnRenamed("value", "amount")
     config = AnomalyConfig(lookback_window=30, threshold=3.0)
-    found, _ = anomalies.detect_all(rows, config, ["event_id"], features=("amount", "missing"))
+    found, _ = anomalies.detect_all(rows, config, ["event_id"])
     return found
 
 

@@ -142,3 +142,21 @@ def test_combined_findings(spark):
     kinds = {(r["detection_type"], r["severity"]) for r in events.collect()}
     assert kinds == {("group_pattern", "high")}
     assert events.filter(F.col("details").contains('"id":35')).count() >= 2
+
+
+def test_group_pattern_rolls_all_features_in_one_pass(spark):
+    df = spark.range(300).selectExpr(
+        "id",
+        "concat('g', id % 3) as g",
+        "date_add(date'2024-01-01', int(id div 3)) as processing_date",
+        "double(id * 7 % 11) as a",
+        "double(if(id = 240, 900, id * 5 % 13)) as b",
+    )
+    config = AnomalyConfig(lookback_window=30, threshold=4.0)
+    out = an.group_pattern(df, config, ["g"], ["a", "b"], ["id"])
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Window [") == 1
+    assert flagged(out, "is_b_zscore_anomaly") == [240] and flagged(out, "is_a_zscore_anomaly") == []
+    alone = an.zscore(df, "b", config, ["id"], group_by=["g"])
+    same = out.join(alone.withColumnRenamed("b_zscore", "z").select("id", "z"), "id").filter("not (b_zscore <=> z)")
+    assert same.count() == 0
