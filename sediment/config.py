@@ -147,8 +147,11 @@ class AnomalyConfig:
     min_samples: int = 0
     sensitivity: float = 1.0
     exclude_current: bool = False
+    frame: str = "rows"
 
     def __post_init__(self) -> None:
+        if self.frame not in ("rows", "days"):
+            raise SpecError(f"unknown frame {self.frame!r}")
         if self.detection_method not in ("zscore", "iqr", "isolation_forest", "moving_average"):
             raise SpecError(f"unknown detection_method {self.detection_method!r}")
         if self.lookback_window < 1:
@@ -160,7 +163,7 @@ class AnomalyConfig:
 
         A row that lies inside its own frame of n rows has a score of at most (n-1)/sqrt(n).
         """
-        if self.exclude_current:
+        if self.exclude_current or self.frame == "days":
             return True
         n = self.lookback_window + 1
         return (n - 1) / n**0.5 > self.threshold

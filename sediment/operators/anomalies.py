@@ -151,10 +151,12 @@ def approval_rate(
 @dataclass(frozen=True)
 class Measure:
     """What a detector rolls over the rows, and what it makes of it. Measures that share an
-    order are computed in one pass."""
+    order are computed in one pass. ``moments`` names the column and its mean and deviation
+    where these are all that is rolled."""
 
     columns: Mapping[str, Callable[[WindowSpec], Column]]
     finish: Callable[[DataFrame], DataFrame]
+    moments: tuple[str, str, str] | None = None
 
 
 def _seen(config: AnomalyConfig) -> Column | None:
@@ -168,7 +170,8 @@ def zscore_measure(column: str, config: AnomalyConfig, names: Mapping[str, str])
         return scored.withColumn(names["flag"], _flag(test, config, _seen(config)))
 
     value = F.col(column)
-    return Measure({names["mean"]: rolling_avg(value), names["deviation"]: rolling_stddev(value)}, finish)
+    columns = {names["mean"]: rolling_avg(value), names["deviation"]: rolling_stddev(value)}
+    return Measure(columns, finish, (column, names["mean"], names["deviation"]))
 
 
 def iqr_measure(column: str, config: AnomalyConfig, names: Mapping[str, str]) -> Measure:
@@ -195,7 +198,7 @@ def moving_average_measure(column: str, config: AnomalyConfig, names: Mapping[st
         moved = rolled.withColumn(names["score"], F.try_divide(F.abs(F.col(column) - mean), mean))
         return moved.withColumn(names["flag"], _flag(F.col(names["score"]) > config.threshold, config, _seen(config)))
 
-    return Measure({names["mean"]: rolling_avg(F.col(column))}, finish)
+    return Measure({names["mean"]: rolling_avg(F.col(column))}, finish, (column, names["mean"], "_deviation"))
 
 
 def roll_measures(
@@ -206,6 +209,8 @@ def roll_measures(
     tie_breakers: Sequence[str],
     group_by: Sequence[str] = (),
 ) -> DataFrame:
+    if config.frame == "days":
+        return _roll_days(df, config, measures, order_by[0], group_by)
     columns = {name: make for measure in measures for name, make in measure.columns.items()}
     if config.min_samples:
         columns["_seen"] = rolling_count()
@@ -215,6 +220,43 @@ def roll_measures(
     return out.drop("_seen")
 
 
+def _roll_days(
+    df: DataFrame, config: AnomalyConfig, measures: Sequence[Measure], date: str, group_by: Sequence[str]
+) -> DataFrame:
+    """Frames of ``lookback_window`` days instead of rows. All rows of a date share a frame, so
+    count, sum and square sum per date are enough: they are rolled over the dates and joined
+    back. Values are taken relative to the overall mean, which keeps the squares small."""
+    if isinstance(df, Blocks) or any(m.moments is None for m in measures):
+        raise SpecError("a frame of days works for means and deviations over a plain frame")
+    columns = list(dict.fromkeys(m.moments[0] for m in measures))
+    centre = df.agg(F.struct(*[F.avg(c).alias(f"c{i}") for i, c in enumerate(columns)])).scalar()
+    day = F.col(date).cast("date")
+    sums = [F.count("*").alias("_rows")]
+    for i, c in enumerate(columns):
+        off = F.col(c) - centre.getField(f"c{i}")
+        sums += [F.count(c).alias(f"_n{i}"), F.sum(off).alias(f"_s{i}"), F.sum(off * off).alias(f"_q{i}")]
+    daily = df.groupBy(*group_by, day.alias("_day")).agg(*sums).withColumn("_number", F.unix_date("_day"))
+    last = -1 if config.exclude_current else 0
+    window = Window.partitionBy(*group_by).orderBy("_number").rangeBetween(-config.lookback_window, last)
+    rolled = {"_seen": F.coalesce(F.sum("_rows").over(window), F.lit(0))}
+    for measure in measures:
+        column, mean, deviation = measure.moments
+        i = columns.index(column)
+        n, s, q = (F.sum(f"_{part}{i}").over(window) for part in "nsq")
+        spread = F.try_divide(q - F.try_divide(s * s, n), n - 1)
+        rolled[mean] = centre.getField(f"c{i}") + F.try_divide(s, n)
+        # What is left of equal values after rounding is no spread.
+        rolled[deviation] = F.when(n > 1, F.when(spread > q / n * F.lit(1e-13), F.sqrt(spread)).otherwise(F.lit(0.0)))
+    frame = daily.select(*group_by, "_day", *[value.alias(name) for name, value in rolled.items()])
+    if group_by:
+        frame = materialize(frame, "daily")
+    keys = {**{g: F.col(g) for g in group_by}, "_day": day}
+    out = _join_back(df, frame, keys, calendar=not group_by)
+    for measure in measures:
+        out = measure.finish(out)
+    return out.drop("_seen", "_deviation")
+
+
 def processing_time(
     df: DataFrame,
     config: AnomalyConfig,

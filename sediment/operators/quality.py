@@ -243,6 +243,22 @@ def _anomaly_ratio(df: DataFrame, rule: QualityRule, *_: Any) -> list[Probe]:
     return _zscore(df, QualityRule(rule.rule_id, rule.rule_type, params, rule.version, rule.threshold, rule.severity))
 
 
+def _approximate_uniqueness(df: DataFrame, rule: QualityRule, *_: Any) -> list[Probe]:
+    """Opt-in: distinct counts by sketch, within the fused pass."""
+
+    def probe(names: list[str]) -> Probe:
+        share = lambda get: _ratio(get("distinct"), get("total"))
+        return Probe(
+            rule,
+            "_".join(names),
+            {"distinct": F.approx_count_distinct(F.struct(*names), 0.01), "total": F.count("*")},
+            lambda get: {"uniqueness_ratio": share(get), "duplicate_count": get("total") - get("distinct")},
+            lambda get: share(get) >= rule.threshold,
+        )
+
+    return [probe(_as_list(entry)) for entry in rule.params["columns"]]
+
+
 _FUSED: dict[str, Callable[..., list[Probe]]] = {
     "completeness": _completeness,
     "numeric": _numeric,
@@ -255,6 +271,7 @@ _FUSED: dict[str, Callable[..., list[Probe]]] = {
     "schema_check": _schema,
     "anomaly": _zscore,
     "anomaly_ratio": _anomaly_ratio,
+    "approximate_uniqueness": _approximate_uniqueness,
 }
 
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -20,9 +21,12 @@ def merge_frames(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> D
     """
     if set(target.columns) != set(source.columns):
         raise SpecError("merge needs the same columns on both sides")
-    t = target.withColumn("_in_target", F.lit(True)).alias("t")
-    s = source.withColumn("_in_source", F.lit(True)).alias("s")
-    condition = [F.col(f"t.{k}") == F.col(f"s.{k}") for k in keys]
+    # Rows with an empty key meet nothing; spread them, as they would share one join task.
+    empty = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
+    spread = F.when(empty, F.pmod(F.xxhash64(*target.columns), F.lit(1000))).otherwise(F.lit(-1))
+    t = target.withColumn("_spread", spread).withColumn("_in_target", F.lit(True)).alias("t")
+    s = source.withColumn("_spread", spread).withColumn("_in_source", F.lit(True)).alias("s")
+    condition = [F.col(f"t.{k}") == F.col(f"s.{k}") for k in [*keys, "_spread"]]
     picked = [
         F.when(F.col("s._in_source"), F.col(f"s.{name}")).otherwise(F.col(f"t.{name}")).alias(name)
         for name in target.columns

@@ -4,7 +4,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from sediment.config import AnomalyConfig
+from sediment.config import AnomalyConfig, SpecError
 from sediment.operators import anomalies as an
 from sediment.operators import isolation_forest as forest
 
@@ -160,3 +160,28 @@ def test_group_pattern_rolls_all_features_in_one_pass(spark):
     alone = an.zscore(df, "b", config, ["id"], group_by=["g"])
     same = out.join(alone.withColumnRenamed("b_zscore", "z").select("id", "z"), "id").filter("not (b_zscore <=> z)")
     assert same.count() == 0
+
+
+def test_frame_of_days(spark, rows):
+    """Against a range window; gaps between dates, several rows per date, equal values, NULLs."""
+    df = spark.range(400).selectExpr(
+        "id",
+        "concat('g', id % 2) as g",
+        "date_add(date'2024-01-01', int(id * id % 90)) as processing_date",
+        "if(id % 17 = 0, null, if(id % 2 = 0, 5.0D, double(id * 7919 % 1000) + 1e6)) as v",
+    )
+    for exclude in (False, True):
+        config = AnomalyConfig(lookback_window=6, threshold=1.5, frame="days", exclude_current=exclude, min_samples=2)
+        out = an.zscore(df, "v", config, ["id"], group_by=["g"])
+        over = f"over (partition by g order by unix_date(processing_date) range between 6 preceding and {'1 preceding' if exclude else 'current row'})"
+        plain = df.selectExpr("id", f"round(avg(v) {over}, 6) as a", f"round(coalesce(stddev_samp(v) {over}, -1), 4) as s")
+        mine = out.selectExpr("id", "round(avg_v, 6) as a", "round(coalesce(stddev_v, -1), 4) as s")
+        assert rows(mine) == rows(plain)
+        assert out.filter("g = 'g0' and v_zscore is not null").count() == 0
+    average = an.moving_average(df, "v", AnomalyConfig("moving_average", 6, 0.5, frame="days"), ["id"])
+    assert average.columns == ["id", "g", "processing_date", "v", "ma_v", "v_ma_diff", "is_v_ma_anomaly"]
+
+
+def test_frame_of_days_has_no_quartiles(spark):
+    with pytest.raises(SpecError):
+        an.iqr(days(spark, [1.0]), "amount", AnomalyConfig("iqr", 5, 1.0, frame="days"), ["id"])

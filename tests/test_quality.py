@@ -168,3 +168,11 @@ def test_added_rule_type(edge):
     q.register_rule_type("no_blank", no_blank)
     values, passed = result(edge, QualityRule("b", "no_blank"))
     assert values == {("name", "blank_count"): 1.0} and not passed["name"]
+
+
+def test_approximate_uniqueness(spark):
+    df = spark.range(5000).selectExpr("id", "id % 50 as k")
+    rule = QualityRule("u", "approximate_uniqueness", {"columns": ["id", ["k"]]}, threshold=0.9)
+    values, passed = result(df, rule)
+    assert passed == {"id": True, "k": False}
+    assert values["k", "uniqueness_ratio"] == pytest.approx(0.01, rel=0.1)
