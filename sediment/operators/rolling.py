@@ -146,7 +146,7 @@ def rolling_count() -> Callable[[WindowSpec], Column]:
 
 def rolling_sorted(column: Column) -> Callable[[WindowSpec], Column]:
     """The frame's values in order; a frame holds ``lookback + 1`` of them at most."""
-    return lambda window: F.array_sort(F.collect_list(column).over(window))
+    return lambda window: F.sort_array(F.collect_list(column).over(window))
 
 
 def rank_quantile(sorted_values: Column, fraction: float) -> Column:

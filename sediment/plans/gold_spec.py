@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Mapping, Sequence
 from typing import Any
 
@@ -12,6 +13,7 @@ from pyspark.sql import functions as F
 from sediment.config import SpecError
 from sediment.functions import lookup
 from sediment.operators.aggregates import grouped_metrics
+from sediment.session import materialize
 
 
 def joined_sources(tables: Mapping[str, DataFrame], joins: Sequence[Mapping[str, Any]]) -> DataFrame:
@@ -53,12 +55,15 @@ def window_metrics(df: DataFrame, window: Mapping[str, Any], tables: Sequence[st
 
 def build_views(spec: Mapping[str, Any], tables: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
     """Every aggregation of the spec by name, in order; dependent ones are SQL over the
-    earlier views, which are registered under their names."""
+    earlier views, which are registered under their names. A view that is read more than once,
+    by later views or by target fields, is written once instead of being computed each time."""
     body = spec.get("mapping_definition", spec)
     names = [t["name"] for t in body["source_tables"]]
     lacking = [n for n in names if n not in tables]
     if lacking:
         raise SpecError(f"no table given for {lacking}")
+    readers = Counter(name for step in body["aggregations"] for name in step.get("dependencies", []))
+    readers.update({f["source"].split(".")[0] for f in body.get("target_fields", {}).values() if "source" in f})
     views: dict[str, DataFrame] = {}
     for step in body["aggregations"]:
         if "expression" in step:
@@ -71,6 +76,8 @@ def build_views(spec: Mapping[str, Any], tables: Mapping[str, DataFrame]) -> dic
             df = grouped_metrics(source, step["group_by"], step["metrics"], step.get("having"))
             for window in step.get("windows", []):
                 df = window_metrics(df, window, names)
+        if readers[step["name"]] > 1:
+            df = materialize(df, step["name"])
         df.createOrReplaceTempView(step["name"])
         views[step["name"]] = df
     return views

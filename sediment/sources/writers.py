@@ -17,6 +17,10 @@ DEFAULT_PARTITIONS = {
 }
 
 
+# Partition columns that are the same for all rows of a batch.
+ONE_PER_BATCH = ("ingestion_date", "update_date", "report_date")
+
+
 def format_options(fmt: StorageFormat | str, table: str, key: str = "id", precombine: str = "ts") -> dict[str, str]:
     """What a keyed table format wants to know: the table's name, record key and precombine field."""
     if StorageFormat(fmt) is not StorageFormat.HUDI:
@@ -65,9 +69,11 @@ def cluster_for_partitions(df: DataFrame, partition_by: Sequence[str]) -> DataFr
     """Bring the rows of a partition directory together so that a write makes few files.
 
     ``rebalance`` lets adaptive execution split a partition that holds too many rows, so
-    a hot partition value does not end in one task.
+    a hot partition value does not end in one task. A load date has one value per batch, so
+    it alone is no reason to shuffle.
     """
-    return df.hint("rebalance", *[F.col(name) for name in partition_by]) if partition_by else df
+    varying = [name for name in partition_by if name not in ONE_PER_BATCH]
+    return df.hint("rebalance", *[F.col(name) for name in varying]) if varying else df
 
 
 def write_bronze(
