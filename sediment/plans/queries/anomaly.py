@@ -315,9 +315,10 @@ def an_min_samples(spark: SparkSession, d: str) -> DataFrame:
     return out.select("event_id", "is_value_zscore_anomaly")
 
 
+# Means of 64 cent amounts can end exactly halfway at six digits, so the mean keeps nine.
 @query(
     "an_zscore_day_frame",
-    f"""select event_id, round(a, 6) as avg_value, round(s, 6) as stddev_value, round(z, 6) as value_zscore,
+    f"""select event_id, round(a, 9) as avg_value, round(s, 6) as stddev_value, round(z, 6) as value_zscore,
               coalesce(abs(z) > 3.0, false) as is_value_zscore_anomaly
        from (select *, case when s > 0 then (value - a) / s end as z from (
          select *, avg(value) over w as a, stddev_samp(value) over w as s from {EVENTS_SQL}
@@ -327,7 +328,8 @@ def an_zscore_day_frame(spark: SparkSession, d: str) -> DataFrame:
     """Frames of seven days before each row's date, within the event type."""
     config = AnomalyConfig(lookback_window=7, threshold=3.0, frame="days")
     out = anomalies.zscore(_events(spark, d), "value", config, ["event_id"], group_by=["event_type"])
-    return rounded(out.select("event_id", *ZSCORE), list(ZSCORE[:3]))
+    out = out.select("event_id", *ZSCORE)
+    return rounded(rounded(out, [ZSCORE[0]], 9), list(ZSCORE[1:3]))
 
 
 def _everything(spark: SparkSession, d: str) -> dict[str, DataFrame]:
