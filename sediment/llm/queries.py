@@ -8,8 +8,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sediment.llm import line_dedup, minhash, mixing, packing, quality_rules
+from sediment.llm import line_dedup, minhash, mixing, packing, pii, quality_rules, secret_scan, url_filter, vectors, warc
 from sediment.llm.common import table
+from sediment.session import scratch_path
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
 
@@ -26,16 +27,60 @@ def op3_packing(spark: SparkSession, d: str) -> DataFrame:
     return packing.pack(table(spark, d, "documents").select("doc_id", "text"), VOCABULARY, digest=True)
 
 
+def op4_warc(spark: SparkSession, d: str) -> DataFrame:
+    path = scratch_path(spark, "archives")
+    pages = table(spark, d, "pages")
+    warc.write_warc(pages, path)
+    kind = pages.schema["page_id"].dataType
+    records = warc.page_records(warc.read_warc(spark, path))
+    return records.withColumns({c: F.col(c).cast(kind) for c in ("page_id", "refers_to")})
+
+
 def op5_mixing(spark: SparkSession, d: str) -> DataFrame:
     return mixing.mix(table(spark, d, "documents"))
 
 
+def op6_pseudonyms(spark: SparkSession, d: str) -> DataFrame:
+    return pii.pseudonymise(table(spark, d, "documents").select("doc_id", "text"))
+
+
 def op7_line_dedup(spark: SparkSession, d: str) -> DataFrame:
     return line_dedup.dedup_lines(table(spark, d, "documents")).select("doc_id", "text", "n_lines", "n_removed", "n_near")
 
 
+def op8_vectors(spark: SparkSession, d: str) -> DataFrame:
+    return vectors.near_vectors(table(spark, d, "embeddings"))
+
+
+def op9_secrets(spark: SparkSession, d: str) -> DataFrame:
+    found = secret_scan.scan(table(spark, d, "documents").select("doc_id", "text"))
+    return found.select(
+        "doc_id", "n_assign", "n_access", "n_hex", F.sha2("base_spans", 256).alias("base_sha256"), "spans", "n_markov"
+    )
+
+
+def op10_url_rules(spark: SparkSession, d: str) -> DataFrame:
+    labels = table(spark, d, "labels").select(
+        F.col("doc_id").alias("page_id"), ((F.col("quality") == 0) | (F.col("toxic") == 1)).alias("unwanted")
+    )
+    judged = url_filter.filter_urls(table(spark, d, "pages").select("page_id", "url"), labels)
+    return judged.select("page_id", "host", "path", "rule", "verdict")
+
+
 RUNNERS: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_quality_rules, op2_minhash, op3_packing, op5_mixing, op7_line_dedup)
+    f.__name__: f
+    for f in (
+        op1_quality_rules,
+        op2_minhash,
+        op3_packing,
+        op4_warc,
+        op5_mixing,
+        op6_pseudonyms,
+        op7_line_dedup,
+        op8_vectors,
+        op9_secrets,
+        op10_url_rules,
+    )
 }
 
 ORACLES: dict[str, str] = {}
