@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sediment.llm import line_dedup, minhash, mixing, packing, pii, quality_rules, secret_scan, url_filter, vectors, warc
+from sediment.llm import line_dedup, minhash, mixing, oracles, packing, pii, quality_rules, secret_scan, url_filter, vectors, warc
 from sediment.llm.common import table
 from sediment.session import scratch_path
 
@@ -83,4 +83,11 @@ RUNNERS: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     )
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op1_quality_rules": oracles.OP1,
+    "op2_minhash": oracles.OP2,
+    "op4_warc": oracles.OP4,
+    "op5_mixing": oracles.OP5,
+    "op8_vectors": oracles.OP8,
+    "op10_url_rules": oracles.OP10,
+}
