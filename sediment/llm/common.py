@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -58,3 +59,12 @@ def keys_for_join(keys: DataFrame) -> DataFrame:
     """A written list of keys: hinted for broadcast only when its counted rows are within
     ``KEY_BROADCAST_ROWS``; otherwise a plain table that joins by shuffling."""
     return F.broadcast(keys) if keys.count() <= KEY_BROADCAST_ROWS else keys
+
+
+def mixed(x: np.ndarray) -> np.ndarray:
+    """A bijection of 64-bit values that spreads every input bit."""
+    x = x ^ (x >> np.uint64(30))
+    x = x * np.uint64(0xBF58476D1CE4E5B9)
+    x = x ^ (x >> np.uint64(27))
+    x = x * np.uint64(0x94D049BB133111EB)
+    return x ^ (x >> np.uint64(31))

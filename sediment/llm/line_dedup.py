@@ -2,14 +2,18 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 
+import numpy as np
 import pandas as pd
+import pyarrow as pa
+import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sediment.llm.common import discard, fresh, keys_for_join, written
+from sediment.llm.common import discard, fresh, keys_for_join, mixed, written
 from sediment.llm.components import components
 
 WORD_BITS = 64
@@ -73,89 +77,177 @@ def within_edits(a: str, b: str, limit: int) -> bool:
     return distance <= limit
 
 
-def _segment(length: Column, part: int, parts: int) -> tuple[Column, Column]:
-    """Zero-based start and length of a segment; the last segments are one longer."""
-    base = F.floor(length / parts).cast("int")
+def segment_bounds(length: np.ndarray, part: int, parts: int) -> tuple[np.ndarray, np.ndarray]:
+    """Start and length of a segment; the last segments are one longer."""
+    base = length // parts
     longer = length - base * parts
-    before = F.greatest(F.lit(part) - (F.lit(parts) - longer), F.lit(0))
-    return base * part + before, base + F.when(F.lit(part) >= F.lit(parts) - longer, 1).otherwise(0)
+    return base * part + np.maximum(part - (parts - longer), 0), base + (part >= parts - longer)
 
 
-def index_keys(line: Column, length: Column, edits: int) -> Column:
-    """One hash per segment of the line: of its length, the segment's number and its characters."""
-    keys = []
-    for part in range(edits + 1):
-        start, size = _segment(length, part, edits + 1)
-        keys.append(F.xxhash64(length, F.lit(part), F.substring(line, start + 1, size)))
-    return F.array(*keys)
+def probe_shifts(edits: int) -> list[tuple[int, int, int]]:
+    """(d, part, shift): where a segment of a line shorter by d can stand in a line, its own place aside.
 
-
-def probe_keys(line: Column, length: Column, edits: int) -> Column:
-    """Hashes of the substrings that can equal a segment of a line of the same or a shorter length.
-
-    For a line shorter by d and segment i, start positions are limited from both ends: i edits can
-    have shifted the text before, and edits - i the text after."""
-    keys = []
+    ``part`` edits can have shifted the text before, and ``edits - part`` the text after."""
+    out = []
     for d in range(edits + 1):
-        other = length - d
         for part in range(edits + 1):
-            start, size = _segment(other, part, edits + 1)
-            lowest = max(-part, d - (edits - part))
-            highest = min(part, d + (edits - part))
-            for shift in range(lowest, highest + 1):
-                at = start + shift
-                fits = (at >= 0) & (at + size <= length)
-                keys.append(F.when(fits, F.xxhash64(other, F.lit(part), F.substring(line, at + 1, size))))
-    return F.array(*keys)
-
-
-def _lines(df: DataFrame, doc_id: str, text: str, rules: LineRules) -> DataFrame:
-    """``doc``, ``mark`` (hash of the text), ``line_no``, ``line``, ``chars`` of the lines that count."""
-    return (
-        df.select(
-            F.col(doc_id).alias("doc"), F.xxhash64(text).alias("mark"), F.posexplode(F.split(text, "\n")).alias("line_no", "line")
-        )
-        .withColumn("chars", F.length("line"))
-        .filter(F.col("chars") >= rules.min_chars)
+            left = edits - part
+            out += [(d, part, shift) for shift in range(max(-part, d - left), min(part, d + left) + 1) if d or shift]
+    return out
+
+
+SKETCH_GROUPS, SKETCH_BITS = 10, 3
+
+
+class SegmentHasher:
+    """Hashes of substrings of many lines at once, from running sums over their characters."""
+
+    BASE = 0x9E3779B97F4A7C15 | 1
+
+    def __init__(self, edits: int):
+        self.edits, self.shifts = edits, probe_shifts(edits)
+        self.power = self.inverse = np.ones(1, np.uint64)
+
+    def _powers(self, n: int) -> None:
+        if len(self.power) < n:
+            for name, base in (("power", self.BASE), ("inverse", pow(self.BASE, -1, 1 << 64))):
+                steps = np.full(n, base, np.uint64)
+                steps[0] = 1
+                setattr(self, name, np.multiply.accumulate(steps))
+
+    def __call__(self, lines: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Per line: hashes of its segments, of its probes, and the sketch of its character counts.
+
+        A hash is of the line's length (for a probe: the shorter line's), the segment's number and its characters."""
+        codes = np.frombuffer("".join(lines).encode("utf-32-le", "surrogatepass"), np.uint32)
+        length = np.fromiter(map(len, lines), np.int64, len(lines))
+        first = np.cumsum(length) - length
+        self._powers(len(codes) + 1)
+        value = mixed(codes.astype(np.uint64) + np.uint64(1 << 40))
+        sums = np.zeros(len(codes) + 1, np.uint64)
+        np.cumsum(value * self.power[: len(codes)], out=sums[1:])
+        parts = self.edits + 1
+
+        def hashed(d: int, part: int, shift: int) -> np.ndarray:
+            start, size = segment_bounds(length - d, part, parts)
+            start = first + start + shift
+            body = (sums[start + size] - sums[start]) * self.inverse[start]
+            return mixed(body + mixed(((length - d) * parts + part).astype(np.uint64)))
+
+        index = np.stack([hashed(0, part, 0) for part in range(parts)], axis=1)
+        probe = np.stack([hashed(*s) for s in self.shifts], axis=1) if self.shifts else np.empty((len(lines), 0), np.uint64)
+        group = (value >> np.uint64(40)) % np.uint64(SKETCH_GROUPS)
+        at = np.repeat(np.arange(len(lines)) * SKETCH_GROUPS, length) + group.astype(np.int64)
+        counts = np.bincount(at, minlength=len(lines) * SKETCH_GROUPS).reshape(-1, SKETCH_GROUPS)
+        bits = (counts & ((1 << SKETCH_BITS) - 1)) << (SKETCH_BITS * np.arange(SKETCH_GROUPS))
+        return index.view(np.int64), probe.view(np.int64), bits.sum(axis=1).astype(np.int32)
+
+
+def may_be_near(x: Column, y: Column, edits: int) -> Column:
+    """False where two sketches differ by more than ``edits`` edits can make: an edit changes one or two
+    counts by one, and counts are compared modulo 8, the shorter way round."""
+    whole = 1 << SKETCH_BITS
+    total = F.lit(0)
+    for k in range(SKETCH_GROUPS):
+        part = [F.shiftright(c, SKETCH_BITS * k).bitwiseAND(whole - 1) for c in (x, y)]
+        apart = F.abs(part[0] - part[1])
+        total = total + F.least(apart, whole - apart)
+    return total <= 2 * edits
+
+
+def _key_of(line: bytes) -> bytes:
+    return hashlib.md5(line, usedforsecurity=False).digest()
+
+
+def _long_lines(df: DataFrame, doc_id: str, text: str) -> DataFrame:
+    """The columns that passes over the lines read, with a hash of the text to tell repeated identifiers apart."""
+    return df.select(F.col(doc_id).alias("doc"), F.xxhash64(text).alias("mark"), F.col(text).alias("text")).filter(
+        F.col("text").isNotNull()
     )
 
 
-def _key(line: str = "line") -> Column:
-    return F.unhex(F.md5(F.col(line))).alias("key")
+def line_places(df: DataFrame, doc_id: str, text: str, rules: LineRules) -> DataFrame:
+    """``doc``, ``mark``, ``line_no``, ``key`` (MD5) of the lines that count."""
+    kind = df.schema[doc_id].dataType.simpleString()
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in batches:
+            rows, numbers, keys = [], [], []
+            for row, value in enumerate(frame["text"]):
+                for number, line in enumerate(value.split("\n")):
+                    if len(line) >= rules.min_chars:
+                        rows.append(row), numbers.append(number)
+                        keys.append(_key_of(line.encode("utf-8", "surrogatepass")))
+            out = frame[["doc", "mark"]].iloc[rows].reset_index(drop=True)
+            yield out.assign(line_no=np.array(numbers, np.int32), key=keys)
+
+    return _long_lines(df, doc_id, text).mapInPandas(run, f"doc {kind}, mark long, line_no int, key binary")
+
+
+def line_segments(df: DataFrame, doc_id: str, text: str, rules: LineRules, chars: int = 1_000_000) -> DataFrame:
+    """``doc``, ``mark``, ``line_no``, ``key``, ``id`` (xxHash64, as Spark's with its seed of 42), ``sketch``, ``index`` and
+    ``probe`` of the lines that count; about ``chars`` characters are hashed at a time."""
+    kind = df.schema[doc_id].dataType.simpleString()
+
+    def flush(hasher: SegmentHasher, docs: pa.Array, marks: pa.Array, rows: list, numbers: list, lines: list) -> pa.RecordBatch:
+        index, probe, sketch = hasher(lines)
+        lists = [
+            pa.ListArray.from_arrays(pa.array(np.arange(len(lines) + 1, dtype=np.int32) * h.shape[1]), pa.array(h.ravel()))
+            for h in (index, probe)
+        ]
+        data = [line.encode("utf-8", "surrogatepass") for line in lines]
+        ids = np.fromiter((xxhash.xxh64_intdigest(b, 42) for b in data), np.uint64, len(data)).view(np.int64)
+        keys = pa.array([_key_of(b) for b in data], pa.binary())
+        take = pa.array(rows, pa.int64())
+        columns = [docs.take(take), marks.take(take), pa.array(numbers, pa.int32()), keys, pa.array(ids), pa.array(sketch), *lists]
+        return pa.RecordBatch.from_arrays(columns, ["doc", "mark", "line_no", "key", "id", "sketch", "index", "probe"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hasher = SegmentHasher(rules.edits)
+        for batch in batches:
+            docs, marks, texts = batch.column(0), batch.column(1), batch.column(2)
+            rows, numbers, lines, size = [], [], [], 0
+            for row, value in enumerate(texts):
+                for number, line in enumerate(value.as_py().split("\n")):
+                    if len(line) >= rules.min_chars:
+                        rows.append(row), numbers.append(number), lines.append(line)
+                        size += len(line)
+                        if size >= chars:
+                            yield flush(hasher, docs, marks, rows, numbers, lines)
+                            rows, numbers, lines, size = [], [], [], 0
+            if lines:
+                yield flush(hasher, docs, marks, rows, numbers, lines)
+
+    schema = f"doc {kind}, mark long, line_no int, key binary, id long, sketch int, index array<bigint>, probe array<bigint>"
+    return _long_lines(df, doc_id, text).mapInArrow(run, schema)
 
 
 def line_links(df: DataFrame, doc_id: str, text: str, repeated: DataFrame, rules: LineRules) -> DataFrame:
     """``a``, ``b``: keys of different lines within the edit limit.
 
-    Only the first occurrence of a line is indexed and probed. Line text moves only for lines that
-    share a segment with another."""
-    lines = _lines(df, doc_id, text, rules)
-    length = F.col("chars")
+    Only the first occurrence of a line is indexed and probed. Lines meet where they share a segment and
+    their character counts allow the edits; only of those the text is fetched."""
     single = (
-        lines.select(
-            _key(),
-            F.struct("doc", "mark", "line_no").alias("place"),
-            index_keys(F.col("line"), length, rules.edits).alias("index"),
-            probe_keys(F.col("line"), length, rules.edits).alias("probe"),
-        )
+        line_segments(df, doc_id, text, rules)
         .join(keys_for_join(repeated.select("key", "owner")), "key", "left")
-        .filter("owner is null or owner = place")
-        .select("key", "index", "probe")
-    )
-    index = single.select(F.explode("index").alias("segment"), F.col("key").alias("a"))
-    probe = single.select(F.explode("probe").alias("segment"), F.col("key").alias("b")).filter("segment is not null")
-    pairs = written(
-        index.join(probe, "segment")
-        .filter("a <> b")
-        .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-        .distinct(),
-        "line_pairs",
-    )
-    wanted = written(
-        pairs.select(F.col("a").alias("key")).unionByName(pairs.select(F.col("b").alias("key"))).distinct(), "line_keys"
+        .filter(F.col("owner").isNull() | (F.col("owner") == F.struct("doc", "mark", "line_no")))
     )
+    index = single.select(F.explode("index").alias("segment"), "id", "sketch")
+    probe = single.select(F.explode("probe").alias("segment"), "id", "sketch")
+    left = index.select("segment", F.col("id").alias("a"), F.col("sketch").alias("x"))
+    near_enough = may_be_near(F.col("x"), F.col("sketch"), rules.edits)
+    pairs = left.join(index, "segment").filter((F.col("a") < F.col("id")) & near_enough).select("a", F.col("id").alias("b"))
+    if rules.edits:
+        shifted = left.join(probe, "segment").filter((F.col("a") != F.col("id")) & near_enough)
+        pairs = pairs.unionByName(shifted.select(F.least("a", "id").alias("a"), F.greatest("a", "id").alias("b")))
+    pairs = written(pairs.distinct(), "line_pairs")
+    wanted = written(pairs.select(F.col("a").alias("id")).unionByName(pairs.select(F.col("b").alias("id"))).distinct(), "line_ids")
+    lines = df.select(F.explode(F.split(text, "\n")).alias("line")).filter(F.length("line") >= rules.min_chars)
     texts = written(
-        lines.select(_key(), "line").join(keys_for_join(wanted), "key", "left_semi").groupBy("key").agg(F.first("line").alias("line")),
+        lines.select(F.xxhash64("line").alias("id"), "line")
+        .join(keys_for_join(wanted), "id", "left_semi")
+        .groupBy("id", F.unhex(F.md5("line")).alias("key"))
+        .agg(F.first("line").alias("line")),
         "line_texts",
     )
     limit = rules.edits
@@ -164,9 +256,10 @@ def line_links(df: DataFrame, doc_id: str, text: str, repeated: DataFrame, rules
     def near(x: pd.Series, y: pd.Series) -> pd.Series:
         return pd.Series([within_edits(a, b, limit) for a, b in zip(x, y)], dtype=bool)
 
-    first = texts.select(F.col("key").alias("a"), F.col("line").alias("_x"))
-    second = texts.select(F.col("key").alias("b"), F.col("line").alias("_y"))
-    return written(pairs.join(first, "a").join(second, "b").filter(near("_x", "_y")).select("a", "b"), "line_links")
+    first = texts.select(F.col("id").alias("a"), F.col("key").alias("ka"), F.col("line").alias("_x"))
+    second = texts.select(F.col("id").alias("b"), F.col("key").alias("kb"), F.col("line").alias("_y"))
+    checked = pairs.join(first, "a").join(second, "b").filter(near("_x", "_y"))
+    return written(checked.select(F.col("ka").alias("a"), F.col("kb").alias("b")), "line_links")
 
 
 def repeated_lines(df: DataFrame, doc_id: str, text: str, rules: LineRules) -> DataFrame:
@@ -174,7 +267,7 @@ def repeated_lines(df: DataFrame, doc_id: str, text: str, rules: LineRules) -> D
 
     The earliest occurrence of a class, by document, then by line, stays. ``near`` is true where the
     line itself is not the same as the one that stays."""
-    places = written(_lines(df, doc_id, text, rules).select("doc", "mark", "line_no", _key()), "lines")
+    places = written(line_places(df, doc_id, text, rules), "lines")
     place = F.struct("doc", "mark", "line_no")
     repeated = written(
         places.groupBy("key").agg(F.min(place).alias("owner"), F.count("*").alias("n")).filter("n > 1").select("key", "owner"),

@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from sediment.llm.common import discard, fresh, keys_for_join, written
+from sediment.llm.common import discard, fresh, keys_for_join, mixed, written
 from sediment.llm.components import components
 
 
@@ -42,15 +42,6 @@ class NearDup:
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 
 
-def _mixed(x: np.ndarray) -> np.ndarray:
-    """A bijection of 64-bit values that spreads every input bit."""
-    x = x ^ (x >> np.uint64(30))
-    x = x * np.uint64(0xBF58476D1CE4E5B9)
-    x = x ^ (x >> np.uint64(27))
-    x = x * np.uint64(0x94D049BB133111EB)
-    return x ^ (x >> np.uint64(31))
-
-
 class Shingler:
     """Sorted 64-bit hashes of the distinct shingles of a text."""
 
@@ -70,7 +61,7 @@ class Shingler:
         size = min(self.size, len(ids))
         total = np.full(len(ids) - size + 1, size, np.uint64)
         for i in range(size):
-            total = _mixed(total * _MIX + ids[i : len(ids) - size + 1 + i])
+            total = mixed(total * _MIX + ids[i : len(ids) - size + 1 + i])
         return np.unique(total)
 
 
@@ -132,7 +123,7 @@ def sketches(df: DataFrame, text: str, spec: NearDup) -> DataFrame:
                 sign = signature(found, a, b)
                 total = band
                 for row in sign[: spec.bands * spec.rows].reshape(spec.bands, spec.rows).T.astype(np.uint64):
-                    total = _mixed(total * _MIX + row)
+                    total = mixed(total * _MIX + row)
                 keys.append(total.view(np.int64))
                 checks.append(sign[spec.bands * spec.rows :].astype(np.uint16).tobytes())
             yield frame.assign(n_shingles=sizes, node=nodes, keys=keys, checks=checks)
@@ -195,24 +186,125 @@ def verify(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return pairs.join(first, "a").join(second, "b").filter(linked("_x", "_y")).select("a", "b")
 
 
+class _Prints:
+    """32-bit prints of the sets of a frame's rows, end to end. Common prints are never fewer than common shingles."""
+
+    def __init__(self, sets: pd.Series):
+        self.flat = (np.frombuffer(b"".join(sets), np.uint64) >> np.uint64(32)).astype(np.uint32)
+        self.ends = np.cumsum([0, *(len(s) // 8 for s in sets)])
+
+    def of(self, row: int) -> np.ndarray:
+        return self.flat[self.ends[row] : self.ends[row + 1]]
+
+    def within(self, x: int, rows: np.ndarray, percent: int) -> np.ndarray:
+        """Which of ``rows`` can have 100 * intersection >= percent * union with row ``x``."""
+        own = self.of(x)
+        other = np.concatenate([self.of(y) for y in rows])
+        sizes = self.ends[rows + 1] - self.ends[rows]
+        found = own[np.minimum(np.searchsorted(own, other), len(own) - 1)] == other
+        common = np.add.reduceat(found, np.cumsum(sizes) - sizes, dtype=np.int64)
+        return 100 * common >= percent * (len(own) + sizes - common)
+
+
+def compare_bucket(rows: slice, frame: dict, floors: list[tuple[int, int]], percent: int) -> tuple[np.ndarray, np.ndarray]:
+    """Positions of the pairs of one bucket that are of different roots, within reach after every batch of
+    check hashes, and then by the prints of their whole sets. Side 0 pairs with 1; 2 marks rows of a
+    block that pairs with itself. A pair is taken up only in the first bucket it shares."""
+    key, keys, checks, root, side = (frame[c][rows] for c in ("key", "keys", "checks", "root", "side"))
+    first, second = [np.empty(0, np.int64)], [np.empty(0, np.int64)]
+    j = np.arange(len(root))
+    for start in range(0, len(root), 256):
+        i = np.arange(start, min(len(root), start + 256))[:, None]
+        open_pairs = (root[i] != root) & np.where(side[i] == 2, i < j, (side[i] == 0) & (side == 1))
+        x, y = np.nonzero(open_pairs)
+        x += start
+        equal, at = np.zeros(len(x), np.int64), 0
+        for end, least in floors:
+            equal += (checks[x, at:end] == checks[y, at:end]).sum(axis=1)
+            keep = equal >= least
+            x, y, equal, at = x[keep], y[keep], equal[keep], end
+        own = np.empty(len(x), bool)
+        for part in range(0, len(x), 50_000):
+            a, b = x[part : part + 50_000], y[part : part + 50_000]
+            own[part : part + 50_000] = keys[a, (keys[a] == keys[b]).argmax(axis=1)] == key[a]
+        x, y = x[own], y[own]
+        cuts = np.flatnonzero(np.r_[True, x[1:] != x[:-1]]) if len(x) else []
+        for begin, end in zip(cuts, [*cuts[1:], len(x)]):
+            for part in range(begin, end, 1024):
+                near = y[part : min(end, part + 1024)]
+                near = near[frame["prints"].within(rows.start + x[begin], rows.start + near, percent)]
+                first.append(np.full(len(near), x[begin])), second.append(near)
+    return np.concatenate(first), np.concatenate(second)
+
+
+def crossing_pairs(rows: DataFrame, spec: NearDup, block: int = 1024, block_bytes: int = 16 << 20) -> DataFrame:
+    """Distinct ``a``, ``b`` of different roots that share a bucket and can reach the threshold.
+
+    ``rows``: ``key``, ``node``, ``root``, ``keys``, ``checks``, ``shingles``; written. A large bucket is cut into
+    blocks of about ``block`` rows and ``block_bytes``; each pair of blocks is compared in memory, and only pairs
+    that pass leave the task. Many small buckets share a task."""
+    steps = range(spec.batch, spec.checks + 1, spec.batch)
+    floors = [(n, posterior_floor(n, spec.percent, spec.miss)) for n in steps]
+    size = F.octet_length("shingles")
+    count, total = rows.agg(F.count("*"), F.sum(size)).first()
+    tasks = 1 + max(count // 2500, (total or 0) // (8 << 20))
+    cut = F.ceil(F.greatest(F.count("*") / block, F.sum(size) / block_bytes)).cast("int")
+    blocks = written(rows.groupBy("key").agg(cut.alias("blocks")), "blocks")
+    dealt = (
+        rows.join(blocks, "key")
+        .withColumn("own", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+        .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+        .withColumns({"low": F.least("own", "other"), "high": F.greatest("own", "other")})
+        .withColumn("task", F.pmod(F.xxhash64("key", "low", "high"), F.lit(tasks)))
+        .drop("blocks", "other")
+    )
+    percent = spec.percent
+
+    def run(frame: pd.DataFrame) -> pd.DataFrame:
+        frame = frame.sort_values(["key", "low", "high"], kind="stable", ignore_index=True)
+        group = frame[["key", "low", "high"]].to_numpy()
+        starts = np.flatnonzero(np.r_[True, (group[1:] != group[:-1]).any(axis=1)])
+        node = frame["node"].to_numpy(object)
+        columns = {
+            "key": frame["key"].to_numpy(),
+            "keys": np.stack(frame["keys"].to_numpy()),
+            "checks": np.frombuffer(b"".join(frame["checks"]), np.uint16).reshape(len(frame), spec.checks),
+            "root": pd.factorize(frame["root"])[0],
+            "side": np.where(frame["low"] == frame["high"], 2, np.where(frame["own"] == frame["low"], 0, 1)),
+            "prints": _Prints(frame["shingles"]),
+        }
+        a, b = [], []
+        for start, stop in zip(starts, [*starts[1:], len(frame)]):
+            x, y = compare_bucket(slice(start, stop), columns, floors, percent)
+            a.append(node[start + x]), b.append(node[start + y])
+        return pd.DataFrame({"a": np.concatenate(a), "b": np.concatenate(b)})
+
+    met = dealt.groupBy("task").applyInPandas(run, "a binary, b binary")
+    return met.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+
+
 def _class_links(df: DataFrame, doc_id: str, text: str, classes: DataFrame, low_ids: DataFrame, spec: NearDup) -> DataFrame:
     """Links between classes that give the same components as all links would.
 
-    First every class is held against the least class of each of its buckets, so that a group of
-    many near copies needs no pairs among its copies. Then only pairs of a bucket that are still in
-    different components are compared, all of them."""
-    rows = written(
-        classes.select("node", F.explode("keys").alias("key")), "bands"
-    )
-    shared = written(rows.groupBy("key").agg(F.min("node").alias("center"), F.count("*").alias("n")).filter("n > 1").drop("n"), "shared")
+    First every class is held against two centers of each of its buckets, those that meet the most other
+    rows, so that a group of many near copies needs no pairs among its copies. Then only
+    pairs of a bucket that are still in different components are compared, all of them."""
+    rows = written(classes.select("node", F.explode("keys").alias("key")), "bands")
+    shared = written(rows.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1"), "shared")
     members = written(rows.join(shared, "key"), "members")
     discard(rows)
-    marks = written(
-        classes.select("node", "checks").join(members.select("node").distinct(), "node", "left_semi"), "marks"
+    met = written(members.groupBy("node").agg(F.sum("n").alias("met")), "met")
+    marks = written(classes.select("node", "keys", "checks").join(met.select("node"), "node", "left_semi"), "marks")
+    rank = F.struct("met", "node")
+    even = F.pmod(F.xxhash64("node"), F.lit(2)) == 0
+    centers = written(
+        members.join(met, "node")
+        .groupBy("key")
+        .agg(F.max(F.when(even, rank))["node"].alias("c0"), F.max(F.when(~even, rank))["node"].alias("c1")),
+        "centers",
     )
 
-    def sets_of(pairs: DataFrame) -> DataFrame:
-        nodes = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct()
+    def sets_of(nodes: DataFrame) -> DataFrame:
         ids = written(low_ids.join(nodes, "node", "left_semi"), "wanted")
         (key,) = fresh(df, "_wanted")
         wanted = keys_for_join(ids.select(F.col("low").alias(key)).distinct())
@@ -221,33 +313,32 @@ def _class_links(df: DataFrame, doc_id: str, text: str, classes: DataFrame, low_
         return written(sets.dropDuplicates(["node"]), "sets")
 
     def confirmed(pairs: DataFrame) -> DataFrame:
-        alive = written(prune(pairs, marks, spec), "alive")
-        sets = sets_of(alive)
+        alive = written(pairs, "alive")
+        nodes = alive.select(F.col("a").alias("node")).unionByName(alive.select(F.col("b").alias("node"))).distinct()
+        sets = sets_of(nodes)
         out = written(verify(alive, sets, spec.percent), "confirmed")
         discard(alive)
         discard(sets)
         return out
 
-    stars = members.filter("node <> center").select(F.col("center").alias("a"), F.col("node").alias("b")).distinct()
-    first = confirmed(stars)
-    roots = components(first)
-    placed = written(
-        members.join(roots, "node", "left").select("key", "center", "node", F.coalesce("root", "node").alias("root")),
-        "placed",
+    placed = written(members.join(centers, "key"), "placed")
+    stars = (
+        placed.select("node", F.explode(F.array("c0", "c1")).alias("c"))
+        .filter("c <> node")
+        .select(F.least("c", "node").alias("a"), F.greatest("c", "node").alias("b"))
+        .distinct()
     )
+    first = confirmed(prune(stars, marks.select("node", "checks"), spec))
+    roots = components(first)
+    rooted = written(placed.join(roots, "node", "left").select("key", "node", F.coalesce("root", "node").alias("root")), "rooted")
     mixed = written(
-        placed.groupBy("key").agg(F.min("root").alias("l"), F.max("root").alias("h")).filter("l < h").select("key"), "mixed"
-    )
-    open_rows = written(placed.join(mixed, "key"), "open")
-    other = open_rows.select("key", F.col("node").alias("b"), F.col("root").alias("root_b"))
-    crossing = (
-        open_rows.select("key", "center", F.col("node").alias("a"), "root")
-        .join(other, "key")
-        .filter("a < b and root <> root_b and a <> center and b <> center")
-        .select("a", "b")
-        .distinct()
+        rooted.groupBy("key").agg(F.min("root").alias("l"), F.max("root").alias("h")).filter("l < h").select("key"), "mixed"
     )
-    second = confirmed(crossing)
+    open_rows = written(rooted.join(mixed, "key"), "open")
+    sets = sets_of(open_rows.select("node").distinct())
+    facts = written(marks.join(sets, "node"), "facts")
+    discard(sets)
+    second = confirmed(crossing_pairs(written(open_rows.join(facts, "node"), "compared"), spec))
     return first.unionByName(second)
 
 
