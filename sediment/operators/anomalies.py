@@ -30,7 +30,7 @@ from sediment.operators.rolling import (
     rolling_sorted,
     rolling_stddev,
 )
-from sediment.session import broadcast_if_small, materialize
+from sediment.session import materialize
 
 
 def _zscore(value: str, mean: str, deviation: str) -> Column:
@@ -43,13 +43,12 @@ def _flag(test: Column, config: AnomalyConfig, seen: Column | None = None) -> Co
     return F.when(seen >= config.min_samples, known) if config.min_samples and seen is not None else known
 
 
-def _join_back(df: DataFrame, frame: DataFrame, keys: Mapping[str, Column], calendar: bool) -> DataFrame:
-    """Attach a folded frame to its rows. One row per calendar date is bounded by the
-    calendar and broadcast; a frame per group and date is counted first."""
+def _join_back(df: DataFrame, frame: DataFrame, keys: Mapping[str, Column]) -> DataFrame:
+    """Attach a folded frame to its rows. The frame is a written table: Spark broadcasts it by the
+    size of its file, and otherwise splits hot keys of the join."""
     renamed = frame.withColumnsRenamed({k: f"_j_{k}" for k in keys})
     condition = reduce(lambda a, b: a & b, [key.eqNullSafe(F.col(f"_j_{name}")) for name, key in keys.items()])
-    side = F.broadcast(renamed) if calendar else broadcast_if_small(renamed)
-    return df.join(side, condition, "left").drop(*[f"_j_{k}" for k in keys])
+    return df.join(renamed, condition, "left").drop(*[f"_j_{k}" for k in keys])
 
 
 def date_detector(
@@ -80,10 +79,8 @@ def date_detector(
     frame = frame.withColumn(names["flag"], _flag(test, config, F.col("_seen"))).drop("_seen")
     if grain == "date":
         return frame.withColumnRenamed("_day", date)
-    if group_by:
-        frame = materialize(frame, "daily")
     keys = {**{g: F.col(g) for g in group_by}, "_day": day}
-    return _join_back(df, frame, keys, calendar=not group_by)
+    return _join_back(df, materialize(frame, "daily"), keys)
 
 
 def _names(value: str, mean: str, deviation: str, score: str, flag: str) -> dict[str, str]:
@@ -248,10 +245,8 @@ def _roll_days(
         # What is left of equal values after rounding is no spread.
         rolled[deviation] = F.when(n > 1, F.when(spread > q / n * F.lit(1e-13), F.sqrt(spread)).otherwise(F.lit(0.0)))
     frame = daily.select(*group_by, "_day", *[value.alias(name) for name, value in rolled.items()])
-    if group_by:
-        frame = materialize(frame, "daily")
     keys = {**{g: F.col(g) for g in group_by}, "_day": day}
-    out = _join_back(df, frame, keys, calendar=not group_by)
+    out = _join_back(df, materialize(frame, "daily"), keys)
     for measure in measures:
         out = measure.finish(out)
     return out.drop("_seen", "_deviation")

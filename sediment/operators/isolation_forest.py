@@ -21,7 +21,7 @@ from sediment.session import materialize
 
 TREE_SCHEMA = "tree int, node int, feature int, cut double, left int, right int, path double, points int"
 EULER = 0.5772156649015329
-SMALL_INPUT_ROWS = 10_000_000
+HASH_GRID = (1 << 63) - 1
 
 # Tasks get this module's functions with the job, so executors need not have the package.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -64,9 +64,9 @@ def fit(
     trees: int = 100,
     sample_size: int = 256,
     seed: int = 42,
-) -> tuple[np.ndarray, float, int]:
-    """Build the forest; returns its nodes, the normaliser of the path length and the number
-    of rows it was drawn from.
+) -> tuple[np.ndarray, int]:
+    """Build the forest; returns its nodes, whose leaf paths are divided by the mean path of their own
+    tree, and the number of rows it was drawn from.
 
     A first hash keeps a pool of about ``2 * trees * sample_size`` rows of however many there
     are; each tree then draws from the pool by a hash of its own. Neither multiplies the input.
@@ -78,16 +78,16 @@ def fit(
     total = usable.count()
     if total == 0:
         raise ValueError("no row has all features")
-    scale = 1 << 30
     pool_share = min(1.0, 2.0 * trees * sample_size / total)
-    pool = usable.filter(F.pmod("_h", F.lit(scale)) < F.lit(int(pool_share * scale)))
+    pool = usable.filter(F.col("_h").bitwiseAND(HASH_GRID) <= F.lit(min(HASH_GRID, int(pool_share * HASH_GRID))))
     tree_share = min(1.0, sample_size / (total * pool_share))
     drawn = pool.withColumn(
         "tree",
         F.explode(
             F.filter(
                 F.sequence(F.lit(0), F.lit(trees - 1)),
-                lambda t: F.pmod(F.xxhash64(F.col("_h"), t), F.lit(scale)) < F.lit(int(tree_share * scale)),
+                lambda t: F.xxhash64(F.col("_h"), t).bitwiseAND(HASH_GRID)
+                <= F.lit(min(HASH_GRID, int(tree_share * HASH_GRID))),
             )
         ),
     )
@@ -106,18 +106,19 @@ def fit(
     # At most trees x (2 * sample) nodes, whatever the size of the input.
     tasks = min(trees, df.sparkSession.sparkContext.defaultParallelism)
     grown = drawn.repartition(tasks, "tree").groupBy("tree").applyInPandas(build, TREE_SCHEMA).toPandas()
-    size = grown.groupby("tree")["points"].first().mean()
+    # Each tree's paths are measured in its own mean path.
+    grown["path"] /= expected_path(np.maximum(grown["points"].to_numpy(), 2))
     nodes = grown.drop(columns="points").sort_values(["tree", "node"])
-    return nodes.to_numpy(dtype=float), float(expected_path(max(size, 2))), total
+    return nodes.to_numpy(dtype=float), total
 
 
-def score(df: DataFrame, features: Sequence[str], forest: np.ndarray, normaliser: float) -> DataFrame:
+def score(df: DataFrame, features: Sequence[str], forest: np.ndarray) -> DataFrame:
     """Add ``anomaly_score`` in (0, 1]; NULL where a feature is missing."""
-    shared = df.sparkSession.sparkContext.broadcast((forest, normaliser, list(features)))
+    shared = df.sparkSession.sparkContext.broadcast((forest, list(features)))
     schema = T.StructType([*df.schema.fields, T.StructField("anomaly_score", T.DoubleType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        nodes, norm, names = shared.value
+        nodes, names = shared.value
         roots = np.flatnonzero(np.r_[True, nodes[1:, 0] != nodes[:-1, 0]])
         base = np.repeat(roots, np.diff(np.r_[roots, len(nodes)]))
         feature, cut, path = nodes[:, 2].astype(np.intp), nodes[:, 3], nodes[:, 6]
@@ -149,7 +150,7 @@ def score(df: DataFrame, features: Sequence[str], forest: np.ndarray, normaliser
                     at += above
                     at = children.take(at, mode="clip")
                 depth_sum += path.take(at, mode="clip")
-            value = np.power(2.0, -(depth_sum / len(roots)) / norm)
+            value = np.power(2.0, -depth_sum / len(roots))
             missing = np.isnan(x).reshape(len(names), size).any(axis=0)
             columns = [*batch.columns, pa.array(value, mask=missing)]
             yield pa.RecordBatch.from_arrays(columns, names=[*batch.schema.names, "anomaly_score"])
@@ -170,11 +171,8 @@ def detect(
     """Score every row and mark the share ``contamination`` with the highest scores:
     ``prediction`` 1 and ``flag`` true. The scored table is written once, as its threshold
     needs a pass of its own."""
-    forest, normaliser, total = fit(df, features, row_id, trees, sample_size, seed)
-    if total <= SMALL_INPUT_ROWS:
-        # A small table is often a single file split; scoring is worth spreading over all cores.
-        df = df.repartition(df.sparkSession.sparkContext.defaultParallelism)
-    scored = materialize(score(df, features, forest, normaliser), "forest")
+    forest, _ = fit(df, features, row_id, trees, sample_size, seed)
+    scored = materialize(score(df, features, forest), "forest")
     threshold = scored.agg(F.percentile_approx("anomaly_score", 1.0 - contamination, 10_000)).scalar()
     outlier = F.coalesce(F.col("anomaly_score") > threshold, F.lit(False))
     return scored.withColumn("prediction", outlier.cast("int")).withColumn(flag, outlier)

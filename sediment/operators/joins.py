@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
@@ -9,8 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from sediment.config import SpecError
-from sediment.operators.rolling import largest_group
-from sediment.session import broadcast_if_small, materialize
+from sediment.session import materialize
 
 
 def join_chain(frames: Sequence[DataFrame], conditions: Sequence[Mapping]) -> DataFrame:
@@ -26,11 +26,49 @@ def join_chain(frames: Sequence[DataFrame], conditions: Sequence[Mapping]) -> Da
     return reduce(lambda left, step: left.join(step[0], step[1]["on"], step[1].get("how", "inner")), steps, frames[0])
 
 
+_EQUALITY = re.compile(r"\s*(\w+)\.(\w+)\s*=\s*(\w+)\.(\w+)\s*")
+
+
+def equal_columns(condition: str, left: Sequence[str], right: str) -> list[tuple[str, str]] | None:
+    """(left, right) column of each equality, qualified; None unless the condition holds nothing else."""
+    pairs = []
+    for part in re.split(r"\band\b", condition, flags=re.IGNORECASE):
+        m = _EQUALITY.fullmatch(part)
+        if not m:
+            return None
+        a, x, b, y = m.groups()
+        if a == right:
+            a, x, b, y = b, y, a, x
+        if a not in left or b != right:
+            return None
+        pairs.append((f"{a}.{x}", f"{b}.{y}"))
+    return pairs
+
+
+def left_join(left: DataFrame, right: DataFrame, condition: str, left_names: Sequence[str], right_name: str) -> DataFrame:
+    """Left join of aliased frames whose right side may hold a hot key.
+
+    Rows on the right of a left join are never split, those of an inner join are. So the matches come
+    from an inner join, and the rows without any from an anti join with the right side's keys folded
+    to one row each. Conditions that are not plain equalities take the ordinary left join."""
+    pairs = equal_columns(condition, left_names, right_name)
+    if not pairs:
+        return left.join(right, F.expr(condition), "left")
+    matched = left.join(right, F.expr(condition), "inner")
+    keys = right.select(*[F.col(y).alias(f"_match{i}") for i, (_, y) in enumerate(pairs)]).distinct()
+    alone = left.join(keys, [F.col(x) == F.col(f"_match{i}") for i, (x, _) in enumerate(pairs)], "left_anti")
+    empty = [F.lit(None).cast(f.dataType).alias(f.name) for f in right.schema.fields]
+    return matched.union(alone.select("*", *empty))
+
+
 def join_on(
     left: DataFrame, right: DataFrame, condition: str, how: str = "left", names: tuple[str, str] = ("l", "r")
 ) -> DataFrame:
     """Join by SQL text that refers to the sides by ``names``."""
-    return left.alias(names[0]).join(right.alias(names[1]), F.expr(condition), how)
+    left, right = left.alias(names[0]), right.alias(names[1])
+    if how == "left":
+        return left_join(left, right, condition, names[:1], names[1])
+    return left.join(right, F.expr(condition), how)
 
 
 def _renamed_keys(df: DataFrame, columns: Sequence[str], prefix: str) -> list[Column]:
@@ -83,7 +121,7 @@ def enrich(
         *[F.col(src).alias(new) for new, src in outputs.items()],
     )
     condition = [F.col(c) == F.col(f"_k{i}") for i, c in enumerate(keys)]
-    return df.join(broadcast_if_small(side), condition, "left").drop(*[f"_k{i}" for i in range(len(keys))])
+    return df.join(side, condition, "left").drop(*[f"_k{i}" for i in range(len(keys))])
 
 
 def validate_against(df: DataFrame, reference: DataFrame, keys: Mapping[str, str], flag: str) -> DataFrame:
@@ -96,20 +134,17 @@ def validate_against(df: DataFrame, reference: DataFrame, keys: Mapping[str, str
     condition = [F.col(c) == F.col(f"_k{i}") for i, c in enumerate(keys)]
     any_null = reduce(lambda a, b: a | b, [F.col(c).isNull() for c in keys])
     value = F.when(~any_null, F.coalesce("_found", F.lit(False)))
-    joined = df.join(broadcast_if_small(side), condition, "left")
+    joined = df.join(side, condition, "left")
     return joined.select(*[F.col(c) for c in df.columns], value.alias(flag))
 
 
-def with_overlap_mark(versions: DataFrame, keys: Sequence[str], start: str, end: str) -> DataFrame:
-    """Add ``_overlaps``: whether a version begins before an earlier one of its key has ended."""
+def overlapping(versions: DataFrame, keys: Sequence[str], start: str, end: str) -> bool:
+    """Whether a version begins before an earlier one of its keys has ended. Here the keys hold the time
+    bucket, so the window is over the versions of one bucket."""
     earlier = Window.partitionBy(*keys).orderBy(start, end).rowsBetween(Window.unboundedPreceding, -1)
     open_end = F.lit("9999-12-31").cast("timestamp_ntz")
     reach = F.max(F.coalesce(F.col(end).cast("timestamp_ntz"), open_end)).over(earlier)
-    return versions.withColumn("_overlaps", F.coalesce(reach > F.col(start), F.lit(False)))
-
-
-# Up to this many versions of a key a fact may as well look at all of them.
-MANY_VERSIONS = 64
+    return not versions.select((reach > F.col(start)).alias("_overlaps")).filter("_overlaps").isEmpty()
 
 
 def effective_lookup(
@@ -120,42 +155,37 @@ def effective_lookup(
     start: str = "effective_from",
     end: str = "effective_to",
     row_id: Sequence[str] = (),
-    bucket_days: int | None = None,
+    bucket_days: int = 32,
     how: str = "left",
 ) -> DataFrame:
     """Attach the version in force at ``at``: ``start <= at < end``, an empty end is open.
 
-    If some key has very many versions, time is cut into buckets of ``bucket_days`` (32) and a
-    version appears once per bucket it covers: the equi join on (key, bucket) spreads the key
-    over its buckets and a fact meets only the versions of its own. If versions overlap, the
-    one with the latest start wins and ``row_id`` must identify a fact.
+    Time is cut into buckets of ``bucket_days`` and a version appears once per bucket it covers: the
+    equi join on (key, bucket) spreads the key over its buckets and a fact meets only the versions
+    of its own. If versions overlap, the one with the latest start wins and ``row_id`` must identify
+    a fact.
     """
 
     def bucket(c: Column) -> Column:
         return F.floor(F.unix_date(c.cast("date")) / F.lit(bucket_days)).cast("long")
 
     payload = [c for c in versions.columns if c not in keys]
-    marked = materialize(with_overlap_mark(versions, keys, start, end), "versions")
-    if bucket_days is None and largest_group(marked, keys) > MANY_VERSIONS:
-        bucket_days = 32
-    side, left = marked, facts
+    side = versions
     condition = [F.col(k) == F.col(f"_v_{k}") for k in keys]
     condition += [F.col(start) <= F.col(at), F.col(end).isNull() | (F.col(at) < F.col(end))]
-    if bucket_days:
-        span = facts.agg(F.struct(F.min(bucket(F.col(at))).alias("lo"), F.max(bucket(F.col(at))).alias("hi"))).scalar()
-        low, high = span.getField("lo"), span.getField("hi")
-        side = (
-            side.withColumn("_first", F.greatest(bucket(F.col(start)), low))
-            .withColumn("_last", F.least(F.coalesce(bucket(F.col(end)), high), high))
-            .filter(F.col("_first") <= F.col("_last"))
-            .withColumn("_bucket", F.explode(F.sequence("_first", "_last")))
-        )
-        left = facts.withColumn("_at_bucket", bucket(F.col(at)))
-        condition.append(F.col("_at_bucket") == F.col("_bucket"))
-    buckets = ["_bucket"] if bucket_days else []
-    side = side.select(*[F.col(k).alias(f"_v_{k}") for k in keys], *buckets, *payload)
-    wide = left.join(broadcast_if_small(side), condition, how).select(*facts.columns, *payload)
-    if marked.filter("_overlaps").isEmpty():
+    span = facts.agg(F.struct(F.min(bucket(F.col(at))).alias("lo"), F.max(bucket(F.col(at))).alias("hi"))).scalar()
+    low, high = span.getField("lo"), span.getField("hi")
+    side = (
+        side.withColumn("_first", F.greatest(bucket(F.col(start)), low))
+        .withColumn("_last", F.least(F.coalesce(bucket(F.col(end)), high), high))
+        .filter(F.col("_first") <= F.col("_last"))
+        .withColumn("_bucket", F.explode(F.sequence("_first", "_last")))
+    )
+    side = materialize(side.select(*[F.col(k).alias(f"_v_{k}") for k in keys], "_bucket", *payload), "versions")
+    condition.append(F.col("_at_bucket") == F.col("_bucket"))
+    left = facts.withColumn("_at_bucket", bucket(F.col(at)))
+    wide = left.join(side, condition, how).select(*facts.columns, *payload)
+    if not overlapping(side, [*[f"_v_{k}" for k in keys], "_bucket"], start, end):
         return wide
     if not row_id:
         raise SpecError("versions overlap: name the columns that identify a fact in row_id")

@@ -23,8 +23,6 @@ from pyspark.sql import functions as F
 
 from sediment.session import materialize
 
-# A group up to this size is sorted within one task, with spilling, as Spark does anyway.
-MAX_GROUP_ROWS = 2_000_000
 MAX_BLOCK_ROWS = 200_000
 MIN_BLOCK_ROWS = 2_000
 
@@ -43,28 +41,18 @@ def rolling(
     tie_breakers: Sequence[str],
     group_by: Sequence[str] = (),
     exclude_current: bool = False,
-    max_group_rows: int = MAX_GROUP_ROWS,
     block_rows: int | None = None,
 ) -> DataFrame:
     """Add ``columns``, each a function of the window, to every row of ``df``.
 
     ``tie_breakers`` must make the order unique, or a row's frame would depend on the run.
-    With ``group_by`` the largest group is counted first; if all are small, the plain window
-    does the work in one shuffle. ``df`` may also be :class:`Blocks` made beforehand.
+    Groups of any size take the same way. ``df`` may also be :class:`Blocks` made beforehand.
     """
     if isinstance(df, Blocks):
         return df.roll(columns, exclude_current)
-    if group_by and largest_group(df, group_by) <= max_group_rows:
-        window = Window.partitionBy(*group_by).orderBy(*order_by, *tie_breakers)
-        window = window.rowsBetween(*frame_bounds(lookback, exclude_current))
-        return df.withColumns({name: make(window) for name, make in columns.items()})
     return blocks(df, order_by, lookback, tie_breakers, group_by, block_rows).roll(columns, exclude_current)
 
 
-def largest_group(df: DataFrame, group_by: Sequence[str]) -> int:
-    return df.groupBy(*group_by).agg(F.count("*").alias("n")).agg(F.max("n")).first()[0] or 0
-
-
 @dataclass(frozen=True)
 class Blocks:
     """Rows in global order, cut into blocks; several rolling computations can share them."""

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from sediment.config import SpecError
 from sediment.functions import lookup
 from sediment.operators.aggregates import grouped_metrics
+from sediment.operators.joins import left_join
 from sediment.session import materialize
 
 
@@ -28,7 +29,11 @@ def joined_sources(tables: Mapping[str, DataFrame], joins: Sequence[Mapping[str,
     for join in joins:
         for name in join["tables"]:
             if name not in seen:
-                out = out.join(tables[name].alias(name), F.expr(join["condition"]), join.get("type", "inner"))
+                right, how = tables[name].alias(name), join.get("type", "inner")
+                if how == "left":
+                    out = left_join(out, right, join["condition"], sorted(seen), name)
+                else:
+                    out = out.join(right, F.expr(join["condition"]), how)
                 seen.add(name)
     return out
 

@@ -1,18 +1,11 @@
-"""Session settings, the shared scratch folder and size-checked broadcasts."""
+"""Session settings and the shared scratch folder."""
 
 from __future__ import annotations
 
 import tempfile
 import uuid
-from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
-from pyspark.sql import types as T
-
-# Upper bounds for a frame that may be broadcast.
-BROADCAST_ROW_LIMIT = 500_000
-BROADCAST_BYTE_LIMIT = 128 * 1024 * 1024
+from pyspark.sql import DataFrame, SparkSession
 
 _SCRATCH: list[str] = []
 
@@ -71,29 +64,6 @@ def materialize(df: DataFrame, label: str = "table") -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def _width(field: T.StructField) -> Column:
-    """Bytes of a value: measured for text and nested values, eight for the others."""
-    value = F.col(f"`{field.name}`")
-    if isinstance(field.dataType, (T.StringType, T.BinaryType)):
-        return F.coalesce(F.octet_length(value), F.lit(0)) + 8
-    if isinstance(field.dataType, (T.ArrayType, T.MapType, T.StructType)):
-        return F.coalesce(F.octet_length(F.to_json(value)), F.lit(0)) + 16
-    return F.lit(8)
-
-
-def fits_broadcast(df: DataFrame, limit: int = BROADCAST_ROW_LIMIT, max_bytes: int = BROADCAST_BYTE_LIMIT) -> bool:
-    """True when ``df`` is within both limits; reads no more than ``limit + 1`` rows."""
-    width = reduce(lambda a, b: a + b, [_width(f) for f in df.schema.fields])
-    rows, size = df.limit(limit + 1).agg(F.count("*"), F.coalesce(F.sum(width), F.lit(0))).first()
-    return rows <= limit and size <= max_bytes
-
-
-def broadcast_if_small(df: DataFrame, limit: int = BROADCAST_ROW_LIMIT) -> DataFrame:
-    """Hint a broadcast only after measuring; beyond the limits the join stays a shuffle join,
-    whose hot partitions adaptive execution splits."""
-    return F.broadcast(df) if fits_broadcast(df, limit) else df
-
-
 def release_scratch(spark: SparkSession) -> int:
     """Delete the scratch tables this process has written; frames that read them end with it."""
     removed = 0

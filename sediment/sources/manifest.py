@@ -7,7 +7,6 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sediment.session import broadcast_if_small
 
 # Fields of a sidecar manifest.
 MANIFEST_SCHEMA = (
@@ -58,7 +57,7 @@ def attach_manifest(df: DataFrame, manifests: DataFrame, file_column: str = "sou
         F.col("record_count").alias("manifest_record_count"),
         F.col("file_size").alias("manifest_file_size"),
     )
-    return df.join(broadcast_if_small(sidecar), F.col(file_column) == F.col("_object_path"), "left").drop(
+    return df.join(sidecar, F.col(file_column) == F.col("_object_path"), "left").drop(
         "_object_path"
     )
 

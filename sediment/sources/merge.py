@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 from functools import reduce
 
@@ -10,23 +11,36 @@ from pyspark.sql import functions as F
 
 from sediment.config import SpecError
 from sediment.operators.dedup import keep_latest
-from sediment.session import broadcast_if_small, materialize
+from sediment.session import materialize
 from sediment.sources.writers import write_silver
 
 
-def merge_frames(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFrame:
+def require_unique(source: DataFrame, keys: Sequence[str], null_safe: Sequence[str] = ()) -> None:
+    """Refuse a source that holds a key twice, as its rows would race for the target row."""
+    known = [F.col(k).isNotNull() for k in keys if k not in null_safe]
+    rows = source.filter(reduce(lambda a, b: a & b, known)) if known else source
+    repeated = rows.groupBy(*keys).agg(F.count("*").alias("n")).filter("n > 1")
+    if not repeated.isEmpty():
+        raise SpecError(f"the source holds a key of {list(keys)} more than once")
+
+
+def merge_frames(
+    target: DataFrame, source: DataFrame, keys: Sequence[str], null_safe: Sequence[str] = ()
+) -> DataFrame:
     """Full outer join with a marker per side, so that a NULL in the source row wins as well.
 
-    A NULL key matches nothing: such source rows are added. ``source`` must hold a key once.
+    A NULL key matches nothing: such source rows are added. Keys named in ``null_safe`` match on
+    NULL too. ``source`` must hold a key once (:func:`require_unique`).
     """
     if set(target.columns) != set(source.columns):
         raise SpecError("merge needs the same columns on both sides")
     # Rows with an empty key meet nothing; spread them, as they would share one join task.
-    empty = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
+    empty = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys if k not in null_safe], F.lit(False))
     spread = F.when(empty, F.pmod(F.xxhash64(*target.columns), F.lit(1000))).otherwise(F.lit(-1))
     t = target.withColumn("_spread", spread).withColumn("_in_target", F.lit(True)).alias("t")
     s = source.withColumn("_spread", spread).withColumn("_in_source", F.lit(True)).alias("s")
-    condition = [F.col(f"t.{k}") == F.col(f"s.{k}") for k in [*keys, "_spread"]]
+    condition = [F.col(f"t.{k}") == F.col(f"s.{k}") for k in [*keys, "_spread"] if k not in null_safe]
+    condition += [F.col(f"t.{k}").eqNullSafe(F.col(f"s.{k}")) for k in null_safe]
     picked = [
         F.when(F.col("s._in_source"), F.col(f"s.{name}")).otherwise(F.col(f"t.{name}")).alias(name)
         for name in target.columns
@@ -70,12 +84,28 @@ class VersionedTable:
             stream.close()
 
     def _point_to(self, number: int) -> None:
+        """Write the pointer beside the old one and rename it over that, so readers find either."""
         location, fs = self._pointer()
-        stream = fs.create(location, True)
+        jvm = self.spark._jvm
+        beside = jvm.org.apache.hadoop.fs.Path(f"{self.path}/_next-{uuid.uuid4().hex}")
+        stream = fs.create(beside, False)
         try:
             stream.writeInt(number)
         finally:
             stream.close()
+        context = jvm.org.apache.hadoop.fs.FileContext.getFileContext(location.toUri(), self.spark._jsc.hadoopConfiguration())
+        rename = jvm.org.apache.hadoop.fs.Options.Rename
+        options = self.spark.sparkContext._gateway.new_array(rename, 1)
+        options[0] = rename.OVERWRITE
+        context.rename(fs.makeQualified(beside), fs.makeQualified(location), options)
+
+    def forget(self, keep: int = 1) -> int:
+        """Delete all but the last ``keep`` versions; returns how many went. Frames that read those end."""
+        location, fs = self._pointer()
+        removed = 0
+        for number in range(1, self.version() - max(keep, 1) + 1):
+            removed += bool(fs.delete(self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.path}/v{number}"), True))
+        return removed
 
     def read(self) -> DataFrame:
         number = self.version()
@@ -95,6 +125,8 @@ class VersionedTable:
     def merge(self, source: DataFrame, keys: Sequence[str], precombine: str | None = None) -> int:
         if precombine:
             source = latest_source(source, keys, precombine)
+        else:
+            require_unique(source, keys)
         if not self.version():
             return self.replace(source)
         return self.replace(merge_frames(self.read(), source, keys))
@@ -105,13 +137,17 @@ def merge_partitions(
 ) -> None:
     """Merge into a plain partitioned table, rewriting only the partitions the source touches.
 
-    A row's partition must not change, so the partition columns count as part of the key. The
-    outcome is written to the scratch folder first: the table is not read while it is replaced.
+    A row's partition must not change, so the partition columns count as part of the key; there
+    NULL is a value like any other, as it has a partition of its own. The outcome is written to the
+    scratch folder first: the table is not read while it is replaced.
     """
-    target = spark.read.parquet(path)
-    touched = broadcast_if_small(source.select(*partition_by).distinct())
-    affected = target.join(touched, list(partition_by), "left_semi").select(*source.columns)
-    merged = materialize(merge_frames(affected, source, list(dict.fromkeys([*keys, *partition_by]))), "merge")
+    target = spark.read.parquet(path).select(*source.columns)
+    every = list(dict.fromkeys([*keys, *partition_by]))
+    require_unique(source, every, partition_by)
+    touched = source.select(*[F.col(c).alias(f"_touched_{c}") for c in partition_by]).distinct()
+    same = [F.col(c).eqNullSafe(F.col(f"_touched_{c}")) for c in partition_by]
+    affected = target.join(touched, same, "left_semi")
+    merged = materialize(merge_frames(affected, source, every, partition_by), "merge")
     write_silver(merged, path, partition_by=partition_by, only_present_partitions=True)
 
 

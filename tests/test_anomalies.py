@@ -111,9 +111,9 @@ def test_forest_finds_the_far_points(spark):
 def test_forest_is_the_same_whatever_the_partitioning(spark):
     rng = np.random.default_rng(5)
     df = spark.createDataFrame([(i, float(x)) for i, x in enumerate(rng.normal(0, 1, 2000))], "id long, a double")
-    first, norm_a, _ = forest.fit(df.repartition(3), ["a"], ["id"])
-    second, norm_b, total = forest.fit(df.repartition(7).orderBy("a"), ["a"], ["id"])
-    assert np.array_equal(first, second) and norm_a == norm_b and total == 2000
+    first, _ = forest.fit(df.repartition(3), ["a"], ["id"])
+    second, total = forest.fit(df.repartition(7).orderBy("a"), ["a"], ["id"])
+    assert np.array_equal(first, second) and total == 2000
 
 
 def test_score_follows_the_trees(spark):
@@ -121,8 +121,8 @@ def test_score_follows_the_trees(spark):
     rng = np.random.default_rng(9)
     data = [(i, float(a), float(b)) for i, (a, b) in enumerate(rng.normal(0, 2, (300, 2)))]
     df = spark.createDataFrame(data, "id long, a double, b double")
-    nodes, norm, _ = forest.fit(df, ["a", "b"], ["id"], trees=7, sample_size=32)
-    scores = {r["id"]: r["anomaly_score"] for r in forest.score(df, ["a", "b"], nodes, norm).collect()}
+    nodes, _ = forest.fit(df, ["a", "b"], ["id"], trees=7, sample_size=32)
+    scores = {r["id"]: r["anomaly_score"] for r in forest.score(df, ["a", "b"], nodes).collect()}
     by_node = {(int(n[0]), int(n[1])): n for n in nodes}
     for i, *x in data[:40]:
         total = 0.0
@@ -132,7 +132,7 @@ def test_score_follows_the_trees(spark):
             while node[2] >= 0:
                 node = by_node[tree, int(node[4] if x[int(node[2])] < node[3] else node[5])]
             total += node[6]
-        assert scores[i] == pytest.approx(2 ** (-(total / len(trees)) / norm))
+        assert scores[i] == pytest.approx(2 ** -(total / len(trees)))
 
 
 def test_combined_findings(spark):

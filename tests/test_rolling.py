@@ -47,15 +47,19 @@ def test_block_smaller_than_lookback_is_widened(skewed, rows):
 
 
 def test_hot_group_is_split(skewed, rows):
-    split = blocked(skewed, 12, ["g"], max_group_rows=100, block_rows=64)
+    split = blocked(skewed, 12, ["g"], block_rows=64)
     assert rows(split) == rows(plain(skewed, 12, ["g"]))
     assert "hashpartitioning(g" not in split._jdf.queryExecution().executedPlan().toString().split("_block")[0]
 
 
-def test_small_groups_use_one_shuffle(skewed, rows):
-    df = blocked(skewed, 12, ["g"])
-    assert rows(df) == rows(plain(skewed, 12, ["g"]))
-    assert "_block" not in df._jdf.queryExecution().toString()
+def test_groups_of_any_size_have_one_plan(skewed, rows):
+    def shape(df):
+        plan = df._jdf.queryExecution().sparkPlan().toString()
+        return [line.strip(" :+-").split(" ")[0].split("(")[0] for line in plan.splitlines()]
+
+    small, large = blocked(skewed.limit(50), 12, ["g"]), blocked(skewed, 12, ["g"])
+    assert shape(small) == shape(large)
+    assert rows(large) == rows(plain(skewed, 12, ["g"]))
 
 
 def test_current_row_can_be_left_out(skewed, rows):

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from sediment.config import PipelineConfig, SpecError, load_spec, version_key
 from sediment.operators import audit, dedup, joins
-from sediment.session import fits_broadcast, scratch_path
+from sediment.session import scratch_path
 from sediment.sources import manifest, readers, writers
 from sediment.sources.merge import VersionedTable, merge_frames, merge_partitions, upsert_frames
 
@@ -184,8 +184,48 @@ def test_lineage(spark, rows):
         audit.lineage_closure(loop)
 
 
-def test_broadcast_bound(spark):
-    assert fits_broadcast(spark.range(10), 10) and not fits_broadcast(spark.range(11), 10)
+def test_lineage_of_any_depth(spark):
+    edges = spark.createDataFrame([(f"t{i}", f"t{i + 1}") for i in range(70)], "table_name string, depends_on string")
+    deepest = audit.lineage_closure(edges.filter("cast(substr(table_name, 2) as int) < 12")).agg({"depth": "max"}).first()[0]
+    assert deepest == 12
+
+
+def test_merge_keeps_rows_of_the_null_partition(spark, tmp_path, rows):
+    path = str(tmp_path / "t")
+    stored = spark.createDataFrame([(1, None, "x"), (2, None, "x"), (3, "a", "x"), (4, "b", "x")], "id int, p string, v string")
+    stored.write.partitionBy("p").parquet(path)
+    source = spark.createDataFrame([(9, None, "y"), (2, None, "y"), (3, "a", "y")], "id int, p string, v string")
+    merge_partitions(spark, path, source, ["id"], ["p"])
+    assert rows(spark.read.parquet(path).select("id", "p", "v")) == [
+        (1, None, "x"), (2, None, "y"), (3, "a", "y"), (4, "b", "x"), (9, None, "y")
+    ]
+    with pytest.raises(SpecError):
+        merge_partitions(spark, path, source.unionByName(source), ["id"], ["p"])
+
+
+def test_versions_are_pointed_to_by_rename_and_forgotten_on_request(spark, tmp_path):
+    kept = VersionedTable(spark, str(tmp_path / "v"))
+    for i in range(4):
+        kept.merge(spark.createDataFrame([(i, "x"), (None, "n")], "id int, v string"), ["id"])
+    assert kept.version() == 4 and kept.read().filter("id is not null").count() == 4
+    assert kept.forget(2) == 2 and kept.read().count() == 8
+    assert sorted(p.name for p in (tmp_path / "v").iterdir() if not p.name.startswith(".")) == ["_current", "v3", "v4"]
+    with pytest.raises(SpecError):
+        kept.merge(spark.createDataFrame([(1, "x"), (1, "y")], "id int, v string"), ["id"])
+
+
+def test_hot_key_on_the_right_of_a_left_join(spark, rows):
+    """The matches come from an inner join, which adaptive execution can split; the result is the plain one's."""
+    left = spark.createDataFrame([(i, f"n{i}") for i in range(5)] + [(None, "none")], "k int, n string")
+    right = spark.createDataFrame([(1, i) for i in range(200)] + [(2, 1), (7, 1), (None, 3)], "k int, x int")
+    out = joins.join_on(left, right, "l.k = r.k")
+    plain = left.alias("l").join(right.alias("r"), left["k"] == right["k"], "left")
+    assert rows(out) == rows(plain) and out.columns == ["k", "n", "k", "x"]
+    assert rows(out.select("l.k", "r.x")) == rows(plain.select("l.k", "r.x"))
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert "Join Inner" in plan and "Join LeftAnti" in plan and "Join LeftOuter" not in plan
+    other = joins.join_on(left, right, "l.k < r.k")
+    assert other.count() == left.alias("l").join(right.alias("r"), left["k"] < right["k"], "left").count()
 
 
 def test_unknown_format_is_an_error(spark):
