@@ -287,8 +287,9 @@ def _class_links(df: DataFrame, doc_id: str, text: str, classes: DataFrame, low_
     """Links between classes that give the same components as all links would.
 
     First every class is held against two centers of each of its buckets, those that meet the most other
-    rows, so that a group of many near copies needs no pairs among its copies. Then only
-    pairs of a bucket that are still in different components are compared, all of them."""
+    rows, so that a group of many near copies needs no pairs among its copies. Then only pairs of a bucket
+    that are still in different components are compared, all of them, in memory: the pairs that leave a
+    task are those that can link, not all that share a bucket."""
     rows = written(classes.select("node", F.explode("keys").alias("key")), "bands")
     shared = written(rows.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1"), "shared")
     members = written(rows.join(shared, "key"), "members")
