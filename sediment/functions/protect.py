@@ -28,13 +28,14 @@ def decrypt(c: Column, key: Column) -> Column:
 def protect_columns(
     df: DataFrame, columns: Iterable[str] | Mapping[str, str], key: Column | None = None
 ) -> DataFrame:
-    """Replace the named columns that exist; a mapping gives the protection per column
-    (``sha256`` or ``aes``), a plain list means ``sha256``."""
+    """Replace the named columns; a mapping gives the protection per column (``sha256`` or ``aes``),
+    a plain list means ``sha256``. A name that is not there is an error: it would stay readable
+    under another name."""
     wanted = dict(columns) if isinstance(columns, Mapping) else dict.fromkeys(columns, "sha256")
     changed = {}
     for name, kind in wanted.items():
         if name not in df.columns:
-            continue
+            raise SpecError(f"no column {name} to protect")
         if kind == "sha256":
             changed[name] = sha256(F.col(name))
         elif kind == "aes":

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sediment.config import AggregationRule, SpecError
+from sediment.session import materialize
 
 _AGGREGATES = {"sum": F.sum, "avg": F.avg, "count": F.count}
 
@@ -102,13 +103,9 @@ def distinct_count(df: DataFrame, columns: Sequence[str], approximate: bool = Fa
 
 
 def value_ratios(df: DataFrame, column: str) -> DataFrame:
-    """Frequency and share of each value. The total comes from a second, one-row aggregate."""
-    total = df.agg(F.count("*")).scalar()
-    return (
-        df.groupBy(F.col(column).alias("value"))
-        .agg(F.count("*").alias("frequency"))
-        .withColumn("ratio", F.col("frequency") / total)
-    )
+    """Frequency and share of each value. The table is read once: the total is that of the written counts."""
+    counts = materialize(df.groupBy(F.col(column).alias("value")).agg(F.count("*").alias("frequency")), "ratios")
+    return counts.withColumn("ratio", F.col("frequency") / counts.agg(F.sum("frequency")).scalar())
 
 
 def quartiles(df: DataFrame, column: str, group_by: Sequence[str] = (), accuracy: int = 10_000) -> DataFrame:

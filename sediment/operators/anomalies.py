@@ -60,8 +60,12 @@ def date_detector(
     group_by: Sequence[str] = (),
     grain: str = "row",
 ) -> DataFrame:
-    """z-score of a measure per date (and group). ``names`` gives the output columns ``value``,
-    ``mean``, ``deviation``, ``score`` and ``flag``. ``grain='date'`` returns the folded frame."""
+    """A measure per date (and group) against the dates before it. ``names`` gives the output columns
+    ``value``, ``mean``, ``deviation``, ``score`` and ``flag``. The score is a z-score, with the method
+    ``moving_average`` the relative distance from the mean, and with ``iqr`` the distance beyond the
+    quartiles in their spread. ``grain='date'`` returns the folded frame."""
+    if config.detection_method == "isolation_forest":
+        raise SpecError("a measure per date has no isolation forest")
     day = F.col(date).cast("date")
     folded = df.groupBy(*group_by, day.alias("_day")).agg(measure.alias(names["value"]))
     # The ungrouped frame has a row per calendar date, so one task can order it.
@@ -74,8 +78,19 @@ def date_detector(
             names["deviation"]: F.stddev_samp(names["value"]).over(window),
             "_seen": F.count("*").over(window),
         }
-    ).withColumn(names["score"], _zscore(names["value"], names["mean"], names["deviation"]))
-    test = F.abs(F.col(names["score"])) > config.threshold
+    )
+    value, mean = F.col(names["value"]), F.col(names["mean"])
+    if config.detection_method == "moving_average":
+        frame = frame.withColumn(names["score"], F.try_divide(F.abs(value - mean), mean))
+    elif config.detection_method == "iqr":
+        frame = frame.withColumn("_held", rolling_sorted(F.col(names["value"]))(window))
+        q1, q3 = rank_quantile(F.col("_held"), 0.25), rank_quantile(F.col("_held"), 0.75)
+        beyond = F.greatest(q1 - value, value - q3, F.lit(0))
+        frame = frame.withColumn(names["score"], F.try_divide(beyond, q3 - q1)).drop("_held")
+    else:
+        frame = frame.withColumn(names["score"], _zscore(names["value"], names["mean"], names["deviation"]))
+    limit = config.sensitivity if config.detection_method == "iqr" else config.threshold
+    test = F.abs(F.col(names["score"])) > limit
     frame = frame.withColumn(names["flag"], _flag(test, config, F.col("_seen"))).drop("_seen")
     if grain == "date":
         return frame.withColumnRenamed("_day", date)

@@ -100,14 +100,15 @@ def quality_events(results: DataFrame, pipeline_id: str, layer: str, at: Column
     )
 
 
-# Notification texts.
+# Notification texts and subjects.
 TEMPLATES = {
     "pipeline-success": (
-        "Pipeline execution completed successfully.\nWorkflow: %s\nDuration: %s\nStart Time: %s\nEnd Time: %s",
-        ("workflow", "duration", "start_time", "end_time"),
+        "Pipeline execution completed successfully.\nWorkflow: %s\nDuration: %s\nStart Time: %s\nEnd Time: %s\n\n"
+        "Metrics:\n- Records Processed: %s\n- Quality Score: %s",
+        ("workflow", "duration", "start_time", "end_time", "records_processed", "quality_score"),
     ),
     "pipeline-failure": (
-        "Pipeline execution failed.\nWorkflow: %s\nNode: %s\nError: %s",
+        "Pipeline execution failed.\nWorkflow: %s\nNode: %s\nError: %s\n\nPlease check the logs for more details.",
         ("workflow", "node", "error"),
     ),
     "quality-alert": (
@@ -118,6 +119,17 @@ TEMPLATES = {
 }
 
 
+SUBJECTS = {
+    "pipeline-success": "Data Pipeline Execution Success",
+    "pipeline-failure": "Data Pipeline Execution Failure",
+}
+
+
+def notification_subject(template: str) -> str | None:
+    """Subject of a mail; messages to a channel have none."""
+    return SUBJECTS.get(template)
+
+
 def notification_text(template: str, **fields: Column) -> Column:
     text, names = TEMPLATES[template]
     return F.format_string(text, *[F.coalesce(fields[n].cast("string"), F.lit("")) for n in names])

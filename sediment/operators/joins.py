@@ -84,10 +84,10 @@ def orphans(
     return source.join(wanted, condition, "left_anti")
 
 
-def orphan_keys(
+def key_counts(
     source: DataFrame, target: DataFrame, source_columns: Sequence[str], target_columns: Sequence[str]
 ) -> DataFrame:
-    """Distinct orphaned key values with their row counts.
+    """Distinct key values with their row counts, and ``_known`` (true, or NULL without a target row).
 
     Both sides are folded to one row per key before they meet, so a key that holds a third of
     the rows is a single row by then. An outer join with a marker keeps the fold in place: the
@@ -96,8 +96,15 @@ def orphan_keys(
     counted = source.groupBy(*source_columns).agg(F.count("*").alias("row_count"))
     known = target.select(*_renamed_keys(target, target_columns, "_t")).distinct().withColumn("_known", F.lit(True))
     condition = [F.col(c) == F.col(f"_t{i}") for i, c in enumerate(source_columns)]
-    joined = counted.join(known, condition, "left").filter(F.col("_known").isNull())
-    return joined.select(*source_columns, "row_count")
+    return counted.join(known, condition, "left").select(*source_columns, "row_count", "_known")
+
+
+def orphan_keys(
+    source: DataFrame, target: DataFrame, source_columns: Sequence[str], target_columns: Sequence[str]
+) -> DataFrame:
+    """Distinct orphaned key values with their row counts."""
+    counted = key_counts(source, target, source_columns, target_columns)
+    return counted.filter(F.col("_known").isNull()).drop("_known")
 
 
 def duplicate_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:

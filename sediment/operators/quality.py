@@ -19,7 +19,7 @@ from pyspark.sql import types as T
 from sediment.config import AnomalyConfig, QualityRule, SpecError
 from sediment.functions.text import out_of_bounds
 from sediment.operators import anomalies
-from sediment.operators.joins import orphan_keys, orphans
+from sediment.operators.joins import key_counts, orphan_keys, orphans
 
 RESULT_COLUMNS = (
     "table_name", "rule_id", "version", "rule_type", "severity", "target", "metric", "value", "passed",
@@ -332,10 +332,11 @@ def _referential(
     for name in _as_list(rule.params.get("target_table") or rule.params.get("sources")):
         target_columns = _as_list(rule.params.get("target_columns")) or source_columns
         target = tables[name] if name in tables else df.sparkSession.read.table(name)
-        lost = orphan_keys(df, target, source_columns, target_columns).agg(
-            F.coalesce(F.sum("row_count"), F.lit(0)).alias("r_orphans")
+        counted = key_counts(df, target, source_columns, target_columns)
+        row = counted.agg(
+            F.coalesce(F.sum(F.when(F.col("_known").isNull(), F.col("row_count"))), F.lit(0)).alias("r_orphans"),
+            F.coalesce(F.sum("row_count"), F.lit(0)).alias("r_total"),
         )
-        row = lost.withColumn("r_total", df.agg(F.count("*")).scalar())
         share = lambda get: F.lit(1.0) - _ratio(get("orphans"), get("total"))
         probe = Probe(
             rule,
@@ -354,14 +355,22 @@ def _detector(df: DataFrame, rule: QualityRule, table_name: str, *_: Any) -> lis
     groups, features = body.pop("group_columns", None), body.pop("feature_columns", None)
     config = AnomalyConfig(**body)
     ties = _as_list(rule.params.get("tie_breakers")) or df.columns
-    kind = rule.params["detector"]
+    kind, date = rule.params["detector"], rule.params.get("date", "processing_date")
     runs: dict[str, Callable[[], DataFrame]] = {
         "volume": lambda: anomalies.volume(df, config),
         "processing_time": lambda: anomalies.processing_time(df, config, ties),
         "error_rate": lambda: anomalies.error_rate(df, config),
         "quality_failure": lambda: anomalies.quality_failure(df, config),
+        "approval_rate": lambda: anomalies.approval_rate(df, config),
+        "regional": lambda: anomalies.regional(df, config, ties),
+        "employment_income": lambda: anomalies.employment_income(df, config, ties),
+        "segment": lambda: anomalies.forest(df, features, ties, "is_segment_anomaly"),
+        "isolation_forest": lambda: anomalies.forest(df, features, ties),
+        "zscore": lambda: anomalies.zscore(df, rule.params["column"], config, ties, date),
+        "iqr": lambda: anomalies.iqr(df, rule.params["column"], config, ties, date),
+        "moving_average": lambda: anomalies.moving_average(df, rule.params["column"], config, ties, date),
         "group_pattern": lambda: anomalies.group_pattern(
-            df, config, groups, features, ties, rule.params.get("date", "processing_date")
+            df, config, groups, features, ties, date
         ),
     }
     if kind not in runs:

@@ -105,6 +105,20 @@ def _run_each(
     return outcomes
 
 
+@dataclass(frozen=True)
+class Measured:
+    """What the checks of a table found; NULL where nothing was checked."""
+
+    passed: bool | None = None
+    score: float | None = None
+
+    def flag(self) -> Column:
+        return F.lit(self.passed).cast("boolean")
+
+    def share(self) -> Column:
+        return F.lit(self.score).cast("double")
+
+
 def _checked(
     spark: SparkSession,
     df: DataFrame,
@@ -113,19 +127,19 @@ def _checked(
     context: RunContext,
     tables: Mapping[str, DataFrame],
     path: str | None,
-    publish: Callable[[DataFrame], None],
+    publish: Callable[[DataFrame, Measured], None],
 ) -> Outcome:
     """Evaluate the checks on the written intermediate table, then publish it.
 
     A failed rule holds the table back, unless the spec names an action for its severity:
     ``log`` and ``alert`` let the table pass, ``quarantine`` moves the rows that break the
     rule aside and lets the others pass. A quarantine rule that does not judge single rows
-    holds the table back.
+    holds the table back. ``publish`` gets what was measured.
     """
     spec = item.get("quality") or item.get("quality_checks") or []
     rules: list[QualityRule] = rules_from_spec(spec)
     if not rules:
-        publish(df)
+        publish(df, Measured())
         return Outcome(item["name"], layer, "written")
     staged = materialize(df, f"{layer}-{item['name'].replace('.', '_')}")
     results = materialize(
@@ -140,7 +154,7 @@ def _checked(
     actions = actions.get("on_failure", actions)
     failed = quality.failed_rules(results)
     if not failed:
-        publish(staged)
+        publish(staged, Measured(True, 1.0))
         return Outcome(item["name"], layer, "written", results=results)
     chosen = {f["rule_id"]: actions.get(f["severity"]) for f in failed}
     if context.events_path and "alert" in chosen.values():
@@ -154,9 +168,11 @@ def _checked(
         flagged = quality.flag_rows(staged, aside)
         if path is None:
             return Outcome(item["name"], layer, "held", failed, results=results)
-        writers.append_quarantine(flagged.filter(F.size("reasons") > 0), path)
+        writers.append_quarantine(flagged.filter(F.size("reasons") > 0), path, "failed")
         staged = flagged.filter(F.size("reasons") == 0).drop("reasons")
-    publish(staged)
+    # Rows set aside no longer count against the rest; rules that were only reported do.
+    score = quality.quality_score(results).first()["data_quality_score"]
+    publish(staged, Measured(all(action == "quarantine" for action in chosen.values()), score))
     return Outcome(item["name"], layer, "written", failed, results=results)
 
 
@@ -179,7 +195,7 @@ def run_bronze(
             context,
             tables or {},
             zone["path"],
-            lambda out: writers.write_bronze(
+            lambda out, _: writers.write_bronze(
                 out, zone["path"], zone.get("format", context.storage_format), zone.get("partition_by", [])
             ),
         )
@@ -199,7 +215,8 @@ def bronze_frame(spark: SparkSession, item: Mapping[str, Any], context: RunConte
         typed = materialize(typed.select("*", F.expr("_metadata.file_path").alias("source_file")), "landing")
         good, bad = readers.split_corrupt(typed)
         if checks.get("on_error", "quarantine") == "quarantine":
-            writers.append_quarantine(bad, path)
+            sealed = ["raw_record"] if item.get("encrypted_columns") else []
+            writers.append_quarantine(protect_columns(bad, sealed), path, "malformed")
         df = good
     else:
         df = readers.read_source(
@@ -224,7 +241,10 @@ def bronze_transform(df: DataFrame, item: Mapping[str, Any], context: RunContext
         mapping = FieldMapping.from_spec(item["mapping"])
         validated = materialize(mapping.validate(df), "validated")
         df, kept_out = split_validated(validated)
-        writers.append_quarantine(kept_out, item["bronze_zone"]["path"] + "/_invalid")
+        secret = set(item.get("encrypted_columns") or [])
+        secret |= {t.source for t in mapping.targets if t.name in secret and t.source}
+        kept_out = protect_columns(kept_out, [c for c in kept_out.columns if c in secret])
+        writers.append_quarantine(kept_out, item["bronze_zone"]["path"], "invalid")
         df = mapping.project(df, context.mapping())
     df = protect_columns(df, item.get("encrypted_columns") or [])
     now = lookup("current_timestamp")(context.as_of)
@@ -324,10 +344,13 @@ def run_silver(
             source = item["input"]
             df = readers.read_stored(spark, source["path"], source.get("format", context.storage_format))
         df = silver_transform(df, item.get("transformations") or [], tables)
-        if item.get("mapping"):
-            df = FieldMapping.from_spec(item["mapping"]).project(df, context.mapping())
         out = item["output"]
-        # The gate has passed by the time the frame is published, which the flag records.
+        if item.get("mapping"):
+            mapping = FieldMapping.from_spec(item["mapping"])
+            if mapping.checks:
+                df, kept_out = split_validated(materialize(mapping.validate(df), "validated"))
+                writers.append_quarantine(kept_out, out["path"], "invalid")
+            df = mapping.project(df, context.mapping())
         return _checked(
             spark,
             df,
@@ -336,8 +359,8 @@ def run_silver(
             context,
             tables or {},
             out["path"],
-            lambda checked: writers.write_silver(
-                add_audit_columns(checked, "silver", context.as_of, quality_check_passed=F.lit(True)),
+            lambda checked, measured: writers.write_silver(
+                add_audit_columns(checked, "silver", context.as_of, quality_check_passed=measured.flag()),
                 out["path"],
                 out.get("format", context.storage_format),
                 out.get("partition_by", []),
@@ -389,7 +412,12 @@ def run_gold(
             context,
             tables or {},
             item["output"].get("path"),
-            lambda checked: _publish_gold(spark, add_audit_columns(checked, "gold", context.as_of), item["output"], context),
+            lambda checked, measured: _publish_gold(
+                spark,
+                add_audit_columns(checked, "gold", context.as_of, data_quality_score=measured.share()),
+                item["output"],
+                context,
+            ),
         )
 
     return _run_each(spark, spec["aggregations"], "gold", context, work)
@@ -410,7 +438,9 @@ def _publish_gold(spark: SparkSession, df: DataFrame, out: Mapping[str, Any], co
         if out.get("format", context.storage_format) == "delta":
             merge_into_delta(spark, out["table"], df, keys)
         else:
-            VersionedTable(spark, out["path"]).merge(df, keys)
+            stored = VersionedTable(spark, out["path"])
+            stored.merge(df, keys)
+            stored.register(out["table"])
         return
     writers.write_gold(
         df, out["table"], out.get("mode", "overwrite"), out.get("format", context.storage_format), out.get("path")
@@ -439,7 +469,10 @@ def process_table(
     elif layer in ("silver", "gold"):
         if not transformation:
             raise SpecError(f"{table_name} needs a transformation")
-        measured = {"quality_check_passed": F.lit(True)} if layer == "silver" else {"data_quality_score": F.lit(1.0)}
+        unchecked = Measured()
+        measured = (
+            {"quality_check_passed": unchecked.flag()} if layer == "silver" else {"data_quality_score": unchecked.share()}
+        )
         writers.write(add_audit_columns(spark.sql(transformation), layer, context.as_of, **measured), path, fmt)
     else:
         raise SpecError(f"unknown layer in {table_name!r}")

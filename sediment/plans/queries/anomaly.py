@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sediment.config import AnomalyConfig
-from sediment.operators import anomalies
+from sediment.config import AnomalyConfig, rules_from_spec
+from sediment.operators import anomalies, quality
 from sediment.plans.queries.registry import query, rounded, table
 
 # Thresholds lie off the values that scores of few equal rates take exactly, such as 1.5 and 2,
@@ -413,3 +413,29 @@ def an_group_forest(spark: SparkSession, d: str) -> DataFrame:
     return anomalies.group_pattern(
         orders, config, ["o_orderpriority", "o_orderstatus"], ["o_totalprice"], ["o_orderkey"], "o_orderdate"
     ).select("o_orderkey", "o_totalprice", "anomaly_score", "is_group_pattern_anomaly")
+
+
+@query(
+    "dq_detector_rules",
+    f"""with d as (select processing_date, count(*) as n, count(*) filter (where status = 'ERROR')::double / count(*) as r from {EVENTS_SQL} group by 1),
+       m as (select *, avg(r) over w as a, quantile_disc(n, 0.25) over w as q1, quantile_disc(n, 0.75) over w as q3 from d
+             window w as (order by processing_date rows between 7 preceding and current row)),
+       e as (select value, avg(value) over w as a, stddev_samp(value) over w as s from {EVENTS_SQL}
+             window w as (order by processing_date, event_id rows between 20 preceding and current row)),
+       c as (select 'error_rate' as target, sum(case when abs(r - a) / nullif(a, 0) > 0.3 then n else 0 end) as flagged, sum(n) as total from m
+             union all select 'volume', sum(case when greatest(q1 - n, n - q3, 0) / nullif(q3 - q1, 0) > 1.5 then n else 0 end), sum(n) from m
+             union all select 'zscore', count(*) filter (where abs((value - a) / nullif(s, 0)) > 2.5), count(*) from e)
+       select target, 'anomaly_count' as metric, flagged::double as value, flagged = 0 as passed from c
+       union all select target, 'total_rows', total::double, flagged = 0 from c""",
+)
+def dq_detector_rules(spark: SparkSession, d: str) -> DataFrame:
+    """Detectors as rules: each by the method that its rule names."""
+    config = {"lookback_window": 7, "threshold": 0.3}
+    found = [
+        {"type": "error_rate", "config": {**config, "detection_method": "moving_average"}},
+        {"type": "volume", "config": {**config, "detection_method": "iqr", "sensitivity": 1.5}},
+        {"type": "zscore", "column": "value", "tie_breakers": ["event_id"], "config": {"lookback_window": 20, "threshold": 2.5}},
+    ]
+    spec = {"rule_id": "events", "rules": {"patterns": {"type": "anomaly", "rules": found, "severity": "high"}}}
+    results = quality.evaluate(_events(spark, d), rules_from_spec(spec), "events")
+    return results.select("target", "metric", "value", "passed")

@@ -93,17 +93,44 @@ def threshold_breach(spark: SparkSession, d: str) -> DataFrame:
 @query(
     "notification_text",
     """select event_id, ':warning: Quality Check Alert' || chr(10) || 'Layer: bronze' || chr(10) || 'Check Type: ' || event_type
-         || chr(10) || 'Score: ' || user_id || chr(10) || 'Threshold: 90' as message from events where event_type = 'error'""",
+         || chr(10) || 'Score: ' || user_id || chr(10) || 'Threshold: 90' as message, null as subject
+       from events where event_type = 'error'
+       union all
+       select event_id, 'Pipeline execution completed successfully.' || chr(10) || 'Workflow: w' || user_id || chr(10) || 'Duration: '
+         || chr(10) || 'Start Time: ' || event_type || chr(10) || 'End Time: ' || chr(10) || chr(10) || 'Metrics:' || chr(10)
+         || '- Records Processed: ' || event_id || chr(10) || '- Quality Score: 1', 'Data Pipeline Execution Success'
+       from events where event_type = 'purchase'
+       union all
+       select event_id, 'Pipeline execution failed.' || chr(10) || 'Workflow: ' || user_id || chr(10) || 'Node: n' || chr(10)
+         || 'Error: view' || chr(10) || chr(10) || 'Please check the logs for more details.', 'Data Pipeline Execution Failure'
+       from events where event_type = 'view'""",
 )
 def notification_text(spark: SparkSession, d: str) -> DataFrame:
-    message = ev.notification_text(
-        "quality-alert",
-        layer=F.lit("bronze"),
-        check_type=F.col("event_type"),
-        score=F.col("user_id"),
-        threshold=F.lit(90),
-    )
-    return table(spark, d, "events").filter("event_type = 'error'").select("event_id", message.alias("message"))
+    fields = {
+        "error": (
+            "quality-alert",
+            dict(layer=F.lit("bronze"), check_type=F.col("event_type"), score=F.col("user_id"), threshold=F.lit(90)),
+        ),
+        "purchase": (
+            "pipeline-success",
+            dict(
+                workflow=F.concat(F.lit("w"), "user_id"),
+                duration=F.lit(None),
+                start_time=F.col("event_type"),
+                end_time=F.lit(None),
+                records_processed=F.col("event_id"),
+                quality_score=F.lit(1),
+            ),
+        ),
+        "view": ("pipeline-failure", dict(workflow=F.col("user_id"), node=F.lit("n"), error=F.col("event_type"))),
+    }
+    message, subject = F.lit(None), F.lit(None)
+    for kind, (template, columns) in fields.items():
+        chosen = F.col("event_type") == kind
+        message = F.when(chosen, ev.notification_text(template, **columns)).otherwise(message)
+        subject = F.when(chosen, F.lit(ev.notification_subject(template))).otherwise(subject)
+    events = table(spark, d, "events").filter(F.col("event_type").isin(*fields))
+    return events.select("event_id", message.alias("message"), subject.alias("subject"))
 
 
 def _topic_folder(spark: SparkSession, d: str) -> str:

@@ -99,6 +99,15 @@ class VersionedTable:
         options[0] = rename.OVERWRITE
         context.rename(fs.makeQualified(beside), fs.makeQualified(location), options)
 
+    def register(self, table: str) -> None:
+        """Make the current version readable as ``table`` of the session's catalog."""
+        location = f"{self.path}/v{self.version()}"
+        if self.spark.catalog.tableExists(table):
+            self.spark.sql(f"ALTER TABLE {table} SET LOCATION '{location}'")
+            self.spark.catalog.refreshTable(table)
+        else:
+            self.spark.catalog.createTable(table, location, "parquet")
+
     def forget(self, keep: int = 1) -> int:
         """Delete all but the last ``keep`` versions; returns how many went. Frames that read those end."""
         location, fs = self._pointer()

@@ -7,7 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sediment.config import InputFormat, StorageFormat
+from sediment.config import InputFormat, SpecError, StorageFormat
 
 # Partition columns a layer gets when its spec names none.
 DEFAULT_PARTITIONS = {
@@ -117,6 +117,18 @@ def append_quality_results(results: DataFrame, path: str, run: Mapping[str, Colu
     ).write.mode("append").parquet(path)
 
 
-def append_quarantine(rejected: DataFrame, layer_path: str) -> None:
+QUARANTINE_KINDS = ("malformed", "invalid", "failed")
+
+
+def quarantine_path(layer_path: str, kind: str) -> str:
+    """Folder of one kind of rejected rows: lines that do not parse (``malformed``), rows that break a
+    field check (``invalid``), rows that fail a quality rule (``failed``). Each kind has its own schema.
+    The folder stands beside the layer, as overwriting a layer empties its own folder."""
+    if kind not in QUARANTINE_KINDS:
+        raise SpecError(f"unknown quarantine kind {kind!r}")
+    return f"{layer_path.rstrip('/')}_quarantine/{kind}"
+
+
+def append_quarantine(rejected: DataFrame, layer_path: str, kind: str) -> None:
     """Rejected rows with their ``reasons`` array, beside the layer they were kept out of."""
-    rejected.write.mode("append").parquet(f"{layer_path.rstrip('/')}/_quarantine")
+    rejected.write.mode("append").parquet(quarantine_path(layer_path, kind))

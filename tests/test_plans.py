@@ -16,48 +16,51 @@ def csv(tmp_path, text, name="data.csv"):
     return str(tmp_path / name)
 
 
-def step_config(path, out, sql="SELECT * FROM feed WHERE value > 0"):
+def order_steps(landing, out, sql, least=0.9):
     return {
-        "id": "test",
+        "id": "orders",
         "steps": [
-            {"id": "feed", "type": "extract", "source": {"path": path, "schema": "id int, value int"}},
-            {"id": "positive", "type": "transform", "sql": sql},
-            {"id": "kept", "type": "load", "target": {"path": out, "format": "parquet"}},
+            {"id": "raw_orders", "type": "extract", "source": {"path": landing, "schema": "number int, customer string, cents long"}},
+            {"id": "per_customer", "type": "transform", "sql": sql},
+            {"id": "stored", "type": "load", "target": {"path": out, "format": "parquet"}},
         ],
-        "quality_rules": [{"id": "filled", "type": "null_check", "columns": ["id", "value"], "threshold": 0.99}],
+        "quality_rules": [{"id": "named", "type": "null_check", "columns": ["customer"], "threshold": least}],
     }
 
 
-def test_steps_succeed(spark, tmp_path):
-    path, out = csv(tmp_path, "id,value\n1,100\n2,200\n3,300\n"), str(tmp_path / "out")
-    reports, raised = steps.run_steps(spark, step_config(path, out), "2024-01-01T00:00:00")
-    assert [r["success"] for r in reports] == [True, True, True]
-    assert reports[0]["records_processed"] == 3 and reports[0]["quality_checks"]["filled"]["passed"]
-    assert reports[0]["metrics"]["bytes_processed"] == 27 and reports[0]["metrics"]["duration_ms"] > 0
-    assert spark.read.parquet(out).count() == 3
-    assert {r["event_type"] for r in raised.collect()} == {"pipeline_complete"}
-
-
-def test_nulls_fail_the_rule(spark, tmp_path):
-    path = csv(tmp_path, "id,value\n1,\n2,200\n3,\n")
-    reports, raised = steps.run_steps(spark, step_config(path, str(tmp_path / "out")), "t")
-    assert len(reports) == 1 and not reports[0]["success"]
-    assert reports[0]["quality_checks"]["filled"]["metrics"]["pass_rate"] == pytest.approx(1 / 3)
-    assert reports[0]["error"] == "Quality check failed: filled"
-    assert [r["event_type"] for r in raised.collect()] == ["quality_check_failure"]
-    assert not (tmp_path / "out").exists()
-
-
-def test_filter_keeps_positive_values(spark, tmp_path):
-    path = csv(tmp_path, "id,value\n1,100\n2,-50\n3,300\n")
-    reports, _ = steps.run_steps(spark, step_config(path, str(tmp_path / "out")), "t")
-    assert reports[1]["records_processed"] == 2
-
-
-def test_bad_sql_is_reported(spark, tmp_path):
-    path = csv(tmp_path, "id,value\n1,100\n")
-    reports, raised = steps.run_steps(spark, step_config(path, str(tmp_path / "out"), "INVALID SQL"), "t")
-    assert not reports[1]["success"] and reports[1]["error"]
+TOTALS = "select customer, count(*) as n, sum(cents) as cents from raw_orders group by customer"
+
+
+@pytest.mark.parametrize(
+    "lines,least,stored",
+    [
+        (["7,kim,500", "8,ola,125", "9,kim,25"], 0.9, [("kim", 2, 525), ("ola", 1, 125)]),
+        (["7,kim,500", "8,,125", "9,kim,25"], 0.6, [("kim", 2, 525), (None, 1, 125)]),
+        (["7,kim,500", "8,,125", "9,kim,25"], 0.9, None),
+    ],
+)
+def test_order_steps_store_totals_or_stop_at_the_rule(spark, tmp_path, lines, least, stored):
+    landing, out = csv(tmp_path, "\n".join(["number,customer,cents", *lines, ""])), tmp_path / "totals"
+    reports, raised = steps.run_steps(spark, order_steps(landing, str(out), TOTALS, least), "2021-05-06T07:08:09")
+    kinds = [r["event_type"] for r in raised.collect()]
+    check = reports[0]["quality_checks"]["named"]
+    assert check["metrics"]["pass_rate"] == pytest.approx(sum(",," not in x for x in lines) / len(lines))
+    if stored is None:
+        assert not check["passed"] and len(reports) == 1 and not out.exists()
+        assert reports[0]["error"] == "Quality check failed: named" and kinds == ["quality_check_failure"]
+        return
+    assert check["passed"] and all(r["success"] for r in reports) and set(kinds) == {"pipeline_complete"}
+    assert [r["records_processed"] for r in reports][:2] == [len(lines), len(stored)]
+    assert reports[0]["metrics"]["bytes_processed"] == (tmp_path / "data.csv").stat().st_size
+    found = {tuple(r) for r in spark.read.parquet(str(out)).select("customer", "n", "cents").collect()}
+    assert found == set(stored)
+
+
+def test_order_steps_report_the_step_that_cannot_run(spark, tmp_path):
+    landing = csv(tmp_path, "number,customer,cents\n1,kim,5\n")
+    config = order_steps(landing, str(tmp_path / "totals"), "select customer, from raw_orders")
+    reports, raised = steps.run_steps(spark, config, "2021-05-06T07:08:09")
+    assert [r["success"] for r in reports] == [True, False] and "PARSE" in reports[1]["error"].upper()
     assert raised.collect()[-1]["details"]["error"] == "SQL execution failed"
 
 
@@ -82,8 +85,8 @@ def test_bronze_drops_copies_across_files_and_keeps_bad_lines(spark, tmp_path):
     assert sorted(r["id"] for r in stored.collect()) == [1, 3]
     assert {"source_file", "ingestion_timestamp", "record_status", "processed_timestamp"} <= set(stored.columns)
     assert all(len(r["name"]) == 64 for r in stored.collect())
-    bad = spark.read.parquet(f"{tmp_path}/bronze/_quarantine").collect()
-    assert [r["raw_record"] for r in bad] == ["2,b,x"]
+    bad = spark.read.parquet(f"{tmp_path}/bronze_quarantine/malformed").collect()
+    assert [len(r["raw_record"]) for r in bad] == [64]
 
 
 def test_failed_check_holds_the_layer_back(spark, tmp_path):
@@ -112,7 +115,7 @@ def test_quarantine_action_lets_the_other_rows_pass(spark, tmp_path):
     (outcome,) = layers.run_bronze(spark, {"source_configurations": [bronze_item(str(tmp_path), quality=checks)]}, context)
     assert outcome.status == "written" and len(outcome.failed_rules) == 2
     assert sorted(r["id"] for r in spark.read.parquet(f"{tmp_path}/bronze").collect()) == [1, 3]
-    kept = [r for r in spark.read.option("mergeSchema", "true").parquet(f"{tmp_path}/bronze/_quarantine").collect() if r["id"]]
+    kept = spark.read.parquet(f"{tmp_path}/bronze_quarantine/failed").collect()
     assert [(r["id"], r["reasons"]) for r in kept] == [(2, ["people.completeness:name"])]
     assert spark.read.json(f"{tmp_path}/events").count() == 3
 
