@@ -237,18 +237,19 @@ def compare_bucket(rows: slice, frame: dict, floors: list[tuple[int, int]], perc
     return np.concatenate(first), np.concatenate(second)
 
 
-def crossing_pairs(rows: DataFrame, spec: NearDup, block: int = 1024, block_bytes: int = 16 << 20) -> DataFrame:
+def crossing_pairs(
+    rows: DataFrame, facts: DataFrame, spec: NearDup, block: int = 1024, block_bytes: int = 16 << 20
+) -> DataFrame:
     """Distinct ``a``, ``b`` of different roots that share a bucket and can reach the threshold.
 
-    ``rows``: ``key``, ``node``, ``root``, ``keys``, ``checks``, ``shingles``; written. A large bucket is cut into
-    blocks of about ``block`` rows and ``block_bytes``; each pair of blocks is compared in memory, and only pairs
-    that pass leave the task. Many small buckets share a task."""
+    ``rows``: ``key``, ``node``, ``root``, ``size`` in bytes; ``facts``: ``node``, ``keys``, ``checks``, ``shingles``; both
+    written. A large bucket is cut into blocks of about ``block`` rows and ``block_bytes``; each pair of blocks is
+    compared in memory, and only pairs that pass leave the task. Many small buckets share a task."""
     steps = range(spec.batch, spec.checks + 1, spec.batch)
     floors = [(n, posterior_floor(n, spec.percent, spec.miss)) for n in steps]
-    size = F.octet_length("shingles")
-    count, total = rows.agg(F.count("*"), F.sum(size)).first()
+    count, total = rows.agg(F.count("*"), F.sum("size")).first()
     tasks = 1 + max(count // 2500, (total or 0) // (8 << 20))
-    cut = F.ceil(F.greatest(F.count("*") / block, F.sum(size) / block_bytes)).cast("int")
+    cut = F.ceil(F.greatest(F.count("*") / block, F.sum("size") / block_bytes)).cast("int")
     blocks = written(rows.groupBy("key").agg(cut.alias("blocks")), "blocks")
     dealt = (
         rows.join(blocks, "key")
@@ -256,7 +257,8 @@ def crossing_pairs(rows: DataFrame, spec: NearDup, block: int = 1024, block_byte
         .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
         .withColumns({"low": F.least("own", "other"), "high": F.greatest("own", "other")})
         .withColumn("task", F.pmod(F.xxhash64("key", "low", "high"), F.lit(tasks)))
-        .drop("blocks", "other")
+        .drop("blocks", "other", "size")
+        .join(facts, "node")
     )
     percent = spec.percent
 
@@ -338,8 +340,13 @@ def _class_links(df: DataFrame, doc_id: str, text: str, classes: DataFrame, low_
     open_rows = written(rooted.join(mixed, "key"), "open")
     sets = sets_of(open_rows.select("node").distinct())
     facts = written(marks.join(sets, "node"), "facts")
-    discard(sets)
-    second = confirmed(crossing_pairs(written(open_rows.join(facts, "node"), "compared"), spec))
+    for done in (sets, marks, members, placed, rooted):
+        discard(done)
+    sizes = facts.select("node", F.octet_length("shingles").alias("size"))
+    sized = written(open_rows.join(sizes, "node"), "sized")
+    second = confirmed(crossing_pairs(sized, facts, spec))
+    for done in (open_rows, facts, sized):
+        discard(done)
     return first.unionByName(second)
 
 
@@ -367,6 +374,7 @@ def near_duplicates(df: DataFrame, doc_id: str = "doc_id", text: str = "text", s
     own = written(
         low_ids.join(placed, "node", "left").select("node", F.coalesce("component", "low").alias("component")), "own"
     )
+    discard(classes)
     return (
         sketched.drop("keys", "checks")
         .join(own, "node", "left")
@@ -393,10 +401,8 @@ def drop_near_duplicates(
     filled = written(judged.select("_n", "component_id"), "judged")
     ids = numbered.select(F.col(row).alias("_n"), F.col(doc_id).alias("_d"))
     sized = filled.join(ids, "_n")
-    keepers = written(
-        sized.groupBy("component_id").agg(
-            F.min_by("_n", F.struct(F.col("_d").isNull(), F.col("_d"), F.col("_n"))).alias(row), F.count("*").alias("n")
-        ),
-        "keepers",
-    )
-    return numbered.join(keepers.select(row), row, "left_semi").drop(row)
+    sized = written(sized, "grouped")
+    first = F.min_by("_n", F.struct(F.col("_d").isNull(), F.col("_d"), F.col("_n"))).alias("first")
+    groups = sized.groupBy("component_id").agg(first, F.count("*").alias("n")).filter("n > 1")
+    gone = sized.join(written(groups, "keepers"), "component_id").filter("_n <> first").select(F.col("_n").alias(row))
+    return numbered.join(keys_for_join(written(gone, "gone")), row, "left_anti").drop(row)
