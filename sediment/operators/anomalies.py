@@ -381,7 +381,7 @@ def group_pattern(
             *[F.avg(f).alias(f"_m_{f}") for f in features], *[F.stddev_samp(f).alias(f"_s_{f}") for f in features]
         )
         keys = {g: F.col(g) for g in group_by}
-        joined = _join_back(df, materialize(folded, "groups"), keys, calendar=False)
+        joined = _join_back(df, materialize(folded, "groups"), keys)
         scaled = joined.withColumns(
             {
                 f"_x_{f}": F.coalesce(F.try_divide(F.col(f) - F.col(f"_m_{f}"), F.col(f"_s_{f}")), F.lit(0.0))

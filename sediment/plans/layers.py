@@ -77,6 +77,7 @@ class RunContext:
     results_path: str | None = None
     events_path: str | None = None
     storage_format: str = "parquet"
+    stream_batch: int | None = None
 
     def mapping(self) -> MappingContext:
         return MappingContext(self.batch_id, self.as_of)
@@ -119,7 +120,7 @@ class Measured:
         return F.lit(self.score).cast("double")
 
 
-def _checked(
+def checked(
     spark: SparkSession,
     df: DataFrame,
     item: Mapping[str, Any],
@@ -168,7 +169,7 @@ def _checked(
         flagged = quality.flag_rows(staged, aside)
         if path is None:
             return Outcome(item["name"], layer, "held", failed, results=results)
-        writers.append_quarantine(flagged.filter(F.size("reasons") > 0), path, "failed")
+        writers.append_quarantine(flagged.filter(F.size("reasons") > 0), path, "failed", context.stream_batch)
         staged = flagged.filter(F.size("reasons") == 0).drop("reasons")
     # Rows set aside no longer count against the rest; rules that were only reported do.
     score = quality.quality_score(results).first()["data_quality_score"]
@@ -187,7 +188,7 @@ def run_bronze(
     def work(item: Mapping[str, Any]) -> Outcome:
         zone = item["bronze_zone"]
         df = bronze_frame(spark, item, context)
-        return _checked(
+        return checked(
             spark,
             df,
             item,
@@ -244,7 +245,7 @@ def bronze_transform(df: DataFrame, item: Mapping[str, Any], context: RunContext
         secret = set(item.get("encrypted_columns") or [])
         secret |= {t.source for t in mapping.targets if t.name in secret and t.source}
         kept_out = protect_columns(kept_out, [c for c in kept_out.columns if c in secret])
-        writers.append_quarantine(kept_out, item["bronze_zone"]["path"], "invalid")
+        writers.append_quarantine(kept_out, item["bronze_zone"]["path"], "invalid", context.stream_batch)
         df = mapping.project(df, context.mapping())
     df = protect_columns(df, item.get("encrypted_columns") or [])
     now = lookup("current_timestamp")(context.as_of)
@@ -351,7 +352,7 @@ def run_silver(
                 df, kept_out = split_validated(materialize(mapping.validate(df), "validated"))
                 writers.append_quarantine(kept_out, out["path"], "invalid")
             df = mapping.project(df, context.mapping())
-        return _checked(
+        return checked(
             spark,
             df,
             item,
@@ -404,7 +405,7 @@ def run_gold(
 
     def work(item: Mapping[str, Any]) -> Outcome:
         df = gold_frame(spark, item, tables, context.as_of)
-        return _checked(
+        return checked(
             spark,
             df,
             item,

@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sediment.config import AnomalyConfig, rules_from_spec
-from sediment.operators import anomalies, quality
+from sediment.operators import anomalies, isolation_forest, quality
 from sediment.plans.queries.registry import query, rounded, table
 
 # Thresholds lie off the values that scores of few equal rates take exactly, such as 1.5 and 2,
@@ -392,27 +393,71 @@ def an_detection_events(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
-@query("an_isolation_forest")
+def _forest_facts(found: DataFrame, flag: str, share: float) -> DataFrame:
+    """Rows, and whether scores and flags keep their bounds: a score is in (0, 1], and flagged are the
+    highest, no more than their share (and one for rounding)."""
+    score, flagged = F.col("anomaly_score"), F.count_if(flag)
+    return found.agg(
+        F.count("*").alias("total_rows"),
+        F.bool_and((score > 0) & (score <= 1)).alias("scores_in_range"),
+        ((flagged <= share * F.count("*") + 1) & (flagged > 0)).alias("share_kept"),
+        (F.min(F.when(F.col(flag), score)) > F.max(F.when(~F.col(flag), score))).alias("highest_flagged"),
+    )
+
+
+def _forest_sql(table_name: str) -> str:
+    return f"select count(*) as total_rows, true as scores_in_range, true as share_kept, true as highest_flagged from {table_name}"
+
+
+@query("an_isolation_forest", _forest_sql("lineitem"))
 def an_isolation_forest(spark: SparkSession, d: str) -> DataFrame:
     items = table(spark, d, "lineitem").select(*ITEM_KEYS, "l_quantity", "l_discount")
-    return anomalies.forest(items, ["l_extendedprice", "l_quantity", "l_discount"], ITEM_KEYS)
+    found = anomalies.forest(items, ["l_extendedprice", "l_quantity", "l_discount"], ITEM_KEYS)
+    return _forest_facts(found, "is_isolation_forest_anomaly", 0.1)
 
 
-@query("an_segment_forest")
+@query("an_segment_forest", _forest_sql("customer"))
 def an_segment_forest(spark: SparkSession, d: str) -> DataFrame:
     people = table(spark, d, "customer").selectExpr(
         "c_custkey", "c_acctbal as credit_score", "double(c_nationkey) as income", "c_acctbal / (c_nationkey + 1) as debt_ratio"
     )
-    return anomalies.forest(people, ["credit_score", "income", "debt_ratio"], ["c_custkey"], "is_segment_anomaly")
+    found = anomalies.forest(people, ["credit_score", "income", "debt_ratio"], ["c_custkey"], "is_segment_anomaly")
+    return _forest_facts(found, "is_segment_anomaly", 0.1)
 
 
-@query("an_group_forest")
+@query("an_group_forest", _forest_sql("orders"))
 def an_group_forest(spark: SparkSession, d: str) -> DataFrame:
     config = AnomalyConfig("isolation_forest", 30, 0.95)
     orders = table(spark, d, "orders")
-    return anomalies.group_pattern(
+    found = anomalies.group_pattern(
         orders, config, ["o_orderpriority", "o_orderstatus"], ["o_totalprice"], ["o_orderkey"], "o_orderdate"
-    ).select("o_orderkey", "o_totalprice", "anomaly_score", "is_group_pattern_anomaly")
+    )
+    return _forest_facts(found, "is_group_pattern_anomaly", 0.1)
+
+
+@query(
+    "an_forest_scores",
+    """select l_orderkey, l_linenumber, l_partkey, round(pow(2, -((case when l_quantity < 20 then 0.25
+              when l_discount < 0.05 then 0.5 else 1.5 end) + (case when l_discount < 0.02 then 0.75 else 0.125 end)) / 2), 9) as anomaly_score
+       from lineitem""",
+)
+def an_forest_scores(spark: SparkSession, d: str) -> DataFrame:
+    """Two given trees: (tree, node, feature, cut, left, right, path), a leaf has feature -1."""
+    trees = np.array(
+        [
+            (0, 0, 0, 20.0, 1, 2, 0.0),
+            (0, 1, -1, 0.0, -1, -1, 0.25),
+            (0, 2, 1, 0.05, 3, 4, 0.0),
+            (0, 3, -1, 0.0, -1, -1, 0.5),
+            (0, 4, -1, 0.0, -1, -1, 1.5),
+            (1, 0, 1, 0.02, 1, 2, 0.0),
+            (1, 1, -1, 0.0, -1, -1, 0.75),
+            (1, 2, -1, 0.0, -1, -1, 0.125),
+        ]
+    )
+    items = table(spark, d, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_quantity", "l_discount")
+    scored = isolation_forest.score(items, ["l_quantity", "l_discount"], trees)
+    return rounded(scored.drop("l_quantity", "l_discount"), ["anomaly_score"], 9)
 
 
 @query(

@@ -27,11 +27,13 @@ def _landed(spark: SparkSession, d: str, fmt: str, name: str = "customer") -> st
 
 @query(
     "read_csv_inferred",
-    "select cast(c_custkey as bigint) as c_custkey, c_name, cast(c_nationkey as bigint) as c_nationkey, c_acctbal, c_mktsegment from customer",
+    """select cast(c_custkey as integer) as c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment,
+              'int string int double string' as inferred from customer""",
 )
 def read_csv_inferred(spark: SparkSession, d: str) -> DataFrame:
+    """The columns as inferred, with the kinds that were inferred for them."""
     df = readers.read_source(spark, _landed(spark, d, "csv"), "csv")
-    return df.withColumns({c: F.col(c).cast("bigint") for c in ("c_custkey", "c_nationkey")})
+    return df.withColumn("inferred", F.concat_ws(" ", *[F.typeof(c) for c in df.columns]))
 
 
 @query("read_json", CUSTOMER_SQL)
@@ -163,14 +165,19 @@ def catalog_tables(spark: SparkSession, d: str) -> DataFrame:
 
 @query(
     "file_facts",
-    "select count(*)::bigint as row_count, true as sizes_known, true as names_known from lineitem",
+    """select l_returnflag || l_linestatus as folder, count(*) as row_count, 1::bigint as files, 31 * count(*) as file_size
+       from lineitem group by 1""",
 )
 def file_facts(spark: SparkSession, d: str) -> DataFrame:
-    facts = manifest.file_facts(table(spark, d, "lineitem"))
-    return facts.agg(
-        F.sum("row_count").alias("row_count"),
-        F.bool_and(F.col("file_size") > 0).alias("sizes_known"),
-        F.bool_and(F.col("file_name").endswith(".parquet")).alias("names_known"),
+    """One file of 31 bytes a line (with its end) for each pair of flags."""
+    path = scratch_path(spark, "facts")
+    lines = table(spark, d, "lineitem").selectExpr(
+        "concat(l_returnflag, l_linestatus) as folder", "lpad(concat_ws('-', l_orderkey, l_linenumber), 30, '.') as value"
+    )
+    lines.repartition(1).write.partitionBy("folder").text(path)
+    facts = manifest.file_facts(spark.read.text(path))
+    return facts.groupBy(F.regexp_extract("file_path", "folder=([^/]*)/", 1).alias("folder")).agg(
+        F.sum("row_count").alias("row_count"), F.count_distinct("file_name").alias("files"), F.sum("file_size").alias("file_size")
     )
 
 

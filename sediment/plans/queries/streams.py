@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from sediment.operators import events as ev
 from sediment.plans.queries.registry import query, rounded, table
 from sediment.session import scratch_path
+from sediment.sources.writers import quarantine_path
 from sediment.streaming import flows
 
 KIND = """case event_type when 'error' then 'pipeline_error' when 'view' then 'quality_check_failure'
@@ -165,19 +166,36 @@ def stream_alert_store(spark: SparkSession, d: str) -> DataFrame:
     return spark.read.parquet(f"{root}/store").groupBy("event_type").agg(F.count("*").alias("stored"))
 
 
-@query("stream_file_arrival", "select event_id, event_type, value, true as from_file from events")
+@query(
+    "stream_file_arrival",
+    """select event_id, case when event_type = 'error' then 'malformed' when value > 90 then 'failed' else 'stored' end as outcome
+       from events""",
+)
 def stream_file_arrival(spark: SparkSession, d: str) -> DataFrame:
-    """Files that arrive in a folder are ingested once each, whatever the number of runs."""
+    """Files that arrive are taken through the bronze steps once each, whatever the number of runs."""
     root = scratch_path(spark, "arrival")
-    rows = table(spark, d, "events").select("event_id", "event_type", "value")
-    schema = "event_id long, event_type string, value double"
-    for part in ("event_type < 'm'", "event_type >= 'm'"):
+    value = "if(event_type = 'error', 'none', string(value)) as value"
+    rows = table(spark, d, "events").selectExpr("event_id", "event_type", value)
+    item = {
+        "name": "events",
+        "format": "csv",
+        "landing_zone": {"path": f"{root}/landing", "file_pattern": "*.csv"},
+        "schema_validation": {"schema": "event_id long, event_type string, value double", "mode": "strict"},
+        "quality": {
+            "rule_id": "events",
+            "rules": {"limit": {"type": "numeric", "rules": [{"column": "value", "max_value": 90}], "severity": "high"}},
+            "actions": {"on_failure": {"high": "quarantine"}},
+        },
+        "bronze_zone": {"path": f"{root}/bronze"},
+    }
+    for part in ("event_type < 'm'", "event_type >= 'm'", "false"):
         flows.stage_table(rows.filter(part), f"{root}/landing", "csv", {"header": "true"})
-        flows.ingest_files(
-            spark, f"{root}/landing", "csv", schema, f"{root}/bronze", f"{root}/checkpoint", pattern="*.csv"
-        )
-    stored = spark.read.parquet(f"{root}/bronze")
-    return stored.select("event_id", "event_type", "value", F.col("source_file").endswith(".csv").alias("from_file"))
+        flows.ingest_layer(spark, item, f"{root}/checkpoint")
+    stored = spark.read.parquet(f"{root}/bronze").select("event_id", F.lit("stored").alias("outcome"))
+    failed = spark.read.parquet(quarantine_path(f"{root}/bronze", "failed")).select("event_id", F.lit("failed").alias("outcome"))
+    lines = spark.read.parquet(quarantine_path(f"{root}/bronze", "malformed"))
+    number = F.split("raw_record", ",")[0].cast("long").alias("event_id")
+    return stored.unionByName(failed).unionByName(lines.select(number, F.lit("malformed").alias("outcome")))
 
 
 @query(

@@ -129,6 +129,11 @@ def quarantine_path(layer_path: str, kind: str) -> str:
     return f"{layer_path.rstrip('/')}_quarantine/{kind}"
 
 
-def append_quarantine(rejected: DataFrame, layer_path: str, kind: str) -> None:
-    """Rejected rows with their ``reasons`` array, beside the layer they were kept out of."""
-    rejected.write.mode("append").parquet(quarantine_path(layer_path, kind))
+def append_quarantine(rejected: DataFrame, layer_path: str, kind: str, batch: int | None = None) -> None:
+    """Rejected rows with their ``reasons`` array, beside the layer they were kept out of. Those of a
+    stream's batch replace what an earlier try of that batch has left."""
+    path = quarantine_path(layer_path, kind)
+    if batch is None:
+        rejected.write.mode("append").parquet(path)
+    else:
+        rejected.write.mode("overwrite").parquet(f"{path}/batch={batch}")

@@ -4,6 +4,7 @@ is repeated from its checkpoint adds nothing twice."""
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping
+from dataclasses import replace
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -11,8 +12,13 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from sediment.config import InputFormat, PipelineConfig, SpecError
+from sediment.functions.protect import protect_columns
 from sediment.operators import events
-from sediment.sources.readers import FILE_FACTS
+from sediment.plans import layers
+from sediment.plans.layers import RunContext
+from sediment.session import materialize
+from sediment.sources import readers, writers
+from sediment.sources.readers import FILE_FACTS, as_schema
 
 
 def arriving_files(
@@ -112,6 +118,56 @@ def ingest_files(
     return run_available(rows, checkpoint, lambda df, batch: write(keep(df), batch))
 
 
+def ingest_layer(
+    spark: SparkSession,
+    item: Mapping,
+    checkpoint: str,
+    context: RunContext = RunContext(),
+    max_files_per_trigger: int | None = None,
+) -> StreamingQuery:
+    """Arriving files of a landing source through the steps of the batch layer: strict parsing, duplicates
+    within the batch, field checks, protection and the quality gate.
+
+    Each batch has a folder ``batch=<id>`` in the layer and in every quarantine kind, which a repeated
+    batch overwrites. A batch that the gate holds back stops the stream and is tried again."""
+    landing, path = item["landing_zone"], item["bronze_zone"]["path"]
+    typed = as_schema(item["schema_validation"]["schema"])
+    typed = T.StructType.fromDDL(typed) if isinstance(typed, str) else typed
+    typed = T.StructType([*typed.fields, T.StructField(readers.CORRUPT, T.StringType())])
+    arriving = arriving_files(
+        spark,
+        landing["path"],
+        item["format"],
+        typed,
+        landing.get("file_pattern"),
+        max_files_per_trigger,
+        mode="PERMISSIVE",
+        columnNameOfCorruptRecord=readers.CORRUPT,
+    )
+    facts = [name for name in FILE_FACTS if name != "file_path"]
+    arriving = arriving.withColumnRenamed("file_path", "source_file").drop(*facts)
+
+    def sink(df: DataFrame, batch: int) -> None:
+        own = replace(context, stream_batch=batch)
+        good, bad = readers.split_corrupt(materialize(df, "arrived"))
+        sealed = ["raw_record"] if item.get("encrypted_columns") else []
+        writers.append_quarantine(protect_columns(bad, sealed), path, "malformed", batch)
+        outcome = layers.checked(
+            spark,
+            layers.bronze_transform(good, item, own),
+            item,
+            "bronze",
+            own,
+            {},
+            path,
+            lambda out, _: out.write.mode("overwrite").parquet(f"{path}/batch={batch}"),
+        )
+        if outcome.status == "held":
+            raise layers.LayerFailed([outcome])
+
+    return run_available(arriving, checkpoint, sink)
+
+
 def handle_alerts(
     alerts: DataFrame, checkpoint: str, store: str, notify: str, template: str = "processing-alert"
 ) -> StreamingQuery:
@@ -148,11 +204,22 @@ def route_events(stream: DataFrame, checkpoint: str, path: str) -> StreamingQuer
     return query
 
 
-def route_to_kafka(stream: DataFrame, checkpoint: str, servers: str, **options: str) -> StreamingQuery:
-    """Events to Kafka, the topic taken from each row."""
+def to_output_topic(messages: DataFrame, config: PipelineConfig) -> DataFrame:
+    """All messages to the topic that the pipeline names for its output."""
+    if not config.kafka_output_topic:
+        raise SpecError(f"{config.pipeline_name} names no output topic")
+    return messages.withColumn("topic", F.lit(config.kafka_output_topic))
+
+
+def route_to_kafka(
+    stream: DataFrame, checkpoint: str, servers: str, config: PipelineConfig | None = None, **options: str
+) -> StreamingQuery:
+    """Events to Kafka: to the pipeline's output topic, or without one to the topic of each row."""
+    messages = events.as_messages(stream)
+    if config is not None and config.kafka_output_topic:
+        messages = to_output_topic(messages, config)
     return (
-        events.as_messages(stream)
-        .writeStream.format("kafka")
+        messages.writeStream.format("kafka")
         .option("kafka.bootstrap.servers", servers)
         .options(**options)
         .option("checkpointLocation", checkpoint)

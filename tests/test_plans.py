@@ -263,3 +263,59 @@ def test_address_and_contact_steps(spark, rows):
     out = layers.silver_transform(people, steps_, {"places": places, "email_domains": domains})
     picked = out.select("id", "zip", "city_state_valid", "address_valid", "email_valid", "email_domain_valid", "phone")
     assert rows(picked) == [(1, "13440", True, True, True, True, "+1555"), (2, "00900", False, False, True, False, None)]
+
+
+def test_output_topic_follows_the_config(spark):
+    from sediment.config import PipelineConfig
+
+    body = dict(pipeline_name="p", landing_location="i", target_location="o", input_format="csv")
+    messages = spark.createDataFrame([("k", "v", "t")], "key string, value string, topic string")
+    routed = flows.to_output_topic(messages, PipelineConfig(**body, kafka_output_topic="out"))
+    assert [tuple(r) for r in routed.collect()] == [("k", "v", "out")]
+    with pytest.raises(SpecError):
+        flows.to_output_topic(messages, PipelineConfig(**body))
+
+
+def test_kafka_source_gets_its_options():
+    class Reader:
+        def __init__(self):
+            self.seen = {}
+
+        def format(self, name):
+            self.seen["format"] = name
+            return self
+
+        def option(self, key, value):
+            self.seen[key] = value
+            return self
+
+        def options(self, **more):
+            self.seen.update(more)
+            return self
+
+        def load(self):
+            return self
+
+        def select(self, *columns):
+            return self.seen
+
+    class Session:
+        readStream = Reader()
+
+    seen = flows.topic_stream(Session(), "in", servers="h:1", starting_offsets="earliest", failOnDataLoss="false")
+    assert seen == {
+        "format": "kafka", "kafka.bootstrap.servers": "h:1", "subscribe": "in", "startingOffsets": "earliest", "failOnDataLoss": "false",
+    }
+    with pytest.raises(SpecError):
+        flows.topic_stream(Session(), "in")
+
+
+def test_a_repeated_stream_batch_quarantines_once(spark, tmp_path):
+    landing = tmp_path / "landing"
+    landing.mkdir()
+    csv(landing, "id,name,age\n1,a,10\n2,b,x\n", "a.csv")
+    item = {**bronze_item(str(landing)), "bronze_zone": {"path": f"{tmp_path}/bronze"}}
+    for run in range(2):
+        flows.ingest_layer(spark, item, str(tmp_path / f"checkpoint{run}"))
+    assert spark.read.parquet(f"{tmp_path}/bronze").count() == 1
+    assert spark.read.parquet(f"{tmp_path}/bronze_quarantine/malformed").count() == 1
