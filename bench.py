@@ -12,7 +12,7 @@ import os
 import time
 
 from sediment.plans.queries import runners
-from sediment.session import build_session
+from sediment.session import build_session, release_scratch
 
 HEADLINE = (
     "gold_customer_metrics",
@@ -60,7 +60,9 @@ def main() -> None:
     def run(name: str) -> float:
         started = time.perf_counter()
         known[name](spark, directory).write.format("noop").mode("overwrite").save()
-        return round(time.perf_counter() - started, 3)
+        took = round(time.perf_counter() - started, 3)
+        release_scratch(spark)
+        return took
 
     timings = {}
     for name in names:

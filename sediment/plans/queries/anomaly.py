@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from sediment.config import AnomalyConfig, rules_from_spec
 from sediment.operators import anomalies, isolation_forest, quality
 from sediment.plans.queries.registry import query, rounded, table
+from sediment.session import materialize
 
 # Thresholds lie off the values that scores of few equal rates take exactly, such as 1.5 and 2,
 # where the last bit of a sum would decide.
@@ -370,6 +371,97 @@ def an_summary(spark: SparkSession, d: str) -> DataFrame:
     return anomalies.summary(_everything(spark, d)).select("detector", "total_records", "anomaly_count")
 
 
+WIDE_SQL = """(select o_orderkey, o_totalprice as amount, o_totalprice / (1 + c_nationkey) as income, n_name as region,
+  n_name as state, o_orderdate as processing_date, o_orderdate as start_time, end_time,
+  epoch(end_time)::bigint - epoch(o_orderdate)::bigint as processing_time, c_mktsegment as employment_status,
+  case o_orderstatus when 'F' then 'APPROVED' when 'O' then 'REJECTED' else 'ERROR' end as status,
+  o_orderdate as check_date, o_orderpriority as check_type, case when lines > 4 then 'FAILED' else 'PASSED' end as check_status
+  from orders join customer on o_custkey = c_custkey join nation on c_nationkey = n_nationkey
+  join (select l_orderkey, max(l_shipdate) as end_time, count(*) as lines from lineitem group by 1) on l_orderkey = o_orderkey)"""
+
+
+def _wide(spark: SparkSession, d: str) -> DataFrame:
+    """Orders with their customer and their lines: every column that a detector asks for."""
+    lines = table(spark, d, "lineitem").groupBy("l_orderkey").agg(F.max("l_shipdate").alias("end_time"), F.count("*").alias("lines"))
+    return (
+        table(spark, d, "orders")
+        .join(table(spark, d, "customer"), F.expr("o_custkey = c_custkey"))
+        .join(table(spark, d, "nation"), F.expr("c_nationkey = n_nationkey"))
+        .join(lines, F.expr("l_orderkey = o_orderkey"))
+        .selectExpr(
+            "o_orderkey",
+            "o_totalprice as amount",
+            "o_totalprice / (1 + c_nationkey) as income",
+            "c_acctbal as credit_score",
+            "c_acctbal / (1 + lines) as debt_ratio",
+            "n_name as region",
+            "n_name as state",
+            "o_orderdate as processing_date",
+            "o_orderdate as start_time",
+            "end_time",
+            "c_mktsegment as employment_status",
+            "case o_orderstatus when 'F' then 'APPROVED' when 'O' then 'REJECTED' else 'ERROR' end as status",
+            "o_orderdate as check_date",
+            "o_orderpriority as check_type",
+            "if(lines > 4, 'FAILED', 'PASSED') as check_status",
+        )
+    )
+
+
+def _counted(detector: str, flag: str, sql: str) -> str:
+    counted = f"count(*) filter (where {flag})" if flag else "null::bigint"
+    return f"select '{detector}' as detector, count(*) as total_records, {counted} as anomaly_count from ({sql})"
+
+
+def _date_counts(detector: str, measure: str, group: str = "", day: str = "processing_date") -> str:
+    names = ("v", "m", "s", "z", "flagged")
+    return _counted(detector, "flagged", _date_sql(measure, *names, WIDE_SQL, "o_orderkey", group, day, 30, 2.0))
+
+
+def _row_counts(detector: str, column: str, order: str = "processing_date", group: str = "") -> str:
+    sql = _row_sql(column, "m", "s", "z", "flagged", WIDE_SQL, "o_orderkey", f"{order}, o_orderkey", group, threshold=2.0)
+    return _counted(detector, "flagged", sql)
+
+
+def _iqr_counts(detector: str, group: str = "") -> str:
+    return _counted(detector, "flagged", _iqr_sql("amount", WIDE_SQL, "o_orderkey", "processing_date, o_orderkey", ("a1", "a3", "d", "flagged"), group))
+
+
+@query(
+    "an_all_detectors",
+    " union all ".join(
+        [
+            _date_counts("volume", "count(*)"),
+            _row_counts("processing_time", "processing_time", "start_time"),
+            _date_counts("error_rate", "count(*) filter (where status = 'ERROR')::double / count(*)"),
+            _date_counts("quality_failure", "count(*) filter (where check_status = 'FAILED')::double / count(*)", "check_type", "check_date"),
+            _iqr_counts("regional", "region"),
+            _counted("segment", "", f"select * from {WIDE_SQL}"),
+            _row_counts("employment_income", "income", group="employment_status"),
+            _date_counts("approval_rate", "count(*) filter (where status = 'APPROVED')::double / count(*)", "state"),
+            _row_counts("zscore", "amount"),
+            _iqr_counts("iqr"),
+            _counted("isolation_forest", "", f"select * from {WIDE_SQL}"),
+            _counted(
+                "moving_average",
+                "abs(amount - a) / nullif(a, 0) > 2.0",
+                "select amount, avg(amount) over (order by processing_date, o_orderkey rows between 30 preceding and current row) as a "
+                f"from {WIDE_SQL}",
+            ),
+        ]
+    ),
+)
+def an_all_detectors(spark: SparkSession, d: str) -> DataFrame:
+    """All twelve detectors over one written frame; the forests' counts depend on drawn trees and are left out."""
+    config = AnomalyConfig(lookback_window=30, threshold=2.0, sensitivity=1.5)
+    found, skipped = anomalies.detect_all(materialize(_wide(spark, d), "wide"), config, ["o_orderkey"])
+    assert not skipped, skipped
+    drawn = F.col("detector").isin("segment", "isolation_forest")
+    return anomalies.summary(found).select(
+        "detector", "total_records", F.when(~drawn, F.col("anomaly_count")).alias("anomaly_count")
+    )
+
+
 @query(
     "an_detection_events",
     COUNTS_SQL

@@ -69,7 +69,7 @@ def compare(spark, run, sql: str, connection, directory: str) -> str | None:
 def main() -> int:
     sys.path.insert(0, __file__.rsplit("/", 2)[0])
     from __spark_entry__ import oracle_sql, queries
-    from sediment.session import build_session
+    from sediment.session import build_session, release_scratch
 
     directory = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
     wanted = sys.argv[2:]
@@ -88,6 +88,7 @@ def main() -> int:
                 problem = None if run(spark, directory).count() else "no rows"
         except Exception as error:  # noqa: BLE001
             problem = f"{type(error).__name__}: {str(error)[:600]}"
+        release_scratch(spark)
         failed += problem is not None
         print(f"{'FAIL' if problem else 'ok  '} {time.time() - started:6.1f}s {name} {problem or ''}", flush=True)
     print(f"{failed} failed")
