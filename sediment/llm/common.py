@@ -5,6 +5,7 @@ from __future__ import annotations
 import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from sediment.session import scratch_path
 
@@ -61,6 +62,16 @@ def keys_for_join(keys: DataFrame) -> DataFrame:
     return F.broadcast(keys) if keys.count() <= KEY_BROADCAST_ROWS else keys
 
 
+def map_frames(df: DataFrame, run, schema: T.StructType) -> DataFrame:
+    """``mapInPandas`` with the input's whole numbers carried as text: pandas would make them doubles where
+    one is NULL, and round large identifiers. ``schema`` names those it returns with their own type."""
+    numbers = {f.name: f.dataType for f in df.schema if isinstance(f.dataType, (T.LongType, T.IntegerType, T.ShortType))}
+    sent = df.withColumns({c: F.col(f"`{c}`").cast("string") for c in numbers})
+    text = T.StructType([T.StructField(f.name, T.StringType()) if f.name in numbers else f for f in schema])
+    back = [F.col(f"`{f.name}`").cast(numbers.get(f.name, f.dataType)).alias(f.name) for f in schema]
+    return sent.mapInPandas(run, text).select(*back)
+
+
 def mixed(x: np.ndarray) -> np.ndarray:
     """A bijection of 64-bit values that spreads every input bit."""
     x = x ^ (x >> np.uint64(30))

@@ -13,7 +13,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sediment.llm.common import discard, fresh, keys_for_join, mixed, written
+from sediment.llm.common import discard, fresh, keys_for_join, map_frames, mixed, written
 from sediment.llm.components import components
 
 WORD_BITS = 64
@@ -168,7 +168,8 @@ def _long_lines(df: DataFrame, doc_id: str, text: str) -> DataFrame:
 
 def line_places(df: DataFrame, doc_id: str, text: str, rules: LineRules) -> DataFrame:
     """``doc``, ``mark``, ``line_no``, ``key`` (MD5) of the lines that count."""
-    kind = df.schema[doc_id].dataType.simpleString()
+    places = _long_lines(df, doc_id, text)
+    schema = places.select("doc", "mark").schema.add("line_no", "integer").add("key", "binary")
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in batches:
@@ -181,7 +182,7 @@ def line_places(df: DataFrame, doc_id: str, text: str, rules: LineRules) -> Data
             out = frame[["doc", "mark"]].iloc[rows].reset_index(drop=True)
             yield out.assign(line_no=np.array(numbers, np.int32), key=keys)
 
-    return _long_lines(df, doc_id, text).mapInPandas(run, f"doc {kind}, mark long, line_no int, key binary")
+    return map_frames(places, run, schema)
 
 
 def line_segments(df: DataFrame, doc_id: str, text: str, rules: LineRules, chars: int = 1_000_000) -> DataFrame:
@@ -232,6 +233,7 @@ def line_links(df: DataFrame, doc_id: str, text: str, repeated: DataFrame, rules
         .join(keys_for_join(repeated.select("key", "owner")), "key", "left")
         .filter(F.col("owner").isNull() | (F.col("owner") == F.struct("doc", "mark", "line_no")))
     )
+    single = written(single.select("id", "sketch", "index", "probe"), "segments")
     index = single.select(F.explode("index").alias("segment"), "id", "sketch")
     probe = single.select(F.explode("probe").alias("segment"), "id", "sketch")
     left = index.select("segment", F.col("id").alias("a"), F.col("sketch").alias("x"))
@@ -241,6 +243,7 @@ def line_links(df: DataFrame, doc_id: str, text: str, repeated: DataFrame, rules
         shifted = left.join(probe, "segment").filter((F.col("a") != F.col("id")) & near_enough)
         pairs = pairs.unionByName(shifted.select(F.least("a", "id").alias("a"), F.greatest("a", "id").alias("b")))
     pairs = written(pairs.distinct(), "line_pairs")
+    discard(single)
     wanted = written(pairs.select(F.col("a").alias("id")).unionByName(pairs.select(F.col("b").alias("id"))).distinct(), "line_ids")
     lines = df.select(F.explode(F.split(text, "\n")).alias("line")).filter(F.length("line") >= rules.min_chars)
     texts = written(

@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from sediment.llm.common import discard, fresh, keys_for_join, mixed, written
+from sediment.llm.common import discard, fresh, keys_for_join, map_frames, mixed, written
 from sediment.llm.components import components
 
 
@@ -128,7 +128,7 @@ def sketches(df: DataFrame, text: str, spec: NearDup) -> DataFrame:
                 checks.append(sign[spec.bands * spec.rows :].astype(np.uint16).tobytes())
             yield frame.assign(n_shingles=sizes, node=nodes, keys=keys, checks=checks)
 
-    return df.mapInPandas(run, schema)
+    return map_frames(df, run, schema)
 
 
 def prune(pairs: DataFrame, marks: DataFrame, spec: NearDup) -> DataFrame:

@@ -11,7 +11,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sediment.llm.common import fresh, written
+from sediment.llm.common import fresh, map_frames, written
 from sediment.llm.tokens import Encoder
 
 
@@ -50,7 +50,7 @@ def token_pieces(df: DataFrame, text: str, vocabulary: str, packing: Packing = P
                 piece=[], start=[], length=[], ids=[]
             )
 
-    return df.mapInPandas(run, schema)
+    return map_frames(df, run, schema)
 
 
 def place_by_squares(sizes: np.ndarray, capacity: int) -> tuple[np.ndarray, np.ndarray]:

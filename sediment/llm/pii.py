@@ -14,6 +14,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
+from sediment.llm.common import map_frames
+
 
 class Permutation:
     """A keyed permutation of the integers below ``size`` for any size: a Feistel network over two
@@ -262,7 +264,7 @@ def pseudonymise(df: DataFrame, text: str = "text", key: PiiKey = PiiKey()) -> D
                     counts[kind].append(sum(k == kind for _, _, k, _ in found))
             yield frame.assign(**{text: texts}, **{f"n_{k}": v for k, v in counts.items()}, spans=spans)
 
-    return df.mapInPandas(run, schema)
+    return map_frames(df, run, schema)
 
 
 def reverse(key: PiiKey, size: int, purpose: str) -> Callable[[int], int]:

@@ -13,6 +13,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from sediment.llm.common import map_frames
+
 # The base patterns in their order.
 ASSIGN = re.compile(
     r"""([pP][aA][sS][sS][wW][oO][rR][dD]|[pP][aA][sS][sS][wW][dD]|[sS][eE][cC][rR][eE][tT]|[tT][oO][kK][eE][nN]|[aA][pP][iI]_?[kK][eE][yY])["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
@@ -170,7 +172,7 @@ def scan(df: DataFrame, text: str = "text", training: Training = Training(), rat
             columns = dict(zip(names[:4], np.array(counts, np.int64).reshape(-1, 4).T))
             yield frame.assign(**columns, base_spans=base, spans=every)
 
-    return df.mapInPandas(run, schema)
+    return map_frames(df, run, schema)
 
 
 def digest(spans: str) -> str:

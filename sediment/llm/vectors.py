@@ -12,7 +12,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sediment.llm.common import written
+from sediment.llm.common import map_frames, written
 from sediment.llm.components import components
 
 
@@ -113,7 +113,7 @@ def _read(df: DataFrame, vec_id: str, embedding: str, dim: int) -> DataFrame:
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in batches:
             nodes, units = [], []
-            for value in frame[embedding]:
+            for value in frame["x"]:
                 x = np.array(value, np.float64) if value is not None and len(value) == dim else np.zeros(1)
                 scale = np.abs(x).max() if np.isfinite(x).all() and len(x) else 0.0
                 if not scale:
@@ -122,11 +122,10 @@ def _read(df: DataFrame, vec_id: str, embedding: str, dim: int) -> DataFrame:
                 x = x / scale
                 data = (x / np.linalg.norm(x)).tobytes()
                 nodes.append(xxhash.xxh3_128_digest(data)), units.append(data)
-            yield pd.DataFrame({"vec": frame[vec_id], "node": nodes, "unit": units})
+            yield pd.DataFrame({"vec": frame["vec"], "node": nodes, "unit": units})
 
-    kind = df.schema[vec_id].dataType.simpleString()
-    array = F.col(embedding).cast("array<double>").alias(embedding)
-    return df.select(vec_id, array).mapInPandas(run, f"vec {kind}, node binary, unit binary")
+    read = df.select(F.col(vec_id).alias("vec"), F.col(embedding).cast("array<double>").alias("x"))
+    return map_frames(read, run, read.select("vec").schema.add("node", "binary").add("unit", "binary"))
 
 
 def _coded(classes: DataFrame, model: Model, dim: int) -> DataFrame:

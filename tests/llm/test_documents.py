@@ -305,3 +305,16 @@ def test_encoder_equals_the_library():
 
     same()
     assert encode(" " * 5000 + "a").tolist() == plain.encode(" " * 5000 + "a", add_special_tokens=False).ids
+
+
+def test_large_identifiers_beside_nulls_stay_whole(spark):
+    from sediment.llm import pii, secret_scan, vectors
+
+    big = 2**60 + 1
+    df = spark.createDataFrame([(big, text(60, 1)), (None, text(60, 2)), (big + 2, text(60, 3))], "doc_id long, text string")
+    ids = lambda out, name="doc_id": {r[name] for r in out.collect()}
+    whole = {big, None, big + 2}
+    assert ids(minhash.near_duplicates(df)) == ids(line_dedup.dedup_lines(df)) == whole
+    assert ids(packing.pack(df, VOCABULARY)) == ids(pii.pseudonymise(df)) == ids(secret_scan.scan(df)) == whole
+    vecs = spark.createDataFrame([(big, [1.0, 0.0]), (None, [0.0, 1.0]), (big + 2, [1.0, 1.0])], "vec_id long, embedding array<float>")
+    assert ids(vectors.near_vectors(vecs), "vec_id") == whole
