@@ -294,7 +294,7 @@ def _class_links(df: DataFrame, doc_id: str, text: str, classes: DataFrame, low_
     task are those that can link, not all that share a bucket."""
     rows = written(classes.select("node", F.explode("keys").alias("key")), "bands")
     shared = written(rows.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1"), "shared")
-    members = written(rows.join(shared, "key"), "members")
+    members = written(rows.join(keys_for_join(shared), "key"), "members")
     discard(rows)
     met = written(members.groupBy("node").agg(F.sum("n").alias("met")), "met")
     marks = written(classes.select("node", "keys", "checks").join(met.select("node"), "node", "left_semi"), "marks")
