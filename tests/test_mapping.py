@@ -157,7 +157,9 @@ def test_schema_differences(spark):
 def test_protection(spark):
     df = spark.createDataFrame([("s", 5)], "a string, b int")
     key = F.lit("0123456789abcdef")
-    sealed = protect.protect_columns(df, {"a": "aes", "b": "sha256", "zz": "aes"}, key)
+    with pytest.raises(SpecError):
+        protect.protect_columns(df, {"a": "aes", "zz": "aes"}, key)
+    sealed = protect.protect_columns(df, {"a": "aes", "b": "sha256"}, key)
     row = materialize(sealed).select("*", protect.decrypt(F.col("a"), key).alias("back")).first()
     assert row["back"] == "s" and row["a"] != "s" and len(row["b"]) == 64
     with pytest.raises(SpecError):
