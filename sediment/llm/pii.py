@@ -88,11 +88,17 @@ PATTERNS = {
     "ssn": re.compile(r"(?<![0-9A-Za-z-])([0-9]{3})-([0-9]{2})-([0-9]{4})(?![0-9A-Za-z]|-[0-9])"),
     "ip": re.compile(r"(?<![0-9A-Za-z.])([0-9]{1,3})\.([0-9]{1,3})\.([0-9]{1,3})\.([0-9]{1,3})(?![0-9A-Za-z]|\.[0-9])"),
     "date": re.compile(
-        r"(?<![0-9A-Za-z./-])(?:([0-9]{4})([./-])([0-9]{1,2})\2([0-9]{1,2})|([0-9]{1,2})([./-])([0-9]{1,2})\6([0-9]{4}))(?![0-9A-Za-z]|[./-][0-9])"
+        r"(?<![0-9A-Za-z./-])(?:([0-9]{4})([./-])([0-9]{1,2})\2([0-9]{1,2})(?:(?=[Tt][0-9])|(?![A-Za-z]))|([0-9]{1,2})([./-])([0-9]{1,2})\6([0-9]{4})(?![A-Za-z]))(?![0-9]|[./-][0-9])"
     ),
     "email": re.compile(r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9][A-Za-z0-9._%+-]{0,63}@[A-Za-z0-9-]{1,63}(?:\.[A-Za-z0-9-]{1,63}){1,8}"),
 }
 KINDS = tuple(PATTERNS)
+# Cards in one of the usual layouts go before digits that only run on across other numbers.
+CARD_LAYOUT = re.compile(
+    r"(?<![0-9A-Za-z])[1-9](?:[0-9]{12,18}|[0-9]{3}([ -])[0-9]{4}\1[0-9]{4}\1[0-9]{1,4}(?:\1[0-9]{1,3})?|[0-9]{3}([ -])[0-9]{6}\2[0-9]{4,5})(?![0-9A-Za-z])"
+)
+# Kinds whose values vary in length, with what may not follow them.
+ENDS = {"iban": re.compile(r"(?![A-Za-z0-9])"), "card": re.compile(r"(?![0-9A-Za-z])"), "phone": re.compile(r"(?![0-9A-Za-z]|\.[0-9])")}
 FIRST_DAY, LAST_DAY = datetime.date(1900, 1, 1).toordinal(), datetime.date(2099, 12, 31).toordinal()
 
 
@@ -203,21 +209,35 @@ class Pseudonyms:
         local, _, domain = m.group().partition("@")
         return f"{self._by_class(local, 'email')}@{domain}"
 
+    @staticmethod
+    def _readings(kind: str, pattern: re.Pattern, m: re.Match) -> Iterator[tuple[int, int, re.Match]]:
+        """A match, then the shorter ones at its start: the longest may have taken in words or digits behind the value."""
+        yield m.start(), m.end(), m
+        if kind in ENDS:
+            for end in range(m.end() - 1, m.start(), -1):
+                if ENDS[kind].match(m.string, end) and (shorter := pattern.fullmatch(m.string, m.start(), end)):
+                    yield m.start(), end, shorter
+
     def spans(self, text: str) -> list[tuple[int, int, str, str]]:
-        """(start, end, kind, pseudonym), ascending, without overlap; earlier kinds go first."""
+        """(start, end, kind, pseudonym), ascending, without overlap; earlier kinds go first.
+
+        Where nothing at a place is valid the search goes on one character behind its start."""
         found: list[tuple[int, int, str, str]] = []
-        taken = bytearray()
-        for kind, pattern in PATTERNS.items():
+        taken = bytearray(len(text))
+        for kind, pattern in (("iban", PATTERNS["iban"]), ("card", CARD_LAYOUT), *list(PATTERNS.items())[1:]):
             if kind == "email" and "@" not in text:
                 continue
-            for m in pattern.finditer(text):
-                if taken and any(taken[m.start() : m.end()]):
-                    continue
-                value = getattr(self, kind)(m)
-                if value is not None:
-                    taken = taken or bytearray(len(text))
-                    taken[m.start() : m.end()] = b"\1" * (m.end() - m.start())
-                    found.append((m.start(), m.end(), kind, value))
+            m = pattern.search(text)
+            while m:
+                at = m.start() + 1
+                for start, end, reading in self._readings(kind, pattern, m):
+                    value = None if any(taken[start:end]) else getattr(self, kind)(reading)
+                    if value is not None:
+                        taken[start:end] = b"\1" * (end - start)
+                        found.append((start, end, kind, value))
+                        at = end
+                        break
+                m = pattern.search(text, at)
         return sorted(found)
 
 

@@ -147,6 +147,28 @@ def test_pseudonyms_keep_format_and_links(spark):
     assert numbers[0] == numbers[1][::-1] == (numbers[2][2], numbers[2][0], numbers[2][1])
 
 
+# Values whose neighbours look like a part of them: (text, kind and start and end of each).
+NEIGHBOURS = [
+    ("4111 1111 1111 1111 12/25", [("card", 0, 19)]),
+    ("4111 1111 1111 1111 123", [("card", 0, 19)]),
+    ("4111-1111-1111-1111 2025 1", [("card", 0, 19)]),
+    ("2020-01-01 4111 1111 1111 1111", [("date", 0, 10), ("card", 11, 30)]),
+    ("1234 4111 1111 1111 1111", [("card", 5, 24)]),
+    ("GB82 WEST 1234 5698 7654 32 EUR", [("iban", 0, 27)]),
+    ("FR14 2004 1010 0505 0001 3M02 606 EUR", [("iban", 0, 33)]),
+    ("BE68 5390 0754 7034 PAID", [("iban", 0, 19)]),
+    ("ID12 BE68 5390 0754 7034 EUR", [("iban", 5, 24)]),
+    ("2024-02-29T12:00:00Z", [("date", 0, 10)]),
+    ("29.02.2024T12 2024-02-29Test 2024-02-2912", []),
+    ("+49 3012 3456 7890 2222 3333", [("phone", 0, 18)]),
+]
+
+
+@pytest.mark.parametrize("text, expected", NEIGHBOURS)
+def test_values_beside_digits_and_words(text, expected):
+    assert [(kind, start, end) for start, end, kind, _ in pii.Pseudonyms(b"k").spans(text)] == expected
+
+
 @pytest.mark.parametrize("size", [1, 2, 3, 10, 97, 1000])
 def test_permutation_is_one_to_one(size):
     p = pii.Permutation(b"key", size, "t")
