@@ -26,13 +26,20 @@ CUT_BROADCAST_NUMBERS = 4_000_000
 
 @dataclass(frozen=True)
 class LineRules:
-    """Lines of at least ``min_chars`` code points link at an edit distance of ``edits`` or less.
-    Shorter lines are never touched: headings, list marks and single words repeat by nature."""
+    """Lines of at least ``min_chars`` code points link at an edit distance of ``edits`` or less, and lines of at
+    least ``exact_chars`` (``min_chars`` when None) are repeats where they are the same. Shorter ones are never touched."""
 
     edits: int = 2
     min_chars: int = 40
+    exact_chars: int | None = None
+
+    @property
+    def least(self) -> int:
+        return self.min_chars if self.exact_chars is None else self.exact_chars
 
     def __post_init__(self):
+        if not 1 <= self.least <= self.min_chars:
+            raise ValueError("lines that link must also count when they are the same")
         if not 0 <= self.edits <= WORD_BITS // 2 - 1 or self.min_chars < 2 * (self.edits + 1):
             raise ValueError("edits must fit the band of a word, and lines must be long enough for their segments")
 
@@ -172,7 +179,7 @@ def _long_lines(df: DataFrame, doc_id: str, text: str) -> DataFrame:
 
 
 def line_places(df: DataFrame, doc_id: str, text: str, rules: LineRules) -> DataFrame:
-    """``doc``, ``mark``, ``line_no``, ``key`` (MD5) of the lines that count."""
+    """``doc``, ``mark``, ``line_no``, ``key`` (MD5) of the lines that count, exact repeats included."""
     places = _long_lines(df, doc_id, text)
     schema = places.select("doc", "mark").schema.add("line_no", "integer").add("key", "binary")
 
@@ -181,7 +188,7 @@ def line_places(df: DataFrame, doc_id: str, text: str, rules: LineRules) -> Data
             rows, numbers, keys = [], [], []
             for row, value in enumerate(frame["text"]):
                 for number, line in enumerate(value.split("\n")):
-                    if len(line) >= rules.min_chars:
+                    if len(line) >= rules.least:
                         rows.append(row), numbers.append(number)
                         keys.append(_key_of(line.encode("utf-8", "surrogatepass")))
             out = frame[["doc", "mark"]].iloc[rows].reset_index(drop=True)
@@ -192,7 +199,7 @@ def line_places(df: DataFrame, doc_id: str, text: str, rules: LineRules) -> Data
 
 def line_segments(df: DataFrame, doc_id: str, text: str, rules: LineRules, chars: int = 1_000_000) -> DataFrame:
     """``doc``, ``mark``, ``line_no``, ``key``, ``id`` (xxHash64, as Spark's with its seed of 42), ``sketch``, ``index`` and
-    ``probe`` of the lines that count; about ``chars`` characters are hashed at a time."""
+    ``probe`` of the lines that link; about ``chars`` characters are hashed at a time."""
     kind = df.schema[doc_id].dataType.simpleString()
 
     def flush(hasher: SegmentHasher, docs: pa.Array, marks: pa.Array, rows: list, numbers: list, lines: list) -> pa.RecordBatch:

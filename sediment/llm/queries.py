@@ -12,6 +12,8 @@ from sediment.llm import line_dedup, minhash, mixing, oracles, packing, pii, qua
 from sediment.llm.common import table
 from sediment.session import scratch_path
 
+# Segments of six characters still part lines well; below six characters stand list marks, brackets and single words.
+LINES = line_dedup.LineRules(min_chars=20, exact_chars=6)
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
 
 
@@ -45,7 +47,8 @@ def op6_pseudonyms(spark: SparkSession, d: str) -> DataFrame:
 
 
 def op7_line_dedup(spark: SparkSession, d: str) -> DataFrame:
-    return line_dedup.dedup_lines(table(spark, d, "documents")).select("doc_id", "text", "n_lines", "n_removed", "n_near")
+    cut = line_dedup.dedup_lines(table(spark, d, "documents"), rules=LINES)
+    return cut.select("doc_id", "text", "n_lines", "n_removed", "n_near")
 
 
 def op8_vectors(spark: SparkSession, d: str) -> DataFrame:

@@ -8,7 +8,7 @@ import numpy as np
 import public_tokenizers
 import pytest
 
-from sediment.llm import line_dedup, minhash, mixing, packing, quality_rules
+from sediment.llm import line_dedup, minhash, mixing, packing, quality_rules, queries
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
@@ -202,6 +202,35 @@ def test_lines_against_all_pairs(spark, edits):
     assert got == {i: "\n".join(x for n, x in enumerate(t.split("\n")) if (i, n) not in gone) for i, t in docs}
 
 
+@pytest.mark.parametrize("edits", [0, 2])
+def test_short_lines_against_all_pairs(spark, edits):
+    """Lines of 2 to 39 characters, most of them repeated: the same from six characters on, near from 20 on."""
+    draw = random.Random(10 + edits)
+    stock = ["".join(draw.choice("abcdefgh é") for _ in range(draw.randrange(2, 40))) for _ in range(40)]
+    docs = []
+    for i in range(80):
+        lines = [edited(x := draw.choice(stock), draw.randrange(4) if len(x) > 5 else 0, draw) for _ in range(draw.randrange(6))]
+        docs.append((i, "\n".join(lines + ["short", "", "boilerplate", "All rights reserved."])))
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    rules = line_dedup.LineRules(edits, min_chars=20, exact_chars=6)
+    got = {r["doc_id"]: r for r in line_dedup.dedup_lines(df, rules=rules).collect()}
+    places = [(i, n, x) for i, t in docs for n, x in enumerate(t.split("\n")) if len(x) >= 6]
+    near = lambda a, b: a == b or min(len(a), len(b)) >= 20 and abs(len(a) - len(b)) <= edits and distance(a, b) <= edits
+    roots = grouped([x for _, _, x in places], near)
+    gone = {places[k][:2] for k, r in enumerate(roots) if k != r}
+    assert {len(x) for i, n, x in places if (i, n) in gone} >= {11, 20} and any(20 > len(x) for i, n, x in places if (i, n) in gone)
+    for i, t in docs:
+        assert got[i]["text"] == "\n".join(x for n, x in enumerate(t.split("\n")) if (i, n) not in gone)
+        assert got[i]["n_removed"] == sum(d == i for d, _ in gone)
+
+
+def test_registered_query_cuts_short_repeats(spark, tmp_path):
+    rows = [(1, "Released under the MIT License.\nWas ntonti.\nLes."), (2, "Released under the MIT License!\nWas ntonti.\nLes.\nnew")]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    out = {r["doc_id"]: (r["text"], r["n_removed"], r["n_near"]) for r in queries.op7_line_dedup(spark, str(tmp_path)).collect()}
+    assert out == {1: (rows[0][1], 0, 0), 2: ("Les.\nnew", 2, 1)}
+
+
 def test_lines_odd_cases(odd, clashing):
     cut = line_dedup.dedup_lines(clashing)
     assert cut.columns == [c for c in clashing.columns if c != "n_lines"] + ["n_lines", "n_removed", "n_near"]
