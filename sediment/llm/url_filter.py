@@ -5,11 +5,10 @@ from __future__ import annotations
 import string
 from dataclasses import dataclass
 
-from pyspark.ml.fpm import FPGrowth
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sediment.llm.common import fresh, written
+from sediment.llm.common import fresh, keys_for_join, written
 
 # The listed rules as (host, path, verdict).
 LISTED = (
@@ -20,18 +19,14 @@ LISTED = (
     ("com", "/de/", "block"),
 )
 
-UNWANTED = "unwanted"
-
 
 @dataclass(frozen=True)
 class Mining:
-    """A token combination of at most ``max_tokens`` blocks when at least ``support`` of the labelled pages,
-    and ``min_pages`` of them, have it and are unwanted, and ``confidence`` of those that have it are."""
+    """A token combination of any size blocks when at least ``min_pages`` labelled pages have it and are
+    unwanted, and ``confidence`` of those that have it are."""
 
-    support: float = 0.01
     min_pages: int = 10
     confidence: float = 0.6
-    max_tokens: int = 3
 
 
 def host_of(url: Column) -> Column:
@@ -62,23 +57,43 @@ def tokens_of(url: Column, host: Column, path: Column) -> Column:
 
 
 def mine(tokens: DataFrame, items: str, unwanted: Column, mining: Mining = Mining()) -> DataFrame:
-    """``antecedent`` (tokens, sorted), ``confidence``, ``pages`` of the rules for unwanted pages.
+    """``antecedent`` (tokens, sorted), ``confidence``, ``pages`` (unwanted ones) of the rules for unwanted pages.
 
-    ``tokens`` holds a row per labelled page. An empty table gives no rules."""
+    ``tokens`` holds a row per labelled page. An empty table gives no rules. Combinations grow by one token at
+    a time, among those with enough unwanted pages. One that holds a rule, or is on the same pages as a part
+    of it, blocks no URL that the part does not, and is left out."""
     baskets = written(
-        tokens.select(
-            F.concat(F.col(items), F.when(unwanted, F.array(F.lit(UNWANTED))).otherwise(F.array().cast("array<string>"))).alias("items")
-        ).filter(F.size("items") > 0),
+        tokens.select(F.array_sort(F.array_distinct(items)).alias("items"), unwanted.cast("long").alias("bad"))
+        .filter(F.size("items") > 0)
+        .groupBy("items")
+        .agg(F.count("*").alias("n"), F.sum("bad").alias("bad")),
         "baskets",
     )
-    n = baskets.count()
-    if not n:
-        return baskets.sparkSession.createDataFrame([], "antecedent array<string>, confidence double, pages long")
-    fitted = FPGrowth(itemsCol="items", minSupport=mining.support, minConfidence=mining.confidence).fit(baskets)
-    pages = F.round(F.col("support") * n).cast("long")
-    return fitted.associationRules.filter(
-        (F.element_at("consequent", 1) == UNWANTED) & (F.size("antecedent") <= mining.max_tokens) & (pages >= mining.min_pages)
-    ).select(F.sort_array("antecedent").alias("antecedent"), "confidence", pages.alias("pages"))
+    found, size = None, 1
+    grown, live = baskets.withColumn("set", F.explode(F.transform("items", lambda x: F.array(x)))), None
+    while True:
+        counted = grown.groupBy("set").agg(F.sum("n").alias("n"), F.sum("bad").alias("bad")).filter(F.col("bad") >= mining.min_pages)
+        if live is not None:
+            parts = counted.withColumn("part", F.explode(F.transform(F.col("set"), lambda x: F.array_remove(F.col("set"), x))))
+            known = keys_for_join(live.select(F.col("set").alias("part"), F.col("n").alias("_n")))
+            counted = (
+                parts.join(known, "part")
+                .filter(F.col("n") < F.col("_n"))
+                .groupBy("set", "n", "bad")
+                .agg(F.count("*").alias("_parts"))
+                .filter(F.col("_parts") == size)
+                .drop("_parts")
+            )
+        counted = written(counted.withColumn("confidence", F.col("bad") / F.col("n")), "combinations")
+        rules = counted.filter(F.col("confidence") >= mining.confidence)
+        found = rules if found is None else found.unionByName(rules)
+        live = counted.filter(F.col("confidence") < mining.confidence)
+        if live.isEmpty():
+            return found.select(F.col("set").alias("antecedent"), "confidence", F.col("bad").alias("pages"))
+        held = written(grown.join(keys_for_join(live.select("set")), "set", "left_semi"), "held")
+        later = F.filter("items", lambda x: x > F.element_at("set", -1))
+        grown = held.withColumn("set", F.explode(F.transform(later, lambda x: F.concat("set", F.array(x)))))
+        size += 1
 
 
 def listed_rule(host: Column, path: Column, rules=LISTED) -> tuple[Column, Column]:

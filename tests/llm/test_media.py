@@ -3,6 +3,7 @@
 import collections
 import gzip
 import hashlib
+import itertools
 import os
 import random
 import re
@@ -310,6 +311,39 @@ def test_mined_rules_block_by_all_their_tokens(spark):
         assert r["verdict"] == ("block" if bad else "allow") and r["mined"] == bad
 
 
+def test_rules_of_rare_hosts_and_of_four_tokens(spark):
+    """20 unwanted pages of 3000 on one host, and pages unwanted by four tokens whose parts stay under the confidence."""
+    rows = [f"http://h{i % 50}.net/{i % 7}" for i in range(2980)] + [f"http://rare.net/{i}" for i in range(20)]
+    bad = [False] * 2980 + [True] * 20
+    for kept in range(16):
+        path = "/".join(x for k, x in enumerate("abcd") if kept >> k & 1)
+        rows += [f"http://four.org/{path}/{i}" for i in range(12)]
+        bad += [kept == 15] * 12
+    df = spark.createDataFrame([(i, u) for i, u in enumerate(rows)] + [(9000, "https://rare.net/new"), (9001, "x://q/d/c/b/a")], "page_id long, url string")
+    labels = spark.createDataFrame(list(enumerate(bad)), "page_id long, unwanted boolean")
+    out = {r["page_id"]: r["mined"] for r in url_filter.filter_urls(df, labels).collect()}
+    assert [out[i] for i in range(len(rows))] == bad and out[9000] and out[9001]
+
+
+def test_mined_rules_against_all_combinations(spark):
+    draw = random.Random(4)
+    pages = [([t for t in "abcdefg" if draw.random() < 0.5], draw.random()) for _ in range(500)]
+    pages = [(t + (["x", "y"] if "a" in t else []), r < (0.9 if {"b", "c", "d", "e"} <= set(t) or {"a", "f"} <= set(t) else 0.05)) for t, r in pages]
+    df = spark.createDataFrame(pages, "items array<string>, bad boolean")
+    got = {tuple(r["antecedent"]): (r["pages"], r["confidence"]) for r in url_filter.mine(df, "items", F.col("bad")).collect()}
+    n, bad = collections.Counter(), collections.Counter()
+    for t, b in pages:
+        for size in range(1, len(t) + 1):
+            for c in itertools.combinations(sorted(t), size):
+                n[c] += 1
+                bad[c] += b
+    rules = {c: (bad[c], bad[c] / n[c]) for c in n if bad[c] >= 10 and bad[c] / n[c] >= 0.6}
+    assert got and got.items() <= rules.items() and max(map(len, got)) >= 4
+    for c in rules:
+        assert any(set(g) <= set(c) for g in got)
+    assert not any(set(a) < set(b) for a in got for b in got)
+
+
 def test_scratch_tables_are_read_back_whole(spark):
     df = spark.range(10).withColumn("x", F.lit(None).cast("string"))
     assert written(df, "test").count() == 10
