@@ -28,7 +28,8 @@ ALPHABET = string.ascii_letters + string.digits + "+/_-="
 _PLACE = np.full(128, -1, np.int16)
 _PLACE[[ord(c) for c in ALPHABET]] = np.arange(len(ALPHABET))
 _START = len(ALPHABET)
-_CANDIDATE = re.compile(r"[A-Za-z0-9+/_=-]{20,}")
+LEAST = 20
+_CANDIDATE = re.compile(r"[A-Za-z0-9+/_=-]{%d,}" % LEAST)
 _WORD = re.compile(r"[A-Za-z0-9+/_=-]{3,}")
 
 
@@ -36,8 +37,8 @@ _WORD = re.compile(r"[A-Za-z0-9+/_=-]{3,}")
 class Training:
     """The models are counted on the ``documents`` distinct texts of least hash, labelled by the base
     patterns: their values are random strings, all other words ordinary, alone and joined to
-    identifiers. ``drawn`` strings over usual key alphabets are added to the random ones. A string is
-    reported when its log-likelihood ratio exceeds ``ratio`` and ``per_char`` for each character."""
+    identifiers. ``drawn`` strings over usual key alphabets are added to the random ones. A string, or a part
+    of it, is reported when its log-likelihood ratio exceeds ``ratio`` and ``per_char`` for each character."""
 
     documents: int = 4000
     drawn: int = 4000
@@ -87,7 +88,7 @@ def train(df: DataFrame, text: str = "text", training: Training = Training()) ->
                 rest, end, waiting = [], 0, []
                 for start, kind, stop in base_spans(value):
                     secret = value[start:stop] if kind else ASSIGN.match(value, start).group(2)
-                    _count(counts[0], re.sub(r"[^A-Za-z0-9+/_=-]", "", secret)[:4096] or "0")
+                    _count(counts[0], re.sub(r"[^A-Za-z0-9+/_=-]", "", secret) or "0")
                     rest.append(value[end:start])
                     end = max(end, stop)
                 rest.append(value[end:])
@@ -115,29 +116,53 @@ def train(df: DataFrame, text: str = "text", training: Training = Training()) ->
     return chances[0] - chances[1]
 
 
-def ratio_of(value: str, ratios: np.ndarray) -> float:
+def _scores(value: str, ratios: np.ndarray) -> np.ndarray:
     codes = _codes(value)
-    return float(ratios[np.concatenate(([_START], codes[:-1])), codes].sum())
+    return ratios[np.concatenate(([_START], codes[:-1])), codes]
+
+
+def _random_parts(scores: np.ndarray, training: Training) -> Iterator[tuple[int, int]]:
+    """The whole where it passes; else the part of 20 and more that exceeds ``per_char`` most, and those beside it."""
+    waiting = [(0, len(scores))]
+    while waiting:
+        start, end = waiting.pop()
+        if end - start < LEAST:
+            continue
+        part = scores[start:end]
+        if part.sum() > max(training.ratio, training.per_char * len(part)):
+            yield start, end
+            continue
+        sums = np.concatenate(([0.0], np.cumsum(part - training.per_char)))
+        first = np.minimum.accumulate(sums[:-LEAST])
+        gain = sums[LEAST:] - first
+        last = int(gain.argmax()) + LEAST
+        begin = int(sums[: last - LEAST + 1].argmin())
+        if gain.max() > 0 and part[begin:last].sum() > training.ratio:
+            yield start + begin, start + last
+            waiting += [(start, start + begin), (start + last, end)]
 
 
 def markov_spans(text: str, taken: list[tuple[int, int, int]], ratios: np.ndarray, training: Training) -> list[tuple[int, int, int]]:
-    """Random-looking runs of 20 and more key characters that touch no base span."""
+    """Random-looking runs of 20 and more key characters outside the base spans, or such parts of runs."""
     out, at = [], 0
-    reach = []
-    furthest = 0
+    merged: list[list[int]] = []
     for start, _, end in taken:
-        furthest = max(furthest, end)
-        reach.append((start, furthest))
+        if merged and start <= merged[-1][1]:
+            merged[-1][1] = max(merged[-1][1], end)
+        else:
+            merged.append([start, end])
     for m in _CANDIDATE.finditer(text):
         start, end = m.span()
-        while at < len(reach) and reach[at][1] <= start:
+        while at < len(merged) and merged[at][1] <= start:
             at += 1
-        if at < len(reach) and reach[at][0] < end:
-            continue
-        score = ratio_of(m.group(), ratios)
-        if score > training.ratio and score > training.per_char * (end - start):
-            out.append((start, 3, end))
-    return out
+        free, k = [], at
+        while k < len(merged) and merged[k][0] < end:
+            free.append((start, merged[k][0]))
+            start, k = merged[k][1], k + 1
+        for a, b in (*free, (start, end)):
+            if b - a >= LEAST:
+                out += [(a + x, 3, a + y) for x, y in _random_parts(_scores(text[a:b], ratios), training)]
+    return sorted(out)
 
 
 def _joined(spans: list[tuple[int, int, int]]) -> str:
