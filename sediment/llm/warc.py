@@ -218,9 +218,16 @@ def read_warc(spark: SparkSession, path: str) -> DataFrame:
     return whole.unionByName(torn).select("headers", "block")
 
 
+def _head_end(block: Column) -> Column:
+    """Where the blank line after the HTTP head begins, from 1, or 0; the whole block is decoded only for long heads."""
+    at = lambda part: F.instr(F.decode(part, "ISO-8859-1"), "\r\n\r\n")
+    near = at(F.substring(block, 1, 65536))
+    return F.when(near > 0, near).otherwise(at(block))
+
+
 def payload_of(block: Column) -> Column:
     """The block after its HTTP head."""
-    at = F.instr(F.decode(F.substring(block, 1, 65536), "ISO-8859-1"), "\r\n\r\n")
+    at = _head_end(block)
     return F.when(at > 0, F.substring(block, at + 4, F.lit(2147483647)))
 
 
@@ -232,8 +239,10 @@ def page_records(records: DataFrame) -> DataFrame:
     head = F.col("headers")
     named = lambda field: F.nullif(F.regexp_extract(head[field], "^<urn:page:(.*)>$", 1), F.lit(""))
     full = head["warc-type"] == "response"
-    size = F.regexp_extract(F.decode(F.substring(F.col("block"), 1, 65536), "ISO-8859-1"), r"(?i)\r\nContent-Length: *([0-9]+)", 1)
-    parsed = records.withColumns({"_payload": payload_of(F.col("block")), "_size": size.cast("long")})
+    at = _head_end(F.col("block"))
+    http = F.when(at > 0, F.substring(F.col("block"), F.lit(1), at + 3)).otherwise(F.col("block"))
+    size = F.regexp_extract(F.decode(http, "ISO-8859-1"), r"(?i)\r\nContent-Length: *([0-9]+)", 1)
+    parsed = records.withColumns({"_payload": payload_of(F.col("block")), "_size": size.try_cast("long")})
     said = F.substring_index(head["warc-payload-digest"], ":", -1)
     read = F.sha2("_payload", 256)
     length = F.octet_length("_payload").cast("long")

@@ -108,6 +108,20 @@ def test_members_over_false_magic_bytes():
     assert len(whole) == 1 and list(warc._join_ranges(rest)["block"]) == [block]
 
 
+@pytest.mark.parametrize("filler", [0, 65_500, 200_000])
+def test_payload_behind_a_long_head(spark, filler):
+    body = "é\r\n\r\nbody".encode()
+    head = f"HTTP/1.1 200 OK\r\nX-Filler: {'x' * filler}\r\nContent-Length: {len(body)}\r\n\r\n".encode()
+    digest = hashlib.sha256(body).hexdigest()
+    headers = {"warc-type": "response", "warc-record-id": "<urn:page:1>", "warc-payload-digest": f"sha256:{digest}"}
+    rows = [(headers, bytearray(head + body)), ({**headers, "warc-type": "revisit"}, bytearray(head))]
+    out = warc.page_records(spark.createDataFrame(rows, "headers map<string, string>, block binary")).collect()
+    assert [(r["record_type"], r["payload_bytes"], r["payload_digest"], r["intact"]) for r in out] == [
+        ("response", len(body), digest, True),
+        ("revisit", len(body), digest, True),
+    ]
+
+
 def test_empty_archive(spark, pages):
     path = scratch_path(spark, "test-archives")
     warc.write_warc(pages.limit(0), path)
