@@ -1,4 +1,4 @@
-"""Operators for training-data corpora: quality, duplicates, packing, archives, mixing, privacy, vectors, secrets, URLs."""
+"""Operators for training-data corpora: quality, duplicates, packing, archives, mixing, privacy, vectors, secrets, URLs, conversations, spelling, pieces."""
 
 import sys
 

@@ -108,3 +108,65 @@ g as (select *, case when own and starts_with(path, '/en/1') then 'example.org/e
 select page_id, coalesce(host, '') as host, coalesce(path, '') as path, rule,
        case when rule in ('example.org/en/1', 'example.org/es/', 'com/de/') then 'block' when rule is not null then 'allow'
             when mined then 'block' else 'allow' end as verdict from g"""
+
+# Remainders of the checksum's polynomial for half a byte, as it is defined.
+CRC32 = (
+    "[0, 498536548, 997073096, 651767980, 1994146192, 1802195444, 1303535960, 1342533948, "
+    "3988292384, 4027552580, 3604390888, 3412177804, 2607071920, 2262029012, 2685067896, 3183342108]"
+)
+
+
+def crc32(text: str) -> str:
+    """The unsigned CRC-32 of an SQL text, half a byte at a time."""
+    digits = (
+        f"list_transform(range(1, strlen({text}) * 2 + 1), "
+        f"lambda i: instr('0123456789ABCDEF', substr(hex({text}), (i + 2 * (i % 2) - 1)::int, 1)) - 1)"
+    )
+    step = f"lambda a, b: xor(a >> 4, ({CRC32})[(xor(a, b) & 15) + 1])"
+    return f"xor(list_reduce(list_prepend(4294967295::bigint, {digits}::bigint[]), {step}), 4294967295)"
+
+
+# Counted words, neighbours by deleted characters, forms and the ends of their chains.
+OP12 = rf"""
+with recursive r as (select doc_id, translate(unnest(regexp_extract_all(coalesce(text, ''), '[A-Za-z\x{{C0}}-\x{{FF}}]+')),
+                            'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as run from documents),
+g as (select doc_id, run, count(*) as k, coalesce(doc_id::varchar, '') || ':' || run as named from r where length(run) >= 5 group by all),
+h as (select run, k, {crc32("named")} as h from g),
+w as (select case when h % 97 = 0 then substr(run, 1, (h % length(run))::int) || substr(run, (h % length(run))::int + 2) else run end as word,
+             sum(k)::bigint as n from h group by 1),
+v as (select word, n from w where length(word) >= 5 and n >= 3),
+x as (select word, n, i, substr(word, 1, i::int - 1) || substr(word, i::int + 1) as rest
+      from (select word, n, unnest(range(1, length(word) + 1)) as i from v)),
+e as (select a.word, b.word as near, b.n from x a join x b on a.i = b.i and a.rest = b.rest and a.word <> b.word
+      union select x.word, v.word, v.n from x join v on x.rest = v.word
+      union select v.word, x.word, x.n from x join v on x.rest = v.word),
+o as (select word, count(*) as n_near, max(n) as top from e group by word),
+b as (select e.word, any_value(n_near) as n_near, any_value(top) as top, min(near) as near from e join o on o.word = e.word and o.top = e.n group by e.word),
+f as (select v.word, case when top >= 2 * n then near end as form, n, coalesce(n_near, 0)::bigint as n_near,
+             case when top >= 2 * n then top end as form_n from v left join b using (word)),
+c as (select word, word as last, 0 as k from f union all select c.word, f.form, k + 1 from c join f on f.word = c.last where f.form is not null),
+z as (select word, arg_max(last, k) as root from c group by word)
+select word, form, root, n, n_near, form_n from f join z using (word)"""
+
+# Rebuilt conversations, one row for each of their prefixes, and nodes as groups of equal prefixes.
+TURN = "md5(length(role)::varchar || ':' || role || text)"
+OP11 = rf"""
+with t as (select conv_id::bigint as c, turn, coalesce(role, '') as role, coalesce(text, '') as text from conversations where conv_id is not null),
+o as (select c, strlen(text) as size, {TURN} as g,
+             row_number() over (partition by c order by turn nulls first, {TURN}) as i from t),
+k as (select distinct c, c - c % 5 as base, {crc32("c::varchar")} % 9 as h from t),
+r as (select k.c, o.i, g, size from k join o on o.c = k.base where o.i <= h
+      union all select k.c, h + o.i, g, size from k join o on o.c = k.c where o.i > h),
+s as (select c, row_number() over (partition by c order by i) as d, g, size from r),
+p as (select c, d, size, md5(string_agg(g, '') over (partition by c order by d)) as node from s
+      union all select c, 0, 0, 'root' from k),
+l as (select c, d, node, lag(node) over (partition by c order by d) as up, lead(node) over (partition by c order by d) is null as last, size from p),
+n as (select node, d, any_value(up) as up, min(c) as conv_id, count(*) as n_convs, any_value(size) as size,
+             sha256(coalesce(string_agg(c::varchar, ',' order by c) filter (last), '')) as ends_sha256 from l group by node, d),
+ch as (select up as node, count(*) as n_children from n where up is not null group by up),
+m as (select n.*, coalesce(n_children, 0) as n_children, (n_convs - 1) * size as own from n left join ch using (node)),
+a as (select distinct x.node as above, y.node as below from p x join p y on x.c = y.c and x.d <= y.d),
+u as (select above, count(*) filter (n_children = 0) as n_leaves, sum(own) as saved from a join m on m.node = a.below group by above)
+select m.conv_id, m.d::bigint as depth, q.conv_id as parent_conv_id, m.n_convs, m.n_children::bigint as n_children,
+       n_leaves::bigint as n_leaves, saved::bigint as saved_tokens, m.ends_sha256
+from m left join m q on q.node = m.up join u on u.above = m.node"""

@@ -8,13 +8,29 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sediment.llm import line_dedup, minhash, mixing, oracles, packing, pii, quality_rules, secret_scan, url_filter, vectors, warc
+from sediment.llm import (
+    conversation_trie,
+    line_dedup,
+    minhash,
+    mixing,
+    oracles,
+    packing,
+    pieces,
+    pii,
+    quality_rules,
+    secret_scan,
+    spelling,
+    url_filter,
+    vectors,
+    warc,
+)
 from sediment.llm.common import table
 from sediment.session import scratch_path
 
 # Segments of six characters still part lines well; below six characters stand list marks, brackets and single words.
 LINES = line_dedup.LineRules(min_chars=20, exact_chars=6)
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
+PIECES = public_tokenizers.path("piece_bpe_32k.model")
 
 
 def op1_quality_rules(spark: SparkSession, d: str) -> DataFrame:
@@ -70,6 +86,31 @@ def op10_url_rules(spark: SparkSession, d: str) -> DataFrame:
     return judged.select("page_id", "host", "path", "rule", "verdict")
 
 
+def op11_conversation_trie(spark: SparkSession, d: str) -> DataFrame:
+    own = conversation_trie.conversation_turns(table(spark, d, "conversations"))
+    trie = conversation_trie.prefix_trie(conversation_trie.with_borrowed_openings(own))
+    nodes = trie.nodes.join(conversation_trie.ends_digest(trie.ends), ["conv_id", "depth"], "left")
+    return nodes.select(
+        "conv_id", "depth", "parent_conv_id", "n_convs", "n_children", "n_leaves", F.col("saved").alias("saved_tokens"),
+        F.coalesce("ends_sha256", F.sha2(F.lit(""), 256)).alias("ends_sha256"),
+    )
+
+
+def op12_spelling(spark: SparkSession, d: str) -> DataFrame:
+    words = spelling.count_words(table(spark, d, "documents"), slip_every=97)
+    return spelling.variant_forms(words)
+
+
+def op13_pieces(spark: SparkSession, d: str) -> DataFrame:
+    encoded = pieces.encode(table(spark, d, "documents").select("doc_id", "text"), PIECES).drop("text")
+    both = pieces.decode(encoded, PIECES)
+    ids = F.array_join(F.col("ids").cast("array<string>"), ",")
+    return both.select(
+        "doc_id", F.size("ids").cast("long").alias("n_tokens"), F.sha2(ids, 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
 RUNNERS: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -83,6 +124,9 @@ RUNNERS: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_vectors,
         op9_secrets,
         op10_url_rules,
+        op11_conversation_trie,
+        op12_spelling,
+        op13_pieces,
     )
 }
 
@@ -93,4 +137,6 @@ ORACLES: dict[str, str] = {
     "op5_mixing": oracles.OP5,
     "op8_vectors": oracles.OP8,
     "op10_url_rules": oracles.OP10,
+    "op11_conversation_trie": oracles.OP11,
+    "op12_spelling": oracles.OP12,
 }
