@@ -206,13 +206,24 @@ def _schema(df: DataFrame, rule: QualityRule, *_: Any) -> list[Probe]:
     return [probe(name) for name in _as_list(rule.params.get("required_columns"))]
 
 
-def _zscore(df: DataFrame, rule: QualityRule, *_: Any) -> list[Probe]:
-    """Rows further than ``zscore_threshold`` deviations from the mean. Mean and deviation of
-    all columns come from one scalar subquery. With ``max_ratio`` the share is the verdict."""
+def _history(df: DataFrame, rule: QualityRule, as_of: Column | None) -> DataFrame:
+    """The rows that statistics are taken from: with a ``date_column`` those of the ``lookback_days`` (30) days up to
+    ``as_of``, or up to the latest date of the table; without one all."""
+    date = rule.params.get("date_column")
+    if not date:
+        return df
+    day = F.col(date).cast("date")
+    last = df.agg(F.max(day)).scalar() if as_of is None else as_of.cast("date")
+    return df.filter((day > F.date_sub(last, int(rule.params.get("lookback_days", 30)))) & (day <= last))
+
+
+def _zscore(df: DataFrame, rule: QualityRule, _tables: Any = None, as_of: Column | None = None) -> list[Probe]:
+    """Rows further than ``zscore_threshold`` deviations from the mean. Mean and deviation of all columns, over the rows
+    of ``_history``, come from one scalar subquery. With ``max_ratio`` the share is the verdict."""
     names = _columns(rule)
     k = float(rule.params.get("zscore_threshold", 3.0))
     ratio_limit = rule.params.get("max_ratio")
-    stats = df.agg(
+    stats = _history(df, rule, as_of).agg(
         F.struct(
             *[F.avg(c).alias(f"avg_{i}") for i, c in enumerate(names)],
             *[F.stddev_samp(c).alias(f"dev_{i}") for i, c in enumerate(names)],
@@ -238,9 +249,9 @@ def _zscore(df: DataFrame, rule: QualityRule, *_: Any) -> list[Probe]:
     return [probe(i, name) for i, name in enumerate(names)]
 
 
-def _anomaly_ratio(df: DataFrame, rule: QualityRule, *_: Any) -> list[Probe]:
+def _anomaly_ratio(df: DataFrame, rule: QualityRule, tables: Any = None, as_of: Column | None = None) -> list[Probe]:
     params = {"max_ratio": ANOMALY_RATIO_LIMIT, "zscore_threshold": rule.params.get("threshold", 3.0), **rule.params}
-    return _zscore(df, QualityRule(rule.rule_id, rule.rule_type, params, rule.version, rule.threshold, rule.severity))
+    return _zscore(df, QualityRule(rule.rule_id, rule.rule_type, params, rule.version, rule.threshold, rule.severity), tables, as_of)
 
 
 def _approximate_uniqueness(df: DataFrame, rule: QualityRule, *_: Any) -> list[Probe]:

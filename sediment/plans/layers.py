@@ -15,7 +15,7 @@ from typing import Any
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sediment.config import ColumnTransformation, QualityRule, SpecError, load_spec, rules_from_spec
+from sediment.config import ColumnTransformation, InputFormat, QualityRule, SpecError, load_spec, rules_from_spec
 from sediment.functions import lookup, text
 from sediment.functions.protect import protect_columns
 from sediment.operators import events, quality
@@ -269,6 +269,17 @@ def _standardize_name(df: DataFrame, step: Mapping[str, Any], _: Mapping[str, Da
     return df.withColumns({c: text.chain(F.col(c), body["operations"]) for c in body["input_columns"]})
 
 
+def _reference(df: DataFrame, body: Mapping[str, Any], tables: Mapping[str, DataFrame]) -> DataFrame:
+    """The table that ``reference_data`` names among those handed in; else what lies at that path, in
+    ``reference_format`` or the format of its ending (parquet without one)."""
+    name = body["reference_data"]
+    if name in tables:
+        return tables[name]
+    ending = name.rstrip("/").rsplit("/", 1)[-1].rpartition(".")[2].lower()
+    known = {f.value for f in InputFormat}
+    return readers.read_source(df.sparkSession, name, body.get("reference_format") or (ending if ending in known else "parquet"))
+
+
 def _standardize_address(df: DataFrame, step: Mapping[str, Any], tables: Mapping[str, DataFrame]) -> DataFrame:
     """Zip form, and ``city_state_valid`` / ``address_valid`` against the reference table, whose
     columns are city, state, country (and address)."""
@@ -277,10 +288,10 @@ def _standardize_address(df: DataFrame, step: Mapping[str, Any], tables: Mapping
         df = df.withColumn(body["zip_column"], text.standardize_zip(F.col(body["zip_column"])))
     place = {body["city_column"]: "city", body["state_column"]: "state", body["country_column"]: "country"}
     if "validate_city_state" in body["operations"]:
-        df = validate_against(df, tables[body["reference_data"]], place, "city_state_valid")
+        df = validate_against(df, _reference(df, body, tables), place, "city_state_valid")
     if "validate_address" in body["operations"]:
         keys = {body["address_column"]: "address", **place}
-        df = validate_against(df, tables[body["reference_data"]], keys, "address_valid")
+        df = validate_against(df, _reference(df, body, tables), keys, "address_valid")
     return df
 
 
@@ -290,7 +301,7 @@ def _enrich_location(df: DataFrame, step: Mapping[str, Any], tables: Mapping[str
     body = step["config"]
     keys = {column: kind for kind, column in body["input_columns"].items()}
     outputs = {reference: reference for reference in body["output_columns"].values()}
-    return enrich(df, tables[body["reference_data"]], keys, outputs)
+    return enrich(df, _reference(df, body, tables), keys, outputs)
 
 
 def _validate_contact(df: DataFrame, step: Mapping[str, Any], tables: Mapping[str, DataFrame]) -> DataFrame:

@@ -143,6 +143,24 @@ def dq_zscore(spark: SparkSession, d: str) -> DataFrame:
     return _run(table(spark, d, "events"), QualityRule("far", "anomaly", {"columns": ["value"]}, threshold=0.99))
 
 
+@query(
+    "dq_zscore_lookback",
+    _long(
+        "far",
+        "value",
+        {"anomaly_count": "f", "anomaly_ratio": "f::double / n"},
+        "f <= n * (1 - 0.99)",
+        "select count(*) as n, count(*) filter (where abs(value - a) / d > 2.5) as f from events, "
+        "(select avg(value) as a, stddev_samp(value) as d from events "
+        "where ts::date > (select max(ts)::date - 7 from events))",
+    ),
+)
+def dq_zscore_lookback(spark: SparkSession, d: str) -> DataFrame:
+    """All rows against the mean and deviation of the last seven days."""
+    params = {"columns": ["value"], "date_column": "ts", "lookback_days": 7, "zscore_threshold": 2.5}
+    return _run(table(spark, d, "events"), QualityRule("far", "anomaly", params, threshold=0.99))
+
+
 @query(
     "dq_zscore_samples",
     """select event_id, value from events, (select avg(value) as a, stddev_samp(value) as d from events)

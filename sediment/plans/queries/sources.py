@@ -165,19 +165,21 @@ def catalog_tables(spark: SparkSession, d: str) -> DataFrame:
 
 @query(
     "file_facts",
-    """select l_returnflag || l_linestatus as folder, count(*) as row_count, 1::bigint as files, 31 * count(*) as file_size
-       from lineitem group by 1""",
+    """select l_returnflag || l_linestatus as folder, count(*) as row_count, count(distinct l_orderkey // 1000)::bigint as files,
+              31 * count(*) as file_size from lineitem group by 1""",
 )
 def file_facts(spark: SparkSession, d: str) -> DataFrame:
-    """One file of 31 bytes a line (with its end) for each pair of flags."""
+    """Files of 31 bytes a line (with its end), one for each pair of flags and thousand orders: tasks and files grow with the table."""
     path = scratch_path(spark, "facts")
     lines = table(spark, d, "lineitem").selectExpr(
-        "concat(l_returnflag, l_linestatus) as folder", "lpad(concat_ws('-', l_orderkey, l_linenumber), 30, '.') as value"
+        "concat(l_returnflag, l_linestatus) as folder",
+        "l_orderkey div 1000 as part",
+        "lpad(concat_ws('-', l_orderkey, l_linenumber), 30, '.') as value",
     )
-    lines.repartition(1).write.partitionBy("folder").text(path)
+    lines.repartition("folder", "part").write.partitionBy("folder", "part").text(path)
     facts = manifest.file_facts(spark.read.text(path))
     return facts.groupBy(F.regexp_extract("file_path", "folder=([^/]*)/", 1).alias("folder")).agg(
-        F.sum("row_count").alias("row_count"), F.count_distinct("file_name").alias("files"), F.sum("file_size").alias("file_size")
+        F.sum("row_count").alias("row_count"), F.count_distinct("file_path").alias("files"), F.sum("file_size").alias("file_size")
     )
 
 

@@ -22,7 +22,8 @@ def run_steps(
 ) -> tuple[list[dict[str, Any]], DataFrame]:
     """Run the steps in order; returns a report per step and the events raised.
 
-    A step's frame is a view under the step's id. A failing step ends the run.
+    A step's frame is a view under the step's id. A failing step ends the run. A rule covers the steps it names
+    under ``steps``; one that names none covers what is extracted, as later steps may have other columns.
     """
     rules = rules_from_spec(config.get("quality_rules") or [])
     reports: list[dict[str, Any]] = []
@@ -77,9 +78,11 @@ def run_steps(
         df.createOrReplaceTempView(step["id"])
         latest = df
         failed: list[dict[str, Any]] = []
-        if rules and step["type"] not in ("load", "sink"):
-            results = quality.evaluate(df, rules, step["id"]).collect()
-            for rule in rules:
+        read = step["type"] in ("extract", "source")
+        covering = [r for r in rules if (step["id"] in r.params["steps"] if "steps" in r.params else read)]
+        if covering and step["type"] not in ("load", "sink"):
+            results = quality.evaluate(df, covering, step["id"]).collect()
+            for rule in covering:
                 mine = [r for r in results if r["rule_id"] == rule.rule_id]
                 report["quality_checks"][rule.rule_id] = {
                     "passed": all(r["passed"] for r in mine),

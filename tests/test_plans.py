@@ -58,12 +58,36 @@ def test_order_steps_store_totals_or_stop_at_the_rule(spark, tmp_path, lines, le
 
 def test_order_steps_report_the_step_that_cannot_run(spark, tmp_path):
     landing = csv(tmp_path, "number,customer,cents\n1,kim,5\n")
-    config = order_steps(landing, str(tmp_path / "totals"), "select customer, from raw_orders")
+    config = order_steps(landing, str(tmp_path / "totals"), "selec customer from raw_orders")
     reports, raised = steps.run_steps(spark, config, "2021-05-06T07:08:09")
     assert [r["success"] for r in reports] == [True, False] and "PARSE" in reports[1]["error"].upper()
     assert raised.collect()[-1]["details"]["error"] == "SQL execution failed"
 
 
+def test_a_rule_covers_the_steps_it_names(spark, tmp_path):
+    landing = csv(tmp_path, "number,customer,cents\n7,kim,500\n8,,125\n9,kim,25\n")
+    config = order_steps(landing, str(tmp_path / "totals"), TOTALS, 0.6)
+    config["quality_rules"][0]["steps"] = ["per_customer"]
+    reports, _ = steps.run_steps(spark, config, "2021-05-06T07:08:09")
+    assert reports[0]["quality_checks"] == {} and reports[0]["success"]
+    assert not reports[1]["success"] and reports[1]["error"] == "Quality check failed: named"  # 1 of 2 groups is named
+
+
+def test_reference_data_is_read_by_its_path(spark, tmp_path):
+    spark.createDataFrame([("1234", "NO", 59.9, 10.7)], "zip string, country string, lat double, long double").write.parquet(f"{tmp_path}/geo")
+    df = spark.createDataFrame([(1, "1234", "NO"), (2, "9", "NO")], "id int, zip_code string, country string")
+    config = {
+        "input_columns": {"zip": "zip_code", "country": "country"},
+        "output_columns": {"latitude": "lat", "longitude": "long"},
+        "reference_data": f"{tmp_path}/geo",
+    }
+    out = layers.SILVER_STEPS["enrich_location"](df, {"config": config}, {})
+    assert {(r["id"], r["lat"], r["long"]) for r in out.collect()} == {(1, 59.9, 10.7), (2, None, None)}
+    given = {f"{tmp_path}/geo": spark.createDataFrame([("9", "NO", 1.0, 2.0)], "zip string, country string, lat double, long double")}
+    out = layers.SILVER_STEPS["enrich_location"](df, {"config": config}, given)
+    assert {(r["id"], r["lat"]) for r in out.collect()} == {(1, None), (2, 1.0)}
+
+
 def bronze_item(root, **more):
     return {
         "name": "people",
@@ -142,9 +166,44 @@ def test_folded_metrics_equal_the_joined_form(spark, rows):
         "case id % 4 when 0 then 'CREDIT' when 1 then 'TRANSFER' else 'DEBIT' end as type",
         "cast((id * 37 % 100000) / 7 as decimal(18,2)) as amount",
     )
-    from sediment.plans.queries.gold import GOLD_SPEC
+    def spent(kind):
+        return {"expression": f"sum(if(payments.type = '{kind}', payments.amount, 0))", "type": "decimal(18,2)"}
 
-    views = gold_spec.build_views(GOLD_SPEC, {"clients": customers, "payments": transactions})
+    before = "over (partition by clients.customer_id order by month)"
+    change = [
+        {"name": "spend_change", "expression": f"spend - lag(spend) {before}", "type": "decimal(18,2)"},
+        {"name": "count_change", "expression": f"payment_count - lag(payment_count) {before}", "type": "integer"},
+    ]
+    months = {
+        "name": "client_months",
+        "group_by": ["clients.customer_id", "clients.country", "trunc(payments.transaction_date, 'MM') as month"],
+        "metrics": [
+            {"name": "spend", **spent("DEBIT")},
+            {"name": "income", **spent("CREDIT")},
+            {"name": "payment_count", "expression": "count(1)", "type": "integer"},
+        ],
+        "windows": [
+            {
+                "name": "year",
+                "partition_by": ["clients.customer_id"],
+                "order_by": "month",
+                "frame": "rows between 11 preceding and current row",
+                "metrics": change,
+            }
+        ],
+    }
+    classes = {
+        "name": "client_classes",
+        "dependencies": ["client_months"],
+        "type": "view",
+        "expression": """
+            select customer_id, month, case when s > 10000 and n > 20 then 'PREMIUM' when s > 5000 and n > 10 then 'GOLD' else 'STANDARD' end as class
+            from (select *, mean(spend) over w as s, mean(payment_count) over w as n from client_months
+                  window w as (partition by customer_id order by month rows between 5 preceding and current row))""",
+    }
+    joins = [{"type": "left", "tables": ["clients", "payments"], "condition": "payments.customer_id = clients.customer_id"}]
+    spec = {"source_tables": [{"name": "clients"}, {"name": "payments"}], "joins": joins, "aggregations": [months, classes]}
+    views = gold_spec.build_views(spec, {"clients": customers, "payments": transactions})
     columns = ["customer_id", "country", "month", "total_spend", "total_income", "transaction_count", "spend_growth", "transaction_growth"]
     folded = gold_spec.customer_monthly_metrics(customers, transactions)
     joined = ["customer_id", "country", "month", "spend", "income", "payment_count", "spend_change", "count_change"]
