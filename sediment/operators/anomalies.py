@@ -37,6 +37,15 @@ def _zscore(value: str, mean: str, deviation: str) -> Column:
     return F.try_divide(F.col(value) - F.col(mean), F.col(deviation))
 
 
+# Scores are compared after rounding to so many digits: a score of exactly the threshold must not turn
+# on the last bit of a sum, which depends on the order in which it was taken.
+SCORE_DIGITS = 9
+
+
+def _beyond(score: Column, limit: float) -> Column:
+    return F.round(F.abs(score), SCORE_DIGITS) > limit
+
+
 def _flag(test: Column, config: AnomalyConfig, seen: Column | None = None) -> Column:
     """False where the test is unknown; NULL where the frame has fewer than ``min_samples``."""
     known = F.coalesce(test, F.lit(False))
@@ -90,7 +99,7 @@ def date_detector(
     else:
         frame = frame.withColumn(names["score"], _zscore(names["value"], names["mean"], names["deviation"]))
     limit = config.sensitivity if config.detection_method == "iqr" else config.threshold
-    test = F.abs(F.col(names["score"])) > limit
+    test = _beyond(F.col(names["score"]), limit)
     frame = frame.withColumn(names["flag"], _flag(test, config, F.col("_seen"))).drop("_seen")
     if grain == "date":
         return frame.withColumnRenamed("_day", date)
@@ -178,7 +187,7 @@ def _seen(config: AnomalyConfig) -> Column | None:
 def zscore_measure(column: str, config: AnomalyConfig, names: Mapping[str, str]) -> Measure:
     def finish(rolled: DataFrame) -> DataFrame:
         scored = rolled.withColumn(names["score"], _zscore(column, names["mean"], names["deviation"]))
-        test = F.abs(F.col(names["score"])) > config.threshold
+        test = _beyond(F.col(names["score"]), config.threshold)
         return scored.withColumn(names["flag"], _flag(test, config, _seen(config)))
 
     value = F.col(column)
@@ -208,7 +217,7 @@ def moving_average_measure(column: str, config: AnomalyConfig, names: Mapping[st
     def finish(rolled: DataFrame) -> DataFrame:
         mean = F.col(names["mean"])
         moved = rolled.withColumn(names["score"], F.try_divide(F.abs(F.col(column) - mean), mean))
-        return moved.withColumn(names["flag"], _flag(F.col(names["score"]) > config.threshold, config, _seen(config)))
+        return moved.withColumn(names["flag"], _flag(_beyond(F.col(names["score"]), config.threshold), config, _seen(config)))
 
     return Measure({names["mean"]: rolling_avg(F.col(column))}, finish, (column, names["mean"], "_deviation"))
 
@@ -373,23 +382,15 @@ def group_pattern(
 ) -> DataFrame:
     """The configured method on every feature column, within the groups.
 
-    The forest method takes the features together and learns one forest for all groups, with
-    each feature centred and scaled within its group beforehand.
+    The forest method takes the features together and grows a forest for each group. Of a group's rows the
+    share above ``threshold`` is flagged (0.95: the highest 5 percent); a group with fewer than ``min_samples``
+    rows has NULL scores and flags.
     """
     if config.detection_method == "isolation_forest":
-        folded = df.groupBy(*group_by).agg(
-            *[F.avg(f).alias(f"_m_{f}") for f in features], *[F.stddev_samp(f).alias(f"_s_{f}") for f in features]
-        )
-        keys = {g: F.col(g) for g in group_by}
-        joined = _join_back(df, materialize(folded, "groups"), keys)
-        scaled = joined.withColumns(
-            {
-                f"_x_{f}": F.coalesce(F.try_divide(F.col(f) - F.col(f"_m_{f}"), F.col(f"_s_{f}")), F.lit(0.0))
-                for f in features
-            }
-        ).drop(*[f"_{p}_{f}" for p in "ms" for f in features])
-        out = forest(scaled, [f"_x_{f}" for f in features], tie_breakers, "is_group_pattern_anomaly")
-        return out.drop(*[f"_x_{f}" for f in features])
+        if not 0 < config.threshold < 1:
+            raise SpecError("a forest's threshold is the share of rows it leaves alone, between 0 and 1")
+        share = round(1.0 - config.threshold, 9)
+        return isolation_forest.detect_groups(df, group_by, features, tie_breakers, contamination=share, min_samples=config.min_samples)
     measures = [_generic(config.detection_method, feature, config) for feature in features]
     return roll_measures(df, config, measures, [date], tie_breakers, group_by)
 

@@ -73,18 +73,8 @@ class Blocks:
         )
 
 
-def blocks(
-    df: DataFrame,
-    order_by: Sequence[str],
-    lookback: int,
-    tie_breakers: Sequence[str],
-    group_by: Sequence[str] = (),
-    block_rows: int | None = None,
-) -> Blocks:
-    """Steps 1 to 3: sort and write ``df`` once, number its rows, copy block ends over."""
-    spark = df.sparkSession
-    keep = df.columns
-    sort_columns = [*group_by, *order_by, *tie_breakers]
+def numbered(df: DataFrame, sort_columns: Sequence[str]) -> tuple[DataFrame, int]:
+    """``df`` with ``_pos``, each row's place in the order of the columns from 0 on, and the number of rows."""
     # The running id holds the partition number in its upper 31 bits and the row's index
     # within the partition in its lower 33 bits.
     ordered = materialize(
@@ -100,6 +90,24 @@ def blocks(
     for number, size in sizes:
         starts.append((number, total))
         total += size
+    offsets = F.broadcast(df.sparkSession.createDataFrame(starts, "_part long, _start long"))
+    position = F.col("_start") + F.col("_seq").bitwiseAND(F.lit((1 << 33) - 1))
+    placed = ordered.withColumn("_part", partition).join(offsets, "_part").select(*df.columns, position.alias("_pos"))
+    return placed, total
+
+
+def blocks(
+    df: DataFrame,
+    order_by: Sequence[str],
+    lookback: int,
+    tie_breakers: Sequence[str],
+    group_by: Sequence[str] = (),
+    block_rows: int | None = None,
+) -> Blocks:
+    """Steps 1 to 3: sort and write ``df`` once, number its rows, copy block ends over."""
+    spark = df.sparkSession
+    keep = df.columns
+    placed, total = numbered(df, [*group_by, *order_by, *tie_breakers])
     if block_rows is None:
         tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
         spread = -(-total // (2 * tasks))
@@ -107,16 +115,9 @@ def blocks(
         block_rows = max(min(MAX_BLOCK_ROWS, spread), MIN_BLOCK_ROWS, 20 * lookback)
     block_rows = max(block_rows, lookback)
 
-    offsets = F.broadcast(spark.createDataFrame(starts, "_part long, _start long"))
-    position = F.col("_start") + F.col("_seq").bitwiseAND(F.lit((1 << 33) - 1))
     home = F.expr(f"_pos div {block_rows}L")
     in_halo = F.pmod(F.col("_pos"), F.lit(block_rows)) >= F.lit(block_rows - lookback)
-    rows = (
-        ordered.withColumn("_part", partition)
-        .join(offsets, "_part")
-        .select(*keep, position.alias("_pos"))
-        .withColumn("_block", F.explode(F.when(in_halo, F.array(home, home + 1)).otherwise(F.array(home))))
-    )
+    rows = placed.withColumn("_block", F.explode(F.when(in_halo, F.array(home, home + 1)).otherwise(F.array(home))))
     return Blocks(rows, tuple(keep), tuple(group_by), lookback, block_rows)
 
 

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from sediment.config import AnomalyConfig, rules_from_spec
 from sediment.operators import anomalies, isolation_forest, quality
+from sediment.operators.selection import flag_highest, rows_of_share
 from sediment.plans.queries.registry import query, rounded, table
 from sediment.session import materialize
 
@@ -67,7 +68,7 @@ rolled as (select *, avg({value}) over w as {mean}, stddev_samp({value}) over w
   window w as ({part}order by day rows between {lookback} preceding and current row)),
 f as (select *, case when {deviation} > 0 then ({value} - {mean}) / {deviation} end as {score} from rolled)
 select r.{key}, round(f.{value}, 6) as {value}, round({mean}, 6) as {mean}, round({deviation}, 6) as {deviation},
-       round({score}, 6) as {score}, coalesce(abs({score}) > {threshold}, false) as {flag}
+       round({score}, 6) as {score}, coalesce(round(abs({score}), 9) > {threshold}, false) as {flag}
 from rows_in r join f on f.day = cast(r.{day} as date){on_group}"""
 
 
@@ -160,7 +161,7 @@ def _row_sql(
     part = f"partition by {group} " if group else ""
     return f"""
 select {key}, {column}, round(a, {digits[0]}) as {mean}, round(s, {digits[1]}) as {deviation}, round(z, {digits[2]}) as {score},
-       coalesce(abs(z) > {threshold}, false) as {flag}
+       coalesce(round(abs(z), 9) > {threshold}, false) as {flag}
 from (select *, case when s > 0 then ({column} - a) / s end as z from (
   select *, avg({column}) over w as a, stddev_samp({column}) over w as s from {source}
   window w as ({part}order by {order} rows between {lookback} preceding and current row)))"""
@@ -485,15 +486,18 @@ def an_detection_events(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
-def _forest_facts(found: DataFrame, flag: str, share: float) -> DataFrame:
-    """Rows, and whether scores and flags keep their bounds: a score is in (0, 1], and flagged are the
-    highest, no more than their share (and one for rounding)."""
+def _forest_facts(found: DataFrame, flag: str, share: float, groups: tuple[str, ...] = ()) -> DataFrame:
+    """Rows, and whether scores and flags keep their bounds, in every group: a score is in (0, 1], and the flagged
+    are the highest, exactly as many as their share."""
     score, flagged = F.col("anomaly_score"), F.count_if(flag)
-    return found.agg(
+    each = found.groupBy(*groups).agg(
         F.count("*").alias("total_rows"),
         F.bool_and((score > 0) & (score <= 1)).alias("scores_in_range"),
-        ((flagged <= share * F.count("*") + 1) & (flagged > 0)).alias("share_kept"),
-        (F.min(F.when(F.col(flag), score)) > F.max(F.when(~F.col(flag), score))).alias("highest_flagged"),
+        (flagged == rows_of_share(share, F.count("*"))).alias("share_kept"),
+        (F.min(F.when(F.col(flag), score)) >= F.coalesce(F.max(F.when(~F.col(flag), score)), F.lit(0.0))).alias("highest_flagged"),
+    )
+    return each.agg(
+        F.sum("total_rows").alias("total_rows"), *[F.bool_and(c).alias(c) for c in ("scores_in_range", "share_kept", "highest_flagged")]
     )
 
 
@@ -501,30 +505,106 @@ def _forest_sql(table_name: str) -> str:
     return f"select count(*) as total_rows, true as scores_in_range, true as share_kept, true as highest_flagged from {table_name}"
 
 
-@query("an_isolation_forest", _forest_sql("lineitem"))
-def an_isolation_forest(spark: SparkSession, d: str) -> DataFrame:
+def _item_forest(spark: SparkSession, d: str) -> DataFrame:
     items = table(spark, d, "lineitem").select(*ITEM_KEYS, "l_quantity", "l_discount")
-    found = anomalies.forest(items, ["l_extendedprice", "l_quantity", "l_discount"], ITEM_KEYS)
-    return _forest_facts(found, "is_isolation_forest_anomaly", 0.1)
+    return anomalies.forest(items, ["l_extendedprice", "l_quantity", "l_discount"], ITEM_KEYS)
 
 
-@query("an_segment_forest", _forest_sql("customer"))
-def an_segment_forest(spark: SparkSession, d: str) -> DataFrame:
+def _people_forest(spark: SparkSession, d: str) -> DataFrame:
     people = table(spark, d, "customer").selectExpr(
         "c_custkey", "c_acctbal as credit_score", "double(c_nationkey) as income", "c_acctbal / (c_nationkey + 1) as debt_ratio"
     )
-    found = anomalies.forest(people, ["credit_score", "income", "debt_ratio"], ["c_custkey"], "is_segment_anomaly")
-    return _forest_facts(found, "is_segment_anomaly", 0.1)
+    return anomalies.forest(people, ["credit_score", "income", "debt_ratio"], ["c_custkey"], "is_segment_anomaly")
+
+
+ORDER_GROUPS = ("o_orderpriority", "o_orderstatus")
+
+
+def _order_forests(spark: SparkSession, d: str) -> DataFrame:
+    """A forest for each of the fifteen groups; the highest twentieth of each is flagged."""
+    config = AnomalyConfig("isolation_forest", 30, 0.95, min_samples=100)
+    orders = table(spark, d, "orders").select("o_orderkey", *ORDER_GROUPS, "o_totalprice", "o_custkey", "o_orderdate")
+    return anomalies.group_pattern(orders, config, list(ORDER_GROUPS), ["o_totalprice", "o_custkey"], ["o_orderkey"], "o_orderdate")
+
+
+@query("an_isolation_forest")
+def an_isolation_forest(spark: SparkSession, d: str) -> DataFrame:
+    return _item_forest(spark, d)
+
 
+@query("an_segment_forest")
+def an_segment_forest(spark: SparkSession, d: str) -> DataFrame:
+    return _people_forest(spark, d)
 
-@query("an_group_forest", _forest_sql("orders"))
+
+@query("an_group_forest")
 def an_group_forest(spark: SparkSession, d: str) -> DataFrame:
-    config = AnomalyConfig("isolation_forest", 30, 0.95)
-    orders = table(spark, d, "orders")
-    found = anomalies.group_pattern(
-        orders, config, ["o_orderpriority", "o_orderstatus"], ["o_totalprice"], ["o_orderkey"], "o_orderdate"
-    )
-    return _forest_facts(found, "is_group_pattern_anomaly", 0.1)
+    return _order_forests(spark, d)
+
+
+@query("an_isolation_forest_facts", _forest_sql("lineitem"))
+def an_isolation_forest_facts(spark: SparkSession, d: str) -> DataFrame:
+    return _forest_facts(_item_forest(spark, d), "is_isolation_forest_anomaly", 0.1)
+
+
+@query("an_segment_forest_facts", _forest_sql("customer"))
+def an_segment_forest_facts(spark: SparkSession, d: str) -> DataFrame:
+    return _forest_facts(_people_forest(spark, d), "is_segment_anomaly", 0.1)
+
+
+@query(
+    "an_group_forest_facts",
+    "select sum(n)::bigint as total_rows, true as scores_in_range, true as share_kept, true as highest_flagged "
+    "from (select count(*) as n from orders group by o_orderpriority, o_orderstatus having count(*) >= 100)",
+)
+def an_group_forest_facts(spark: SparkSession, d: str) -> DataFrame:
+    found = _order_forests(spark, d).filter(F.col("is_group_pattern_anomaly").isNotNull())
+    return _forest_facts(found, "is_group_pattern_anomaly", 0.05, ORDER_GROUPS)
+
+
+@query(
+    "an_highest_share",
+    """select l_orderkey, l_linenumber, l_partkey,
+              row_number() over (order by l_discount desc, l_orderkey, l_linenumber, l_partkey) <= ceil(0.1 * count(*) over ()) as is_high
+       from lineitem""",
+)
+def an_highest_share(spark: SparkSession, d: str) -> DataFrame:
+    """Exactly a tenth of all lines by discount, which has eleven values: nearly all of the cut falls among ties."""
+    keys = ["l_orderkey", "l_linenumber", "l_partkey"]
+    return flag_highest(table(spark, d, "lineitem").select(*keys, "l_discount"), "l_discount", 0.1, keys, "is_high").drop("l_discount")
+
+
+@query(
+    "an_highest_share_of_groups",
+    """select o_orderkey, row_number() over (partition by o_orderpriority order by o_totalprice desc, o_orderkey)
+              <= ceil(0.05 * count(*) over (partition by o_orderpriority)) as is_high from orders""",
+)
+def an_highest_share_of_groups(spark: SparkSession, d: str) -> DataFrame:
+    orders = table(spark, d, "orders").select("o_orderkey", "o_orderpriority", "o_totalprice")
+    return flag_highest(orders, "o_totalprice", 0.05, ["o_orderkey"], "is_high", ["o_orderpriority"]).select("o_orderkey", "is_high")
+
+
+@query(
+    "an_group_forest_scores",
+    """select o_orderkey, round(case o_orderstatus when 'F' then pow(2, -case when o_totalprice < 100000 then 0.25 else 1.5 end)
+              when 'O' then pow(2, -(case when o_custkey < 500 then 0.5 else 1 end + case when o_totalprice < 50000 then 2 else 0.75 end) / 2) end, 9)
+              as anomaly_score from orders""",
+)
+def an_group_forest_scores(spark: SparkSession, d: str) -> DataFrame:
+    """Given trees for two of the three groups: (tree, node, feature, cut, left, right, path), a leaf has feature -1."""
+    given = {
+        "F": [(0, 0, 0, 1e5, 1, 2, 0), (0, 1, -1, 0, -1, -1, 0.25), (0, 2, -1, 0, -1, -1, 1.5)],
+        "O": [
+            (0, 0, 1, 500, 1, 2, 0), (0, 1, -1, 0, -1, -1, 0.5), (0, 2, -1, 0, -1, -1, 1),
+            (1, 0, 0, 5e4, 1, 2, 0), (1, 1, -1, 0, -1, -1, 2), (1, 2, -1, 0, -1, -1, 0.75),
+        ],
+    }
+    orders = table(spark, d, "orders").select("o_orderkey", "o_orderstatus", "o_totalprice", "o_custkey")
+    sizes = orders.groupBy("o_orderstatus").agg(F.count("*").alias("_rows"))
+    nodes = [(g, bytearray(np.array(n, float).tobytes())) for g, n in given.items()]
+    forests = sizes.join(spark.createDataFrame(nodes, "o_orderstatus string, _forest binary"), "o_orderstatus")
+    scored = isolation_forest.score_groups(orders, ["o_orderstatus"], ["o_totalprice", "o_custkey"], ["o_orderkey"], forests)
+    return rounded(scored.select("o_orderkey", "anomaly_score"), ["anomaly_score"], 9)
 
 
 @query(

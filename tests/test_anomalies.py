@@ -1,4 +1,5 @@
 import datetime as dt
+import math
 
 import numpy as np
 import pytest
@@ -7,6 +8,7 @@ from pyspark.sql import functions as F
 from sediment.config import AnomalyConfig, SpecError
 from sediment.operators import anomalies as an
 from sediment.operators import isolation_forest as forest
+from sediment.operators import selection
 
 START = dt.date(2024, 1, 1)
 
@@ -185,3 +187,59 @@ def test_frame_of_days(spark, rows):
 def test_frame_of_days_has_no_quartiles(spark):
     with pytest.raises(SpecError):
         an.iqr(days(spark, [1.0]), "amount", AnomalyConfig("iqr", 5, 1.0, frame="days"), ["id"])
+
+
+@pytest.mark.parametrize("share", [0.1, 0.333, 0.0001, 1.0])
+def test_highest_share_is_exact_among_ties(spark, share):
+    """40,000 rows of which a third have one score and another third come from one group; NULL and NaN scores."""
+    rows = [(i, i % 7, float(i % 3 and i % 1000), "hot" if i % 3 == 1 else f"g{i % 11}") for i in range(40_000)]
+    rows += [(-1, 0, None, "hot"), (-2, 0, float("nan"), "hot"), (-3, None, 5.0, None), (-4, 1, 5.0, None)]
+    df = spark.createDataFrame(rows, "id long, part long, s double, g string").repartition(16)
+    plain = [r for r in rows if r[2] is not None and r[2] == r[2]]
+    order = lambda r: (-r[2], r[1] is not None, r[1] or 0, r[0])
+    want = {r[0] for r in sorted(plain, key=order)[: math.ceil(round(share * len(plain), 6))]}
+    out = selection.flag_highest(df, "s", share, ["part", "id"], "high")
+    assert out.columns == [*df.columns, "high"] and out.count() == len(rows)
+    assert {r["id"] for r in out.filter("high").collect()} == want
+    want = set()
+    for g in {r[3] for r in plain}:
+        own = sorted((r for r in plain if r[3] == g), key=order)
+        want |= {r[0] for r in own[: math.ceil(round(share * len(own), 6))]}
+    out = selection.flag_highest(df, "s", share, ["part", "id"], "high", ["g"])
+    assert out.count() == len(rows) and {r["id"] for r in out.filter("high").collect()} == want
+
+
+def test_highest_share_of_nothing(spark):
+    df = spark.createDataFrame([(1, None)], "id long, s double")
+    for frame in (df, df.filter("false")):
+        assert [r["high"] for r in selection.flag_highest(frame, "s", 0.5, ["id"], "high").collect()] == [False] * frame.count()
+
+
+def test_group_forests_are_those_of_each_group_alone(spark):
+    """Groups of 4000, 300 and 20 rows, and a NULL group; features missing here and there."""
+    draw = np.random.default_rng(3)
+    groups = ["big"] * 4000 + ["mid"] * 300 + ["few"] * 20 + [None] * 200
+    rows = [(i, g, float(draw.normal()), None if i % 50 == 7 else float(draw.normal())) for i, g in enumerate(groups)]
+    df = spark.createDataFrame(rows, "id long, g string, a double, b double")
+    config = AnomalyConfig("isolation_forest", 30, 0.95, min_samples=100)
+    old, forest.GROUP_BLOCK_ROWS = forest.GROUP_BLOCK_ROWS, 500  # the big group is scored in eight blocks
+    try:
+        out = {r["id"]: r for r in an.group_pattern(df, config, ["g"], ["a", "b"], ["id"], "id").collect()}
+    finally:
+        forest.GROUP_BLOCK_ROWS = old
+    assert len(out) == len(rows)
+    for g in ("big", "mid", None):
+        own = df.filter(F.col("g").eqNullSafe(F.lit(g)))
+        nodes, _ = forest.fit(own, ["a", "b"], ["id"])
+        alone = {r["id"]: r["anomaly_score"] for r in forest.score(own, ["a", "b"], nodes).collect()}
+        assert all(out[i]["anomaly_score"] == s for i, s in alone.items()) and any(s is None for s in alone.values())
+        scored = sorted(s for s in alone.values() if s is not None)
+        marked = [i for i in alone if out[i]["is_group_pattern_anomaly"]]
+        assert len(marked) == math.ceil(round(0.05 * len(scored), 6)) and min(alone[i] for i in marked) >= scored[-len(marked)]
+    few = [r for r in out.values() if r["g"] == "few"]
+    assert all(r["anomaly_score"] is None and r["is_group_pattern_anomaly"] is None for r in few)
+
+
+def test_scores_at_the_threshold_do_not_turn_on_the_last_bit(spark):
+    df = spark.createDataFrame([(1, 2.0000000000000004), (2, 2.000001), (3, 1.9999999999)], "id int, z double")
+    assert [r[0] for r in df.orderBy("id").select(an._beyond(F.col("z"), 2.0)).collect()] == [False, True, False]
