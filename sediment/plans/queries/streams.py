@@ -5,11 +5,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from sediment.config import AnomalyConfig
 from sediment.operators import events as ev
 from sediment.plans.queries.registry import query, rounded, table
 from sediment.session import scratch_path
 from sediment.sources.writers import quarantine_path
-from sediment.streaming import flows
+from sediment.streaming import detectors, flows
 
 KIND = """case event_type when 'error' then 'pipeline_error' when 'view' then 'quality_check_failure'
   when 'click' then 'data_anomaly' when 'signup' then 'threshold_breach' else 'pipeline_complete' end"""
@@ -267,3 +268,111 @@ def stream_period_metrics(spark: SparkSession, d: str) -> DataFrame:
     return rounded(
         out.select(F.col("period_start").cast("timestamp_ntz").alias("period_start"), "sum_value", "sample_count"), ["sum_value"]
     )
+
+
+DAILY_SQL = """
+with d as (select {group} cast(ts as date) as day, count(*) as volume from events where ts < (select max(ts)::date from events) group by all),
+r as (select *, avg(volume) over w as a, stddev_samp(volume) over w as s from d window w as ({part} order by day rows between 5 preceding and current row))
+select {group} cast(day as varchar) as day, volume::double as volume, round(a, 6) as avg_volume, round(s, 6) as stddev_volume,
+       round(case when s > 0 then (volume - a) / s end, 6) as volume_zscore,
+       coalesce(round(abs(case when s > 0 then (volume - a) / s end), 9) > 1.6, false) as is_volume_anomaly from r"""
+
+
+def _daily_volume(spark: SparkSession, d: str, group_by: tuple[str, ...]) -> DataFrame:
+    """Three files, in two runs of one checkpoint; the watermark of an hour closes all days but the last."""
+    root = scratch_path(spark, "daily")
+    rows = table(spark, d, "events").selectExpr("cast(ts as timestamp) as ts", "event_type")
+    config = AnomalyConfig(lookback_window=5, threshold=1.6)
+    for part in ("day(ts) < 9", "day(ts) between 9 and 20", "day(ts) > 20"):
+        flows.stage_table(rows.filter(part).orderBy("ts").coalesce(1), f"{root}/in", "parquet")
+        if part == "day(ts) < 9":
+            continue
+        stream = spark.readStream.schema("ts timestamp, event_type string").option("maxFilesPerTrigger", "1").parquet(f"{root}/in")
+        found = detectors.volume_stream(stream, config, "ts", group_by, "1 hour")
+        run = found.writeStream.trigger(availableNow=True).option("checkpointLocation", f"{root}/checkpoint").format("parquet").start(f"{root}/out")
+        run.awaitTermination()
+    out = spark.read.parquet(f"{root}/out")
+    last = table(spark, d, "events").agg(F.max(F.col("ts").cast("date"))).scalar()
+    shown = ["volume", "avg_volume", "stddev_volume", "volume_zscore"]
+    return rounded(
+        out.filter(F.col("_day") < last).select(*group_by, F.col("_day").cast("string").alias("day"), *shown, "is_volume_anomaly"), shown
+    )
+
+
+@query("stream_daily_volume", DAILY_SQL.format(group="", part=""))
+def stream_daily_volume(spark: SparkSession, d: str) -> DataFrame:
+    return _daily_volume(spark, d, ())
+
+
+@query("stream_daily_volume_by_type", DAILY_SQL.format(group="event_type,", part="partition by event_type"))
+def stream_daily_volume_by_type(spark: SparkSession, d: str) -> DataFrame:
+    return _daily_volume(spark, d, ("event_type",))
+
+
+@query("stream_first_copies", "select event_id, value from events")
+def stream_first_copies(spark: SparkSession, d: str) -> DataFrame:
+    """Every event arrives twice, in batches of their own; copies are stored once."""
+    root = scratch_path(spark, "copies")
+    rows = table(spark, d, "events").selectExpr("event_id", "value")
+    item = {
+        "name": "events",
+        "format": "json",
+        "landing_zone": {"path": f"{root}/landing", "file_pattern": "*.json"},
+        "schema_validation": {"schema": "event_id long, value double", "mode": "strict"},
+        "bronze_zone": {"path": f"{root}/bronze"},
+    }
+    for part in ("event_id % 3 > 0", "event_id % 3 < 2", "true"):
+        flows.stage_table(rows.filter(part), f"{root}/landing", "json")
+        flows.ingest_layer(spark, item, f"{root}/checkpoint", duplicates_within="7 days")
+    return spark.read.parquet(f"{root}/bronze").select("event_id", "value")
+
+
+def _topic_runs(spark: SparkSession, d: str, start: str, runs: int) -> DataFrame:
+    """Messages of a topic of two partitions, laid down in two parts; a run of one checkpoint after each part."""
+    root = scratch_path(spark, "offsets")
+    numbered = table(spark, d, "events").selectExpr("event_id", "pmod(event_id, 2) as partition", "event_type")
+    for part in range(2):
+        half = numbered.filter(F.pmod(F.col("event_id"), F.lit(4)) >= 2 if part else F.pmod(F.col("event_id"), F.lit(4)) < 2)
+        rows = half.repartitionByRange(4, "event_id").sortWithinPartitions("event_id")
+        lines = rows.select("partition", F.format_string("%010d", F.col("event_id")).alias("value"))
+        lines.write.partitionBy("partition").text(f"{root}/part{part}")
+        for number in range(2):
+            _move_files(spark, f"{root}/part{part}/partition={number}", f"{root}/topic=t/partition={number}", f"{part}-")
+        if part >= 2 - runs:
+            stream = flows.topic_stream(spark, "t", folder=root, starting_offsets=start)
+            flows.run_available(stream, f"{root}/checkpoint", flows.batch_directory(f"{root}/out"))
+    return spark.read.parquet(f"{root}/out").select(F.col("value").cast("long").alias("event_id"), "partition", "offset")
+
+
+def _move_files(spark: SparkSession, source: str, target: str, prefix: str) -> None:
+    """Files of a folder into a topic's folder, under names that come after those already there."""
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    fs = path(source).getFileSystem(spark._jsc.hadoopConfiguration())
+    fs.mkdirs(path(target))
+    for status in fs.listStatus(path(source)):
+        name = status.getPath().getName()
+        if not name.startswith(("_", ".")):
+            fs.rename(status.getPath(), path(f"{target}/{prefix}{name}"))
+
+
+OFFSETS_SQL = """
+with h as (select event_id, event_id % 2 as partition, case when event_id % 4 < 2 then 0 else 1 end as half from events),
+o as (select event_id, partition::int as partition, half, row_number() over (partition by partition order by half, event_id) - 1 as "offset" from h)
+select event_id, partition, "offset" from o where {where}"""
+
+
+@query("topic_earliest", OFFSETS_SQL.format(where="true"))
+def topic_earliest(spark: SparkSession, d: str) -> DataFrame:
+    """From the beginning, and on from there in a second run."""
+    return _topic_runs(spark, d, "earliest", 2)
+
+
+@query("topic_latest", OFFSETS_SQL.format(where="half = 1"))
+def topic_latest(spark: SparkSession, d: str) -> DataFrame:
+    """A first run from the end finds nothing; the second has what came since."""
+    return _topic_runs(spark, d, "latest", 2)
+
+
+@query("topic_from_offsets", OFFSETS_SQL.format(where="""(partition = 0 and "offset" >= 25) or (partition = 1 and "offset" >= 40)"""))
+def topic_from_offsets(spark: SparkSession, d: str) -> DataFrame:
+    return _topic_runs(spark, d, '{"0": 25, "1": 40}', 1)

@@ -3,7 +3,7 @@ is repeated from its checkpoint adds nothing twice."""
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import replace
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -19,6 +19,7 @@ from sediment.plans.layers import RunContext
 from sediment.session import materialize
 from sediment.sources import readers, writers
 from sediment.sources.readers import FILE_FACTS, as_schema
+from sediment.streaming import topics
 
 
 def arriving_files(
@@ -48,16 +49,22 @@ def topic_stream(
     topic: str,
     servers: str | None = None,
     folder: str | None = None,
-    starting_offsets: str = "latest",
+    starting_offsets: str | None = None,
     **options: str,
 ) -> DataFrame:
-    """JSON messages of a topic as ``value``: from Kafka, or from the topic's folder of files."""
-    if folder:
+    """JSON messages of a topic as ``value``: from Kafka, or from the topic's folder of files.
+
+    ``starting_offsets`` counts for the first run of a checkpoint; a later one resumes. Kafka starts at the ``latest``
+    without it. A folder without it is a plain stream of text files, which has no offsets and reads all there
+    is; with ``earliest``, ``latest`` or offsets as JSON it is read by :mod:`sediment.streaming.topics`."""
+    if folder and starting_offsets is None:
         return spark.readStream.format("text").load(f"{folder}/topic={topic}").select("value")
+    if folder:
+        return topics.read_stream(spark, f"{folder}/topic={topic}", starting_offsets, **options)
     if not servers:
         raise SpecError("a topic stream needs servers or a folder")
     source = spark.readStream.format("kafka").option("kafka.bootstrap.servers", servers).option("subscribe", topic)
-    return source.option("startingOffsets", starting_offsets).options(**options).load().select("value")
+    return source.option("startingOffsets", starting_offsets or "latest").options(**options).load().select("value")
 
 
 def input_stream(spark: SparkSession, config: PipelineConfig, **where: str) -> DataFrame:
@@ -124,11 +131,13 @@ def ingest_layer(
     checkpoint: str,
     context: RunContext = RunContext(),
     max_files_per_trigger: int | None = None,
+    duplicates_within: str | None = None,
 ) -> StreamingQuery:
     """Arriving files of a landing source through the steps of the batch layer: strict parsing, duplicates
     within the batch, field checks, protection and the quality gate.
 
-    Each batch has a folder ``batch=<id>`` in the layer and in every quarantine kind, which a repeated
+    With ``duplicates_within`` (an interval such as ``7 days``) a row that has been read before is not taken up
+    again, in whatever file and batch it comes: see :func:`first_copies`. Each batch has a folder ``batch=<id>`` in the layer and in every quarantine kind, which a repeated
     batch overwrites. A batch that the gate holds back stops the stream and is tried again."""
     landing, path = item["landing_zone"], item["bronze_zone"]["path"]
     typed = as_schema(item["schema_validation"]["schema"])
@@ -145,6 +154,8 @@ def ingest_layer(
         columnNameOfCorruptRecord=readers.CORRUPT,
     )
     facts = [name for name in FILE_FACTS if name != "file_path"]
+    if duplicates_within:
+        arriving = first_copies(arriving, typed.fieldNames(), "file_modification_time", duplicates_within)
     arriving = arriving.withColumnRenamed("file_path", "source_file").drop(*facts)
 
     def sink(df: DataFrame, batch: int) -> None:
@@ -168,6 +179,17 @@ def ingest_layer(
     return run_available(arriving, checkpoint, sink)
 
 
+def first_copies(stream: DataFrame, columns: Sequence[str], ts: str, within: str) -> DataFrame:
+    """Rows of the stream whose values in ``columns`` were not seen before, across batches and restarts.
+
+    State holds a digest per row, for ``within`` after the row's time ``ts`` and no longer: a copy that comes later than
+    that is taken up again, and a row whose own time is older than the watermark is dropped by Spark as too
+    late. NULLs are equal to NULLs. Columns of the stream are kept as they are."""
+    values = F.to_json(F.struct(*[F.col(f"`{c}`") for c in columns]), {"ignoreNullFields": "false"})
+    seen = stream.withColumn("_digest", F.sha2(values, 256)).withWatermark(ts, within)
+    return seen.dropDuplicatesWithinWatermark(["_digest"]).drop("_digest")
+
+
 def handle_alerts(
     alerts: DataFrame, checkpoint: str, store: str, notify: str, template: str = "processing-alert"
 ) -> StreamingQuery:
