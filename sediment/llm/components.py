@@ -46,3 +46,16 @@ def components(links: DataFrame, left: str = "a", right: str = "b") -> DataFrame
         if not moved:
             discard(both)
             return roots.select("node", "root")
+
+
+def contracted(roots: DataFrame, links: DataFrame) -> DataFrame:
+    """``roots`` (``node``, ``root``) after further ``links`` (``a``, ``b``): the links are taken between roots, and only
+    those are followed. Nodes that ``roots`` lacks stand for themselves."""
+    left = roots.select(F.col("node").alias("a"), F.col("root").alias("ra"))
+    right = roots.select(F.col("node").alias("b"), F.col("root").alias("rb"))
+    ends = links.join(left, "a", "left").join(right, "b", "left")
+    between = ends.select(F.coalesce("ra", "a").alias("a"), F.coalesce("rb", "b").alias("b")).filter("a <> b")
+    moved = components(between)
+    kept = roots.join(moved.select(F.col("node").alias("root"), F.col("root").alias("to")), "root", "left")
+    new = moved.join(roots.select("node"), "node", "left_anti")
+    return written(kept.select("node", F.coalesce("to", "root").alias("root")).unionByName(new.select("node", "root")), "roots")

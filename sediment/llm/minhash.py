@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from sediment.llm.common import discard, fresh, keys_for_join, map_frames, mixed, written
-from sediment.llm.components import components
+from sediment.llm.components import components, contracted
 
 
 @dataclass(frozen=True)
@@ -27,7 +27,8 @@ class NearDup:
 
     With 50 bands of 7 rows a pair at 80 percent is missed by all bands with probability
     (1 - 0.8^7)^50 = 8e-6. ``checks`` further hashes, compared in batches of ``batch``, drop a
-    candidate once the posterior probability of reaching the threshold is below ``miss``."""
+    candidate once the posterior probability of reaching the threshold is below ``miss``. In each of
+    ``rounds`` a set is held against one set at most, before what is still apart is compared in blocks."""
 
     shingle: int = 5
     percent: int = 80
@@ -36,6 +37,7 @@ class NearDup:
     checks: int = 128
     batch: int = 16
     miss: float = 1e-6
+    rounds: int = 3
     seed: int = 20_261
 
 
@@ -166,26 +168,45 @@ def shingle_sets(df: DataFrame, text: str, size: int) -> DataFrame:
     return df.select(text).mapInPandas(run, "node binary, shingles binary")
 
 
+def reaches(x: bytes, y: bytes, percent: int) -> bool:
+    """Whether two sets have 100 * intersection >= percent * union."""
+    x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
+    if 100 * min(len(x), len(y)) < percent * max(len(x), len(y)):
+        return False
+    common = len(np.intersect1d(x, y, assume_unique=True))
+    return 100 * common >= percent * (len(x) + len(y) - common)
+
+
 def verify(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Pairs whose full sets have 100 * intersection >= percent * union."""
 
     @F.pandas_udf("boolean")
     def linked(x: pd.Series, y: pd.Series) -> pd.Series:
-        out = []
-        for left, right in zip(x, y):
-            left, right = np.frombuffer(left, np.uint64), np.frombuffer(right, np.uint64)
-            if 100 * min(len(left), len(right)) < percent * max(len(left), len(right)):
-                out.append(False)
-                continue
-            common = len(np.intersect1d(left, right, assume_unique=True))
-            out.append(100 * common >= percent * (len(left) + len(right) - common))
-        return pd.Series(out, dtype=bool)
+        return pd.Series([reaches(*both, percent) for both in zip(x, y, strict=True)], dtype=bool)
 
     first = sets.select(F.col("node").alias("a"), F.col("shingles").alias("_x"))
     second = sets.select(F.col("node").alias("b"), F.col("shingles").alias("_y"))
     return pairs.join(first, "a").join(second, "b").filter(linked("_x", "_y")).select("a", "b")
 
 
+def spanning_links(a: np.ndarray, b: np.ndarray, linked) -> np.ndarray:
+    """Positions of the pairs that are ``linked`` and join parts that those before them leave apart."""
+    up: dict[int, int] = {}
+
+    def top(x: int) -> int:
+        while (above := up.get(x, x)) != x:
+            up[x] = x = up.get(above, above)
+        return x
+
+    out = []
+    for i, (x, y) in enumerate(zip(a.tolist(), b.tolist(), strict=True)):
+        x, y = top(x), top(y)
+        if x != y and linked(i):
+            up[max(x, y)] = min(x, y)
+            out.append(i)
+    return np.array(out, np.int64)
+
+
 class _Prints:
     """32-bit prints of the sets of a frame's rows, end to end. Common prints are never fewer than common shingles."""
 
@@ -240,11 +261,12 @@ def compare_bucket(rows: slice, frame: dict, floors: list[tuple[int, int]], perc
 def crossing_pairs(
     rows: DataFrame, facts: DataFrame, spec: NearDup, block: int = 1024, block_bytes: int = 16 << 20
 ) -> DataFrame:
-    """Distinct ``a``, ``b`` of different roots that share a bucket and can reach the threshold.
+    """Links ``a``, ``b`` between sets of different roots that share a bucket, confirmed on the whole sets: of each
+    task, those that join what its other links leave apart.
 
     ``rows``: ``key``, ``node``, ``root``, ``size`` in bytes; ``facts``: ``node``, ``keys``, ``checks``, ``shingles``; both
     written. A large bucket is cut into blocks of about ``block`` rows and ``block_bytes``; each pair of blocks is
-    compared in memory, and only pairs that pass leave the task. Many small buckets share a task."""
+    compared in memory, and only links leave the task. Many small buckets share a task."""
     steps = range(spec.batch, spec.checks + 1, spec.batch)
     floors = [(n, posterior_floor(n, spec.percent, spec.miss)) for n in steps]
     count, total = rows.agg(F.count("*"), F.sum("size")).first()
@@ -278,34 +300,32 @@ def crossing_pairs(
         a, b = [], []
         for start, stop in zip(starts, [*starts[1:], len(frame)]):
             x, y = compare_bucket(slice(start, stop), columns, floors, percent)
-            a.append(node[start + x]), b.append(node[start + y])
-        return pd.DataFrame({"a": np.concatenate(a), "b": np.concatenate(b)})
+            a.append(start + x), b.append(start + y)
+        a, b, whole = np.concatenate(a), np.concatenate(b), frame["shingles"].to_numpy(object)
+        part = columns["root"]
+        at = spanning_links(part[a], part[b], lambda i: reaches(whole[a[i]], whole[b[i]], percent))
+        return pd.DataFrame({"a": node[a[at]], "b": node[b[at]]})
 
     met = dealt.groupBy("task").applyInPandas(run, "a binary, b binary")
     return met.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
-def _class_links(df: DataFrame, doc_id: str, text: str, classes: DataFrame, low_ids: DataFrame, spec: NearDup) -> DataFrame:
-    """Links between classes that give the same components as all links would.
+def _class_roots(df: DataFrame, doc_id: str, text: str, classes: DataFrame, low_ids: DataFrame, spec: NearDup) -> DataFrame:
+    """``node``, ``root`` of the classes that link with others: the components that all links would give.
 
-    First every class is held against two centers of each of its buckets, those that meet the most other
-    rows, so that a group of many near copies needs no pairs among its copies. Then only pairs of a bucket
-    that are still in different components are compared, all of them, in memory: the pairs that leave a
-    task are those that can link, not all that share a bucket."""
+    In each round every class is held against one center, a member of one of its buckets that meets the most
+    other rows: first the largest of its buckets' centers, then the next that is still in another component.
+    So a group of many near copies gets about one link a member, and a set travels once a round. Then only
+    pairs of a bucket that are still apart are compared, all of them, in memory."""
     rows = written(classes.select("node", F.explode("keys").alias("key")), "bands")
     shared = written(rows.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1"), "shared")
     members = written(rows.join(keys_for_join(shared), "key"), "members")
     discard(rows)
     met = written(members.groupBy("node").agg(F.sum("n").alias("met")), "met")
     marks = written(classes.select("node", "keys", "checks").join(met.select("node"), "node", "left_semi"), "marks")
-    rank = F.struct("met", "node")
-    even = F.pmod(F.xxhash64("node"), F.lit(2)) == 0
-    centers = written(
-        members.join(met, "node")
-        .groupBy("key")
-        .agg(F.max(F.when(even, rank))["node"].alias("c0"), F.max(F.when(~even, rank))["node"].alias("c1")),
-        "centers",
-    )
+    ranked = members.join(met, "node").groupBy("key").agg(F.max(F.struct("met", "node")).alias("center"))
+    order = F.slice(F.sort_array(F.collect_set("center"), asc=False)["node"], 1, spec.rounds + 1)
+    centers = written(members.join(ranked, "key").groupBy("node").agg(order.alias("c")), "centers")
 
     def sets_of(nodes: DataFrame) -> DataFrame:
         ids = written(low_ids.join(nodes, "node", "left_semi"), "wanted")
@@ -324,30 +344,33 @@ def _class_links(df: DataFrame, doc_id: str, text: str, classes: DataFrame, low_
         discard(sets)
         return out
 
-    placed = written(members.join(centers, "key"), "placed")
-    stars = (
-        placed.select("node", F.explode(F.array("c0", "c1")).alias("c"))
-        .filter("c <> node")
-        .select(F.least("c", "node").alias("a"), F.greatest("c", "node").alias("b"))
-        .distinct()
-    )
-    first = confirmed(prune(stars, marks.select("node", "checks"), spec))
-    roots = components(first)
-    rooted = written(placed.join(roots, "node", "left").select("key", "node", F.coalesce("root", "node").alias("root")), "rooted")
+    roots = None
+    for k in range(spec.rounds):
+        others = F.filter("c", lambda c: c != F.col("node"))
+        stars = centers.select("node", F.try_element_at(others, F.lit(k + 1)).alias("c")).filter("c is not null")
+        if roots is not None:
+            own = roots.select("node", F.col("root").alias("own"))
+            far = roots.select(F.col("node").alias("c"), F.col("root").alias("far"))
+            stars = stars.join(own, "node", "left").join(far, "c", "left")
+            stars = stars.filter(F.coalesce("own", "node") != F.coalesce("far", "c"))
+        pairs = stars.select(F.least("c", "node").alias("a"), F.greatest("c", "node").alias("b")).distinct()
+        links = confirmed(prune(pairs, marks.select("node", "checks"), spec))
+        roots = components(links) if roots is None else contracted(roots, links)
+    rooted = written(members.join(roots, "node", "left").select("key", "node", F.coalesce("root", "node").alias("root")), "rooted")
     mixed = written(
         rooted.groupBy("key").agg(F.min("root").alias("l"), F.max("root").alias("h")).filter("l < h").select("key"), "mixed"
     )
     open_rows = written(rooted.join(mixed, "key"), "open")
     sets = sets_of(open_rows.select("node").distinct())
     facts = written(marks.join(sets, "node"), "facts")
-    for done in (sets, marks, members, placed, rooted):
+    for done in (sets, marks, members, centers, rooted):
         discard(done)
     sizes = facts.select("node", F.octet_length("shingles").alias("size"))
     sized = written(open_rows.join(sizes, "node"), "sized")
-    second = confirmed(crossing_pairs(sized, facts, spec))
+    links = written(crossing_pairs(sized, facts, spec), "crossing")
     for done in (open_rows, facts, sized):
         discard(done)
-    return first.unionByName(second)
+    return contracted(roots, links)
 
 
 def near_duplicates(df: DataFrame, doc_id: str = "doc_id", text: str = "text", spec: NearDup = NearDup()) -> DataFrame:
@@ -366,8 +389,7 @@ def near_duplicates(df: DataFrame, doc_id: str = "doc_id", text: str = "text", s
         "classes",
     )
     low_ids = classes.select("node", "low")
-    links = _class_links(df.select(doc_id, text), doc_id, text, classes, low_ids, spec)
-    roots = components(links)
+    roots = _class_roots(df.select(doc_id, text), doc_id, text, classes, low_ids, spec)
     linked = low_ids.join(roots, "node")
     least = written(linked.groupBy("root").agg(F.min("low").alias("component")), "least")
     placed = written(linked.join(least, "root").select("node", "component"), "placed")
