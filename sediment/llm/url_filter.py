@@ -5,6 +5,7 @@ from __future__ import annotations
 import string
 from dataclasses import dataclass
 
+from pyspark.ml.fpm import FPGrowth
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -20,13 +21,20 @@ LISTED = (
 )
 
 
+# The item that marks a basket as unwanted; tokens have other beginnings.
+LABEL = "label=unwanted"
+
+
 @dataclass(frozen=True)
 class Mining:
-    """A token combination of any size blocks when at least ``min_pages`` labelled pages have it and are
-    unwanted, and ``confidence`` of those that have it are."""
+    """A token combination of any size blocks when at least ``min_pages`` labelled pages have it and are unwanted, more
+    than ``confidence`` of those that have it are, and that is no chance: the lower end of the share's Wilson
+    interval (``deviations`` wide) is at least ``lift`` times the share of all labelled pages."""
 
     min_pages: int = 10
-    confidence: float = 0.6
+    confidence: float = 0.5
+    lift: float = 1.25
+    deviations: float = 1.96
 
 
 def host_of(url: Column) -> Column:
@@ -56,44 +64,61 @@ def tokens_of(url: Column, host: Column, path: Column) -> Column:
     )
 
 
+def wilson_floor(hits: Column, total: Column, deviations: float) -> Column:
+    """Lower end of the Wilson score interval of a share."""
+    z2 = deviations * deviations
+    middle = hits + z2 / 2
+    return (middle - deviations * F.sqrt(hits * (total - hits) / total + z2 / 4)) / (total + z2)
+
+
+def token_groups(baskets: DataFrame, min_pages: int) -> DataFrame:
+    """``token``, ``item``, ``tokens``: the tokens that enough unwanted pages have, those on exactly the same pages
+    as one item (the first of them) with all of them; so what always comes together is not combined."""
+    each = baskets.select("weight", "bad", F.xxhash64("items").alias("h"), F.explode("items").alias("token"))
+    cover = each.groupBy("token").agg(
+        F.sum("weight").alias("n"), F.sum("bad").alias("b"), F.bit_xor("h").alias("x"), F.bit_xor(F.xxhash64("h")).alias("y")
+    )
+    same = cover.filter(F.col("b") >= min_pages).groupBy("n", "b", "x", "y").agg(F.array_sort(F.collect_list("token")).alias("tokens"))
+    return same.select(F.explode("tokens").alias("token"), F.element_at("tokens", 1).alias("item"), "tokens")
+
+
 def mine(tokens: DataFrame, items: str, unwanted: Column, mining: Mining = Mining()) -> DataFrame:
-    """``antecedent`` (tokens, sorted), ``confidence``, ``pages`` (unwanted ones) of the rules for unwanted pages.
-
-    ``tokens`` holds a row per labelled page. An empty table gives no rules. Combinations grow by one token at
-    a time, among those with enough unwanted pages. One that holds a rule, or is on the same pages as a part
-    of it, blocks no URL that the part does not, and is left out."""
-    baskets = written(
-        tokens.select(F.array_sort(F.array_distinct(items)).alias("items"), unwanted.cast("long").alias("bad"))
-        .filter(F.size("items") > 0)
-        .groupBy("items")
-        .agg(F.count("*").alias("n"), F.sum("bad").alias("bad")),
-        "baskets",
+    """``antecedent`` (for each item of a rule, its interchangeable tokens), ``confidence``, ``pages`` (unwanted
+    ones) of the rules for unwanted pages, by Spark's FP-growth with the label as an item of its own.
+
+    ``tokens`` holds a row per labelled page. Rules that hold another rule less one item are left out, as they
+    block nothing more. A table without labelled or without unwanted pages gives no rules."""
+    pages = tokens.select(F.array_sort(F.array_distinct(items)).alias("items"), unwanted.cast("long").alias("bad")).filter(F.size("items") > 0)
+    pages = written(pages, "labelled")
+    total, bad = pages.agg(F.count("*"), F.coalesce(F.sum("bad"), F.lit(0))).first()
+    schema = "antecedent array<array<string>>, confidence double, pages long"
+    if bad < mining.min_pages:
+        return tokens.sparkSession.createDataFrame([], schema)
+    groups = written(token_groups(pages.groupBy("items").agg(F.count("*").alias("weight"), F.sum("bad").alias("bad")), mining.min_pages), "tokens")
+    numbered = pages.withColumn("page", F.monotonically_increasing_id())
+    kept = numbered.select("page", "bad", F.explode("items").alias("token")).join(keys_for_join(groups.select("token", "item")), "token")
+    label = F.when(F.col("bad") == 1, F.array(F.lit(LABEL))).otherwise(F.array().cast("array<string>"))
+    baskets = kept.groupBy("page", "bad").agg(F.collect_set("item").alias("items")).select(F.concat("items", label).alias("items"))
+    baskets = written(baskets, "baskets")
+    floor = mining.lift * bad / total
+    held = baskets.count()
+    model = FPGrowth(minSupport=(mining.min_pages - 0.5) / max(held, 1), minConfidence=mining.confidence).fit(baskets)
+    rules = model.associationRules.filter(F.col("consequent") == F.array(F.lit(LABEL)))
+    hits = F.round(F.col("support") * held)
+    seen = F.round(hits / F.col("confidence"))
+    found = written(
+        rules.select(F.array_sort("antecedent").alias("set"), "confidence", hits.cast("long").alias("pages"), seen.alias("seen"))
+        .filter((F.col("pages") >= mining.min_pages) & (F.col("pages") > mining.confidence * F.col("seen")))
+        .filter(wilson_floor(F.col("pages"), F.col("seen"), mining.deviations) >= floor),
+        "rules",
     )
-    found, size = None, 1
-    grown, live = baskets.withColumn("set", F.explode(F.transform("items", lambda x: F.array(x)))), None
-    while True:
-        counted = grown.groupBy("set").agg(F.sum("n").alias("n"), F.sum("bad").alias("bad")).filter(F.col("bad") >= mining.min_pages)
-        if live is not None:
-            parts = counted.withColumn("part", F.explode(F.transform(F.col("set"), lambda x: F.array_remove(F.col("set"), x))))
-            known = keys_for_join(live.select(F.col("set").alias("part"), F.col("n").alias("_n")))
-            counted = (
-                parts.join(known, "part")
-                .filter(F.col("n") < F.col("_n"))
-                .groupBy("set", "n", "bad")
-                .agg(F.count("*").alias("_parts"))
-                .filter(F.col("_parts") == size)
-                .drop("_parts")
-            )
-        counted = written(counted.withColumn("confidence", F.col("bad") / F.col("n")), "combinations")
-        rules = counted.filter(F.col("confidence") >= mining.confidence)
-        found = rules if found is None else found.unionByName(rules)
-        live = counted.filter(F.col("confidence") < mining.confidence)
-        if live.isEmpty():
-            return found.select(F.col("set").alias("antecedent"), "confidence", F.col("bad").alias("pages"))
-        held = written(grown.join(keys_for_join(live.select("set")), "set", "left_semi"), "held")
-        later = F.filter("items", lambda x: x > F.element_at("set", -1))
-        grown = held.withColumn("set", F.explode(F.transform(later, lambda x: F.concat("set", F.array(x)))))
-        size += 1
+    parts = found.select("set", F.explode(F.transform("set", lambda x: F.array_remove("set", x))).alias("part"))
+    more = parts.join(found.select(F.col("set").alias("part")), "part", "left_semi").select("set").distinct()
+    least = found.join(more, "set", "left_anti").withColumn("rule", F.monotonically_increasing_id())
+    least = written(least, "least-rules")
+    named = least.select("rule", "confidence", "pages", F.explode("set").alias("item"))
+    members = groups.filter("token = item").select("item", "tokens")
+    return named.join(members, "item").groupBy("rule", "confidence", "pages").agg(F.collect_list("tokens").alias("antecedent")).select("antecedent", "confidence", "pages")
 
 
 def listed_rule(host: Column, path: Column, rules=LISTED) -> tuple[Column, Column]:
@@ -107,25 +132,26 @@ def listed_rule(host: Column, path: Column, rules=LISTED) -> tuple[Column, Colum
 
 
 def blocked_urls(urls: DataFrame, url: str, items: str, rules: DataFrame) -> DataFrame:
-    """Distinct ``url`` that hold all tokens of a rule.
+    """Distinct ``url`` that hold, of every item of a rule, one of its tokens.
 
-    The rules are indexed by their rarest token, and a URL meets only the rules of its tokens."""
+    The rules are indexed by their rarest item, and a URL meets only the rules of its tokens."""
     single = urls.select(url, items).dropDuplicates([url])
-    parts = written(
-        rules.select(F.monotonically_increasing_id().alias("rule"), "antecedent"), "rules"
-    )
-    known = parts.select(F.explode("antecedent").alias("token")).distinct()
+    parts = written(rules.select(F.monotonically_increasing_id().alias("rule"), "antecedent"), "rules")
+    choices = parts.select("rule", F.explode("antecedent").alias("tokens"))
+    known = written(choices.select(F.explode("tokens").alias("token")).distinct(), "known")
     spread = single.select(url, items, F.explode(items).alias("token"))
-    seen = spread.select("token").join(F.broadcast(known) if known.count() <= 100_000 else known, "token").groupBy("token").count()
-    index = written(
-        parts.withColumn("token", F.explode("antecedent"))
+    seen = spread.select("token").join(keys_for_join(known), "token").groupBy("token").count()
+    rarest = (
+        choices.withColumn("token", F.explode("tokens"))
         .join(written(seen, "seen"), "token")
+        .groupBy("rule", "tokens")
+        .agg(F.sum("count").alias("count"))
         .groupBy("rule")
-        .agg(F.min_by("token", F.struct("count", "token")).alias("token"), F.first("antecedent").alias("antecedent")),
-        "index",
-    ).select("token", "antecedent")
-    met = spread.join(index, "token").filter(F.size(F.array_except("antecedent", items)) == 0)
-    return met.select(url).distinct()
+        .agg(F.min_by("tokens", F.struct("count", "tokens")).alias("tokens"))
+    )
+    index = written(parts.join(rarest, "rule").select("antecedent", F.explode("tokens").alias("token")), "index")
+    held = F.forall("antecedent", lambda tokens: F.arrays_overlap(tokens, F.col(items)))
+    return spread.join(index, "token").filter(held).select(url).distinct()
 
 
 def filter_urls(

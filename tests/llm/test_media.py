@@ -362,18 +362,42 @@ def test_mined_rules_against_all_combinations(spark):
     pages = [([t for t in "abcdefg" if draw.random() < 0.5], draw.random()) for _ in range(500)]
     pages = [(t + (["x", "y"] if "a" in t else []), r < (0.9 if {"b", "c", "d", "e"} <= set(t) or {"a", "f"} <= set(t) else 0.05)) for t, r in pages]
     df = spark.createDataFrame(pages, "items array<string>, bad boolean")
-    got = {tuple(r["antecedent"]): (r["pages"], r["confidence"]) for r in url_filter.mine(df, "items", F.col("bad")).collect()}
+    mined = url_filter.mine(df, "items", F.col("bad"), url_filter.Mining(confidence=0.6)).collect()
+    got = {tuple(sorted(c)): (r["pages"], r["confidence"]) for r in mined for c in itertools.product(*r["antecedent"])}
     n, bad = collections.Counter(), collections.Counter()
     for t, b in pages:
         for size in range(1, len(t) + 1):
             for c in itertools.combinations(sorted(t), size):
                 n[c] += 1
                 bad[c] += b
-    rules = {c: (bad[c], bad[c] / n[c]) for c in n if bad[c] >= 10 and bad[c] / n[c] >= 0.6}
-    assert got and got.items() <= rules.items() and max(map(len, got)) >= 4
+    base = sum(b for _, b in pages) / len(pages)
+
+    def floor(k, n, z=1.96):
+        return (k + z * z / 2 - z * (k * (n - k) / n + z * z / 4) ** 0.5) / (n + z * z)
+
+    rules = {c: (bad[c], bad[c] / n[c]) for c in n if bad[c] >= 10 and bad[c] / n[c] > 0.6 and floor(bad[c], n[c]) >= 1.25 * base}
+    assert got and got.keys() <= rules.keys() and max(map(len, got)) >= 4
+    for c, (count, confidence) in got.items():
+        assert rules[c][0] == count and rules[c][1] == pytest.approx(confidence)
     for c in rules:
         assert any(set(g) <= set(c) for g in got)
-    assert not any(set(a) < set(b) for a in got for b in got)
+    assert not any(set(a) == set(b) - {x} for a in got for b in got for x in b)
+
+
+def test_a_long_url_of_common_tokens_is_one_item(spark):
+    """40 tokens that always come together would make 2^40 combinations."""
+    long = "http://long.example.com/?" + "&".join(f"key{i}=1" for i in range(40))
+    rows = [(i, f"{long}#{i}") for i in range(15)] + [(100 + i, f"http://fine.example.com/{i}") for i in range(60)] + [(500, "http://x.net/?key7=2")]
+    df = spark.createDataFrame(rows, "page_id long, url string")
+    labels = spark.createDataFrame([(i, i < 15) for i, _ in rows[:-1]], "page_id long, unwanted boolean")
+    out = {r["page_id"]: r["mined"] for r in url_filter.filter_urls(df, labels).collect()}
+    assert all(out[i] == (i < 15 or i == 500) for i, _ in rows)
+
+
+def test_chance_and_no_unwanted_pages_give_no_rules(spark):
+    df = spark.createDataFrame([(["a"], i < 12) for i in range(20)] + [(["b"], i < 40) for i in range(80)], "items array<string>, bad boolean")
+    assert url_filter.mine(df, "items", F.col("bad")).collect() == []  # 12 of 20 against 52 of 100
+    assert url_filter.mine(df, "items", F.lit(False)).collect() == [] and url_filter.mine(df.filter("false"), "items", F.col("bad")).collect() == []
 
 
 def test_scratch_tables_are_read_back_whole(spark):
