@@ -2,7 +2,7 @@
 
 WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
 
-# Rules: measures per document, failure counts per host, beta prior by moments, verdicts joined back.
+# Rules: measures per document, failure counts per host, beta prior by beta-binomial moments, verdicts joined back.
 OP1 = rf"""
 with d as (select row_number() over () as r, * from documents),
 w as (select r, {WORDS} as words, coalesce(text, '') as t from d),
@@ -24,12 +24,16 @@ f as (select *, n_words < 50 as f1, 100 * n_repeat_words > 50 * n_words as f2,
 h as (select source, count(*) as n, unnest([1, 2, 3, 4]) as rule,
              unnest([count(*) filter (f1), count(*) filter (f2), count(*) filter (f3), count(*) filter (f4)]) as f
       from f where source is not null group by source),
-p as (select rule, sum(f) / sum(n) as mean, greatest(0, sum(f * f / n) / sum(n) - (sum(f) / sum(n)) ^ 2) as v from h group by rule),
-s as (select h.source, max(case when v > 1e-12 then (f + mean * (mean * (1 - mean) / v - 1)) / (n + (mean * (1 - mean) / v - 1))
-                                else mean end) as worst
+a as (select rule, count(*) - 1 as within, sum(n) as docs, sum(n::double * n) as squares, sum(f) / sum(n) as mean, sum(f * f / n) as q
+      from h group by rule),
+b as (select rule, mean, case when mean * (1 - mean) > 0 and docs - squares / docs - within > 0
+        then ((q - docs * mean * mean) / (mean * (1 - mean)) - within) / (docs - squares / docs - within) else 0 end as between_hosts from a),
+p as (select rule, mean, case when between_hosts > 1e-9 then greatest(1 / between_hosts - 1, 2) end as strength,
+             greatest(0.5, 20 * mean / (1 - mean + 20 * mean)) as most from b),
+s as (select h.source, bool_or(case when strength is null then mean else (f + mean * strength) / (n + strength) end > most) as bad
       from h join p using (rule) group by h.source)
 select doc_id, f.source, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, f1 or f2 as base_failed,
-       not (f1 or f2) and coalesce(worst <= 0.8, true) as kept
+       not (f1 or f2) and not coalesce(bad, false) as kept
 from f left join s on s.source = f.source"""
 
 # Full shingle sets, all pairs that share a shingle, and the least identifier reachable.
@@ -78,7 +82,7 @@ reach as (select vec_id as a, vec_id as b from embeddings union select reach.a,
 select r.a as vec_id, (select count(*) from e where e.a = r.a)::bigint as n_links, min(r.b) as component_id, r.a = min(r.b) as kept
 from reach r group by r.a"""
 
-# Listed rules, and rules of one to three tokens counted over the labelled pages.
+# Listed rules, and rules of any tokens counted over all combinations of the labelled pages.
 OP10 = r"""
 with p as (select page_id, url, translate(regexp_extract(url, '^(?s:.*?)://([^/?#]*)', 1),
                   'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as host,
@@ -93,12 +97,13 @@ t as (select *, list_sort(list_distinct(
 b as (select row_number() over () as r, tokens, coalesce(quality = 0 or toxic = 1, false) as bad
       from t join labels l on l.doc_id = t.page_id where url is not null),
 i as (select r, bad, unnest(tokens) as a from b),
-x as (select [a] as k, r, bad from i
-      union all select [i.a, j.a], i.r, i.bad from i join i j on i.r = j.r and i.a < j.a
-      union all select [i.a, j.a, k.a], i.r, i.bad from i join i j on i.r = j.r and i.a < j.a join i k on k.r = i.r and j.a < k.a),
-rules as (select k from x group by k
-          having count(*) filter (bad) >= greatest(10, ceil(0.01 * (select count(*) from b)))
-             and count(*) filter (bad) >= 0.6 * count(*)),
+o as (select a from i group by a having count(*) filter (bad) >= 10),
+k as (select r, any_value(bad) as bad, list(a order by a) as tokens from i join o using (a) group by r),
+x as (select bad, list_filter(tokens, lambda y, j: (m >> (j - 1)) & 1 = 1) as k
+      from (select bad, tokens, unnest(range(1, (1::bigint << len(tokens)))) as m from k)),
+y as (select k, count(*) as n, count(*) filter (bad) as h from x group by k),
+rules as (select k from y where h >= 10 and h > 0.5 * n and (h + 1.96 * 1.96 / 2 - 1.96 * sqrt(h * (n - h) / n + 1.96 * 1.96 / 4)) / (n + 1.96 * 1.96)
+          >= 1.25 * (select count(*) filter (bad) / count(*) from b)),
 hit as (select distinct url from t join rules on list_has_all(tokens, k)),
 f as (select t.*, hit.url is not null as mined, suffix(host, '.example.org') or host = 'example.org' as own,
              suffix(host, '.org') or host = 'org' as org, suffix(host, '.com') or host = 'com' as com from t left join hit on hit.url = t.url),

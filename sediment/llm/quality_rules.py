@@ -22,13 +22,16 @@ MEASURES = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words
 class HostRules:
     """``min_words`` and ``max_repeat_pct`` are the document rules. ``max_symbol_pct`` (symbols per
     word character) and ``max_dup_line_pct`` (repeated lines per line with a word) only count
-    towards a host. A host is rejected when the shrunken rate of any rule exceeds ``host_limit``."""
+    towards a host. A host is rejected when the shrunken rate of any rule exceeds ``host_limit`` and has more
+    than ``host_odds`` times the odds of the corpus. ``least_strength``: documents that the prior is worth at least."""
 
     min_words: int = 50
     max_repeat_pct: int = 50
     max_symbol_pct: int = 10
     max_dup_line_pct: int = 30
-    host_limit: float = 0.8
+    host_limit: float = 0.5
+    host_odds: float = 20.0
+    least_strength: float = 2.0
 
 
 RULES = ("few_words", "repeats", "symbols", "dup_lines")
@@ -99,35 +102,41 @@ def failures(rules: HostRules) -> dict[str, Column]:
 def host_verdicts(measured: DataFrame, host: str, rules: HostRules = HostRules()) -> DataFrame:
     """Per host: ``n_docs``, the shrunken failure rate of each rule (``rate_<rule>``) and ``host_kept``.
 
-    Hosts are folded to one row each before anything else. The beta prior of a rule has the mean
-    and variance of the host rates, hosts weighted by their documents; without variance every
-    host gets the mean. Rows without a host take no part. Only the five moments per rule reach
-    the driver."""
+    Hosts are folded to one row each before anything else. The beta prior of a rule has the mean of the corpus
+    and the strength that beta-binomial moments give: how far the hosts' rates spread beyond what documents
+    drawn at the mean rate would. Hosts that spread no further, or all have one document, get the mean; no
+    host's own documents outweigh the prior with fewer than ``least_strength``. Rows without a host take no
+    part. Only the sums of each rule reach the driver."""
     counted = written(
         measured.filter(F.col(host).isNotNull())
         .groupBy(host)
         .agg(F.count("*").alias("n_docs"), *[F.count_if(c).alias(f"f_{r}") for r, c in failures(rules).items()]),
         "hosts",
     )
-    moments = counted.agg(
+    sums = counted.agg(
+        F.count("*").alias("hosts"),
         F.sum("n_docs").alias("n"),
+        F.sum(F.col("n_docs").cast("double") * F.col("n_docs")).alias("squares"),
         *[F.sum(f"f_{r}").alias(f"m_{r}") for r in RULES],
         *[F.sum(F.col(f"f_{r}") * F.col(f"f_{r}") / F.col("n_docs")).alias(f"q_{r}") for r in RULES],
     ).first()
-    rates = {}
+    n, within = sums["n"] or 0, max(sums["hosts"] - 1, 0)
+    rates, over = {}, F.lit(False)
     for r in RULES:
-        n = moments["n"] or 0
-        mean = moments[f"m_{r}"] / n if n else 0.0
-        variance = max(0.0, moments[f"q_{r}"] / n - mean * mean) if n else 0.0
-        strength = mean * (1 - mean) / variance - 1 if variance > 1e-12 else None
-        rates[f"rate_{r}"] = (
+        mean = sums[f"m_{r}"] / n if n else 0.0
+        spread, room = mean * (1 - mean), n - sums["squares"] / n - within if n else 0.0
+        between = ((sums[f"q_{r}"] - n * mean * mean) / spread - within) / room if spread > 0 and room > 0 else 0.0
+        strength = max(1 / between - 1, rules.least_strength) if between > 1e-9 else None
+        rate = (
             F.lit(mean)
             if strength is None
             else (F.col(f"f_{r}") + F.lit(mean * strength)) / (F.col("n_docs") + F.lit(strength))
         )
-    judged = counted.select(host, "n_docs", *[c.alias(n) for n, c in rates.items()])
-    worst = F.greatest(*[F.col(f"rate_{r}") for r in RULES])
-    return judged.withColumn("host_kept", worst <= rules.host_limit)
+        rates[f"rate_{r}"] = rate
+        odds = rules.host_odds * mean
+        over = over | (rate > max(rules.host_limit, odds / (1 - mean + odds)))
+    judged = counted.select(host, "n_docs", *[c.alias(n) for n, c in rates.items()], (~over).alias("host_kept"))
+    return judged
 
 
 def judge(df: DataFrame, text: str = "text", host: str = "source", rules: HostRules = HostRules(), carry=None) -> DataFrame:

@@ -87,6 +87,17 @@ def test_bad_host_takes_its_documents_along(spark):
     assert {r["doc_id"] for r in kept} == set(range(60))
 
 
+def test_one_document_does_not_condemn_its_host(spark):
+    """200 hosts of one document, half of them full of symbols; then the same with one host of sixty such documents."""
+    noisy = lambda i: text(70, i) + " " + "#" * 300
+    single = [(i, noisy(i) if i % 2 else text(70, i), "en", f"h{i}", 1) for i in range(200)]
+    assert all(r["kept"] for r in quality_rules.judge(spark.createDataFrame(single, SCHEMA)).collect())
+    rare = [(i, noisy(i) if i % 50 == 0 else text(70, i), "en", f"h{i}", 1) for i in range(200)]
+    many = [(1000 + i, noisy(1000 + i), "en", "bad", 1) for i in range(40)] + [(2000 + i, text(70, 2000 + i), "en", f"big{i % 9}", 1) for i in range(900)]
+    out = {r["doc_id"]: r["kept"] for r in quality_rules.judge(spark.createDataFrame(rare + many, SCHEMA)).collect()}
+    assert {d for d, kept in out.items() if not kept} == {1000 + i for i in range(40)}
+
+
 def similarity(a, b, k):
     def shingles(t):
         w = re.sub("[A-Z]+", lambda m: m.group().lower(), t or "").split()
