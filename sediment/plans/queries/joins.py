@@ -9,6 +9,7 @@ from sediment.operators import joins
 from sediment.operators.audit import active_mappings
 from sediment.plans.queries.registry import query, table
 from sediment.session import scratch_path
+from sediment.sources import merge
 from sediment.sources.merge import VersionedTable, merge_frames, merge_partitions, upsert_frames
 from sediment.sources.writers import write
 from sediment.sources.readers import sql_source
@@ -201,6 +202,26 @@ def merge_versioned_table(spark: SparkSession, d: str) -> DataFrame:
     return stored.read()
 
 
+@query(
+    "merge_touched_files",
+    """with s as (select o_orderkey, o_custkey, o_totalprice + 1 as price from orders
+                 where o_orderkey <= (select max(o_orderkey) from orders) // 10 and o_orderstatus = 'P')
+       select * from s union all
+       select o_orderkey, o_custkey, o_totalprice from orders t where not exists (select 1 from s where s.o_orderkey = t.o_orderkey)""",
+)
+def merge_touched_files(spark: SparkSession, d: str) -> DataFrame:
+    """Orders in twenty files by key; the source holds keys of the first tenth, so most files stay as they are."""
+    path = scratch_path(spark, "files")
+    orders = table(spark, d, "orders")
+    target = orders.selectExpr("o_orderkey", "o_custkey", "o_totalprice as price")
+    target.repartitionByRange(20, "o_orderkey").write.parquet(path)
+    last = orders.agg(F.max("o_orderkey")).first()[0]
+    source = orders.filter(f"o_orderkey <= {last // 10} and o_orderstatus = 'P'").selectExpr("o_orderkey", "o_custkey", "o_totalprice + 1 as price")
+    rewritten = merge.merge_touched_files(spark, path, source, ["o_orderkey"])
+    assert rewritten <= 4, rewritten
+    return spark.read.parquet(path)
+
+
 @query(
     "merge_precombine",
     """with latest as (

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import json
 import uuid
 from collections.abc import Sequence
 from functools import reduce
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -160,6 +162,82 @@ def merge_partitions(
     write_silver(merged, path, partition_by=partition_by, only_present_partitions=True)
 
 
+SWAP = "_swap.json"
+
+
+def _files(spark: SparkSession, path: str):
+    jvm = spark._jvm.org.apache.hadoop.fs.Path
+    return jvm, jvm(path).getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def finish_swap(spark: SparkSession, path: str) -> bool:
+    """Carry out a swap of files that was written down and not ended: the old files go, the new ones are
+    moved beside the others. Steps already done are skipped, so it may be repeated. Whether there was one."""
+    at, fs = _files(spark, path)
+    note = at(f"{path}/{SWAP}")
+    if not fs.exists(note):
+        return False
+    stream = fs.open(note)
+    try:
+        swap = json.loads(spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8"))
+    finally:
+        stream.close()
+    for name in swap["old"]:
+        fs.delete(at(name), False)
+    for staged, name in swap["new"].items():
+        if fs.exists(at(staged)):
+            fs.rename(at(staged), at(name))
+    fs.delete(at(swap["staging"]), True)
+    fs.delete(note, False)
+    return True
+
+
+def merge_touched_files(spark: SparkSession, path: str, source: DataFrame, keys: Sequence[str]) -> int:
+    """Merge into a plain parquet folder, rewriting only the files that hold a key of the source; returns how many
+    were. Other files keep their names and times.
+
+    The files are found by a semi join of the target's keys with the source's, after the target's rows outside the
+    source's range of keys have been left out at the scan by row-group statistics. Their rows are merged and
+    written aside; then the swap is written down, old files go and new ones come. Between those two a
+    reader may miss rows; a swap cut short is carried out by the next merge or by :func:`finish_swap`. Rows
+    with an empty key match nothing and are added. ``source`` must hold a key once. One writer at a time."""
+    path = path.rstrip("/")
+    finish_swap(spark, path)
+    require_unique(source, keys)
+    source = materialize(source, "source")
+    target = spark.read.parquet(path)
+    if set(target.columns) != set(source.columns):
+        raise SpecError("merge needs the same columns on both sides")
+    source = source.select(*target.columns)
+    bounds = source.agg(*[f(k).alias(f"{n}{i}") for i, k in enumerate(keys) for n, f in (("lo", F.min), ("hi", F.max))]).first()
+    near = target
+    for i, k in enumerate(keys):
+        if bounds[f"lo{i}"] is None:
+            near = near.filter("false")
+            break
+        kind = target.schema[k].dataType
+        near = near.filter(F.col(k).between(F.lit(bounds[f"lo{i}"]).cast(kind), F.lit(bounds[f"hi{i}"]).cast(kind)))
+    named = near.select(*keys, F.col("_metadata.file_path").alias("_file"))
+    hit = named.join(source.select(*keys), list(keys), "left_semi").select("_file").distinct()
+    # As many names as files are rewritten.
+    old = sorted(unquote(r["_file"]) for r in hit.collect())
+    inside = spark.read.schema(target.schema).parquet(*old) if old else target.limit(0)
+    staging = f"{path}/_staging-{uuid.uuid4().hex}"
+    merge_frames(inside, source, keys).write.parquet(staging)
+    at, fs = _files(spark, path)
+    parts = [s.getPath().getName() for s in fs.listStatus(at(staging)) if s.getPath().getName().startswith("part-")]
+    swap = {"old": old, "new": {f"{staging}/{n}": f"{path}/{n}" for n in parts}, "staging": staging}
+    stream = fs.create(at(f"{path}/{SWAP}.part"), True)
+    try:
+        stream.write(bytearray(json.dumps(swap).encode()))
+    finally:
+        stream.close()
+    fs.rename(at(f"{path}/{SWAP}.part"), at(f"{path}/{SWAP}"))
+    finish_swap(spark, path)
+    spark.catalog.refreshByPath(path)
+    return len(old)
+
+
 def merge_into_delta(spark: SparkSession, table: str, source: DataFrame, keys: Sequence[str]) -> None:
     """The same merge on a Delta table, where that format is installed."""
     source.createOrReplaceTempView("_merge_source")
