@@ -3,15 +3,23 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Mapping, Sequence
+import sys
+from collections.abc import Iterator, Mapping, Sequence
 from functools import reduce
 
+import numpy as np
+import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from sediment.config import SpecError
+from sediment.operators.rolling import rolling
 from sediment.session import materialize
 
+# Tasks get this module's functions with the job, so executors need not have the package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 
 def join_chain(frames: Sequence[DataFrame], conditions: Sequence[Mapping]) -> DataFrame:
     """Left-deep chain: frame ``i + 1`` joins on ``conditions[i]['on']`` with ``how`` (inner).
@@ -146,12 +154,61 @@ def validate_against(df: DataFrame, reference: DataFrame, keys: Mapping[str, str
 
 
 def overlapping(versions: DataFrame, keys: Sequence[str], start: str, end: str) -> bool:
-    """Whether a version begins before an earlier one of its keys has ended. Here the keys hold the time
-    bucket, so the window is over the versions of one bucket."""
-    earlier = Window.partitionBy(*keys).orderBy(start, end).rowsBetween(Window.unboundedPreceding, -1)
-    open_end = F.lit("9999-12-31").cast("timestamp_ntz")
-    reach = F.max(F.coalesce(F.col(end).cast("timestamp_ntz"), open_end)).over(earlier)
-    return not versions.select((reach > F.col(start)).alias("_overlaps")).filter("_overlaps").isEmpty()
+    """Whether a version begins before the one before it of its keys has ended: where none does, no two overlap.
+    Versions are looked at in blocks of one sorted order, so a key with many of them is no task of its own."""
+    rows = versions.select(
+        *[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)],
+        F.col(start).cast("timestamp_ntz").alias("_begins"),
+        F.coalesce(F.col(end).cast("timestamp_ntz"), F.lit("9999-12-31").cast("timestamp_ntz")).alias("_ends"),
+    )
+    before = {"_reach": lambda window: F.max("_ends").over(window)}
+    rolled = rolling(rows, before, ["_begins"], 1, ["_ends"], [f"_k{i}" for i in range(len(keys))], exclude_current=True)
+    return not rolled.filter(F.col("_reach") > F.col("_begins")).isEmpty()
+
+
+def carry_forward(rows: DataFrame, key: str, order_by: Sequence[str], known: str, payload: str) -> DataFrame:
+    """``rows`` with ``payload`` of the last row of their ``key`` (text) up to them for which ``known`` holds, else NULL.
+
+    The rows are range sorted once by key and order, so a key of any size spreads over tasks. Each task fills
+    its stretch in Arrow batches; what a stretch needs from those before it is the last known row of
+    one of them, a row per task."""
+    ordered = rows.repartitionByRange(key, *order_by).sortWithinPartitions(key, *order_by)
+    ordered = ordered.withColumn("_part", F.spark_partition_id()).withColumn("_filled", F.col(payload))
+    schema, names = ordered.schema, ordered.columns
+
+    def fill(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held_key, held = None, None  # of the last known row
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            keys = batch.column(names.index(key)).to_numpy(zero_copy_only=False)
+            mark = batch.column(names.index(known)).to_numpy(zero_copy_only=False).astype(bool)
+            place = np.arange(len(keys))
+            first = np.maximum.accumulate(np.where(np.r_[True, keys[1:] != keys[:-1]], place, 0))
+            last = np.maximum.accumulate(np.where(mark, place, -1))
+            at = np.where(last >= first, last + 1, 0)
+            if held is not None and keys[0] == held_key:
+                carried = (at == 0) & (first == 0)
+            else:
+                carried = np.zeros(len(keys), bool)
+            values = batch.column(names.index(payload))
+            before = held if held is not None else pa.nulls(1, values.type)
+            source = pa.concat_arrays([before, values])
+            filled = source.take(pa.array(at, mask=(at == 0) & ~carried))
+            if mark.any():
+                row = int(np.flatnonzero(mark)[-1])
+                held_key, held = keys[row], values.slice(row, 1)
+            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], filled], names=names)
+
+    written = materialize(ordered.mapInArrow(fill, schema), "sequence")
+    tails = written.filter(known).groupBy("_part").agg(F.max_by(F.struct(F.col(key).alias("k"), F.col(payload).alias("v")), F.struct(key, *order_by)).alias("_tail"))
+    # A row per task; the window over all of them carries the last tail on over tasks without a known row.
+    every = written.select("_part").distinct().join(tails, "_part", "left")
+    ahead = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    carry = materialize(every.select("_part", F.last("_tail", ignorenulls=True).over(ahead).alias("_carry")), "carry")
+    joined = written.join(F.broadcast(carry), "_part")
+    filled = F.coalesce("_filled", F.when(F.col("_carry.k") == F.col(key), F.col("_carry.v")))
+    return joined.withColumn("_filled", filled).select(*rows.columns, "_filled")
 
 
 def effective_lookup(
@@ -167,35 +224,60 @@ def effective_lookup(
 ) -> DataFrame:
     """Attach the version in force at ``at``: ``start <= at < end``, an empty end is open.
 
-    Time is cut into buckets of ``bucket_days`` and a version appears once per bucket it covers: the
-    equi join on (key, bucket) spreads the key over its buckets and a fact meets only the versions
-    of its own. If versions overlap, the one with the latest start wins and ``row_id`` must identify
-    a fact.
-    """
+    Facts and the starts of versions form one sequence by key and time, and each fact takes the last version
+    before it, if that has not ended (:func:`carry_forward`): no version is copied, and a key of any size
+    spreads over tasks. Keys or times that are NULL find nothing. If versions overlap, the one with the
+    latest start wins, ``row_id`` must identify a fact, and the look-up goes by time buckets of
+    ``bucket_days`` (:func:`_lookup_by_buckets`)."""
+    versions = versions.filter(reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in [*keys, start]]))
+    if overlapping(versions, keys, start, end):
+        if not row_id:
+            raise SpecError("versions overlap: name the columns that identify a fact in row_id")
+        return _lookup_by_buckets(facts, versions, keys, at, start, end, row_id, bucket_days, how)
+    payload = [c for c in versions.columns if c not in keys]
+    name = F.to_json(F.struct(*[F.col(f"_k{i}") for i in range(len(keys))]))
+    kinds = [facts.schema[k].dataType for k in keys]
+
+    def sequence(df: DataFrame, when: str, is_version: bool, own: str) -> DataFrame:
+        keyed = df.withColumns({f"_k{i}": F.col(k).cast(kind) for i, (k, kind) in enumerate(zip(keys, kinds, strict=True))})
+        kept = F.struct(*[F.col(c) for c in (payload if is_version else facts.columns)]).alias(own)
+        return keyed.select(name.alias("_key"), F.col(when).cast("timestamp_ntz").alias("_time"), F.lit(is_version).alias("_known"), kept)
+
+    rows = sequence(versions, start, True, "_version").unionByName(sequence(facts, at, False, "_fact"), allowMissingColumns=True)
+    # Of one moment the version comes first: false sorts before true.
+    rows = rows.withColumn("_after", ~F.col("_known"))
+    filled = carry_forward(rows, "_key", ["_time", "_after"], "_known", "_version").filter(~F.col("_known"))
+    found = F.col("_filled")
+    force = F.col("_time").isNotNull() & (found[end].isNull() | (F.col("_time") < found[end].cast("timestamp_ntz")))
+    out = filled.select("_fact.*", F.when(force, found).alias("_v"))
+    if how == "inner":
+        out = out.filter("_v is not null")
+    return out.select(*facts.columns, *[F.col("_v")[c].alias(c) for c in payload])
+
+
+def _lookup_by_buckets(
+    facts: DataFrame, versions: DataFrame, keys: Sequence[str], at: str, start: str, end: str, row_id: Sequence[str], bucket_days: int, how: str
+) -> DataFrame:
+    """Versions that overlap: each appears once per bucket of time it covers, a fact meets those of its own bucket,
+    and the latest start wins."""
 
     def bucket(c: Column) -> Column:
         return F.floor(F.unix_date(c.cast("date")) / F.lit(bucket_days)).cast("long")
 
     payload = [c for c in versions.columns if c not in keys]
-    side = versions
     condition = [F.col(k) == F.col(f"_v_{k}") for k in keys]
     condition += [F.col(start) <= F.col(at), F.col(end).isNull() | (F.col(at) < F.col(end))]
     span = facts.agg(F.struct(F.min(bucket(F.col(at))).alias("lo"), F.max(bucket(F.col(at))).alias("hi"))).scalar()
     low, high = span.getField("lo"), span.getField("hi")
     side = (
-        side.withColumn("_first", F.greatest(bucket(F.col(start)), low))
+        versions.withColumn("_first", F.greatest(bucket(F.col(start)), low))
         .withColumn("_last", F.least(F.coalesce(bucket(F.col(end)), high), high))
         .filter(F.col("_first") <= F.col("_last"))
         .withColumn("_bucket", F.explode(F.sequence("_first", "_last")))
     )
     side = materialize(side.select(*[F.col(k).alias(f"_v_{k}") for k in keys], "_bucket", *payload), "versions")
     condition.append(F.col("_at_bucket") == F.col("_bucket"))
-    left = facts.withColumn("_at_bucket", bucket(F.col(at)))
-    wide = left.join(side, condition, how).select(*facts.columns, *payload)
-    if not overlapping(side, [*[f"_v_{k}" for k in keys], "_bucket"], start, end):
-        return wide
-    if not row_id:
-        raise SpecError("versions overlap: name the columns that identify a fact in row_id")
+    wide = facts.withColumn("_at_bucket", bucket(F.col(at))).join(side, condition, how).select(*facts.columns, *payload)
     rest = [c for c in wide.columns if c not in row_id]
     # A fact without a version keeps its one row, whose start is empty.
     began = F.coalesce(F.col(start).cast("timestamp_ntz"), F.lit("0001-01-01").cast("timestamp_ntz"))
