@@ -24,7 +24,6 @@ from sediment.operators.rolling import (
     blocks,
     frame_bounds,
     rank_quantile,
-    rolling,
     rolling_avg,
     rolling_count,
     rolling_sorted,
@@ -173,11 +172,12 @@ def approval_rate(
 class Measure:
     """What a detector rolls over the rows, and what it makes of it. Measures that share an
     order are computed in one pass. ``moments`` names the column and its mean and deviation
-    where these are all that is rolled."""
+    where these are all that is rolled; ``quantiles`` a column, and fractions by the names of their results."""
 
     columns: Mapping[str, Callable[[WindowSpec], Column]]
     finish: Callable[[DataFrame], DataFrame]
     moments: tuple[str, str, str] | None = None
+    quantiles: tuple[str, Mapping[str, float]] | None = None
 
 
 def _seen(config: AnomalyConfig) -> Column | None:
@@ -196,19 +196,15 @@ def zscore_measure(column: str, config: AnomalyConfig, names: Mapping[str, str])
 
 
 def iqr_measure(column: str, config: AnomalyConfig, names: Mapping[str, str]) -> Measure:
-    """Outside [q1 - s * iqr, q3 + s * iqr] of the frame. Its sorted values are held once and
-    both quartiles are read from them."""
-    held = f"_values_{column}"
+    """Outside [q1 - s * iqr, q3 + s * iqr] of the frame."""
 
     def finish(rolled: DataFrame) -> DataFrame:
-        quarters = rolled.withColumns(
-            {names["q1"]: rank_quantile(F.col(held), 0.25), names["q3"]: rank_quantile(F.col(held), 0.75)}
-        ).withColumn(names["iqr"], F.col(names["q3"]) - F.col(names["q1"]))
+        quarters = rolled.withColumn(names["iqr"], F.col(names["q3"]) - F.col(names["q1"]))
         reach = F.lit(config.sensitivity) * F.col(names["iqr"])
         test = (F.col(column) < F.col(names["q1"]) - reach) | (F.col(column) > F.col(names["q3"]) + reach)
-        return quarters.withColumn(names["flag"], _flag(test, config, _seen(config))).drop(held)
+        return quarters.withColumn(names["flag"], _flag(test, config, _seen(config)))
 
-    return Measure({held: rolling_sorted(F.col(column))}, finish)
+    return Measure({}, finish, quantiles=(column, {names["q1"]: 0.25, names["q3"]: 0.75}))
 
 
 def moving_average_measure(column: str, config: AnomalyConfig, names: Mapping[str, str]) -> Measure:
@@ -235,7 +231,11 @@ def roll_measures(
     columns = {name: make for measure in measures for name, make in measure.columns.items()}
     if config.min_samples:
         columns["_seen"] = rolling_count()
-    out = rolling(df, columns, order_by, config.lookback_window, tie_breakers, group_by, config.exclude_current)
+    cut = df if isinstance(df, Blocks) else blocks(df, order_by, config.lookback_window, tie_breakers, group_by)
+    for measure in measures:
+        if measure.quantiles:
+            cut = cut.with_quantiles(*measure.quantiles, config.exclude_current)
+    out = cut.roll(columns, config.exclude_current)
     for measure in measures:
         out = measure.finish(out)
     return out.drop("_seen")

@@ -15,14 +15,23 @@ Each frame then sees exactly the rows that the plain window would see.
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Callable, Mapping, Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from sediment.session import materialize
 
+# Tasks get this module's functions with the job, so executors need not have the package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 MAX_BLOCK_ROWS = 200_000
 MIN_BLOCK_ROWS = 2_000
 
@@ -66,12 +75,45 @@ class Blocks:
     def roll(self, columns: RollingColumns, exclude_current: bool = False) -> DataFrame:
         window = Window.partitionBy(*self.group_by, "_block").orderBy("_pos")
         window = window.rowsBetween(*frame_bounds(self.lookback, exclude_current))
+        rolled = {name: make(window) for name, make in columns.items()}
         return (
-            self.rows.withColumns({name: make(window) for name, make in columns.items()})
+            (self.rows.withColumns(rolled) if rolled else self.rows)
             .filter(F.expr(f"_block = _pos div {self.block_rows}L"))
             .drop("_pos", "_block")
         )
 
+    def with_quantiles(self, column: str, quantiles: Mapping[str, float], exclude_current: bool = False) -> Blocks:
+        """The same blocks with exact quantiles of ``column`` over each row's frame: the value at rank
+        ``ceil(fraction * n)`` of its ``n`` known values, NULL without one.
+
+        Each block answers all its frames at once from counts over the ranks of its values
+        (:class:`_RankCounts`), so the work does not depend on the look-back."""
+        kind = self.rows.schema[column].dataType
+        schema = T.StructType([*self.rows.schema.fields, *[T.StructField(n, kind) for n in quantiles]])
+        lookback, wanted = self.lookback, dict(quantiles)
+
+        def run(rows: pa.Table) -> pa.Table:
+            rows = rows.sort_by("_pos").combine_chunks()
+            values = rows.column(column).combine_chunks()
+            place = np.arange(len(values))
+            known = values.is_valid().to_numpy(zero_copy_only=False)
+            before = np.r_[0, np.cumsum(known)]
+            low = before[np.maximum(place - lookback, 0)]
+            high = before[place + (0 if exclude_current else 1)]
+            held = values.filter(pa.array(known))
+            order = pc.sort_indices(held).to_numpy()
+            counts = _RankCounts(np.argsort(order, kind="stable"))
+            size = high - low
+            for name, fraction in wanted.items():
+                k = np.maximum(np.ceil(size * fraction).astype(np.int64), 1) - 1
+                rank = counts.select(low, high, np.where(size > 0, k, 0))
+                at = order[np.minimum(rank, max(len(order) - 1, 0))] if len(order) else np.zeros(len(place), np.int64)
+                rows = rows.append_column(name, held.take(pa.array(at, mask=size == 0)))
+            return rows
+
+        made = self.rows.groupBy(*self.group_by, "_block").applyInArrow(run, schema)
+        return replace(self, rows=made, columns=(*self.columns, *quantiles))
+
 
 def numbered(df: DataFrame, sort_columns: Sequence[str]) -> tuple[DataFrame, int]:
     """``df`` with ``_pos``, each row's place in the order of the columns from 0 on, and the number of rows."""
@@ -121,6 +163,31 @@ def blocks(
     return Blocks(rows, tuple(keep), tuple(group_by), lookback, block_rows)
 
 
+class _RankCounts:
+    """Counts over the ranks of a sequence, a level for each bit of a rank: how many of the first i values have
+    the bit unset, the values being parted by it for the next level. The k-th least value of any stretch is
+    found by a step per level, for all stretches together."""
+
+    def __init__(self, ranks: np.ndarray):
+        self.levels = []
+        for bit in range(max(int(len(ranks) - 1).bit_length(), 1) - 1, -1, -1):
+            unset = (ranks >> bit & 1) == 0
+            self.levels.append((bit, np.r_[0, np.cumsum(unset)]))
+            ranks = np.r_[ranks[unset], ranks[~unset]]
+
+    def select(self, low: np.ndarray, high: np.ndarray, k: np.ndarray) -> np.ndarray:
+        """Rank of the k-th least (from 0) among the values from ``low`` to before ``high``."""
+        found = np.zeros(len(low), np.int64)
+        for bit, unset in self.levels:
+            a, b = unset[low], unset[high]
+            up = k >= b - a
+            found |= np.where(up, 1 << bit, 0)
+            k = np.where(up, k - (b - a), k)
+            low = np.where(up, unset[-1] + low - a, a)
+            high = np.where(up, unset[-1] + high - b, b)
+        return found
+
+
 def rolling_avg(column: Column) -> Callable[[WindowSpec], Column]:
     return lambda window: F.avg(column).over(window)
 

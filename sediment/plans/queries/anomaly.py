@@ -260,6 +260,19 @@ def an_iqr(spark: SparkSession, d: str) -> DataFrame:
     return anomalies.iqr(_events(spark, d), "value", IQR, ["event_id"]).select("event_id", "value", *VALUE_IQR)
 
 
+@query(
+    "an_iqr_long",
+    """select o_orderkey, q1 as q1_amount, q3 as q3_amount, coalesce(amount < q1 - 0.5 * (q3 - q1) or amount > q3 + 0.5 * (q3 - q1), false) as is_amount_iqr_anomaly
+       from (select o_orderkey, o_totalprice as amount, quantile_disc(o_totalprice, 0.25) over w as q1, quantile_disc(o_totalprice, 0.75) over w as q3
+             from orders window w as (order by o_orderdate, o_orderkey rows between 2000 preceding and current row))""",
+)
+def an_iqr_long(spark: SparkSession, d: str) -> DataFrame:
+    """Quartiles over 2,001 rows for every order."""
+    config = AnomalyConfig(detection_method="iqr", lookback_window=2000, sensitivity=0.5)
+    orders = table(spark, d, "orders").selectExpr("o_orderkey", "o_totalprice as amount", "o_orderdate as processing_date")
+    return anomalies.iqr(orders, "amount", config, ["o_orderkey"]).select("o_orderkey", "q1_amount", "q3_amount", "is_amount_iqr_anomaly")
+
+
 REGION_IQR = ("q1", "q3", "iqr", "is_regional_anomaly")
 
 

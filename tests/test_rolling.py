@@ -1,5 +1,6 @@
 """Block windows against plain windows, against brute force, and their plans."""
 
+import math
 import random
 
 import pytest
@@ -99,3 +100,39 @@ def test_any_series(spark, rows, series, lookback, block_rows):
     data = [(i, f"g{g}", d, float(i * i % 7)) for i, (g, d) in enumerate(series)]
     df = spark.createDataFrame(data, "id long, g string, d int, x double")
     assert rows(blocked(df, lookback, block_rows=block_rows)) == rows(plain(df, lookback))
+
+
+@pytest.mark.parametrize("exclude", [False, True])
+@pytest.mark.parametrize("lookback,size", [(0, 300), (7, 3000), (30, 3000), (5000, 12_000)])
+def test_quantiles_of_any_look_back(spark, lookback, size, exclude):
+    """Ties, NULLs, NaN, a hot group and one of a single row; blocks of a few thousand rows."""
+    draw = random.Random(lookback)
+    rows = [(i, "hot" if i % 3 else f"g{i % 5}", draw.choice([None, 1.0, 2.0, -0.5, draw.random() * 9])) for i in range(size)] + [(-1, "one", None), (-2, "two", 4.0)]
+    df = spark.createDataFrame(rows, "id long, g string, x double")
+    cut = r.blocks(df, ["id"], lookback, [], ["g"], block_rows=max(2000, lookback))
+    made = cut.with_quantiles("x", {"q1": 0.25, "q3": 0.75, "low": 0.0, "high": 1.0}, exclude).roll({}, exclude)
+    assert made.columns == ["id", "g", "x", "q1", "q3", "low", "high"]
+    got = {row["id"]: (row["q1"], row["q3"], row["low"], row["high"]) for row in made.collect()}
+    assert len(got) == len(rows)
+    asked = set(draw.sample(range(size), min(size, 600))) | {-1, -2}
+    for g in {row[1] for row in rows}:
+        own = sorted(row for row in rows if row[1] == g)
+        for i, (key, _, _) in enumerate(own):
+            if key in asked:
+                frame = sorted(v for _, _, v in own[max(0, i - lookback) : i + (not exclude)] if v is not None)
+                n = len(frame)
+                assert got[key] == (tuple(frame[max(math.ceil(n * f), 1) - 1] for f in (0.25, 0.75, 0.0, 1.0)) if n else (None,) * 4)
+
+
+def test_work_of_quantiles_does_not_follow_the_look_back():
+    import numpy as np
+
+    ranks = np.random.default_rng(1).permutation(100_000)
+    counts, place = r._RankCounts(ranks), np.arange(100_000)
+    assert len(counts.levels) == 17
+    for lookback in (30, 5000):
+        low, high = np.maximum(place - lookback, 0), place + 1
+        k = (high - low) // 2
+        found = counts.select(low, high, k)
+        for i in range(0, 100_000, 9973):
+            assert found[i] == np.sort(ranks[low[i] : high[i]])[k[i]]
