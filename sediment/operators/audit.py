@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from itertools import count
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -104,26 +103,32 @@ def version_chain(versions: DataFrame, version_id: str, previous_id: str) -> Dat
     raise SpecError("version chain holds a cycle")
 
 
-def lineage_closure(edges: DataFrame, table: str = "table_name", parent: str = "depends_on") -> DataFrame:
-    """All (table, ancestor) pairs with their smallest distance, level by level.
-
-    One join per level; the number of levels is the depth of the layering. A table that is
-    its own ancestor is an error.
-    """
-    steps = materialize(edges.select(F.col(table).alias("t"), F.col(parent).alias("p")).distinct(), "edges")
-    frontier = steps.select("t", F.col("p").alias("ancestor"), F.lit(1).alias("depth"))
-    found = frontier
-    for level in count(2):
-        if not frontier.filter(F.col("t") == F.col("ancestor")).isEmpty():
+def lineage_closure(edges: DataFrame, table: str = "table_name", parent: str = "depends_on", cycles: str = "error") -> DataFrame:
+    """All (table, ancestor) pairs with their smallest distance.
+
+    Each round joins what is known with itself, so distances double and a layering of depth n takes log2(n)
+    rounds; only pairs that the last round found or shortened are joined again. A table that is its own ancestor
+    is an error, or with ``cycles='keep'`` a row, for :func:`lineage_cycles`."""
+    first = edges.filter(F.col(table).isNotNull() & F.col(parent).isNotNull())
+    found = materialize(first.select(F.col(table).alias("t"), F.col(parent).alias("a")).distinct().withColumn("d", F.lit(1)), "lineage")
+    fresh = found
+    while True:
+        low, high = found.select(F.col("t").alias("m"), "a", F.col("d").alias("e")), fresh.select("t", F.col("a").alias("m"), "d")
+        ahead = high.join(low, "m").select("t", "a", (F.col("d") + F.col("e")).alias("d"))
+        low, high = fresh.select(F.col("t").alias("m"), "a", F.col("d").alias("e")), found.select("t", F.col("a").alias("m"), "d")
+        behind = high.join(low, "m").select("t", "a", (F.col("d") + F.col("e")).alias("d"))
+        reached = ahead.unionByName(behind).groupBy("t", "a").agg(F.min("d").alias("n"))
+        both = materialize(found.join(reached, ["t", "a"], "full_outer"), "lineage")
+        if cycles == "error" and not both.filter("t = a").isEmpty():
             raise SpecError("lineage holds a cycle")
-        reached = (
-            frontier.join(steps.select(F.col("t").alias("ancestor"), "p"), "ancestor")
-            .select("t", F.col("p").alias("ancestor"))
-            .distinct()
-            .join(found.select("t", "ancestor"), ["t", "ancestor"], "left_anti")
-            .withColumn("depth", F.lit(level))
-        )
-        frontier = materialize(reached, "lineage")
-        if frontier.isEmpty():
-            return found.select(F.col("t").alias(table), "ancestor", "depth")
-        found = found.unionByName(frontier)
+        fresh = both.filter("n is not null and (d is null or n < d)").select("t", "a", F.col("n").alias("d"))
+        found = both.select("t", "a", F.least("d", "n").alias("d"))
+        if fresh.isEmpty():
+            return found.select(F.col("t").alias(table), F.col("a").alias("ancestor"), F.col("d").alias("depth"))
+
+
+def lineage_cycles(closure: DataFrame, table: str = "table_name") -> DataFrame:
+    """``cycle`` and ``table``: the tables of each cycle, which reach each other, under the least name of them."""
+    there = closure.select(F.col(table).alias("t"), F.col("ancestor").alias("a"))
+    back = closure.select(F.col(table).alias("a"), F.col("ancestor").alias("t"))
+    return there.join(back, ["t", "a"], "left_semi").groupBy(F.col("t").alias(table)).agg(F.min("a").alias("cycle")).select("cycle", table)

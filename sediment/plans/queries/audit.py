@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from sediment.operators import audit
@@ -112,3 +112,25 @@ def audit_lineage_closure(spark: SparkSession, d: str) -> DataFrame:
     ]
     edges = parts[0].unionByName(parts[1]).unionByName(parts[2])
     return audit.lineage_closure(edges).withColumn("depth", F.col("depth").cast("bigint"))
+
+
+@query(
+    "audit_lineage_cycles",
+    """with o as (select o_custkey, o_orderkey, count(*) over (partition by o_custkey) as n from orders)
+       select 'order.' || min(o_orderkey) over (partition by o_custkey) as cycle, 'order.' || o_orderkey as table_name
+       from o where n > 1 and o_custkey % 2 = 0""",
+)
+def audit_lineage_cycles(spark: SparkSession, d: str) -> DataFrame:
+    """Every order feeds its customer's next one; for customers of even number the last feeds the first."""
+    orders = table(spark, d, "orders").select("o_custkey", "o_orderkey")
+    own = Window.partitionBy("o_custkey").orderBy("o_orderkey")
+    whole = own.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    first = F.when(F.col("o_custkey") % 2 == 0, F.min("o_orderkey").over(whole))
+    name = lambda c: F.concat(F.lit("order."), c)
+    edges = orders.select(
+        name(F.col("o_orderkey")).alias("table_name"), name(F.coalesce(F.lead("o_orderkey").over(own), first)).alias("depends_on")
+    ).filter("depends_on is not null and depends_on <> table_name")
+    cycles = audit.lineage_cycles(audit.lineage_closure(edges, cycles="keep"))
+    number = lambda c: F.substring_index(c, ".", -1).cast("long")
+    least = F.min(number(F.col("table_name"))).over(Window.partitionBy("cycle"))
+    return cycles.select(name(least).alias("cycle"), "table_name")

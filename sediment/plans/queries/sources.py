@@ -242,6 +242,34 @@ def dataset_profile(spark: SparkSession, d: str) -> DataFrame:
     return manifest.column_profile(table(spark, d, "events"), ["event_id", "event_type", "user_id"])
 
 
+@query(
+    "dataset_sketches",
+    """select 'event_id' as column_name, count(*) as row_count, 0::bigint as null_count, true as distinct_close, true as median_close from events
+       union all select 'user_id', count(*), 0, true, true from events
+       union all select 'value', count(*), count(*) filter (value > 80), true, true from events""",
+)
+def dataset_sketches(spark: SparkSession, d: str) -> DataFrame:
+    """Sketches of two versions by event type are stored and merged; their answers are held against exact ones."""
+    events = table(spark, d, "events").selectExpr("event_id", "user_id", "if(value > 80, null, value) as value", "event_type")
+    path, names = scratch_path(spark, "sketches"), ["event_id", "user_id", "value"]
+    for version, part in (("1", "event_id % 2 = 0"), ("2", "event_id % 2 = 1")):
+        manifest.sketch_profile(events.filter(part), version, names, ["event_type"]).write.mode("append").parquet(path)
+    merged = manifest.merged_profile(spark.read.parquet(path), [0.5])
+    exact = []
+    for name in names:
+        median = merged.filter(F.col("column_name") == name).select(F.col("quantiles")[0]).scalar()
+        exact.append(
+            events.agg(
+                F.lit(name).alias("column_name"), F.count_distinct(name).alias("distinct"),
+                (F.count_if(F.col(name) <= median) / F.count(name)).alias("rank"),
+            )
+        )
+    held = merged.join(exact[0].unionByName(exact[1]).unionByName(exact[2]), "column_name")
+    off = F.abs(F.col("distinct_count") - F.col("distinct")) <= manifest.DISTINCT_ERROR * F.col("distinct")
+    near = F.abs(F.col("rank") - 0.5) <= manifest.RANK_ERROR
+    return held.select("column_name", "row_count", "null_count", off.alias("distinct_close"), near.alias("median_close"))
+
+
 @query(
     "quality_results_stored",
     """select 'orders' as table_name, 'total' as rule_id, 'row_count' as metric, count(*)::double as value from orders""",

@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 # Fields of a sidecar manifest.
@@ -119,3 +120,51 @@ def dataset_version(df: DataFrame, dataset: str, version: str) -> DataFrame:
         "stats",
         "row_count",
     )
+
+
+# The sketches' sizes. A distinct count is off by 1.04 / sqrt(2^12), 1.6 percent, in the mean, and a
+# quantile's rank by about 1.7 percent with 99 percent certainty at 200.
+DISTINCT_BITS, QUANTILE_SIZE = 12, 200
+DISTINCT_ERROR, RANK_ERROR = 0.05, 0.0265
+
+
+def sketch_profile(df: DataFrame, version: str, columns: Sequence[str], partition_by: Sequence[str] = ()) -> DataFrame:
+    """A row per column (and partition) of a version: rows, nulls, and sketches that can be merged with those of
+    other versions and partitions: ``distinct_sketch``, and for numbers ``quantile_sketch``. One pass."""
+    numeric = {f.name for f in df.schema if isinstance(f.dataType, T.NumericType)}
+    measures = [F.count("*").alias("_rows")]
+    for i, name in enumerate(columns):
+        c = F.col(f"`{name}`")
+        # Numbers by value, everything else by its text.
+        plain = c if isinstance(df.schema[name].dataType, (T.LongType, T.IntegerType, T.StringType)) else c.cast("string")
+        measures += [F.count(c).alias(f"_n{i}"), F.hll_sketch_agg(plain, DISTINCT_BITS).alias(f"_h{i}")]
+        if name in numeric:
+            measures.append(F.kll_sketch_agg_double(c.cast("double"), QUANTILE_SIZE).alias(f"_q{i}"))
+    folded = df.groupBy(*[F.col(f"`{p}`") for p in partition_by]).agg(*measures)
+    rows = F.array(
+        *[
+            F.struct(
+                F.lit(name).alias("column_name"),
+                F.col("_rows").alias("row_count"),
+                (F.col("_rows") - F.col(f"_n{i}")).alias("null_count"),
+                F.col(f"_h{i}").alias("distinct_sketch"),
+                (F.when(F.col(f"_n{i}") > 0, F.col(f"_q{i}")) if name in numeric else F.lit(None).cast("binary")).alias("quantile_sketch"),
+            )
+            for i, name in enumerate(columns)
+        ]
+    )
+    return folded.select(F.lit(version).alias("version"), *[F.col(f"`{p}`") for p in partition_by], F.inline(rows))
+
+
+def merged_profile(sketches: DataFrame, quantiles: Sequence[float] = (0.25, 0.5, 0.75)) -> DataFrame:
+    """Per column over all rows of ``sketches``, whatever versions and partitions they are of: ``row_count``, ``null_count``,
+    ``distinct_count`` (within ``DISTINCT_ERROR``) and ``quantiles`` (of rank within ``RANK_ERROR``). Reads sketches only."""
+    merged = sketches.groupBy("column_name").agg(
+        F.sum("row_count").alias("row_count"),
+        F.sum("null_count").alias("null_count"),
+        F.hll_sketch_estimate(F.hll_union_agg("distinct_sketch")).alias("distinct_count"),
+        F.kll_merge_agg_double("quantile_sketch").alias("_q"),
+        F.count("quantile_sketch").alias("_with"),
+    )
+    read = F.kll_sketch_get_quantile_double(F.col("_q"), F.array(*[F.lit(float(q)) for q in quantiles]))
+    return merged.select("column_name", "row_count", "null_count", "distinct_count", F.when(F.col("_with") > 0, read).alias("quantiles"))

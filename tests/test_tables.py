@@ -1,6 +1,9 @@
 """Joins, duplicates, merge, audit look-ups, readers and writers."""
 
 import datetime as dt
+import json
+import os
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -8,7 +11,7 @@ from pyspark.sql import functions as F
 from sediment.config import PipelineConfig, SpecError, load_spec, version_key
 from sediment.operators import audit, dedup, joins
 from sediment.session import scratch_path
-from sediment.sources import manifest, readers, writers
+from sediment.sources import manifest, merge, readers, writers
 from sediment.sources.merge import VersionedTable, merge_frames, merge_partitions, upsert_frames
 
 
@@ -133,7 +136,7 @@ def test_overlapping_versions_need_a_row_id(spark, rows):
 
 
 def test_key_with_very_many_versions(spark, rows):
-    """One key holds most versions and facts; buckets and the plain condition agree."""
+    """One key holds most versions and facts; the sorted sequence and the plain condition agree."""
     versions = spark.range(400).selectExpr(
         "if(id % 4 = 0, int(id), 0) as k",
         "timestamp_ntz'2020-01-01' + make_dt_interval(int(id * 3)) as effective_from",
@@ -141,7 +144,7 @@ def test_key_with_very_many_versions(spark, rows):
     ).selectExpr("*", "lead(effective_from) over (partition by k order by effective_from) as effective_to")
     asked = spark.range(2000).selectExpr("id", "int(if(id % 3 = 0, 0, id % 400)) as k", "timestamp_ntz'2020-01-01' + make_dt_interval(int(id)) as at")
     auto = joins.effective_lookup(asked, versions, ["k"], "at")
-    assert "_bucket" in auto._jdf.queryExecution().toString()
+    assert "explode" not in auto._jdf.queryExecution().toString().lower()  # no version is copied
     brute = asked.join(versions.withColumnRenamed("k", "j"), F.expr("k = j and effective_from <= at and (effective_to is null or at < effective_to)"), "left")
     assert rows(auto.select("id", "v")) == rows(brute.select("id", "v"))
 
@@ -182,6 +185,9 @@ def test_lineage(spark, rows):
     loop = spark.createDataFrame([("a", "b"), ("b", "c"), ("c", "a")], "table_name string, depends_on string")
     with pytest.raises(SpecError):
         audit.lineage_closure(loop)
+    whole = audit.lineage_closure(loop.unionByName(edges), cycles="keep")
+    assert rows(audit.lineage_cycles(whole)) == [("a", "a"), ("a", "b"), ("a", "c")]
+    assert {(r["table_name"], r["ancestor"], r["depth"]) for r in whole.filter("table_name = 'a'").collect()} == {("a", "b", 1), ("a", "c", 2), ("a", "a", 3)}
 
 
 def test_lineage_of_any_depth(spark):
@@ -190,6 +196,98 @@ def test_lineage_of_any_depth(spark):
     assert deepest == 12
 
 
+def test_lineage_of_a_long_chain_takes_few_rounds(spark, monkeypatch):
+    written = []
+    plain = audit.materialize
+    monkeypatch.setattr(audit, "materialize", lambda df, label: written.append(label) or plain(df, label))
+    edges = spark.range(1000).selectExpr("concat('t', id) as table_name", "concat('t', id + 1) as depends_on")
+    out = audit.lineage_closure(edges).agg(F.count("*").alias("n"), F.max("depth").alias("deepest")).first()
+    assert (out["n"], out["deepest"]) == (1000 * 1001 // 2, 1000) and len(written) <= 12
+
+
+@pytest.mark.parametrize("parts", [1, 7])
+def test_effective_lookup_over_many_stretches(spark, rows, parts):
+    """Keys that span stretches without a version in them, NULL keys and times, versions that end, gaps."""
+    draw = random.Random(parts)
+    at = lambda d: dt.datetime(2020, 1, 1) + dt.timedelta(days=d)
+    versions = [(0, at(0), at(5), "early"), (0, at(5), at(900), "long"), (1, at(10), None, "open"), (None, at(0), None, "no key"), (2, None, None, "no start")]
+    versions += [(3, at(d), at(d + draw.randrange(1, 3)), f"v{d}") for d in range(0, 300, 3)]
+    asked = [(i, draw.choice([0, 0, 0, 1, 2, 3, None, 9]), draw.choice([None, at(draw.randrange(-3, 1000))])) for i in range(3000)]
+    v = spark.createDataFrame(versions, "k int, effective_from timestamp_ntz, effective_to timestamp_ntz, v string")
+    f = spark.createDataFrame(asked, "id int, k int, at timestamp_ntz")
+    before = spark.conf.get("spark.sql.shuffle.partitions"), spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
+    spark.conf.set("spark.sql.shuffle.partitions", parts), spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        for how in ("left", "inner"):
+            got = joins.effective_lookup(f, v, ["k"], "at", how=how).select("id", "v")
+            brute = f.join(v.withColumnRenamed("k", "j"), F.expr("k = j and effective_from <= at and (effective_to is null or at < effective_to)"), how)
+            assert rows(got) == rows(brute.select("id", "v"))
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before[0]), spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", before[1])
+
+
+def test_merge_rewrites_only_the_files_that_hold_a_key(spark, tmp_path, rows):
+    path = str(tmp_path / "t")
+    base = spark.range(1000).selectExpr("id as k", "concat('v', id) as v")
+    base.repartitionByRange(10, "k").write.parquet(path)
+    stamps = lambda: {n: os.stat(f"{path}/{n}").st_mtime_ns for n in os.listdir(path) if n.startswith("part-")}
+    before = stamps()
+    source = spark.createDataFrame([(5, None)], "k long, v string")
+    assert merge.merge_touched_files(spark, path, source, ["k"]) == 1
+    after = stamps()
+    assert len(before.items() & after.items()) == 9 and not [n for n in os.listdir(path) if n.startswith("_s")]
+    assert rows(spark.read.parquet(path)) == rows(merge_frames(base, source, ["k"]))
+    more = spark.createDataFrame([(5, "x"), (999, "y"), (5000, "new"), (None, "none")], "k long, v string")
+    want = rows(merge_frames(spark.read.parquet(path), more, ["k"]))
+    assert merge.merge_touched_files(spark, path, more, ["k"]) == 2 and rows(spark.read.parquet(path)) == want
+    assert merge.merge_touched_files(spark, path, more.filter("false"), ["k"]) == 0 and rows(spark.read.parquet(path)) == want
+    with pytest.raises(SpecError):
+        merge.merge_touched_files(spark, path, more.unionByName(more), ["k"])
+
+
+@pytest.mark.parametrize("done", [0, 1, 2])
+def test_a_swap_cut_short_is_carried_out(spark, tmp_path, rows, done, monkeypatch):
+    path = str(tmp_path / "t")
+    spark.range(10).selectExpr("id as k", "1 as v").coalesce(1).write.parquet(path)
+    source = spark.createDataFrame([(3, 7), (20, 7)], "k long, v int")
+    want = rows(merge_frames(spark.read.parquet(path), source, ["k"]))
+    plain, calls = merge.finish_swap, []
+    monkeypatch.setattr(merge, "finish_swap", lambda *a: calls.append(1) or (plain(*a) if len(calls) < 2 else False))
+    merge.merge_touched_files(spark, path, source, ["k"])
+    swap = json.loads((tmp_path / "t" / "_swap.json").read_text())
+    if done > 0:
+        os.remove(swap["old"][0].removeprefix("file:").replace("//", "/"))
+    if done > 1:
+        staged, name = next(iter(swap["new"].items()))
+        os.rename(staged, name)
+    assert plain(spark, path) and not plain(spark, path)
+    spark.catalog.refreshByPath(path)
+    assert rows(spark.read.parquet(path)) == want
+
+
+def test_sketches_of_versions_and_partitions_merge(spark):
+    path = [str(i) for i in range(3)]
+    frames = [spark.range(i * 4000, i * 4000 + 6000).selectExpr("id", "id % 97 as few", "if(id % 10 = 0, null, id / 7.0) as x", "int(id % 3) as part", "'t' || id as t") for i in range(3)]
+    sketches = [manifest.sketch_profile(f, v, ["id", "few", "x", "t"], ["part"]) for f, v in zip(frames, path)]
+    stored = scratch_path(spark, "sketches")
+    sketches[0].unionByName(sketches[1]).unionByName(sketches[2]).write.parquet(stored)
+    merged = manifest.merged_profile(spark.read.parquet(stored))
+    assert "t STRING" not in merged._jdf.queryExecution().toString() and "Range (" not in merged._jdf.queryExecution().toString()
+    got = {r["column_name"]: r for r in merged.collect()}
+    exact = {"id": 14_000, "few": 97, "x": 12_600, "t": 14_000}
+    for name, distinct in exact.items():
+        assert got[name]["row_count"] == 18_000 and abs(got[name]["distinct_count"] - distinct) <= manifest.DISTINCT_ERROR * distinct
+    assert got["x"]["null_count"] == 1800 and got["t"]["quantiles"] is None
+    ids = sorted(i for k in range(3) for i in range(k * 4000, k * 4000 + 6000))
+    for q, value in zip((0.25, 0.5, 0.75), got["id"]["quantiles"]):
+        rank = sum(i <= value for i in ids) / len(ids)
+        assert abs(rank - q) <= manifest.RANK_ERROR
+    one = manifest.merged_profile(spark.read.parquet(stored).filter("version = '1' and part = 2"), [0.5])
+    assert {r["column_name"]: r["row_count"] for r in one.collect()}["id"] == 2000
+    empty = manifest.merged_profile(manifest.sketch_profile(frames[0].filter("false"), "0", ["id"]))
+    assert [(r["row_count"], r["distinct_count"], r["quantiles"]) for r in empty.collect()] == [(0, 0, None)]
+
+
 def test_merge_keeps_rows_of_the_null_partition(spark, tmp_path, rows):
     path = str(tmp_path / "t")
     stored = spark.createDataFrame([(1, None, "x"), (2, None, "x"), (3, "a", "x"), (4, "b", "x")], "id int, p string, v string")
