@@ -10,9 +10,10 @@ the prefix before it. The ids are then read off backwards, in time and memory li
 from __future__ import annotations
 
 import re
+import sys
+import types
 from array import array
 from collections.abc import Callable, Iterable, Iterator
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -24,8 +25,8 @@ SPACE = "▁"
 UNKNOWN = " ⁇ "
 INVALID = "�"
 
-# Parts of a text and pairs of pieces each encoder remembers; longer parts are worked out each time.
-KNOWN_PARTS = 200_000
+# Parts of a text (twice so many at most) and pairs of pieces each encoder remembers; longer parts are worked out each time.
+KNOWN_PARTS = 250_000
 KNOWN_PAIRS = 400_000
 KNOWN_LENGTH = 48
 # Ids that one Arrow batch of results may hold before the next begins.
@@ -58,8 +59,10 @@ class PieceEncoder:
                 self.automaton.add_word(name, name)
         self.automaton.make_automaton()
         self.parts = self._parts(names)
-        self.fits = lru_cache(KNOWN_PAIRS)(lambda a, b: self.merge(a + b) == [a, b])
+        self.beside = {pair for name in names for pair in zip(name, name[1:], strict=False)}
+        self.pairs: dict[tuple[str, str], bool] = {}
         self.known: dict[str, tuple[int, ...]] = {}
+        self.older: dict[str, tuple[int, ...]] = {}  # those before the last emptying; of use again, they come back
 
     @staticmethod
     def _parts(names: Iterable[str]) -> re.Pattern:
@@ -83,35 +86,36 @@ class PieceEncoder:
             i = min(made)[1]
             symbols[i : i + 2] = [symbols[i] + symbols[i + 1]]
 
+    def fits(self, before: str, piece: str) -> bool:
+        """Whether two pieces side by side are the encoding of their text."""
+        fit = self.merge(before + piece) == [before, piece]
+        if len(self.pairs) >= KNOWN_PAIRS:
+            self.pairs.clear()
+        self.pairs[before, piece] = fit
+        return fit
+
     def pieces(self, part: str) -> list[str]:
         """Pieces of a part by its prefix table, any length."""
         last: list[str] = []  # of each prefix, its last piece
-        ending: list[str] = []
-        at = -1
-
-        def close() -> None:
-            for piece in (*ending, part[at]):
-                start = at + 1 - len(piece)
-                if not start or self.fits(last[start - 1], piece):
-                    last.append(piece)
-                    return
-            raise AssertionError("a prefix without an encoding")
-
+        pairs = self.pairs
         for end, piece in self.automaton.iter(part):
-            while at < end:
-                if at >= 0:
-                    close()
-                at, ending = at + 1, []
-            ending.append(piece)
-        while at < len(part):
-            if at >= 0:
-                close()
-            at, ending = at + 1, []
+            while len(last) < end:  # no listed piece ends there: a character that has none
+                last.append(part[len(last)])
+            if len(last) == end:
+                start = end + 1 - len(piece)
+                if not start:
+                    last.append(piece)
+                    continue
+                fit = pairs.get((last[start - 1], piece))
+                if fit or fit is None and self.fits(last[start - 1], piece):
+                    last.append(piece)
+        last.extend(part[len(last) :])
         out, end = [], len(part)
         while end:
             out.append(last[end - 1])
             end -= len(out[-1])
-        return out[::-1]
+        out.reverse()
+        return out
 
     def _of_piece(self, piece: str) -> tuple[int, ...]:
         if piece in self.ids:
@@ -119,9 +123,26 @@ class PieceEncoder:
         return tuple(self.bytes[b] for b in piece.encode()) if self.bytes else (self.library.unk_id(),)
 
     def of_part(self, part: str) -> tuple[int, ...]:
-        ids = tuple(i for piece in self.pieces(part) for i in self._of_piece(piece))
+        """Ids of a part, cut further between characters that no piece has side by side."""
+        if part in self.older:
+            return self._keep(part, self.older[part])
+        beside, start, cuts = self.beside, 0, []
+        for at, pair in enumerate(zip(part, part[1:], strict=False), 1):
+            if pair not in beside:
+                cuts.append(part[start:at])
+                start = at
+        if not start:
+            return self.of_stretch(part)
+        cuts.append(part[start:])
+        return self._keep(part, tuple(i for cut in cuts for i in self.known.get(cut) or self.of_stretch(cut)))
+
+    def of_stretch(self, part: str) -> tuple[int, ...]:
+        return self._keep(part, tuple(i for piece in self.pieces(part) for i in self._of_piece(piece)))
+
+    def _keep(self, part: str, ids: tuple[int, ...]) -> tuple[int, ...]:
         if len(part) <= KNOWN_LENGTH:
             if len(self.known) >= KNOWN_PARTS:
+                self.older = dict(self.known)
                 self.known.clear()
             self.known[part] = ids
         return ids
@@ -129,15 +150,26 @@ class PieceEncoder:
     def __call__(self, text: str) -> array:
         text = self.library.normalize(text)
         found = self.parts.findall(text) if len(text) < 1_000_000 else (m[0] for m in self.parts.finditer(text))
-        ids, known = array("i"), self.known
+        ids, known = array("i"), self.known.get
         for part in found:
-            ids.extend(known[part] if part in known else self.of_part(part))
+            ids.extend(known(part) or self.of_part(part))
         if not self.bytes:  # the library writes unknown characters in a row as one
             unknown = self.library.unk_id()
             ids = array("i", (x for k, x in enumerate(ids) if x != unknown or not k or ids[k - 1] != unknown))
         return ids
 
 
+def shared_encoder(path: str) -> PieceEncoder:
+    """The encoder of this process for a model: a Python worker serves one task after another, and what it has
+    worked out for one, within the bounds above, is of use to the next. Code that travels by value is a copy
+    of its own in every task, so the encoders hang on a module that stays."""
+    stays = sys.modules.setdefault("_sediment_piece_encoders", types.ModuleType("_sediment_piece_encoders"))
+    known = stays.__dict__.setdefault("encoders", {})
+    if path not in known:
+        known[path] = PieceEncoder(path)
+    return known[path]
+
+
 def _bytes_as_text(run: bytes) -> str:
     """UTF-8 with each invalid byte marked by itself."""
     out, at = [], 0
@@ -155,7 +187,7 @@ def _bytes_as_text(run: bytes) -> str:
     return "".join(out)
 
 
-def piece_decoder(path: str) -> Callable[[Iterable[int]], str]:
+def piece_decoder(path: str) -> Callable[[list[int]], str]:
     """A function from ids to text. Byte pieces in a row are read as UTF-8; of the first piece the
     space that encoding puts before a text goes; begin and end give nothing."""
     import sentencepiece
@@ -173,8 +205,7 @@ def piece_decoder(path: str) -> Callable[[Iterable[int]], str]:
     put_before = library.normalize("a").startswith(SPACE)
     spaced = {i for i in range(size) if names[i].startswith(SPACE) and not single[i]}
 
-    def decode(ids: Iterable[int]) -> str:
-        ids = list(ids)
+    def decode(ids: list[int]) -> str:
         first = next((i for i in ids if not silent[i]), None)
         skip = int(put_before and first in spaced)
         try:
@@ -212,7 +243,7 @@ def encode(df: DataFrame, model: str, text: str = "text", ids: str = "ids") -> D
     at = [c.lower() for c in kept].index(text.lower())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = PieceEncoder(model)
+        encoder = shared_encoder(model)
         for batch in batches:
             schema = _named(batch, ids, pa.list_(pa.int32()))
             start, ends, values = 0, [0], array("i")
@@ -241,7 +272,13 @@ def decode(df: DataFrame, model: str, ids: str = "ids", text: str = "decoded") -
         reader = piece_decoder(model)
         for batch in batches:
             schema = _named(batch, text, pa.string())
-            out = [reader(i for i in one.as_py() or () if i is not None) for one in batch.column(at)]
+            lists = batch.column(at)
+            ends, values = lists.offsets.to_pylist(), lists.values
+            if values.null_count:
+                out = [reader([i for i in one or () if i is not None]) for one in lists.to_pylist()]
+            else:
+                flat = values.to_numpy()
+                out = [reader(flat[a:b].tolist()) for a, b in zip(ends, ends[1:], strict=False)]
             yield _joined(batch, pa.array(out, pa.string()), schema)
 
     return source.mapInArrow(run, T.StructType([*source.schema.fields, T.StructField(text, T.StringType())]))
