@@ -11,6 +11,7 @@ import pandas as pd
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from sediment.llm.common import map_frames, written
 from sediment.llm.components import components
@@ -19,8 +20,9 @@ from sediment.llm.components import components
 @dataclass(frozen=True)
 class VectorIndex:
     """Vectors link at a cosine of ``threshold`` or more. The index is fitted on the ``sample`` vectors
-    of least hash, collected to the driver: ``sample`` bounds that. Lists number about the square
-    root of the vectors, one per ``per_list`` sampled ones at most. ``recall`` is the share of
+    of least hash, collected to the driver: ``sample`` bounds that. Lists number about the square root of the
+    vectors, at every size: beyond one per ``per_list`` sampled ones they have two levels, a center and one of the
+    residual centers that all share. ``recall`` is the share of
     neighbours exactly at the threshold, in random directions, that the probes must reach; the
     number of probes follows from it. ``block`` bounds the rows of either side in one task's group."""
 
@@ -35,8 +37,18 @@ class VectorIndex:
     seed: int = 11
 
 
+# Scores of rows against centers that are held at once.
+SCORES = 4_000_000
+
+
+def _parts(rows: int, centers: int) -> list[slice]:
+    step = max(1, SCORES // max(centers, 1))
+    return [slice(at, at + step) for at in range(0, rows, step)]
+
+
 def _nearest(x: np.ndarray, centers: np.ndarray) -> np.ndarray:
-    return (x @ centers.T - 0.5 * (centers**2).sum(1)).argmax(1)
+    half = 0.5 * (centers**2).sum(1)
+    return np.concatenate([(x[part] @ centers.T - half).argmax(1) for part in _parts(len(x), len(centers))] or [np.empty(0, np.int64)])
 
 
 def _k_means(x: np.ndarray, k: int, rounds: int, draw: np.random.Generator) -> np.ndarray:
@@ -62,6 +74,15 @@ class Model:
     def coarse(self, x: np.ndarray) -> np.ndarray:
         return x @ self.centers.T - 0.5 * (self.centers**2).sum(1)
 
+    def lists(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The list of each vector, and those it probes."""
+        cells, probes = [np.empty(0, np.int64)], [np.empty((0, self.probes), np.int64)]
+        for part in _parts(len(x), len(self.centers)):
+            score = self.coarse(x[part])
+            cells.append(score.argmax(1))
+            probes.append(np.argpartition(-score, self.probes - 1, axis=1)[:, : self.probes])
+        return np.concatenate(cells), np.concatenate(probes)
+
     def encode(self, residual: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Codes, and how far each vector is from its decoded form."""
         codes = np.empty((len(residual), len(self.books)), np.uint8)
@@ -84,8 +105,12 @@ class Model:
 def fit(sample: np.ndarray, rows: int, spec: VectorIndex) -> Model:
     """A model of unit vectors for an index of ``rows`` rows."""
     draw = np.random.default_rng(spec.seed)
-    lists = max(1, min(math.isqrt(max(rows, 1)), len(sample) // spec.per_list))
-    centers = _k_means(sample, lists, spec.rounds, draw)
+    wanted, most = max(1, math.isqrt(max(rows, 1))), max(1, len(sample) // spec.per_list)
+    centers = _k_means(sample, min(wanted, most), spec.rounds, draw)
+    if wanted > len(centers):
+        inner = min(most, -(-wanted // len(centers)))
+        finer = _k_means(sample - centers[_nearest(sample, centers)], inner, spec.rounds, draw)
+        centers = (centers[:, None, :] + finer[None]).reshape(-1, sample.shape[1])
     near = _nearest(sample, centers)
     residual = sample - centers[near]
     edges = np.linspace(0, sample.shape[1], min(spec.parts, sample.shape[1]) + 1).astype(int)
@@ -96,19 +121,29 @@ def fit(sample: np.ndarray, rows: int, spec: VectorIndex) -> Model:
     apart /= np.maximum(np.linalg.norm(apart, axis=1, keepdims=True), 1e-12)
     other = spec.threshold * trial + math.sqrt(1 - spec.threshold**2) * apart
     model = Model(centers, books, edges, 1)
-    score = model.coarse(trial)
-    rank = (score > np.take_along_axis(score, model.coarse(other).argmax(1)[:, None], 1)).sum(1)
+    ranks = []
+    for part in _parts(len(trial), len(centers)):
+        score = model.coarse(trial[part])
+        ranks.append((score > np.take_along_axis(score, model.coarse(other[part]).argmax(1)[:, None], 1)).sum(1))
+    rank = np.concatenate(ranks)
     probes = int(np.quantile(rank, spec.recall, method="higher")) + 1
     return Model(centers, books, edges, min(probes, len(centers)))
 
 
 def _units(data: pd.Series, dim: int) -> np.ndarray:
-    x = np.frombuffer(b"".join(data), np.float64).reshape(len(data), dim)
-    return x
+    """Unit vectors in doubles of vectors as they were given, four or eight bytes a number."""
+    raw = b"".join(data)
+    kind = np.float32 if len(raw) == 4 * dim * len(data) else np.float64
+    x = np.frombuffer(raw, kind).reshape(len(data), dim).astype(np.float64)
+    x /= np.abs(x).max(1, keepdims=True)
+    return x / np.sqrt((x * x).sum(1, keepdims=True))
 
 
 def _read(df: DataFrame, vec_id: str, embedding: str, dim: int) -> DataFrame:
-    """``vec``, ``node`` (hash of the unit vector, NULL where it cannot link) and ``unit`` (doubles)."""
+    """``vec``, ``node`` (hash of the unit vector, NULL where it cannot link) and ``unit``, the vector's numbers as
+    they are: floats stay four bytes a number wherever the vector travels."""
+    given = df.schema[embedding].dataType
+    kind = np.float32 if isinstance(given, T.ArrayType) and isinstance(given.elementType, T.FloatType) else np.float64
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in batches:
@@ -120,8 +155,7 @@ def _read(df: DataFrame, vec_id: str, embedding: str, dim: int) -> DataFrame:
                     nodes.append(None), units.append(None)
                     continue
                 x = x / scale
-                data = (x / np.linalg.norm(x)).tobytes()
-                nodes.append(xxhash.xxh3_128_digest(data)), units.append(data)
+                nodes.append(xxhash.xxh3_128_digest((x / np.linalg.norm(x)).tobytes())), units.append(np.array(value, kind).tobytes())
             yield pd.DataFrame({"vec": frame["vec"], "node": nodes, "unit": units})
 
     read = df.select(F.col(vec_id).alias("vec"), F.col(embedding).cast("array<double>").alias("x"))
@@ -132,10 +166,8 @@ def _coded(classes: DataFrame, model: Model, dim: int) -> DataFrame:
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in batches:
             x = _units(frame["unit"], dim)
-            score = model.coarse(x)
-            cell = score.argmax(1)
+            cell, probes = model.lists(x)
             codes, error = model.encode(x - model.centers[cell])
-            probes = np.argpartition(-score, model.probes - 1, axis=1)[:, : model.probes]
             yield frame.assign(
                 cell=cell.astype(np.int32), code=[c.tobytes() for c in codes], error=error, probes=list(probes.astype(np.int32))
             )
@@ -211,21 +243,25 @@ def near_vectors(
     if not total:
         return out.select(vec_id, F.lit(0).cast("long").alias("n_links"), F.col(vec_id).alias("component_id"), F.lit(True).alias("kept"))
     chosen = classes.select("unit", F.xxhash64("node").alias("h")).orderBy("h").limit(spec.sample).collect()
-    model = fit(np.frombuffer(b"".join(bytes(r["unit"]) for r in chosen), np.float64).reshape(len(chosen), dim), total, spec)
+    model = fit(_units(pd.Series([bytes(r["unit"]) for r in chosen]), dim), total, spec)
     coded = written(_coded(classes.select("node", "n", "unit"), model, dim), "coded")
     in_cell = dict(coded.groupBy("cell").count().collect())
     to_cell = dict(coded.select(F.explode("probes").alias("cell")).groupBy("cell").count().collect())
     blocks = [
         (c, -(-in_cell.get(c, 0) // spec.block), -(-to_cell.get(c, 0) // spec.block)) for c in range(len(model.centers))
     ]
-    data_blocks = F.element_at(F.array(*[F.lit(max(1, d)) for _, d, _ in blocks]), F.col("cell") + 1)
-    query_blocks = F.element_at(F.array(*[F.lit(max(1, q)) for _, _, q in blocks]), F.col("cell") + 1)
+    # A row per list that anything probes; the two counts are joined on, as there may be many lists.
+    cut = written(
+        df.sparkSession.createDataFrame([(c, max(1, d), max(1, q)) for c, d, q in blocks if q], "cell int, _data int, _queries int"), "cuts"
+    )
+    data_blocks, query_blocks = F.col("_data"), F.col("_queries")
     turn = F.xxhash64("node")
-    data = coded.select("node", "n", "unit", "cell", "code", "error").withColumns(
+    data = coded.select("node", "n", "unit", "cell", "code", "error").join(cut, "cell").withColumns(
         {"data_block": F.pmod(turn, data_blocks).cast("int"), "query_block": F.explode(F.sequence(F.lit(0), query_blocks - 1))}
     )
     queries = (
         coded.select("node", "n", "unit", F.explode("probes").alias("cell"))
+        .join(cut, "cell")
         .withColumns({"code": F.lit(None).cast("binary"), "error": F.lit(None).cast("double")})
         .withColumns(
             {"query_block": F.pmod(turn, query_blocks).cast("int"), "data_block": F.explode(F.sequence(F.lit(0), data_blocks - 1))}
@@ -240,7 +276,8 @@ def near_vectors(
         return search_block(frame[own], frame[~own], model, dim, threshold)
 
     found = written(
-        data.unionByName(queries)
+        data.drop("_data", "_queries")
+        .unionByName(queries.drop("_data", "_queries"))
         .groupBy("cell", "data_block", "query_block")
         .applyInPandas(run, "node binary, links long, root binary"),
         "found",
