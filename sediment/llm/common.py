@@ -13,8 +13,9 @@ from sediment.session import scratch_path
 SPACE_PATTERN = r"[\x20\x09-\x0D]+"
 WORD_CHAR = r"[^\x20\x09-\x0D]"
 
-# Rows up to which a list of keys is broadcast once it has been counted; beyond it the join shuffles.
-KEY_BROADCAST_ROWS = 2_000_000
+# Bytes of data up to which a list of keys is broadcast once it has been measured; beyond it the join shuffles.
+# A hashed table takes about three times as much on the driver and on every executor.
+KEY_BROADCAST_BYTES = 64 << 20
 
 
 def table(spark: SparkSession, directory: str, name: str) -> DataFrame:
@@ -56,10 +57,27 @@ def fresh(df: DataFrame, *names: str) -> list[str]:
     return out
 
 
+def _width(c: Column, kind: T.DataType) -> Column:
+    """Bytes of a value."""
+    if isinstance(kind, (T.StringType, T.BinaryType)):
+        return F.coalesce(F.octet_length(c), F.lit(0)) + 16
+    if isinstance(kind, T.StructType):
+        return sum((_width(c[f.name], f.dataType) for f in kind), F.lit(8))
+    if isinstance(kind, T.ArrayType) and isinstance(kind.elementType, (T.StringType, T.BinaryType)):
+        return F.coalesce(F.aggregate(c, F.lit(24).cast("long"), lambda n, x: n + F.coalesce(F.octet_length(x), F.lit(0)) + 16), F.lit(8).cast("long"))
+    return F.coalesce(F.size(c) * 8 + 24, F.lit(8)) if isinstance(kind, T.ArrayType) else F.lit(8)
+
+
+def measured_bytes(df: DataFrame) -> int:
+    """Bytes of a written table's rows in memory, by adding up their values."""
+    width = sum((_width(F.col(f"`{f.name}`"), f.dataType) for f in df.schema), F.lit(8)).cast("long")
+    return df.agg(F.coalesce(F.sum(width), F.lit(0))).first()[0]
+
+
 def keys_for_join(keys: DataFrame) -> DataFrame:
-    """A written list of keys: hinted for broadcast only when its counted rows are within
-    ``KEY_BROADCAST_ROWS``; otherwise a plain table that joins by shuffling."""
-    return F.broadcast(keys) if keys.count() <= KEY_BROADCAST_ROWS else keys
+    """A written list of keys: hinted for broadcast only when its measured bytes, whatever the width of its
+    columns, are within ``KEY_BROADCAST_BYTES``; otherwise a plain table that joins by shuffling."""
+    return F.broadcast(keys) if measured_bytes(keys) <= KEY_BROADCAST_BYTES else keys
 
 
 def map_frames(df: DataFrame, run, schema: T.StructType) -> DataFrame:

@@ -18,11 +18,6 @@ from sediment.llm.components import components
 
 WORD_BITS = 64
 
-# Lists of cut lines are broadcast while they hold no more rows and line numbers than this, about 50 MB;
-# beyond that the texts are shuffled to them.
-CUT_BROADCAST_ROWS = 500_000
-CUT_BROADCAST_NUMBERS = 4_000_000
-
 
 @dataclass(frozen=True)
 class LineRules:
@@ -323,9 +318,7 @@ def dedup_lines(df: DataFrame, doc_id: str = "doc_id", text: str = "text", rules
         F.sort_array(F.collect_set("line_no")).alias(cut), F.size(F.collect_set(F.when(F.col("near"), F.col("line_no")))).alias(near)
     )
     per_doc = written(per_doc, "cuts")
-    rows, numbers = per_doc.agg(F.count("*"), F.coalesce(F.sum(F.size(cut)), F.lit(0))).first()
-    if rows <= CUT_BROADCAST_ROWS and numbers <= CUT_BROADCAST_NUMBERS:
-        per_doc = F.broadcast(per_doc)
+    per_doc = keys_for_join(per_doc)
     c = F.col(cut)
     flags = F.flatten(
         F.transform(

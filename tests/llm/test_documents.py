@@ -8,7 +8,8 @@ import numpy as np
 import public_tokenizers
 import pytest
 
-from sediment.llm import line_dedup, minhash, mixing, packing, quality_rules, queries
+from sediment.llm import common, line_dedup, minhash, mixing, packing, quality_rules, queries, url_filter
+from sediment.llm.common import written
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
@@ -159,6 +160,32 @@ def test_near_duplicates_odd_cases(odd, clashing, spark):
     assert minhash.near_duplicates(odd.limit(0)).count() == 0
 
 
+def test_results_do_not_turn_on_broadcast_bounds(spark, odd, monkeypatch):
+    pairs = lambda df, *c: sorted(str(tuple(r)) for r in df.select(*c).collect())
+    lines = line_dedup.LineRules(min_chars=20, exact_chars=6)
+    urls = spark.createDataFrame([(i, f"http://a.net/{'bad' if i % 3 else 'good'}/{i}") for i in range(90)], "page_id long, url string")
+    labels = spark.createDataFrame([(i, i % 3 > 0) for i in range(60)], "page_id long, unwanted boolean")
+
+    def run():
+        return (
+            pairs(minhash.near_duplicates(odd), "doc_id", "n_shingles", "component_id", "kept"),
+            pairs(minhash.drop_near_duplicates(odd), *odd.columns),
+            pairs(line_dedup.dedup_lines(odd, rules=lines), "doc_id", "text", "n_removed", "n_near"),
+            pairs(url_filter.filter_urls(urls, labels), "page_id", "verdict", "mined"),
+        )
+
+    within = run()
+    monkeypatch.setattr(common, "KEY_BROADCAST_BYTES", 0)
+    assert run() == within
+
+
+def test_measured_bytes_follow_the_width(spark):
+    narrow = written(spark.range(100).select("id"), "narrow")
+    wide = written(spark.range(100).selectExpr("id", "named_struct('t', repeat('x', 1000)) as s", "array('ab') as a", "array(1) as n"), "wide")
+    assert 1_000 < common.measured_bytes(narrow) < 3_000 and 100_000 < common.measured_bytes(wide) < 120_000
+    assert common.measured_bytes(wide.filter("false")) == 0
+
+
 def test_posterior_floor_rises():
     floors = [minhash.posterior_floor(n, 80, 1e-6) for n in (16, 32, 64, 128)]
     assert floors == sorted(floors) and 0 < floors[0] < 0.8 * 16 and floors[-1] < 0.8 * 128
@@ -266,7 +293,12 @@ def test_mixing_means_and_odd_cases(spark, odd, clashing):
     assert keys == sorted(keys) and len(set(keys)) == len(keys)
     out = mixing.mix(clashing)
     assert out.columns == [c for c in clashing.columns if c not in ("copy", "shuffle_key")] + ["copy", "shuffle_key"]
-    assert out.count() == mixing.mix(odd).count() or out.count() > 0
+    plain = mixing.mix(odd)
+    # Rows without an identifier draw by all their columns, the others by their identifier.
+    shown = lambda df: sorted(str((r["doc_id"], r["text"], r["copy"], r["shuffle_key"])) for r in df.collect() if r["doc_id"] is not None)
+    assert shown(out) == shown(plain) and out.count() > 0
+    extra = [c for c in clashing.columns if c not in odd.columns and c not in ("copy", "shuffle_key")]
+    assert all(r[c] == f"own {c}" for r in out.collect() for c in extra)
     assert mixing.mix(odd.limit(0)).count() == 0
 
 
@@ -355,6 +387,6 @@ def test_large_identifiers_beside_nulls_stay_whole(spark):
     ids = lambda out, name="doc_id": {r[name] for r in out.collect()}
     whole = {big, None, big + 2}
     assert ids(minhash.near_duplicates(df)) == ids(line_dedup.dedup_lines(df)) == whole
-    assert ids(packing.pack(df, VOCABULARY)) == ids(pii.pseudonymise(df)) == ids(secret_scan.scan(df)) == whole
+    assert ids(packing.pack(df, VOCABULARY)) == ids(pii.pseudonymise(df, pii.PiiKey("00" * 16))) == ids(secret_scan.scan(df)) == whole
     vecs = spark.createDataFrame([(big, [1.0, 0.0]), (None, [0.0, 1.0]), (big + 2, [1.0, 1.0])], "vec_id long, embedding array<float>")
     assert ids(vectors.near_vectors(vecs), "vec_id") == whole
