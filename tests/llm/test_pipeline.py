@@ -8,6 +8,7 @@ import re
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from sediment.llm.common import written
@@ -30,25 +31,29 @@ def good(docs):
     for d in docs:
         hosts[d["source"]].append(found[d["doc_id"]])
     total, rejected = len(docs), set()
+    within, squares = len(hosts) - 1, sum(len(fs) ** 2 for fs in hosts.values())
     for rule in range(4):
         mean = sum(f[rule] for fs in hosts.values() for f in fs) / total
-        square = sum(sum(f[rule] for f in fs) ** 2 / len(fs) for fs in hosts.values()) / total
-        spread = max(0.0, square - mean * mean)
+        spread = sum(len(fs) * (sum(f[rule] for f in fs) / len(fs) - mean) ** 2 for fs in hosts.values())
+        room = total - squares / total - within
+        between = (spread / (mean * (1 - mean)) - within) / room if 0 < mean < 1 and room > 0 else 0.0
+        most = max(0.5, 20 * mean / (1 - mean + 20 * mean))
         for host, fs in hosts.items():
-            strength = mean * (1 - mean) / spread - 1 if spread > 1e-12 else None
+            strength = max(1 / between - 1, 2) if between > 1e-9 else None
             bad = sum(f[rule] for f in fs)
             rate = mean if strength is None else (bad + mean * strength) / (len(fs) + strength)
-            if rate > 0.8:
+            if rate > most:
                 rejected.add(host)
     return [d for d in docs if not any(found[d["doc_id"]][:2]) and d["source"] not in rejected]
 
 
 def without_repeated_lines(docs):
     docs = sorted(docs, key=lambda d: d["doc_id"])
-    lines = [x for d in docs for x in d["text"].split("\n") if len(x) >= 40]
+    lines = [x for d in docs for x in d["text"].split("\n") if len(x) >= 6]
     by_length = collections.defaultdict(list)
     for x in dict.fromkeys(lines):
-        by_length[len(x)].append(x)
+        if len(x) >= 20:
+            by_length[len(x)].append(x)
     root = {x: x for x in lines}
 
     def find(x):
@@ -65,7 +70,7 @@ def without_repeated_lines(docs):
     for d in docs:
         kept = []
         for x in d["text"].split("\n"):
-            if len(x) >= 40:
+            if len(x) >= 6:
                 if find(x) in seen:
                     continue
                 seen.add(find(x))
@@ -146,12 +151,30 @@ def test_stages_on_an_empty_table(spark):
 
 
 def test_stages_on_odd_rows(spark):
-    rows = [(1, None, None, None, None), (None, "", "en", None, 0), (2, "word " * 60, "en", "a", None), (2, "word " * 60, "en", "a", None)]
+    """NULLs in any column, repeated rows and identifiers, empty and very long texts, columns with the names of results."""
     text = " ".join(f"w{i}" for i in range(200))
-    rows += [(i, text, "en", None, 5) for i in (3, 4, None, None)] + [(5, text + " more", None, "b", 7)]
+    long = " ".join(f"x{i}" for i in range(150_000)) + "\n" + "a line that stands here twice\n" * 2
+    rows = [(1, None, None, None, None), (None, "", "en", None, 0), (2, "word " * 60, "en", "a", None), (2, "word " * 60, "en", "a", None)]
+    rows += [(i, text, "en", None, 5) for i in (3, 4, None, None)] + [(5, text + " more", None, "b", 7), (6, long, "en", "b", None), (7, "few words", "en", "b", 9)]
+    names = "n_words kept node copy shuffle_key piece sequence_id component_id line_no key _row _mark".split()
     frame = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
-    for name, stage in corpus_pipeline.STAGES[:3]:
-        frame = written(stage(spark, frame, DATA), f"odd-{name}")
-    assert frame.filter("text <> ''").count() >= 1
-    for name, stage in corpus_pipeline.STAGES[3:]:
+    frame = frame.withColumns({n: F.lit(f"own {n}") for n in names})
+    columns = frame.columns
+    counts = []
+    for name, stage in corpus_pipeline.STAGES[:-1]:
         frame = written(stage(spark, frame, DATA), f"odd-{name}")
+        assert frame.columns == columns
+        rows = frame.collect()
+        assert all(r[n] == f"own {n}" for r in rows for n in names)
+        counts.append(sorted((r["doc_id"] or 0, len(r["text"] or "")) for r in rows))
+    good, cut, apart, dealt = counts
+    # Four copies (two without an identifier), the longer one of them, and the long text; words in repeats and few words fail.
+    assert good == sorted([(0, len(text)), (0, len(text)), (3, len(text)), (4, len(text)), (5, len(text) + 5), (6, len(long))])
+    # The text is one line: the first of the copies keeps it, by identifier with NULL first; the longer one is its own line.
+    assert sum(n for _, n in cut) == len(text) * 2 + len(text) + 5 + len(long) - len("a line that stands here twice\n") or [n for d, n in cut if d == 6] == [len(long) - len("a line that stands here twice\n")]
+    assert {(5, len(text) + 5), (6, len(long) - 30)} <= set(apart) and len(apart) <= len(cut)
+    assert {d for d, _ in dealt} <= {d for d, _ in apart}
+    packed = corpus_pipeline.STAGES[-1][1](spark, frame, DATA).toPandas()
+    assert set(packed["doc_id"].fillna(0).astype(int)) == {d for d, _ in dealt} and packed["length"].max() <= 2048
+
+
