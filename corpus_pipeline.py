@@ -11,9 +11,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sediment.llm import line_dedup, minhash, mixing, packing, quality_rules
-from sediment.llm.common import written
+from sediment.llm.common import fresh, written
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
+# Exact repeats from six characters on and near ones from twenty, as in the query of its own.
+LINES = line_dedup.LineRules(min_chars=20, exact_chars=6)
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -23,7 +25,7 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, without lines that repeat earlier ones; ``n_chars`` is that of the new text."""
-    cut = line_dedup.dedup_lines(docs)
+    cut = line_dedup.dedup_lines(docs, rules=LINES)
     return cut.withColumn(
         "n_chars", F.when(F.col("n_removed") > 0, F.length("text").cast("long")).otherwise(F.col("n_chars"))
     ).select(*docs.columns)
@@ -35,8 +37,11 @@ def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents repeated towards flatter source weights, in shuffled order."""
-    return mixing.mix(docs).select(*docs.columns)
+    """Documents repeated towards flatter source weights, in shuffled order. Columns that bear the names of
+    the operator's results are set aside under others meanwhile, and stay as they are."""
+    aside = dict(zip([c for c in docs.columns if c.lower() in ("copy", "shuffle_key")], fresh(docs, "_copy", "_shuffle_key")))
+    mixed = mixing.mix(docs.withColumnsRenamed(aside))
+    return mixed.select(*[F.col(f"`{aside.get(c, c)}`").alias(c) for c in docs.columns])
 
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
