@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from sediment.config import AnomalyConfig
 from sediment.operators import anomalies as an
+from sediment.plans.queries import runners
 from sediment.streaming import detectors, flows, topics
 
 DAY = dt.datetime(2024, 3, 1)
@@ -161,3 +162,16 @@ def test_messages_of_published_events_by_offsets(spark, tmp_path):
     stream = flows.topic_stream(spark, "x", folder=f"{tmp_path}/topics", starting_offsets="earliest")
     flows.run_available(stream, f"{tmp_path}/checkpoint", flows.batch_directory(f"{tmp_path}/out"))
     assert sorted(r["value"] for r in spark.read.parquet(f"{tmp_path}/out").collect()) == ['{"a": 1}', '{"a": 2}']
+
+
+def test_topic_queries_number_messages_in_order_whatever_files_the_events_lie_in(spark, tmp_path):
+    events = spark.range(4000).selectExpr("id as event_id", "'view' as event_type")
+    events.repartition(6).write.parquet(f"{tmp_path}/events.parquet")
+    halves = {0: [], 1: []}
+    for event in sorted(range(4000), key=lambda i: (i % 4 >= 2, i)):
+        halves[event % 2].append(event)
+    every = {(event, number, offset) for number, ids in halves.items() for offset, event in enumerate(ids)}
+    found = lambda name: {tuple(r) for r in runners()[name](spark, str(tmp_path)).select("event_id", "partition", "offset").collect()}
+    assert found("topic_earliest") == every
+    assert found("topic_latest") == {r for r in every if r[0] % 4 >= 2}
+    assert found("topic_from_offsets") == {r for r in every if r[2] >= (40 if r[1] else 25)}
