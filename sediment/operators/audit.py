@@ -127,8 +127,73 @@ def lineage_closure(edges: DataFrame, table: str = "table_name", parent: str = "
             return found.select(F.col("t").alias(table), F.col("a").alias("ancestor"), F.col("d").alias("depth"))
 
 
-def lineage_cycles(closure: DataFrame, table: str = "table_name") -> DataFrame:
-    """``cycle`` and ``table``: the tables of each cycle, which reach each other, under the least name of them."""
-    there = closure.select(F.col(table).alias("t"), F.col("ancestor").alias("a"))
-    back = closure.select(F.col(table).alias("a"), F.col("ancestor").alias("t"))
-    return there.join(back, ["t", "a"], "left_semi").groupBy(F.col("t").alias(table)).agg(F.min("a").alias("cycle")).select("cycle", table)
+def _classes_by_closure(edges: DataFrame) -> DataFrame:
+    """``v`` and ``root`` of the vertices of edges ``s``, ``t`` that lie on cycles, from all pairs that reach each other."""
+    closure = lineage_closure(edges, "s", "t", cycles="keep").select(F.col("s").alias("v"), F.col("ancestor").alias("a"))
+    back = closure.select(F.col("v").alias("a"), F.col("a").alias("v"))
+    return closure.join(back, ["v", "a"], "left_semi").groupBy("v").agg(F.min("a").alias("root"))
+
+
+# Rounds that together must halve the edges, or contraction has come to its end.
+CONTRACTION_ROUNDS = 8
+
+
+def _contracted(edges: DataFrame, number: int) -> DataFrame:
+    """Edges ``s``, ``t`` after a round: vertices with no way in or no way out are gone, and some with one way in or
+    out are merged into its other end, no two of them neighbours. An edge moved so names the merged vertex as ``v``."""
+    rank = lambda c: F.xxhash64(c, F.lit(number))
+    none = F.lit(None).cast("long")
+    ends = edges.select(F.col("s").alias("v"), F.col("t").alias("to"), none.alias("by")).unionByName(
+        edges.select(F.col("t").alias("v"), none.alias("to"), F.col("s").alias("by"))
+    )
+    top = F.max(rank(F.coalesce("to", "by")))
+    seen = ends.groupBy("v").agg(*[f(c).alias(f"{n}_{c}") for c in ("to", "by") for n, f in (("lo", F.min), ("hi", F.max))], top.alias("top"))
+    idle, on, back = F.expr("lo_to is null or lo_by is null"), F.expr("lo_to = hi_to"), F.expr("lo_by = hi_by")
+    merged = seen.filter(idle | ((on | back) & (rank("v") > F.col("top")))).select(
+        "v", on.alias("on"), F.when(~idle, F.when(on, F.col("lo_to")).otherwise(F.col("lo_by"))).alias("into")
+    )
+    first, second = (merged.select(*[F.col(c).alias(f"{side}_{c}") for c in merged.columns]) for side in "st")
+    met = edges.join(first, F.col("s") == F.col("s_v"), "left").join(second, F.col("t") == F.col("t_v"), "left")
+    # An end that is merged leaves the edge over which it was merged.
+    kept = F.expr("(s_v is null or (s_into is not null and not s_on)) and (t_v is null or (t_into is not null and t_on))")
+    return met.filter(kept).select(F.coalesce("s_into", "s").alias("s"), F.coalesce("t_into", "t").alias("t"), F.coalesce("s_v", "t_v").alias("v"))
+
+
+def _strong_classes(edges: DataFrame) -> DataFrame:
+    """``v`` and ``root`` of the vertices of edges ``s``, ``t`` (long, s <> t) that lie on cycles; ``root`` is the
+    same for those that reach each other.
+
+    Paths and trees vanish by contraction, a share of what is left in each round, so all rounds together move a few
+    times the edges. What is left without vertices of one way in or out is settled by its closure. Then, last round
+    first, a merged vertex joins the class of the ends of an edge moved from it, if these are of one class."""
+    rounds: list[DataFrame] = []
+    left, sizes = edges, [edges.count()]
+    while sizes[-1] and (len(sizes) <= CONTRACTION_ROUNDS or 2 * sizes[-1] <= sizes[-1 - CONTRACTION_ROUNDS]):
+        rounds.append(materialize(_contracted(left, len(rounds)), "contracted"))
+        left = rounds[-1].filter("s <> t").select("s", "t")
+        sizes.append(left.count())
+    classes = materialize(_classes_by_closure(left), "classes") if sizes[-1] else left.selectExpr("s as v", "t as root").limit(0)
+    for moved in reversed(rounds):
+        of = lambda end: classes.select(F.col("v").alias(f"{end}_v"), F.col("root").alias(f"{end}_root"))
+        met = moved.filter("v is not null").join(of("s"), F.col("s") == F.col("s_v"), "left").join(of("t"), F.col("t") == F.col("t_v"), "left")
+        closed = met.withColumn("root", F.coalesce("s_root", "s")).filter(F.col("root") == F.coalesce("t_root", "t"))
+        # The ends have no class yet where the cycle closes with this vertex: they are one vertex then.
+        new = F.array(F.col("v"), F.when(F.col("s_root").isNull(), F.col("s")))
+        found = closed.select(F.explode(new).alias("v"), "root").filter("v is not null").distinct()
+        classes = materialize(classes.unionByName(found), "classes")
+    return classes
+
+
+def lineage_cycles(edges: DataFrame, table: str = "table_name", parent: str = "ancestor") -> DataFrame:
+    """``cycle`` and ``table``: the tables of each cycle, which reach each other, under the least name of them.
+    ``edges`` are direct dependencies or any closure of them; no closure is worked out (:func:`_strong_classes`)."""
+    known = edges.filter(F.col(table).isNotNull() & F.col(parent).isNotNull()).select(F.col(table).alias("t"), F.col(parent).alias("a"))
+    names = known.select("t").union(known.select("a")).distinct().select(F.col("t").alias("name"), F.monotonically_increasing_id().alias("id"))
+    names = materialize(names, "names")
+    number = lambda c, i: names.select(F.col("name").alias(c), F.col("id").alias(i))
+    numbered = materialize(known.join(number("t", "s"), "t").join(number("a", "n"), "a").select("s", F.col("n").alias("t")), "edges")
+    classes = _strong_classes(numbered.filter("s <> t"))
+    own = numbered.filter("s = t").select(F.col("s").alias("v")).distinct().join(classes, "v", "left_anti")
+    members = classes.unionByName(own.select("v", F.col("v").alias("root"))).join(number("name", "v"), "v")
+    least = members.groupBy("root").agg(F.min("name").alias("cycle"))
+    return members.join(least, "root").select("cycle", F.col("name").alias(table))

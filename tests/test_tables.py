@@ -190,6 +190,41 @@ def test_lineage(spark, rows):
     assert {(r["table_name"], r["ancestor"], r["depth"]) for r in whole.filter("table_name = 'a'").collect()} == {("a", "b", 1), ("a", "c", 2), ("a", "a", 3)}
 
 
+def cycles_of(edges):
+    """(least name, name) of all on cycles, by walking from each."""
+    after = {}
+    for a, b in edges:
+        after.setdefault(a, set()).add(b)
+    reach = {}
+    for start in {v for edge in edges for v in edge}:
+        seen, ahead = set(), [start]
+        while ahead:
+            ahead += [b for b in after.get(ahead.pop(), ()) if b not in seen and not seen.add(b)]
+        reach[start] = seen
+    return sorted((min(b for b in seen if a in reach[b]), a) for a, seen in reach.items() if a in seen)
+
+
+@pytest.mark.parametrize("ways, rounds", [(0.8, 8), (1.1, 8), (1.6, 8), (3, 1)])
+def test_lineage_cycles_of_direct_edges(spark, rows, monkeypatch, ways, rounds):
+    """Sparse and dense graphs side by side, with loops, repeated edges and rings; the dense ones end in their closure."""
+    monkeypatch.setattr(audit, "CONTRACTION_ROUNDS", rounds)
+    draw, edges = random.Random(ways), []
+    for graph in range(25):
+        size = draw.randint(1, 12)
+        edges += [(f"{graph}.{draw.randrange(size)}", f"{graph}.{draw.randrange(size)}") for _ in range(int(size * ways) + 1)]
+    edges += [(f"r{i}", f"r{(i + 1) % 9}") for i in range(9)] * 2
+    frame = spark.createDataFrame([*edges, (None, "r1"), ("r1", None)], "table_name string, depends_on string")
+    assert rows(audit.lineage_cycles(frame, parent="depends_on")) == cycles_of(edges)
+
+
+def test_lineage_cycles_of_rings_without_their_pairs(spark, monkeypatch):
+    """Two rings of 3000 tables have 18 million pairs; none is worked out."""
+    monkeypatch.setattr(audit, "lineage_closure", None)
+    edges = spark.range(6000).selectExpr("concat('t', id) as table_name", "concat('t', (id + 2) % 6000) as depends_on")
+    found = audit.lineage_cycles(edges, parent="depends_on").groupBy("cycle").count().collect()
+    assert sorted(tuple(r) for r in found) == [("t0", 3000), ("t1", 3000)]
+
+
 def test_lineage_of_any_depth(spark):
     edges = spark.createDataFrame([(f"t{i}", f"t{i + 1}") for i in range(70)], "table_name string, depends_on string")
     deepest = audit.lineage_closure(edges.filter("cast(substr(table_name, 2) as int) < 12")).agg({"depth": "max"}).first()[0]
