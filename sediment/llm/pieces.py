@@ -26,11 +26,11 @@ UNKNOWN = " ⁇ "
 INVALID = "�"
 
 # Parts of a text (twice so many at most) and pairs of pieces each encoder remembers; longer parts are worked out each time.
-KNOWN_PARTS = 250_000
+KNOWN_PARTS = 200_000
 KNOWN_PAIRS = 400_000
 KNOWN_LENGTH = 48
 # Ids that one Arrow batch of results may hold before the next begins.
-BATCH_IDS = 4_000_000
+BATCH_IDS = 1_000_000
 
 
 class PieceEncoder:
@@ -50,19 +50,20 @@ class PieceEncoder:
             raise ValueError(f"{path}: pieces marked as unused are not supported")
         names = {self.library.id_to_piece(i): i for i in range(size) if not special[i]}
         self.score = {name: self.library.get_score(i) for name, i in names.items()}
-        self.ids = {name: (i,) for name, i in names.items()}
         spelled = [self.library.id_to_piece(i) for i in range(size) if self.library.is_byte(i)]
         self.bytes = [self.library.piece_to_id(f"<0x{b:02X}>") for b in range(256)] if len(spelled) == 256 else None
+        self.names = {i: name for name, i in names.items()}
+        self.size = size
         self.automaton = ahocorasick.Automaton()
-        for name in names:
+        for name, i in names.items():
             if len(name) == 1 or self.merge(name) == [name]:  # a piece that no merging makes is never an encoding's
-                self.automaton.add_word(name, name)
+                self.automaton.add_word(name, (len(name), i))
         self.automaton.make_automaton()
         self.parts = self._parts(names)
         self.beside = {pair for name in names for pair in zip(name, name[1:], strict=False)}
-        self.pairs: dict[tuple[str, str], bool] = {}
-        self.known: dict[str, tuple[int, ...]] = {}
-        self.older: dict[str, tuple[int, ...]] = {}  # those before the last emptying; of use again, they come back
+        self.pairs: dict[int, bool] = {}  # by the first's id times the vocabulary's size, plus the second's
+        self.known: dict[str, bytes] = {}  # ids as four bytes each
+        self.older: dict[str, bytes] = {}  # those before the last emptying; of use again, they come back
 
     @staticmethod
     def _parts(names: Iterable[str]) -> re.Pattern:
@@ -86,60 +87,91 @@ class PieceEncoder:
             i = min(made)[1]
             symbols[i : i + 2] = [symbols[i] + symbols[i + 1]]
 
-    def fits(self, before: str, piece: str) -> bool:
-        """Whether two pieces side by side are the encoding of their text."""
-        fit = self.merge(before + piece) == [before, piece]
+    def fits(self, before: int, piece: int) -> bool:
+        """Whether two pieces side by side are the encoding of their text: merging never reaches over their border."""
+        first = self._name(before)
+        symbols, border, score = list(first + self.names[piece]), len(first), self.score.get  # border: symbols before it
+        fit = True
+        while fit:
+            best, at = None, -1
+            for i, both in enumerate(map(str.__add__, symbols, symbols[1:])):
+                made = score(both)
+                if made is not None and (best is None or made > best):
+                    best, at = made, i
+            if best is None:
+                break
+            symbols[at : at + 2] = [symbols[at] + symbols[at + 1]]
+            fit = at != border - 1
+            border -= at < border
         if len(self.pairs) >= KNOWN_PAIRS:
             self.pairs.clear()
-        self.pairs[before, piece] = fit
+        self.pairs[before * self.size + piece] = fit = fit and len(symbols) == 2
         return fit
 
-    def pieces(self, part: str) -> list[str]:
-        """Pieces of a part by its prefix table, any length."""
-        last: list[str] = []  # of each prefix, its last piece
-        pairs = self.pairs
-        for end, piece in self.automaton.iter(part):
-            while len(last) < end:  # no listed piece ends there: a character that has none
-                last.append(part[len(last)])
-            if len(last) == end:
-                start = end + 1 - len(piece)
-                if not start:
-                    last.append(piece)
+    def _name(self, piece: int) -> str:
+        """Text of a piece's id; a character that no piece has is written as a number below zero."""
+        return self.names[piece] if piece >= 0 else chr(-1 - piece)
+
+    def pieces(self, part: str) -> list[int]:
+        """Ids of the pieces of a part by its prefix table, any length; characters that no piece has below zero."""
+        last: list[int] = []  # of each prefix, its last piece
+        sizes: list[int] = []
+        known, size, done = self.pairs.get, self.size, 0
+        for end, (length, piece) in self.automaton.iter(part):
+            if end < done:
+                continue
+            while done < end:  # no listed piece ends there: a character that has none
+                last.append(-1 - ord(part[done]))
+                sizes.append(1)
+                done += 1
+            start = end - length  # the last character before the piece
+            if start >= 0:
+                before = last[start]
+                fit = known(before * size + piece)
+                if fit is None:
+                    fit = self.fits(before, piece)
+                if not fit:
                     continue
-                fit = pairs.get((last[start - 1], piece))
-                if fit or fit is None and self.fits(last[start - 1], piece):
-                    last.append(piece)
-        last.extend(part[len(last) :])
-        out, end = [], len(part)
-        while end:
-            out.append(last[end - 1])
-            end -= len(out[-1])
+            last.append(piece)
+            sizes.append(length)
+            done += 1
+        for c in part[done:]:
+            last.append(-1 - ord(c))
+            sizes.append(1)
+        out, end = [], len(part) - 1
+        while end >= 0:
+            out.append(last[end])
+            end -= sizes[end]
         out.reverse()
         return out
 
-    def _of_piece(self, piece: str) -> tuple[int, ...]:
-        if piece in self.ids:
-            return self.ids[piece]
-        return tuple(self.bytes[b] for b in piece.encode()) if self.bytes else (self.library.unk_id(),)
+    def _of_piece(self, piece: int) -> tuple[int, ...]:
+        if piece >= 0:
+            return (piece,)
+        return tuple(self.bytes[b] for b in chr(-1 - piece).encode()) if self.bytes else (self.library.unk_id(),)
 
-    def of_part(self, part: str) -> tuple[int, ...]:
+    def of_part(self, part: str) -> bytes:
         """Ids of a part, cut further between characters that no piece has side by side."""
         if part in self.older:
             return self._keep(part, self.older[part])
-        beside, start, cuts = self.beside, 0, []
+        beside = self.beside
+        if beside.issuperset(zip(part, part[1:], strict=False)):
+            return self.of_stretch(part)
+        start, cuts = 0, []
         for at, pair in enumerate(zip(part, part[1:], strict=False), 1):
             if pair not in beside:
                 cuts.append(part[start:at])
                 start = at
-        if not start:
-            return self.of_stretch(part)
         cuts.append(part[start:])
-        return self._keep(part, tuple(i for cut in cuts for i in self.known.get(cut) or self.of_stretch(cut)))
+        return self._keep(part, b"".join([self.known.get(cut) or self.of_stretch(cut) for cut in cuts]))
 
-    def of_stretch(self, part: str) -> tuple[int, ...]:
-        return self._keep(part, tuple(i for piece in self.pieces(part) for i in self._of_piece(piece)))
+    def of_stretch(self, part: str) -> bytes:
+        found = self.pieces(part)
+        if min(found, default=0) < 0:
+            found = [i for piece in found for i in self._of_piece(piece)]
+        return self._keep(part, array("i", found).tobytes())
 
-    def _keep(self, part: str, ids: tuple[int, ...]) -> tuple[int, ...]:
+    def _keep(self, part: str, ids: bytes) -> bytes:
         if len(part) <= KNOWN_LENGTH:
             if len(self.known) >= KNOWN_PARTS:
                 self.older = dict(self.known)
@@ -150,9 +182,8 @@ class PieceEncoder:
     def __call__(self, text: str) -> array:
         text = self.library.normalize(text)
         found = self.parts.findall(text) if len(text) < 1_000_000 else (m[0] for m in self.parts.finditer(text))
-        ids, known = array("i"), self.known.get
-        for part in found:
-            ids.extend(known(part) or self.of_part(part))
+        known, of_part, ids = self.known.get, self.of_part, array("i")
+        ids.frombytes(b"".join([known(part) or of_part(part) for part in found]))
         if not self.bytes:  # the library writes unknown characters in a row as one
             unknown = self.library.unk_id()
             ids = array("i", (x for k, x in enumerate(ids) if x != unknown or not k or ids[k - 1] != unknown))

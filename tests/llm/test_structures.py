@@ -4,6 +4,7 @@ import hashlib
 import random
 import re
 import zlib
+from array import array
 
 import public_tokenizers
 import pytest
@@ -259,3 +260,18 @@ def test_query_of_pieces_on_documents(spark, library):
         joined, back = ",".join(map(str, ids)), library.decode(ids)
         want.add((r.doc_id, len(ids), hashlib.sha256(joined.encode()).hexdigest(), hashlib.sha256(back.encode()).hexdigest()))
     assert {tuple(r) for r in queries.op13_pieces(spark, d).collect()} == want
+
+
+def test_piece_encoder_remembers_four_bytes_an_id_and_pairs_by_numbers():
+    """A pair fits exactly when merging its text gives it back, characters that no piece has included."""
+    encoder, draw = pieces.PieceEncoder(MODEL), random.Random(4)
+    for text in ("some words, of 12 kinds", "øl og brød", "龘 and 🙂x"):
+        ids = encoder(text)
+        assert list(ids) == encoder.library.encode(text)
+    word = encoder.library.normalize("kinds")
+    assert encoder.known[word] == array("i", encoder.library.encode("kinds")).tobytes()
+    names = sorted(i for i, name in encoder.names.items() if len(name) < 5)
+    for _ in range(3000):
+        before, piece = draw.choice([*draw.sample(names, 1), -1 - ord("龘")]), draw.choice(names)
+        first = encoder.names.get(before, "龘")
+        assert encoder.fits(before, piece) == (encoder.merge(first + encoder.names[piece]) == [first, encoder.names[piece]])
