@@ -229,8 +229,8 @@ class _Prints:
 
 def compare_bucket(rows: slice, frame: dict, floors: list[tuple[int, int]], percent: int) -> tuple[np.ndarray, np.ndarray]:
     """Positions of the pairs of one bucket that are of different roots, within reach after every batch of
-    check hashes, and then by the prints of their whole sets. Side 0 pairs with 1; 2 marks rows of a
-    block that pairs with itself. A pair is taken up only in the first bucket it shares."""
+    check hashes, and then, where the frame has them, by the prints of their whole sets. Side 0 pairs with 1;
+    2 marks rows of a block that pairs with itself. A pair is taken up only in the first bucket it shares."""
     key, keys, checks, root, side = (frame[c][rows] for c in ("key", "keys", "checks", "root", "side"))
     first, second = [np.empty(0, np.int64)], [np.empty(0, np.int64)]
     j = np.arange(len(root))
@@ -249,6 +249,9 @@ def compare_bucket(rows: slice, frame: dict, floors: list[tuple[int, int]], perc
             a, b = x[part : part + 50_000], y[part : part + 50_000]
             own[part : part + 50_000] = keys[a, (keys[a] == keys[b]).argmax(axis=1)] == key[a]
         x, y = x[own], y[own]
+        if "prints" not in frame:
+            first.append(x), second.append(y)
+            continue
         cuts = np.flatnonzero(np.r_[True, x[1:] != x[:-1]]) if len(x) else []
         for begin, end in zip(cuts, [*cuts[1:], len(x)]):
             for part in range(begin, end, 1024):
@@ -258,22 +261,20 @@ def compare_bucket(rows: slice, frame: dict, floors: list[tuple[int, int]], perc
     return np.concatenate(first), np.concatenate(second)
 
 
-def crossing_pairs(
-    rows: DataFrame, facts: DataFrame, spec: NearDup, block: int = 1024, block_bytes: int = 16 << 20
-) -> DataFrame:
-    """Links ``a``, ``b`` between sets of different roots that share a bucket, confirmed on the whole sets: of each
-    task, those that join what its other links leave apart.
-
-    ``rows``: ``key``, ``node``, ``root``, ``size`` in bytes; ``facts``: ``node``, ``keys``, ``checks``, ``shingles``; both
-    written. A large bucket is cut into blocks of about ``block`` rows and ``block_bytes``; each pair of blocks is
-    compared in memory, and only links leave the task. Many small buckets share a task."""
+def _floors(spec: NearDup) -> list[tuple[int, int]]:
     steps = range(spec.batch, spec.checks + 1, spec.batch)
-    floors = [(n, posterior_floor(n, spec.percent, spec.miss)) for n in steps]
+    return [(n, posterior_floor(n, spec.percent, spec.miss)) for n in steps]
+
+
+def _dealt(rows: DataFrame, facts: DataFrame, block: int, block_bytes: int) -> DataFrame:
+    """``rows`` (``key``, ``node``, ``root``, ``size`` in bytes; written) with their ``facts``, dealt out in blocks by ``task``: a large
+    bucket is cut into blocks of about ``block`` rows and ``block_bytes``, and has a copy of each row for each block that
+    its own is paired with. Many small buckets share a task."""
     count, total = rows.agg(F.count("*"), F.sum("size")).first()
     tasks = 1 + max(count // 2500, (total or 0) // (8 << 20))
     cut = F.ceil(F.greatest(F.count("*") / block, F.sum("size") / block_bytes)).cast("int")
     blocks = written(rows.groupBy("key").agg(cut.alias("blocks")), "blocks")
-    dealt = (
+    return (
         rows.join(blocks, "key")
         .withColumn("own", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
         .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
@@ -282,31 +283,64 @@ def crossing_pairs(
         .drop("blocks", "other", "size")
         .join(facts, "node")
     )
+
+
+def _met_in_blocks(frame: pd.DataFrame, spec: NearDup, **more) -> tuple[pd.DataFrame, dict, np.ndarray, np.ndarray]:
+    """The rows of a task in the order of its blocks, their columns, and positions of the pairs that :func:`compare_bucket`
+    leaves. ``more``: further columns, made from the ordered rows."""
+    frame = frame.sort_values(["key", "low", "high"], kind="stable", ignore_index=True)
+    group = frame[["key", "low", "high"]].to_numpy()
+    starts = np.flatnonzero(np.r_[True, (group[1:] != group[:-1]).any(axis=1)])
+    columns = {
+        "key": frame["key"].to_numpy(),
+        "keys": np.stack(frame["keys"].to_numpy()),
+        "checks": np.frombuffer(b"".join(frame["checks"]), np.uint16).reshape(len(frame), spec.checks),
+        "root": pd.factorize(frame["root"])[0],
+        "side": np.where(frame["low"] == frame["high"], 2, np.where(frame["own"] == frame["low"], 0, 1)),
+        **{name: make(frame) for name, make in more.items()},
+    }
+    floors, a, b = _floors(spec), [], []
+    for start, stop in zip(starts, [*starts[1:], len(frame)]):
+        x, y = compare_bucket(slice(start, stop), columns, floors, spec.percent)
+        a.append(start + x), b.append(start + y)
+    return frame, columns, np.concatenate(a), np.concatenate(b)
+
+
+def rows_within_reach(rows: DataFrame, marks: DataFrame, spec: NearDup, block: int = 1024) -> DataFrame:
+    """Those of ``rows`` (``key``, ``node``, ``root``; written) that have a row of another root in their bucket which the check
+    hashes leave within reach, in the first bucket the two share: both rows of every such pair stay, so no link is
+    lost, and only rows leave a task, never pairs. ``marks``: ``node``, ``keys``, ``checks``; written."""
+
+    def run(frame: pd.DataFrame) -> pd.DataFrame:
+        frame, _, a, b = _met_in_blocks(frame, spec)
+        at = np.zeros(len(frame), bool)
+        at[a] = at[b] = True
+        return frame.loc[at, ["key", "node", "root"]].drop_duplicates(["key", "node"])
+
+    schema = rows.select("key", "node", "root").schema
+    sized = rows.withColumn("size", F.lit(8 * spec.bands + 2 * spec.checks).cast("long"))
+    met = _dealt(sized, marks, block, 16 << 20).groupBy("task").applyInPandas(run, schema)
+    return met.dropDuplicates(["key", "node"])
+
+
+def crossing_pairs(
+    rows: DataFrame, facts: DataFrame, spec: NearDup, block: int = 1024, block_bytes: int = 16 << 20
+) -> DataFrame:
+    """Links ``a``, ``b`` between sets of different roots that share a bucket, confirmed on the whole sets: of each
+    task, those that join what its other links leave apart.
+
+    ``rows``: ``key``, ``node``, ``root``, ``size`` in bytes; ``facts``: ``node``, ``keys``, ``checks``, ``shingles``; both
+    written. A large bucket is cut into blocks of about ``block`` rows and ``block_bytes``; each pair of blocks is
+    compared in memory, and only links leave the task. Many small buckets share a task."""
     percent = spec.percent
 
     def run(frame: pd.DataFrame) -> pd.DataFrame:
-        frame = frame.sort_values(["key", "low", "high"], kind="stable", ignore_index=True)
-        group = frame[["key", "low", "high"]].to_numpy()
-        starts = np.flatnonzero(np.r_[True, (group[1:] != group[:-1]).any(axis=1)])
-        node = frame["node"].to_numpy(object)
-        columns = {
-            "key": frame["key"].to_numpy(),
-            "keys": np.stack(frame["keys"].to_numpy()),
-            "checks": np.frombuffer(b"".join(frame["checks"]), np.uint16).reshape(len(frame), spec.checks),
-            "root": pd.factorize(frame["root"])[0],
-            "side": np.where(frame["low"] == frame["high"], 2, np.where(frame["own"] == frame["low"], 0, 1)),
-            "prints": _Prints(frame["shingles"]),
-        }
-        a, b = [], []
-        for start, stop in zip(starts, [*starts[1:], len(frame)]):
-            x, y = compare_bucket(slice(start, stop), columns, floors, percent)
-            a.append(start + x), b.append(start + y)
-        a, b, whole = np.concatenate(a), np.concatenate(b), frame["shingles"].to_numpy(object)
-        part = columns["root"]
+        frame, columns, a, b = _met_in_blocks(frame, spec, prints=lambda ordered: _Prints(ordered["shingles"]))
+        node, whole, part = frame["node"].to_numpy(object), frame["shingles"].to_numpy(object), columns["root"]
         at = spanning_links(part[a], part[b], lambda i: reaches(whole[a[i]], whole[b[i]], percent))
         return pd.DataFrame({"a": node[a[at]], "b": node[b[at]]})
 
-    met = dealt.groupBy("task").applyInPandas(run, "a binary, b binary")
+    met = _dealt(rows, facts, block, block_bytes).groupBy("task").applyInPandas(run, "a binary, b binary")
     return met.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
@@ -316,13 +350,14 @@ def _class_roots(df: DataFrame, doc_id: str, text: str, classes: DataFrame, low_
     In each round every class is held against one center, a member of one of its buckets that meets the most
     other rows: first the largest of its buckets' centers, then the next that is still in another component.
     So a group of many near copies gets about one link a member, and a set travels once a round. Then only
-    pairs of a bucket that are still apart are compared, all of them, in memory."""
+    pairs of a bucket that are still apart are compared, all of them, in memory: first by their check hashes, then
+    those rows that have a partner by them, by their whole sets."""
     rows = written(classes.select("node", F.explode("keys").alias("key")), "bands")
     shared = written(rows.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1"), "shared")
     members = written(rows.join(keys_for_join(shared), "key"), "members")
     discard(rows)
     met = written(members.groupBy("node").agg(F.sum("n").alias("met")), "met")
-    marks = written(classes.select("node", "keys", "checks").join(met.select("node"), "node", "left_semi"), "marks")
+    marks = written(classes.select("node", "keys", "checks").join(keys_for_join(met.select("node")), "node", "left_semi"), "marks")
     ranked = members.join(met, "node").groupBy("key").agg(F.max(F.struct("met", "node")).alias("center"))
     order = F.slice(F.sort_array(F.collect_set("center"), asc=False)["node"], 1, spec.rounds + 1)
     centers = written(members.join(ranked, "key").groupBy("node").agg(order.alias("c")), "centers")
@@ -360,10 +395,12 @@ def _class_roots(df: DataFrame, doc_id: str, text: str, classes: DataFrame, low_
     mixed = written(
         rooted.groupBy("key").agg(F.min("root").alias("l"), F.max("root").alias("h")).filter("l < h").select("key"), "mixed"
     )
-    open_rows = written(rooted.join(mixed, "key"), "open")
+    mixed_rows = written(rooted.join(mixed, "key"), "mixed_rows")
+    # By the check hashes first, a few hundred bytes a row: sets are read and sent only for rows that have a partner by them.
+    open_rows = written(rows_within_reach(mixed_rows, marks, spec), "open")
     sets = sets_of(open_rows.select("node").distinct())
     facts = written(marks.join(sets, "node"), "facts")
-    for done in (sets, marks, members, centers, rooted):
+    for done in (sets, marks, members, centers, rooted, mixed_rows):
         discard(done)
     sizes = facts.select("node", F.octet_length("shingles").alias("size"))
     sized = written(open_rows.join(sizes, "node"), "sized")

@@ -144,6 +144,33 @@ def test_near_duplicates_against_all_pairs(spark, odd, shingle):
     assert got == collections.Counter((i, least[r], i == least[r]) for (i, _), r in zip(rows, roots))
 
 
+def test_sets_travel_only_for_rows_with_a_partner_within_reach(spark, monkeypatch):
+    # With one hash a band, texts that share a third of their words meet in many buckets and are far from linked.
+    draw, rows = random.Random(8), []
+    common = words(40, 1, 10**5)
+    for i in range(60):
+        rows.append((i, " ".join(common + [f"w{i}x{j}" for j in range(60)])))
+    for i in range(6):
+        own = words(100, 50 + i, 10**5)
+        for copy in range(5):
+            rows.append((100 + 10 * i + copy, " ".join(own[: 84 + 4 * copy] + [f"c{i}y{copy}z{j}" for j in range(16 - 4 * copy)])))
+    draw.shuffle(rows)
+    spec, sent, compared = minhash.NearDup(shingle=1, rows=1), [], minhash.crossing_pairs
+
+    def counted(rows, facts, *more):
+        sent.append({r["node"] for r in facts.select("node").collect()})
+        return compared(rows, facts, *more)
+
+    monkeypatch.setattr(minhash, "crossing_pairs", counted)
+    found = minhash.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), spec=spec).collect()
+    roots = grouped([t for _, t in rows], lambda a, b: similarity(a, b, 1))
+    least = {}
+    for (i, _), r in zip(rows, roots):
+        least[r] = min(least.get(r, i), i)
+    assert {(r["doc_id"], r["component_id"]) for r in found} == {(i, least[r]) for (i, _), r in zip(rows, roots)}
+    assert len(sent) == 1 and len(sent[0]) <= 30
+
+
 def test_near_duplicates_odd_cases(odd, clashing, spark):
     got = minhash.near_duplicates(odd).collect()
     assert len(got) == 14
