@@ -401,3 +401,22 @@ def test_manifest_reconcile(spark, tmp_path, rows):
 def test_load_spec(tmp_path):
     (tmp_path / "s.json").write_text('{"a": [1]}')
     assert load_spec(str(tmp_path / "s.json")) == {"a": [1]}
+
+
+@pytest.mark.skipif(not os.path.isdir("/root/testdata/sf0.01"), reason="no test data")
+def test_file_facts_lists_folders_by_block(spark, rows, monkeypatch):
+    from sediment.plans.queries import sources
+
+    made = []
+    monkeypatch.setattr(sources, "scratch_path", lambda *a: made.append(scratch_path(*a)) or made[-1])
+    found = sources.file_facts(spark, "/root/testdata/sf0.01")
+    folder = made[0].removeprefix("file:")
+    parts = {}
+    for place, _, names in os.walk(folder):
+        if any(n.endswith(".txt") for n in names):
+            above, own = os.path.split(os.path.relpath(place, folder))
+            assert len([n for n in names if n.endswith(".txt")]) == 1
+            parts.setdefault(above, set()).add(own)
+    # A listing task takes a block's folders together; none has more than sixteen.
+    assert all("block=" in above and len(own) <= 16 for above, own in parts.items())
+    assert sum(r["files"] for r in found.collect()) == sum(map(len, parts.values()))
