@@ -229,7 +229,8 @@ def effective_lookup(
     spreads over tasks. Keys or times that are NULL find nothing. If versions overlap, the one with the
     latest start wins, ``row_id`` must identify a fact, and the look-up goes by time buckets of
     ``bucket_days`` (:func:`_lookup_by_buckets`)."""
-    versions = versions.filter(reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in [*keys, start]]))
+    # Written once: each of the two range sorts that follow reads its input twice, to sample it and to deal it out.
+    versions = materialize(versions.filter(reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in [*keys, start]])), "versions")
     if overlapping(versions, keys, start, end):
         if not row_id:
             raise SpecError("versions overlap: name the columns that identify a fact in row_id")

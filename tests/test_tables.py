@@ -420,3 +420,19 @@ def test_file_facts_lists_folders_by_block(spark, rows, monkeypatch):
     # A listing task takes a block's folders together; none has more than sixteen.
     assert all("block=" in above and len(own) <= 16 for above, own in parts.items())
     assert sum(r["files"] for r in found.collect()) == sum(map(len, parts.values()))
+
+
+def test_effective_lookup_computes_its_versions_once(spark, rows):
+    seen = spark.sparkContext.accumulator(0)
+
+    @F.udf("int")
+    def noted(v):
+        seen.add(1)
+        return v
+
+    versions = spark.createDataFrame([(1, "2024-01-01", "2024-02-01", 1), (1, "2024-02-01", None, 2), (2, "2024-01-15", None, 3)], "k int, f string, t string, v int")
+    versions = versions.select("k", F.to_date("f").alias("effective_from"), F.to_date("t").alias("effective_to"), noted("v").alias("v"))
+    facts = spark.createDataFrame([(1, 1, "2024-01-31"), (2, 1, "2024-02-01"), (3, 2, "2024-01-01")], "i int, k int, d string").withColumn("d", F.to_date("d"))
+    found = joins.effective_lookup(facts, versions, ["k"], "d")
+    assert rows(found.select("i", "v")) == [(1, 1), (2, 2), (3, None)]
+    assert seen.value == 3
