@@ -267,20 +267,37 @@ def _floors(spec: NearDup) -> list[tuple[int, int]]:
 
 
 def _dealt(rows: DataFrame, facts: DataFrame, block: int, block_bytes: int) -> DataFrame:
-    """``rows`` (``key``, ``node``, ``root``, ``size`` in bytes; written) with their ``facts``, dealt out in blocks by ``task``: a large
-    bucket is cut into blocks of about ``block`` rows and ``block_bytes``, and has a copy of each row for each block that
-    its own is paired with. Many small buckets share a task."""
+    """``rows`` (``key``, ``node``, ``root``, ``size`` in bytes; written) with their ``facts``, dealt out in blocks by ``task``. Many small
+    buckets share a task.
+
+    Rows of one root need no comparing with each other. So the rows of a bucket's most frequent root and its other rows
+    are cut apart, each into blocks of about ``block`` rows and ``block_bytes``: an other row has a copy for each block, a row
+    of that root one for each block of other rows, which is one only while these are few. The root's first block
+    is compared with a block of other rows where that is compared with itself (``low`` = ``high``)."""
     count, total = rows.agg(F.count("*"), F.sum("size")).first()
     tasks = 1 + max(count // 2500, (total or 0) // (8 << 20))
-    cut = F.ceil(F.greatest(F.count("*") / block, F.sum("size") / block_bytes)).cast("int")
-    blocks = written(rows.groupBy("key").agg(cut.alias("blocks")), "blocks")
+    of_root = rows.groupBy("key", "root").agg(F.count("*").alias("n"), F.sum("size").alias("bytes"))
+    most = F.max(F.struct("n", "bytes", "root"))
+    each = of_root.groupBy("key").agg(most.alias("most"), F.sum("n").alias("n"), F.sum("bytes").alias("bytes"))
+    cut = lambda n, size: F.greatest(F.ceil(n / block), F.ceil(size / block_bytes), F.lit(1)).cast("int")
+    blocks = each.select(
+        "key",
+        F.col("most.root").alias("top"),
+        cut(F.col("most.n"), F.col("most.bytes")).alias("top_blocks"),
+        cut(F.col("n") - F.col("most.n"), F.col("bytes") - F.col("most.bytes")).alias("blocks"),
+    )
+    is_top = F.col("root") == F.col("top")
+    place = lambda n: F.pmod(F.xxhash64("node"), n).cast("int")
+    own = F.when(is_top, F.col("blocks") - 1 + place(F.col("top_blocks"))).otherwise(place(F.col("blocks")))
+    last = F.when(is_top, F.col("blocks") - 1).otherwise(F.col("blocks") + F.col("top_blocks") - 2)
     return (
-        rows.join(blocks, "key")
-        .withColumn("own", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
-        .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+        rows.join(written(blocks, "blocks"), "key")
+        .withColumns({"own": own, "first": is_top & (own == F.col("blocks") - 1)})
+        .withColumn("other", F.explode(F.sequence(F.lit(0), last)))
+        .withColumn("own", F.when(F.col("first"), F.col("other")).otherwise(F.col("own")))
         .withColumns({"low": F.least("own", "other"), "high": F.greatest("own", "other")})
         .withColumn("task", F.pmod(F.xxhash64("key", "low", "high"), F.lit(tasks)))
-        .drop("blocks", "other", "size")
+        .drop("top", "top_blocks", "blocks", "first", "other", "size")
         .join(facts, "node")
     )
 
@@ -330,8 +347,8 @@ def crossing_pairs(
     task, those that join what its other links leave apart.
 
     ``rows``: ``key``, ``node``, ``root``, ``size`` in bytes; ``facts``: ``node``, ``keys``, ``checks``, ``shingles``; both
-    written. A large bucket is cut into blocks of about ``block`` rows and ``block_bytes``; each pair of blocks is
-    compared in memory, and only links leave the task. Many small buckets share a task."""
+    written. A large bucket is cut into blocks (:func:`_dealt`); each pair of blocks that can hold different roots is
+    compared in memory, and only links leave the task."""
     percent = spec.percent
 
     def run(frame: pd.DataFrame) -> pd.DataFrame:

@@ -171,6 +171,31 @@ def test_sets_travel_only_for_rows_with_a_partner_within_reach(spark, monkeypatc
     assert len(sent) == 1 and len(sent[0]) <= 30
 
 
+def test_blocks_of_a_large_bucket_grow_with_its_rows(spark):
+    # A bucket of mostly one root and one of many roots: every pair of different roots meets once.
+    def dealt(rows):
+        df = common.written(spark.createDataFrame(rows, "key long, node string, root string, size long"), "rows")
+        facts = common.written(df.select("node").distinct(), "facts")
+        return minhash._dealt(df, facts, 20, 1 << 20).collect()
+
+    def bucket(key, of_top, others):
+        return [(key, f"{key}-{i}", "top", 8) for i in range(of_top)] + [(key, f"{key}+{i}", f"r{i // 2}", 8) for i in range(others)]
+
+    for rows in (bucket(1, 190, 12), bucket(1, 30, 90), bucket(1, 1, 1) + bucket(2, 5, 3)):
+        units, met = collections.defaultdict(list), collections.Counter()
+        for r in dealt(rows):
+            units[r["key"], r["low"], r["high"]].append(r)
+        for (_, low, high), unit in units.items():
+            for i, a in enumerate(unit):
+                for b in unit[i + 1 :]:
+                    if a["root"] != b["root"] and (low == high or (a["own"] == low) != (b["own"] == low)):
+                        met[frozenset((a["node"], b["node"]))] += 1
+        pairs = [frozenset((a[1], b[1])) for i, a in enumerate(rows) for b in rows[i + 1 :] if a[0] == b[0] and a[2] != b[2]]
+        assert met == collections.Counter(pairs)
+    few, many = len(dealt(bucket(1, 400, 12))), len(dealt(bucket(1, 1600, 12)))
+    assert many <= 4 * few and many <= 3 * 1612
+
+
 def test_near_duplicates_odd_cases(odd, clashing, spark):
     got = minhash.near_duplicates(odd).collect()
     assert len(got) == 14
