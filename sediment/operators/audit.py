@@ -103,28 +103,40 @@ def version_chain(versions: DataFrame, version_id: str, previous_id: str) -> Dat
     raise SpecError("version chain holds a cycle")
 
 
+# Edges for which there is a task of their own where pairs are made distinct: memory of a task does not grow with the table.
+LINEAGE_TASK_ROWS = 200_000
+
+
 def lineage_closure(edges: DataFrame, table: str = "table_name", parent: str = "depends_on", cycles: str = "error") -> DataFrame:
     """All (table, ancestor) pairs with their smallest distance.
 
-    Each round joins what is known with itself, so distances double and a layering of depth n takes log2(n)
-    rounds; only pairs that the last round found or shortened are joined again. A table that is its own ancestor
-    is an error, or with ``cycles='keep'`` a row, for :func:`lineage_cycles`."""
-    first = edges.filter(F.col(table).isNotNull() & F.col(parent).isNotNull())
-    found = materialize(first.select(F.col(table).alias("t"), F.col(parent).alias("a")).distinct().withColumn("d", F.lit(1)), "lineage")
-    fresh = found
+    Rounds go over the tables that are ancestors themselves. Once all their pairs up to a distance are known, those
+    up to twice of it end in one of exactly that distance, so a layering of depth n takes log2(n) rounds, and a round
+    writes only pairs that are new: none gets shorter later. All other tables, often most, then take what their
+    parents have, in one join. A table that is its own ancestor is an error, or with ``cycles='keep'`` a row, for
+    :func:`lineage_cycles`."""
+    first = edges.filter(F.col(table).isNotNull() & F.col(parent).isNotNull()).select(F.col(table).alias("t"), F.col(parent).alias("a"))
+    tasks = max(edges.sparkSession.sparkContext.defaultParallelism, -(-first.count() // LINEAGE_TASK_ROWS))
+    ancestors = first.select(F.col("a").alias("t")).distinct().withColumn("inner", F.lit(True))
+    direct = materialize(first.repartition(tasks, "t", "a").distinct().join(ancestors, "t", "left").withColumn("d", F.lit(1)), "lineage")
+    found = new = direct.filter("inner").select("t", "a", "d")
+    reach = 1
     while True:
-        low, high = found.select(F.col("t").alias("m"), "a", F.col("d").alias("e")), fresh.select("t", F.col("a").alias("m"), "d")
-        ahead = high.join(low, "m").select("t", "a", (F.col("d") + F.col("e")).alias("d"))
-        low, high = fresh.select(F.col("t").alias("m"), "a", F.col("d").alias("e")), found.select("t", F.col("a").alias("m"), "d")
-        behind = high.join(low, "m").select("t", "a", (F.col("d") + F.col("e")).alias("d"))
-        reached = ahead.unionByName(behind).groupBy("t", "a").agg(F.min("d").alias("n"))
-        both = materialize(found.join(reached, ["t", "a"], "full_outer"), "lineage")
-        if cycles == "error" and not both.filter("t = a").isEmpty():
+        if cycles == "error" and not new.filter("t = a").isEmpty():
             raise SpecError("lineage holds a cycle")
-        fresh = both.filter("n is not null and (d is null or n < d)").select("t", "a", F.col("n").alias("d"))
-        found = both.select("t", "a", F.least("d", "n").alias("d"))
-        if fresh.isEmpty():
-            return found.select(F.col("t").alias(table), F.col("a").alias("ancestor"), F.col("d").alias("depth"))
+        low = new.filter(F.col("d") == reach).select(F.col("t").alias("m"), "a", F.col("d").alias("e"))
+        if low.isEmpty():
+            break
+        high = found.select("t", F.col("a").alias("m"), "d")
+        reached = high.join(low, "m").groupBy("t", "a").agg(F.min(F.col("d") + F.col("e")).alias("d"))
+        new = materialize(reached.join(found, ["t", "a"], "left_anti"), "lineage")
+        found = found.unionByName(new)
+        reach *= 2
+    outer = direct.filter("inner is null").select("t", "a", "d")
+    above = found.select(F.col("t").alias("m"), "a", (F.col("d") + 1).alias("d"))
+    behind = outer.select("t", F.col("a").alias("m")).join(above, "m").select("t", "a", "d")
+    own = outer.unionByName(behind).repartition(tasks, "t", "a").groupBy("t", "a").agg(F.min("d").alias("d"))
+    return found.unionByName(own).select(F.col("t").alias(table), F.col("a").alias("ancestor"), F.col("d").alias("depth"))
 
 
 def _classes_by_closure(edges: DataFrame) -> DataFrame:

@@ -240,6 +240,32 @@ def test_lineage_of_a_long_chain_takes_few_rounds(spark, monkeypatch):
     assert (out["n"], out["deepest"]) == (1000 * 1001 // 2, 1000) and len(written) <= 12
 
 
+@pytest.mark.parametrize("acyclic", [True, False])
+def test_lineage_writes_no_pair_again(spark, rows, monkeypatch, acyclic):
+    """Shortest distances of random graphs, as by walking from each table; what the rounds write is within the result's rows."""
+    draw, edges = random.Random(5), [(f"c{i}", f"c{i + 1}") for i in range(21)] + [("c0", "c9"), ("c9", "c20")]
+    for graph in range(20):
+        size = draw.randint(2, 14)
+        ends = [(draw.randrange(size), draw.randrange(size)) for _ in range(int(1.4 * size))]
+        edges += [(f"{graph}.{max(e)}", f"{graph}.{min(e)}") if acyclic else (f"{graph}.{e[0]}", f"{graph}.{e[1]}") for e in ends if not acyclic or e[0] != e[1]]
+    after, want = {}, []
+    for a, b in edges:
+        after.setdefault(a, set()).add(b)
+    for start in after:
+        seen, ahead, distance = {}, {start}, 0
+        while ahead:
+            distance += 1
+            ahead = {b for a in ahead for b in after.get(a, ()) if b not in seen}
+            seen |= dict.fromkeys(ahead, distance)
+        want += [(start, b, d) for b, d in seen.items()]
+    written = []
+    plain = audit.materialize
+    monkeypatch.setattr(audit, "materialize", lambda df, label: written.append(plain(df, label)) or written[-1])
+    frame = spark.createDataFrame([*edges, *edges[:9], (None, "c1"), ("c1", None)], "table_name string, depends_on string")
+    assert rows(audit.lineage_closure(frame, cycles="error" if acyclic else "keep")) == sorted(want)
+    assert sum(df.count() for df in written) <= len(want)
+
+
 @pytest.mark.parametrize("parts", [1, 7])
 def test_effective_lookup_over_many_stretches(spark, rows, parts):
     """Keys that span stretches without a version in them, NULL keys and times, versions that end, gaps."""
