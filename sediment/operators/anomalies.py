@@ -413,30 +413,36 @@ def detect_all(
     amount: str = "amount",
     features: Sequence[str] = ("amount", "credit_score", "income"),
     segment_features: Sequence[str] = ("credit_score", "income", "debt_ratio"),
+    narrow: bool = False,
 ) -> tuple[dict[str, DataFrame], dict[str, list[str]]]:
     """Run every detector whose columns exist. Returns the frames by name, and the columns
-    that the skipped ones lack."""
+    that the skipped ones lack. With ``narrow`` a frame has all rows, but of the columns only the tie breakers and
+    those of its detector, so that others are not carried through its sorts."""
     ties = list(tie_breakers)
+
+    def rows(needed: Sequence[str]) -> DataFrame:
+        return df.select(*[F.col(f"`{c}`") for c in dict.fromkeys([*ties, *needed])]) if narrow else df
+
     # Three detectors roll over the same order, so they share one sorted and numbered table.
     ordered: DataFrame | Blocks = df
     if {"processing_date", amount} <= set(df.columns):
-        ordered = blocks(df, ["processing_date"], config.lookback_window, ties)
-    plan: dict[str, tuple[Sequence[str], Callable[[], DataFrame]]] = {
-        "volume": (["processing_date"], lambda: volume(df, config)),
-        "processing_time": (["start_time", "end_time"], lambda: processing_time(df, config, ties)),
-        "error_rate": (["processing_date", "status"], lambda: error_rate(df, config)),
-        "quality_failure": (["check_date", "check_type", "check_status"], lambda: quality_failure(df, config)),
-        "regional": (["region", "processing_date", "amount"], lambda: regional(df, config, ties)),
-        "segment": (segment_features, lambda: forest(df, segment_features, ties, "is_segment_anomaly")),
+        ordered = blocks(rows(["processing_date", amount]), ["processing_date"], config.lookback_window, ties)
+    plan: dict[str, tuple[Sequence[str], Callable[[DataFrame], DataFrame]]] = {
+        "volume": (["processing_date"], lambda own: volume(own, config)),
+        "processing_time": (["start_time", "end_time"], lambda own: processing_time(own, config, ties)),
+        "error_rate": (["processing_date", "status"], lambda own: error_rate(own, config)),
+        "quality_failure": (["check_date", "check_type", "check_status"], lambda own: quality_failure(own, config)),
+        "regional": (["region", "processing_date", "amount"], lambda own: regional(own, config, ties)),
+        "segment": (segment_features, lambda own: forest(own, segment_features, ties, "is_segment_anomaly")),
         "employment_income": (
             ["employment_status", "processing_date", "income"],
-            lambda: employment_income(df, config, ties),
+            lambda own: employment_income(own, config, ties),
         ),
-        "approval_rate": (["state", "processing_date", "status"], lambda: approval_rate(df, config)),
-        "zscore": (["processing_date", amount], lambda: zscore(ordered, amount, config, ties)),
-        "iqr": (["processing_date", amount], lambda: iqr(ordered, amount, config, ties)),
-        "isolation_forest": (features, lambda: forest(df, features, ties)),
-        "moving_average": (["processing_date", amount], lambda: moving_average(ordered, amount, config, ties)),
+        "approval_rate": (["state", "processing_date", "status"], lambda own: approval_rate(own, config)),
+        "zscore": (["processing_date", amount], lambda _: zscore(ordered, amount, config, ties)),
+        "iqr": (["processing_date", amount], lambda _: iqr(ordered, amount, config, ties)),
+        "isolation_forest": (features, lambda own: forest(own, features, ties)),
+        "moving_average": (["processing_date", amount], lambda _: moving_average(ordered, amount, config, ties)),
     }
     found, skipped = {}, {}
     for name, (needed, run) in plan.items():
@@ -444,7 +450,7 @@ def detect_all(
         if lacking:
             skipped[name] = lacking
         else:
-            found[name] = run()
+            found[name] = run(rows(needed))
     return found, skipped
 
 

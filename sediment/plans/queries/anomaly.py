@@ -352,7 +352,7 @@ def _everything(spark: SparkSession, d: str) -> dict[str, DataFrame]:
     """The detectors that the events table has columns for."""
     rows = _events(spark, d).withColumnRenamed("value", "amount")
     config = AnomalyConfig(lookback_window=30, threshold=3.0)
-    found, _ = anomalies.detect_all(rows, config, ["event_id"])
+    found, _ = anomalies.detect_all(rows, config, ["event_id"], narrow=True)
     return found
 
 
@@ -468,7 +468,7 @@ def _iqr_counts(detector: str, group: str = "") -> str:
 def an_all_detectors(spark: SparkSession, d: str) -> DataFrame:
     """All twelve detectors over one written frame; the forests' counts depend on drawn trees and are left out."""
     config = AnomalyConfig(lookback_window=30, threshold=2.0, sensitivity=1.5)
-    found, skipped = anomalies.detect_all(materialize(_wide(spark, d), "wide"), config, ["o_orderkey"])
+    found, skipped = anomalies.detect_all(materialize(_wide(spark, d), "wide"), config, ["o_orderkey"], narrow=True)
     assert not skipped, skipped
     drawn = F.col("detector").isin("segment", "isolation_forest")
     return anomalies.summary(found).select(

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from sediment.config import AnomalyConfig, SpecError
 from sediment.operators import anomalies as an
 from sediment.operators import isolation_forest as forest
-from sediment.operators import selection
+from sediment.operators import rolling, selection
 
 START = dt.date(2024, 1, 1)
 
@@ -96,6 +96,21 @@ def test_run_all_reports_what_it_skips(spark):
     assert set(totals.values()) == {50}
 
 
+def test_narrow_frames_carry_their_own_columns_only(spark, monkeypatch):
+    """Same rows and flags, and no other column is sorted or written on the way."""
+    wide = days(spark, [float(i % 7) + 40 * (i == 33) for i in range(60)]).withColumn("end_time", F.col("processing_date"))
+    wide = wide.withColumns({"start_time": F.date_sub("end_time", F.col("id").cast("int") % 5), "region": F.lit("r"), "note": F.repeat(F.lit("x"), 99)})
+    config, plain, written = AnomalyConfig(lookback_window=10, threshold=2.0), rolling.materialize, []
+    whole, _ = an.detect_all(wide, config, ["id"])
+    monkeypatch.setattr(rolling, "materialize", lambda df, label: written.append(df.columns) or plain(df, label))
+    narrow, _ = an.detect_all(wide, config, ["id"], narrow=True)
+    assert len(written) == 3 and all("note" not in c and len(c) <= 6 for c in written)
+    assert set(narrow) == set(whole) == {"volume", "processing_time", "regional", "zscore", "iqr", "moving_average"}
+    for frames in (whole, narrow):
+        frames["all"] = an.combine({n: f for n, f in frames.items()}, ["id"])
+    assert sorted(map(str, narrow["all"].collect())) == sorted(map(str, whole["all"].collect()))
+
+
 def test_forest_finds_the_far_points(spark):
     rng = np.random.default_rng(3)
     near = [(i, float(a), float(b)) for i, (a, b) in enumerate(rng.normal(0, 1, (3000, 2)))]
