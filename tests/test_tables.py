@@ -4,6 +4,7 @@ import datetime as dt
 import json
 import os
 import random
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -448,6 +449,43 @@ def test_file_facts_lists_folders_by_block(spark, rows, monkeypatch):
     assert sum(r["files"] for r in found.collect()) == sum(map(len, parts.values()))
 
 
+@pytest.mark.skipif(not os.path.isdir("/root/testdata/sf0.01"), reason="no test data")
+def test_file_facts_blocks_are_of_one_task(spark, rows, monkeypatch):
+    from sediment.plans.queries import sources
+
+    made, coalesced = [], "spark.sql.adaptive.coalescePartitions.enabled"
+    monkeypatch.setattr(sources, "scratch_path", lambda *a: made.append(scratch_path(*a)) or made[-1])
+    before = spark.conf.get(coalesced)
+    spark.conf.set(coalesced, "false")
+    try:
+        found = sources.file_facts(spark, "/root/testdata/sf0.01")
+        facts = {r["folder"]: (r["row_count"], r["files"], r["file_size"]) for r in found.collect()}
+    finally:
+        spark.conf.set(coalesced, before)
+    folder, tasks, held = made[0].removeprefix("file:"), {}, {}
+    for place, _, names in os.walk(folder):
+        for name in names:
+            # A checksum file would be one more to make for each file of lines.
+            assert not name.endswith(".txt.crc")
+            if name.endswith(".txt"):
+                flags, part = re.search(r"folder=([^/]*)/.*part=(\d+)$", place).groups()
+                tasks.setdefault(os.path.dirname(place), set()).add(name.split("-")[1])
+                with open(os.path.join(place, name)) as f:
+                    held[flags, int(part)] = sorted(f.read().splitlines())
+    # The commit moves a block's folders as one, as a single task has written them all.
+    assert all(len(t) == 1 for t in tasks.values()) and len(set.union(*tasks.values())) > 1
+    wanted = {}
+    for key, number, flags in spark.read.parquet("/root/testdata/sf0.01/lineitem.parquet").selectExpr(
+        "l_orderkey", "l_linenumber", "concat(l_returnflag, l_linestatus)"
+    ).collect():
+        wanted.setdefault((flags, key // 1000), []).append(f"{key}-{number}".rjust(30, "."))
+    assert held == {place: sorted(lines) for place, lines in wanted.items()}
+    for flags, (row_count, files, file_size) in facts.items():
+        mine = [lines for (f, _), lines in wanted.items() if f == flags]
+        assert (row_count, files, file_size) == (sum(map(len, mine)), len(mine), 31 * sum(map(len, mine)))
+    assert set(facts) == {f for f, _ in wanted}
+
+
 def test_effective_lookup_computes_its_versions_once(spark, rows):
     seen = spark.sparkContext.accumulator(0)
 
