@@ -18,10 +18,6 @@ from sediment.sources import manifest, readers, writers
 CUSTOMER_SCHEMA = "c_custkey long, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string"
 CUSTOMER_SQL = "select c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment from customer"
 
-# Files below ``file:`` without a checksum file beside each, whose making starts a process. Other stores
-# never read these two.
-WITHOUT_CHECKSUMS = {"fs.file.impl": "org.apache.hadoop.fs.RawLocalFileSystem", "fs.file.impl.disable.cache": "true"}
-
 
 def _landed(spark: SparkSession, d: str, fmt: str, name: str = "customer") -> str:
     path = scratch_path(spark, f"landing-{fmt}")
@@ -181,11 +177,10 @@ def file_facts(spark: SparkSession, d: str) -> DataFrame:
         "l_orderkey div 1000 as part",
         "lpad(concat_ws('-', l_orderkey, l_linenumber), 30, '.') as value",
     )
-    # A block's folders are of one task, so the commit moves them as one; a listing task gets a block's folders together.
-    written = lines.repartition("folder", "block").write.options(**WITHOUT_CHECKSUMS)
-    written.partitionBy("folder", "block", "part").text(path)
+    # A listing task gets a block's folders together.
+    writers.write_lines(lines, path, "value", ["folder", "block", "part"], ["folder", "block"])
     # Facts are of files, so no column is worked out from the folders' names.
-    facts = manifest.file_facts(spark.read.options(recursiveFileLookup="true", **WITHOUT_CHECKSUMS).text(path))
+    facts = manifest.file_facts(spark.read.option("recursiveFileLookup", "true").text(path))
     return facts.groupBy(F.regexp_extract("file_path", "folder=([^/]*)/", 1).alias("folder")).agg(
         F.sum("row_count").alias("row_count"), F.count_distinct("file_path").alias("files"), F.sum("file_size").alias("file_size")
     )

@@ -2,9 +2,17 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
-
-from pyspark.sql import Column, DataFrame
+import os
+import re
+import uuid
+from collections.abc import Callable, Iterator, Mapping, Sequence
+from itertools import groupby
+from operator import itemgetter
+
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark import TaskContext
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sediment.config import InputFormat, SpecError, StorageFormat
@@ -49,6 +57,67 @@ def write(
     writer.save(path)
 
 
+# How Spark's writers name the folder of a value that is null or empty, and the characters they write as %XX.
+NO_VALUE, ESCAPED = "__HIVE_DEFAULT_PARTITION__", re.compile("[\x01-\x1f\x7f\"#%'*/:=?\\\\{\\[\\]^]")
+
+
+def _local_place(spark: SparkSession, path: str) -> str | None:
+    """Where ``path`` is on disk if it is below ``file:``, None in any other store."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    uri = place.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(place).toUri()
+    return uri.getPath() if uri.getScheme() == "file" else None
+
+
+def _line_files(top: str, names: Sequence[str]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Rows of (folders' values, line) in the folders' order: a file of lines for each folder below ``top``, batch by batch."""
+
+    def runs(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[tuple[str, ...], bytes]]:
+        for batch in batches:
+            *values, lines = batch.columns
+            new = pa.array([i == 0 for i in range(batch.num_rows)], pa.bool_())
+            for column in values if batch.num_rows > 1 else ():
+                changed = pc.not_equal(column.slice(1), column.slice(0, batch.num_rows - 1))
+                new = pc.or_(new, pa.concat_arrays([pa.array([True]), changed]))
+            starts = pc.indices_nonzero(new).to_pylist()
+            for start, end in zip(starts, [*starts[1:], batch.num_rows]):
+                yield tuple(column[start].as_py() for column in values), b"".join(v + b"\n" for v in lines.slice(start, end - start).to_pylist())
+
+    def write_files(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        file = f"part-{TaskContext.get().partitionId():05d}.txt"
+        for values, found in groupby(runs(batches), itemgetter(0)):
+            folders = [f"{name}={ESCAPED.sub(lambda c: f'%{ord(c[0]):02X}', value)}" for name, value in zip(names, values)]
+            place = "/".join([top, *folders])
+            os.makedirs(place, exist_ok=True)
+            held = f"{place}/.{file}-{uuid.uuid4().hex}"
+            with open(held, "wb") as out:
+                out.writelines(lines for _, lines in found)
+            os.replace(held, f"{place}/{file}")
+        yield pa.RecordBatch.from_pydict({"done": pa.array([True])})
+
+    return write_files
+
+
+def write_lines(df: DataFrame, path: str, line: str, partition_by: Sequence[str], together: Sequence[str]) -> None:
+    """Text files of the column ``line`` in a fresh folder, one for each folder of ``partition_by``; folders with the same
+    ``together``, some of ``partition_by``, are of one task.
+
+    Below ``file:`` the tasks make folders and files themselves: without its native library Hadoop starts a process for each
+    that it makes. A file gets its name when it is whole, so a task that runs twice leaves the same files. Any other store
+    gets Spark's writer.
+    """
+    top = _local_place(df.sparkSession, path)
+    if top is None:
+        df.select(*partition_by, line).repartition(*together).write.partitionBy(*partition_by).text(path)
+        return
+    if os.path.exists(top):
+        raise FileExistsError(path)
+    os.makedirs(top)
+    values = [F.coalesce(F.nullif(F.col(c).cast("string"), F.lit("")), F.lit(NO_VALUE)).alias(c) for c in partition_by]
+    rows = df.select(*values, F.coalesce(line, F.lit("")).cast("binary").alias(line))
+    dealt = rows.repartition(*together).sortWithinPartitions(*partition_by)
+    dealt.mapInArrow(_line_files(top, list(partition_by)), "done boolean").write.format("noop").mode("overwrite").save()
+
+
 def write_landing(df: DataFrame, path: str, fmt: InputFormat | str) -> None:
     """Feed files: csv with a header, json lines, parquet or orc."""
     fmt = InputFormat(fmt)

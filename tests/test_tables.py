@@ -486,6 +486,61 @@ def test_file_facts_blocks_are_of_one_task(spark, rows, monkeypatch):
     assert set(facts) == {f for f, _ in wanted}
 
 
+def test_write_lines_as_spark_does(spark, tmp_path, monkeypatch):
+    odd = ["a/b", "x=y", "50%", "%2F", "", None, "a b", "\u00e9", "[{'\"}]", "q?#:*\\^", "t\tn\nd\x7f"]
+    given = [(v, n, None if n == 2 else f"{v}-{n}-{i}") for v in odd for n in (1, 2, 10) for i in range(n)]
+    df = spark.createDataFrame(given, "folder string, part int, value string")
+
+    def held(path):
+        found = {}
+        for place, _, names in os.walk(path):
+            for name in names:
+                if name.endswith(".txt"):
+                    with open(os.path.join(place, name), "rb") as f:
+                        found.setdefault(os.path.relpath(place, path), []).extend(f.read().split(b"\n")[:-1])
+        return {place: sorted(lines) for place, lines in found.items()}
+
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "7")
+    try:
+        writers.write_lines(df, f"file:{tmp_path}/own", "value", ["folder", "part"], ["folder"])
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    monkeypatch.setattr(writers, "_local_place", lambda *a: None)
+    writers.write_lines(df, f"file:{tmp_path}/theirs", "value", ["folder", "part"], ["folder"])
+    assert held(tmp_path / "own") == held(tmp_path / "theirs") and len(held(tmp_path / "own")) == 30
+    monkeypatch.undo()
+    with pytest.raises(FileExistsError):
+        writers.write_lines(df, f"file:{tmp_path}/own", "value", ["folder", "part"], ["folder"])
+    writers.write_lines(df.limit(0), f"{tmp_path}/none", "value", ["folder", "part"], ["folder"])
+    assert spark.read.option("recursiveFileLookup", "true").text(f"{tmp_path}/none").count() == 0
+
+
+def test_write_lines_whole_files_only(tmp_path, monkeypatch):
+    import pyarrow as pa
+
+    class Context:
+        get = staticmethod(lambda: Context)
+        partitionId = staticmethod(lambda: 3)  # noqa: N815
+
+    monkeypatch.setattr(writers, "TaskContext", Context)
+    whole = pa.RecordBatch.from_pydict({"k": ["a", "a", "b"], "v": [b"1", b"2", b"3"]})
+    more = pa.RecordBatch.from_pydict({"k": ["b", "c"], "v": [b"4", b"5"]})
+
+    def ends():
+        yield whole
+        raise OSError("the task is lost")
+
+    write_files = writers._line_files(str(tmp_path), ["k"])
+    with pytest.raises(OSError):
+        list(write_files(ends()))
+    shown = lambda: {p.parent.name: p.read_bytes() for p in tmp_path.rglob("*.txt")}
+    assert shown() == {"k=a": b"1\n2\n"}
+    # The next try leaves the same files as a task that was never lost.
+    for _ in range(2):
+        list(write_files(iter([whole, whole.slice(0, 0), more])))
+        assert shown() == {"k=a": b"1\n2\n", "k=b": b"3\n4\n", "k=c": b"5\n"}
+
+
 def test_effective_lookup_computes_its_versions_once(spark, rows):
     seen = spark.sparkContext.accumulator(0)
 
